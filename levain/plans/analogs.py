@@ -174,3 +174,23 @@ def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_sql(spark, sf_dir, ORDER_TRANSACTIONS_SQL, ("orders",))
+
+
+# --------------------------------------------------------------------------------------
+# events as a change stream (key user_id, sequence ts, delete when event_type = 'error')
+# --------------------------------------------------------------------------------------
+EVENTS_NULLED_SQL = """SELECT event_id, user_id, ts,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS value
+FROM events"""
+
+# week of the month: four in-order delivery batches covering every event
+EVENT_BATCH_SQL = "CAST(floor((day(ts) - 1) / 8) AS INT)"
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "events")
+
+
+def events_nulled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark_sql(spark, sf_dir, EVENTS_NULLED_SQL, ("events",))

@@ -85,3 +85,213 @@ def q_revenue_by_date(spark, sf):
 @register("revenue_by_franchise", lambda: orc.revenue_by("franchise_country", "franchise_name"))
 def q_revenue_by_franchise(spark, sf):
     return sales.revenue_by_franchise(bk.denormalized_sales(spark, sf))
+
+
+# ---------------------------------------------------------------- CDC on the events change stream
+from pyspark.sql import functions as F  # noqa: E402
+
+from levain.operators import cdc  # noqa: E402
+from levain.plans import analogs  # noqa: E402
+
+EVENT_COLUMNS = ("event_type", "value")
+EVENT_DELETE = "event_type = 'error'"
+
+
+@register("scd2", lambda: orc.scd2_events())
+def q_scd2(spark, sf):
+    """SCD2 over every event: key user_id, sequence ts, all columns tracked."""
+    return cdc.scd2(analogs.events(spark, sf), "user_id", "ts", columns=EVENT_COLUMNS)
+
+
+@register("scd2_delete", lambda: orc.scd2_events(delete=EVENT_DELETE))
+def q_scd2_delete(spark, sf):
+    return cdc.scd2(analogs.events(spark, sf), "user_id", "ts", columns=EVENT_COLUMNS, apply_as_deletes=EVENT_DELETE)
+
+
+@register("scd2_current", lambda: f"SELECT * FROM ({orc.scd2_events(delete=EVENT_DELETE)}) v WHERE __END_AT IS NULL")
+def q_scd2_current(spark, sf):
+    return cdc.current(q_scd2_delete(spark, sf))
+
+
+@register("scd2_track_history", lambda: orc.scd2_events(tracked=("event_type",), untracked=("value",)))
+def q_scd2_track_history(spark, sf):
+    """Only event_type opens versions; value is updated in place (newest within the version)."""
+    return cdc.scd2(analogs.events(spark, sf), "user_id", "ts", columns=EVENT_COLUMNS, track_history=("event_type",))
+
+
+@register("scd2_struct_sequence", orc.scd2_struct_sequence)
+def q_scd2_struct_sequence(spark, sf):
+    """Hourly timestamps tie; STRUCT(hour, event_id) breaks the tie."""
+    ev = analogs.events(spark, sf).withColumn("h", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    seq = F.struct(F.col("h"), F.col("event_id").alias("id"))
+    out = cdc.scd2(ev, "user_id", seq, columns=EVENT_COLUMNS)
+    return out.select("user_id", "event_type", "value",
+                      F.col("__START_AT.h").alias("start_h"), F.col("__START_AT.id").alias("start_id"),
+                      F.col("__END_AT.h").alias("end_h"), F.col("__END_AT.id").alias("end_id"))
+
+
+@register("scd1", lambda: orc.scd1_events())
+def q_scd1(spark, sf):
+    return cdc.scd1(analogs.events(spark, sf), "user_id", "ts", columns=("ts",) + EVENT_COLUMNS)
+
+
+@register("scd1_delete", lambda: orc.scd1_events(delete=EVENT_DELETE))
+def q_scd1_delete(spark, sf):
+    return cdc.scd1(analogs.events(spark, sf), "user_id", "ts", columns=("ts",) + EVENT_COLUMNS,
+                    apply_as_deletes=EVENT_DELETE)
+
+
+EVENT_TRUNCATE = "value > 480"
+
+
+@register("scd1_truncate", lambda: orc.scd1_events(truncate=EVENT_TRUNCATE))
+def q_scd1_truncate(spark, sf):
+    return cdc.scd1(analogs.events(spark, sf), "user_id", "ts", columns=("ts",) + EVENT_COLUMNS,
+                    apply_as_truncates=EVENT_TRUNCATE)
+
+
+@register("scd_ignore_null_updates", orc.scd_ignore_null_updates)
+def q_scd_ignore_null_updates(spark, sf):
+    return cdc.scd2(analogs.events_nulled(spark, sf), "user_id", "ts", columns=EVENT_COLUMNS,
+                    ignore_null_updates=True)
+
+
+# ---------------------------------------------------------------- expectations
+from levain.operators.expectations import Expectations, quarantine  # noqa: E402
+
+
+@register("expect_warn", orc.expect_warn)
+def q_expect_warn(spark, sf):
+    """Warn rules keep every row; the result is the per-rule pass / fail count."""
+    bronze = bk.bronze_customers(spark, sf)
+    kept = sales.silver_customers(bronze)  # rows unchanged by warn rules
+    return sales.CUSTOMER_RULES.metrics(kept)
+
+
+@register("expect_drop", orc.expect_drop)
+def q_expect_drop(spark, sf):
+    rules = Expectations([r for r in sales.FRANCHISE_RULES.rules if r.on_violation != "fail"], "franchises_silver")
+    return rules.apply(bk.franchise_deliveries(spark, sf))
+
+
+@register("expect_fail", orc.expect_fail)
+def q_expect_fail(spark, sf):
+    """FAIL UPDATE: the projection raises if any franchise id is NULL (none is, so all rows pass)."""
+    rules = Expectations([r for r in sales.FRANCHISE_RULES.rules if r.on_violation == "fail"], "franchises_silver")
+    return rules.apply(bk.franchise_deliveries(spark, sf))
+
+
+@register("expect_all", orc.expect_all)
+def q_expect_all(spark, sf):
+    rules = Expectations.from_dicts("suppliers_silver", expect_all_or_drop={
+        "id_not_null": "supplierID IS NOT NULL", "valid_lat": "abs(latitude) <= 90",
+        "valid_lon": "abs(longitude) <= 180"})
+    return rules.apply(sales.clean_suppliers(analogs.supplier_deliveries(spark, sf)))
+
+
+@register("expectation_metrics", orc.expectation_metrics)
+def q_expectation_metrics(spark, sf):
+    """Passed / failed counts of every rule of the pipeline, one aggregate per dataset."""
+    cust = sales.CUSTOMER_RULES.metrics(sales.silver_customers(bk.bronze_customers(spark, sf)))
+    tx = sales.TRANSACTION_RULES.metrics(sales.silver_transactions_projection(analogs.transaction_lines(spark, sf)))
+    fr = sales.FRANCHISE_RULES.metrics(bk.franchise_deliveries(spark, sf))
+    su = sales.SUPPLIER_RULES.metrics(sales.clean_suppliers(analogs.supplier_deliveries(spark, sf)))
+    return cust.unionByName(tx).unionByName(fr).unionByName(su)
+
+
+@register("quarantine", orc.quarantine)
+def q_quarantine(spark, sf):
+    return quarantine(analogs.supplier_deliveries(spark, sf), "supplierID IS NULL", "supplierID IS NULL",
+                      with_timestamp=False)
+
+
+# ---------------------------------------------------------------- scalar functions
+from levain.functions import clean_lower, date_parts, json_path  # noqa: E402
+
+
+@register("text_cleaning", orc.text_cleaning)
+def q_text_cleaning(spark, sf):
+    ch = analogs.customer_changes(spark, sf)
+    return ch.select("customerid", "op", "updated_at", F.trim("first_name").alias("first_name"),
+                     F.trim("address").alias("address"), F.trim("continent").alias("continent"),
+                     clean_lower("gender").alias("gender"))
+
+
+@register("date_parts", orc.DATE_PARTS)
+def q_date_parts(spark, sf):
+    o = analogs.load_table(spark, sf, "orders")
+    return o.select("o_orderkey", *[v.alias(k) for k, v in date_parts("o_orderdate", "order").items()])
+
+
+@register("json_path", orc.JSON_PATH)
+def q_json_path(spark, sf):
+    ev = analogs.events(spark, sf)
+    return ev.select("event_id", json_path("props", "k").cast("int").alias("k"))
+
+
+# ---------------------------------------------------------------- event log reports
+from levain.plans import eventlog as elog  # noqa: E402
+
+
+def _event_log(spark, sf):
+    return elog.log_from_events(analogs.events(spark, sf))
+
+
+@register("event_log_recent", orc.event_log_recent)
+def q_event_log_recent(spark, sf):
+    return elog.recent(_event_log(spark, sf)).select(
+        "timestamp", "event_type", F.col("origin.pipeline_id").alias("pipeline_id"),
+        F.col("origin.update_id").alias("update_id"), "details")
+
+
+@register("latest_update", orc.latest_update)
+def q_latest_update(spark, sf):
+    return elog.latest_update(_event_log(spark, sf))
+
+
+@register("json_explode", orc.json_explode)
+def q_json_explode(spark, sf):
+    ex = elog.expectation_rows(_event_log(spark, sf))
+    return ex.select("timestamp", "update_id", F.col("row_expectations.name").alias("expectation"),
+                     F.col("row_expectations.dataset").alias("dataset"),
+                     F.col("row_expectations.passed_records").alias("passed_records"),
+                     F.col("row_expectations.failed_records").alias("failed_records"))
+
+
+@register("event_log_quality", orc.event_log_quality)
+def q_event_log_quality(spark, sf):
+    return elog.quality_report(_event_log(spark, sf))
+
+
+@register("event_log_flows", orc.event_log_flows)
+def q_event_log_flows(spark, sf):
+    return elog.flow_report(_event_log(spark, sf))
+
+
+# ---------------------------------------------------------------- semantic layer, distance
+from levain.operators.geo_join import pairs_within  # noqa: E402
+from levain.operators.semantic import SemanticModel  # noqa: E402
+
+DISTANCE_MAX_KM = 2500.0
+
+
+@register("semantic_count", orc.semantic_count)
+def q_semantic_count(spark, sf):
+    model = SemanticModel.over_columns(bk.denormalized_sales(spark, sf))
+    return model.query(["franchise_country", "product_name"], ["count"])
+
+
+@register("distance", lambda: orc.distance(DISTANCE_MAX_KM))
+def q_distance(spark, sf):
+    """Franchise-supplier pairs within DISTANCE_MAX_KM, by great-circle distance (grid equi-join)."""
+    f = bk.silver_franchises(spark, sf).filter(
+        "franchiseID IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND __END_AT IS NULL"
+    ).select(F.col("franchiseID").alias("franchise_ID"), F.col("latitude").alias("f_lat"),
+             F.col("longitude").alias("f_lon"))
+    s = bk.silver_suppliers(spark, sf).filter(
+        "supplierID IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND approved = 'Y' "
+        "AND __END_AT IS NULL"
+    ).select(F.col("supplierID").alias("supplier_ID"), F.col("latitude").alias("s_lat"),
+             F.col("longitude").alias("s_lon"))
+    p = pairs_within(f, s, DISTANCE_MAX_KM, ("f_lat", "f_lon"), ("s_lat", "s_lon"))
+    return p.select("franchise_ID", "supplier_ID", F.round("distance_km", 6).alias("distance_km"))
