@@ -295,3 +295,34 @@ def q_distance(spark, sf):
              F.col("longitude").alias("s_lon"))
     p = pairs_within(f, s, DISTANCE_MAX_KM, ("f_lat", "f_lon"), ("s_lat", "s_lon"))
     return p.select("franchise_ID", "supplier_ID", F.round("distance_km", 6).alias("distance_km"))
+
+
+# ---------------------------------------------------------------- ingest and streaming flows
+from levain.plans import flows  # noqa: E402
+
+register("csv_stream_ingest", orc.csv_stream_ingest)(flows.csv_stream_ingest)
+register("csv_dialect", orc.csv_dialect)(flows.csv_dialect)
+register("csv_path_glob", orc.csv_path_glob)(flows.csv_path_glob)
+register("csv_infer_schema", orc.csv_infer_schema)(flows.csv_infer_schema)
+register("csv_schema_hints", orc.csv_schema_hints)(flows.csv_schema_hints)
+register("csv_evolve_add", orc.csv_evolve_add)(flows.csv_evolve_add)
+register("csv_evolve_fail", orc.csv_evolve_fail)(flows.csv_evolve_fail)
+register("csv_rescue", orc.csv_rescue)(flows.csv_rescue)
+register("csv_throttle", orc.csv_throttle)(flows.csv_throttle)
+register("csv_skip_existing", orc.csv_skip_existing)(flows.csv_skip_existing)
+register("csv_file_metadata")(flows.csv_file_metadata)
+register("json_stream_ingest", orc.JSON_STREAM_INGEST)(flows.json_stream_ingest)
+register("streaming_table_append", "SELECT * FROM events")(flows.streaming_table_append)
+register("incremental_second_run", "SELECT * FROM orders")(flows.incremental_second_run)
+register("scan_table", "SELECT * FROM orders")(flows.scan_table)
+register("scan_stream_table", "SELECT * FROM customer WHERE c_acctbal >= 0")(flows.scan_stream_table)
+register("materialized_view_refresh", orc.fact_sales)(flows.materialized_view_refresh)
+register("table_properties", "SELECT 'quality' AS \"key\", 'Gold' AS \"value\"")(flows.table_properties)
+register("layer_setup")(flows.layer_setup)
+register("list_tables", "SELECT * FROM (VALUES ('customer'), ('orders'), ('supplier')) t(tableName)")(
+    flows.list_tables)
+register("scd2_incremental", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd2_incremental)
+register("scd_late_events", orc.scd_late_events)(flows.scd_late_events)
+register("scd_late_merge", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd_late_merge)
+register("cursor_incremental_scd2", orc.cursor_incremental_scd2)(flows.cursor_incremental_scd2)
+register("cursor_incremental_scd1", orc.CURSOR_SCD1)(flows.cursor_incremental_scd1)
