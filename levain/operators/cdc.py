@@ -10,7 +10,9 @@ a sequence, optionally a delete / truncate marker) into the target table:
 
 Plan shape (SCD2): one hash exchange on the keys, one sort by (keys, sequence); every
 later step (dedupe, change flags, version values, end times) is a window with the same
-partitioning and ordering, so Spark adds no further exchange or sort.  SCD1 is a single
+partitioning and ordering, so Spark adds no further exchange or sort.  With a skew
+threshold (``skew_rows``), keys holding that many events are split off and processed
+in sequence-range chunks (:func:`_scd2_chunked`), so no key is ever one task.  SCD1 is a single
 ``groupBy(keys).agg(max_by(...))`` — partial aggregation on the map side, so a key that
 holds a third of all rows is pre-combined in every task before the shuffle.
 
@@ -34,6 +36,10 @@ TIE = "__tb"
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
+# keys with at least this many events are processed in sequence-range chunks (0: never)
+SKEW_CONF = "levain.cdc.skewRows"
+DEFAULT_SKEW_ROWS = 10_000_000
+
 
 def _expr(x: str | Column) -> Column:
     return F.expr(x) if isinstance(x, str) else x
@@ -128,8 +134,37 @@ def _distinct_from(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str]) -> DataFrame:
-    """The SCD2 kernel over prepared change rows (all history for the keys present)."""
+def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str],
+                      skew_rows: int | None = None) -> DataFrame:
+    """The SCD2 kernel over prepared change rows (all history for the keys present).
+
+    With ``skew_rows`` set, keys holding at least that many rows are split off and
+    processed by :func:`_scd2_chunked`, which never puts one key in one task.
+    """
+    if skew_rows is None:
+        skew_rows = spec.extra.get("skew_rows")
+    if skew_rows is None:
+        skew_rows = int(prepared.sparkSession.conf.get(SKEW_CONF, str(DEFAULT_SKEW_ROWS)))
+    if not skew_rows:
+        return _scd2_by_key(prepared, spec, data_cols)
+    keys = list(spec.keys)
+    # at most rows / skew_rows keys can qualify: a proven bound for the broadcast below
+    counts = prepared.groupBy(*keys).count().filter(F.col("count") >= int(skew_rows))
+    hot_total = counts.agg(F.sum("count")).first()[0]  # one number
+    if not hot_total:
+        return _scd2_by_key(prepared, spec, data_cols)
+    hot = F.broadcast(counts.select(*keys))
+    cold_rows = prepared.join(hot, keys, "left_anti")
+    hot_rows = prepared.join(hot, keys, "left_semi")
+    # about skew_rows events per chunk; the cap keeps the per-chunk summaries small
+    cap = 8 * int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(2, min(cap, -(-int(hot_total) // int(skew_rows))))
+    return _scd2_by_key(cold_rows, spec, data_cols).unionByName(
+        _scd2_chunked(hot_rows, spec, data_cols, chunks))
+
+
+def _scd2_by_key(prepared: DataFrame, spec: CdcSpec, data_cols: list[str]) -> DataFrame:
+    """One exchange on the keys, one sort; every step is a window with that same spec."""
     tracked = spec.tracked_columns(data_cols)
     untracked = [c for c in data_cols if c not in tracked]
     w = _key_window(spec)
@@ -162,6 +197,76 @@ def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str])
                     F.col(SEQ).alias(START_AT), F.col(END_AT))
 
 
+CHUNK = "__chunk"
+
+
+def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chunks: int) -> DataFrame:
+    """SCD2 for hot keys: each key's history is cut into sequence ranges ("chunks").
+
+    ``repartitionByRange(keys, seq)`` samples the rows and cuts even a single key into
+    balanced, ordered ranges; the partition id is the chunk.  Neighbour operations run
+    per (key, chunk) and the chunk boundaries are stitched with one summary row per
+    chunk (at most ``chunks`` + number of hot keys rows, so broadcast).  Version values come from
+    a partial + final aggregate per (key, version), so a version spanning many chunks is
+    pre-combined in every task.
+    """
+    keys = list(spec.keys)
+    tracked = spec.tracked_columns(data_cols)
+    untracked = [c for c in data_cols if c not in tracked]
+    kc = [*keys, CHUNK]
+    # The range bounds come from sampling (re-sampled with an RDD-id seed when partitions
+    # are uneven), so two evaluations of this exchange may cut different chunks.  The
+    # summaries below read the chunked rows several times, and a lost executor would make
+    # Spark recompute them: the assignment is therefore written once to the shared
+    # checkpoint folder and every branch (and every retry) reads that copy.
+    x = hot_rows.repartitionByRange(chunks, *[F.col(k) for k in keys], F.col(SEQ))
+    x = x.withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True)
+    wl = Window.partitionBy(*kc).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
+    ws = Window.partitionBy(*keys).orderBy(CHUNK)
+
+    # 1. dedupe per (key, sequence): equal sort keys always share a range partition
+    x = x.withColumn("__pseq", F.lag(SEQ).over(wl))
+    x = x.filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ))).drop("__pseq")
+    x = x.withColumn("__trk", F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True))
+
+    # 2. the previous row of a chunk's first row is the previous chunk's last row
+    last = x.groupBy(*kc).agg(F.max_by(F.struct(F.col(DEL).alias("d"), F.col("__trk").alias("t")), SEQ)
+                              .alias("__l"))
+    prev = last.withColumn("__p", F.lag("__l").over(ws)).select(*kc, "__p")
+    x = x.join(F.broadcast(prev), kc, "left")
+    local_del = F.lag(DEL).over(wl)
+    prev_del = F.when(local_del.isNull(), F.col("__p.d")).otherwise(local_del)
+    prev_trk = F.when(local_del.isNull(), F.col("__p.t")).otherwise(F.lag("__trk").over(wl))
+    x = x.withColumn("__chg", (prev_del.isNull() | (prev_del != F.col(DEL))
+                               | (~F.col(DEL) & _distinct_from(F.col("__trk"), prev_trk))).cast("int"))
+
+    # 3. global version number = changes so far in this chunk + changes in earlier chunks
+    x = x.withColumn("__lv", F.sum("__chg").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    counts = x.groupBy(*kc).agg(F.sum("__chg").alias("__n"))
+    offs = counts.withColumn("__off", F.coalesce(
+        F.sum("__n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(*kc, "__off")
+    x = x.join(F.broadcast(offs), kc, "inner").withColumn("__v", F.col("__lv") + F.col("__off"))
+
+    # 4. one row per version: its first event (tracked values, delete flag) and newest untracked values
+    first = F.struct(F.col(SEQ).alias("s"), F.col(DEL).alias("d"), *[F.col(c) for c in tracked])
+    aggs = [F.min_by(first, SEQ).alias("__f"), F.min(CHUNK).alias(CHUNK)]
+    if untracked:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in untracked]), SEQ).alias("__u"))
+    ver = x.groupBy(*keys, "__v").agg(*aggs)
+    ver = ver.select(*keys, CHUNK, F.col("__f.s").alias(START_AT), F.col("__f.d").alias(DEL),
+                     *[F.col(f"__f.{c}").alias(c) for c in tracked],
+                     *[F.col(f"__u.{c}").alias(c) for c in untracked])
+
+    # 5. a version ends where the next one starts (next in its chunk, else the next chunk's first)
+    wv = Window.partitionBy(*kc).orderBy(START_AT)
+    starts = ver.groupBy(*kc).agg(F.min(START_AT).alias("__fs"))
+    nxt = starts.withColumn("__nf", F.lead("__fs").over(ws)).select(*kc, "__nf")
+    ver = ver.join(F.broadcast(nxt), kc, "left")
+    ver = ver.withColumn(END_AT, F.coalesce(F.lead(START_AT).over(wv), F.col("__nf")))
+    ver = ver.filter(~F.col(DEL))
+    return ver.select(*[F.col(k) for k in keys], *[F.col(c) for c in data_cols], F.col(START_AT), F.col(END_AT))
+
+
 def scd1_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str]) -> DataFrame:
     """The SCD1 kernel: newest event per key after truncates; a newest delete removes the key."""
     x = prepared
@@ -174,12 +279,17 @@ def scd1_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str])
     return latest.select(*[F.col(k) for k in spec.keys], *[F.col(f"__r.{c}").alias(c) for c in data_cols])
 
 
-def apply_changes(source: DataFrame, spec: CdcSpec) -> DataFrame:
-    """One-shot CDC apply of a whole change feed (batch)."""
+def apply_changes(source: DataFrame, spec: CdcSpec, skew_rows: int | None = None) -> DataFrame:
+    """One-shot CDC apply of a whole change feed (batch).
+
+    ``skew_rows`` (else ``spec.extra["skew_rows"]``, else the session conf
+    ``levain.cdc.skewRows``, default 10M; 0 disables): keys with at least this many
+    events take the split path.
+    """
     data_cols = spec.data_columns(source.columns)
     prepared = prepare_changes(source, spec)
     if spec.stored_as_scd_type == 2:
-        return scd2_from_changes(prepared, spec, data_cols)
+        return scd2_from_changes(prepared, spec, data_cols, skew_rows)
     return scd1_from_changes(prepared, spec, data_cols)
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -199,17 +199,20 @@ class CdcTarget:
         return {"versions": versions, "log": log}
 
     def _versions_as_changes(self, v: DataFrame) -> DataFrame:
-        """Stored versions back to change rows (inserts at starts, deletes at unmatched ends)."""
+        """Stored versions back to change rows (inserts at starts, deletes at unmatched ends).
+
+        An end with no version of the same key starting there is a delete: an anti-join on
+        (key, sequence), so no key's history is gathered into one task.
+        """
         keys = list(self.spec.keys)
-        w = Window.partitionBy(*keys).orderBy(START_AT)
+        tie = F.xxhash64(*[F.col(c) for c in self._data_cols], F.col(DEL), F.col(TRUNC))
         ins = v.select(*keys, *self._data_cols, F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL),
-                       F.lit(False).alias(TRUNC), BUCKET)
-        ins = ins.withColumn(TIE, F.xxhash64(*[F.col(c) for c in self._data_cols], F.col(DEL), F.col(TRUNC)))
-        nxt = v.withColumn("__next", F.lead(START_AT).over(w))
-        ends = nxt.filter(F.col(END_AT).isNotNull() & (F.col("__next").isNull() | (F.col("__next") != F.col(END_AT))))
-        dels = ends.select(*keys, *[F.lit(None).cast(v.schema[c].dataType).alias(c) for c in self._data_cols],
-                           F.col(END_AT).alias(SEQ), F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), BUCKET)
-        dels = dels.withColumn(TIE, F.xxhash64(*[F.col(c) for c in self._data_cols], F.col(DEL), F.col(TRUNC)))
+                       F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
+        ends = v.filter(F.col(END_AT).isNotNull()).select(*keys, F.col(END_AT).alias(SEQ), BUCKET)
+        starts = v.select(*keys, F.col(START_AT).alias(SEQ))
+        gaps = ends.join(starts, [*keys, SEQ], "left_anti")
+        dels = gaps.select(*keys, *[F.lit(None).cast(v.schema[c].dataType).alias(c) for c in self._data_cols],
+                           SEQ, F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
         return ins.unionByName(dels)
 
     def _compute_scd1(self, prepared: DataFrame, touched: list[int], has_trunc: bool) -> DataFrame:

@@ -139,3 +139,20 @@ def test_scd1_target_tombstones_and_truncate(spark, workdir):
     assert rows(t.read(), "k", "v") == [(2, "B")]
     t.apply(feed(spark, [(0, None, 0, T[5], "T"), (3, "C", 0, T[6], None)]), 3)
     assert rows(t.read(), "k", "v") == [(3, "C")]
+
+
+@pytest.mark.parametrize("skew_rows", [1, 25])
+def test_hot_key_split_path_equals_plain_kernel(spark, skew_rows):
+    """Keys above the threshold go through range chunks; the table must not change."""
+    data = _random_feed(spark, 11, n=400)
+    data += [(99, "A" if i % 7 else "B", i % 5, dt.datetime(2024, 3, 1) + dt.timedelta(seconds=i), None)
+             for i in range(300)]  # one hot key with long unchanged runs
+    df = feed(spark, data).repartition(5)
+    for spec in (CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), apply_as_deletes="op = 'D'"),
+                 CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), track_history=("v",),
+                         apply_as_deletes="op = 'D'")):
+        plain = rows(apply_changes(df, spec))
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        split = rows(apply_changes(df, spec, skew_rows=skew_rows))
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert split == plain
