@@ -36,9 +36,10 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, "runs", name, unique=True)
 
 
-def write_csv(df: DataFrame, path: str, files: int = 1, **options) -> None:
+def write_csv(df: DataFrame, path: str, **options) -> None:
+    """Write input files with the DataFrame's own parallelism (one file per partition)."""
     opts = {**WRITE_OPTIONS, **options}
-    w = df.coalesce(files).write.mode("overwrite").option("header", "true")
+    w = df.write.mode("overwrite").option("header", "true")
     for k, v in opts.items():
         w = w.option(k, v)
     w.csv(path)
@@ -62,7 +63,7 @@ def _bronze(ing: FileIngest) -> DataFrame:
 # ------------------------------------------------------------------------------- S1 S2 S3
 def csv_stream_ingest(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_stream_ingest")
-    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/samples_bakehouse_sales_suppliers_1", files=2)
+    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/samples_bakehouse_sales_suppliers_1")
     write_csv(supplier_snapshot(spark, sf, 2), f"{root}/samples_bakehouse_sales_suppliers_2")
     ing = ingest(spark, root, "samples_bakehouse_sales_suppliers_*/*.csv", evolution_mode="addNewColumns",
                  max_files_per_trigger=1000, max_bytes_per_trigger="10g", max_file_age="365 days")
@@ -101,7 +102,7 @@ def csv_path_glob(spark, sf) -> DataFrame:
     write_csv(supplier_snapshot(spark, sf, 1), f"{root}/suppliers_1")
     write_csv(analogs.franchises(spark, sf), f"{root}/franchises_1")
     # a non-CSV file inside a matching folder: dropped by pathGlobFilter
-    supplier_snapshot(spark, sf, 1).select(F.to_json(F.struct("*")).alias("value")).coalesce(1) \
+    supplier_snapshot(spark, sf, 1).select(F.to_json(F.struct("*")).alias("value")) \
         .write.mode("overwrite").text(f"{root}/suppliers_9")
     ing = ingest(spark, root, "suppliers_*", path_glob_filter="*.csv")
     ing.run()
@@ -111,7 +112,7 @@ def csv_path_glob(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------------------- S4 S5
 def csv_infer_schema(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_infer_schema")
-    write_csv(analogs.customer_changes(spark, sf), f"{root}/customers_1", files=2)
+    write_csv(analogs.customer_changes(spark, sf), f"{root}/customers_1")
     ing = ingest(spark, root, "customers_*/*.csv")
     ing.run()
     return _bronze(ing)
@@ -175,7 +176,9 @@ def csv_rescue(spark, sf) -> DataFrame:
 def csv_throttle(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_throttle")
     base = supplier_snapshot(spark, sf, 1).filter(F.col("supplierID").isNotNull())
-    for i in range(5):  # five files, written one after the other (ordered modification times)
+    # five deliveries written one after the other (ordered modification times); each is one
+    # file here because the supplier scan is one partition at these scales
+    for i in range(5):
         write_csv(base.filter(F.col("supplierID") % 5 == i), f"{root}/part_{i}")
         time.sleep(0.05)
     ing = ingest(spark, root, "part_*/*.csv", max_files_per_trigger=2)
@@ -198,7 +201,7 @@ def csv_skip_existing(spark, sf) -> DataFrame:
 
 def csv_file_metadata(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_file_metadata")
-    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/suppliers_1", files=3)
+    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/suppliers_1")
     ing = ingest(spark, root, "suppliers_*/*.csv")
     ing.run()
     return ing.read().select("supplierID", "name", F.element_at(F.split("file_name", "/"), -1).alias("file_name"),
