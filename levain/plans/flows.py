@@ -359,3 +359,49 @@ def cursor_incremental_scd1(spark, sf) -> DataFrame:
         CursorIngest(spark, table_source(lambda: spark.read.parquet(f"{root}/db_transactions")), "updated_at",
                      target, f"{root}/_cursor").run()
     return target.read()
+
+
+# ------------------------------------------------------------------------------- end-to-end flows
+def _supplier_flow(spark, sf):
+    from levain.plans.eventlog import EventLog
+    from levain.plans.pipelines import supplier_pipeline
+    root = run_dir(spark, "suppliers_pipeline")
+    vol = f"{root}/volume/input_files"
+    log = EventLog(spark, f"{root}/event_log", "dp_bakehouse")
+    p = supplier_pipeline(spark, root, f"{vol}/samples_bakehouse_sales_suppliers_*/*.csv", log)
+    write_csv(supplier_snapshot(spark, sf, 1), f"{vol}/samples_bakehouse_sales_suppliers_1")
+    p.run("update_1")
+    write_csv(supplier_snapshot(spark, sf, 2), f"{vol}/samples_bakehouse_sales_suppliers_2")
+    p.run("update_2")
+    return p, log
+
+
+def suppliers_pipeline(spark, sf) -> DataFrame:
+    """Two file deliveries, two pipeline updates: bronze -> clean -> SCD2 silver -> gold dimension."""
+    from levain.plans import sales
+    p, _ = _supplier_flow(spark, sf)
+    return sales.dim_supplier(p.silver_table())
+
+
+def pipeline_quality(spark, sf) -> DataFrame:
+    """The event-log quality report of the latest update, fed by the observed expectation counts."""
+    from levain.plans.eventlog import quality_report
+    _, log = _supplier_flow(spark, sf)
+    return quality_report(log.read())
+
+
+def quarantine_stream(spark, sf) -> DataFrame:
+    p, _ = _supplier_flow(spark, sf)
+    return p.quarantine_table().drop("quarantine_timestamp", "file_name", "file_timestamp", "_rescued_data",
+                                     "__batch_id")
+
+
+def franchises_pipeline(spark, sf) -> DataFrame:
+    from levain.plans import sales
+    from levain.plans.pipelines import franchise_pipeline
+    root = run_dir(spark, "franchises_pipeline")
+    vol = f"{root}/volume/input_files"
+    write_csv(analogs.franchises(spark, sf), f"{vol}/samples_bakehouse_sales_franchises_1")
+    p = franchise_pipeline(spark, root, f"{vol}/samples_bakehouse_sales_franchises_*/*.csv")
+    p.run()
+    return sales.dim_franchise(p.silver_table())

@@ -326,3 +326,7 @@ register("scd_late_events", orc.scd_late_events)(flows.scd_late_events)
 register("scd_late_merge", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd_late_merge)
 register("cursor_incremental_scd2", orc.cursor_incremental_scd2)(flows.cursor_incremental_scd2)
 register("cursor_incremental_scd1", orc.CURSOR_SCD1)(flows.cursor_incremental_scd1)
+register("suppliers_pipeline", orc.dim_supplier)(flows.suppliers_pipeline)
+register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
+register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)
+register("quarantine_stream", orc.quarantine_stream)(flows.quarantine_stream)
