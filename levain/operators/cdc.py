@@ -47,7 +47,7 @@ def _expr(x: str | Column) -> Column:
 
 @dataclass(frozen=True)
 class CdcSpec:
-    """What the AUTO CDC flow declares: keys, sequence, columns, SCD type and options."""
+    """What a CDC flow declares: keys, sequence, columns, SCD type and options."""
 
     keys: tuple
     sequence_by: object  # column name, SQL expression string, or Column (e.g. F.struct("ts", "id"))

@@ -1,4 +1,4 @@
-"""The bakehouse entities, derived from the TPC-H-like test tables.
+"""The sales-domain entities, derived from the TPC-H-like test tables.
 
 Each analog is one SQL text that both Spark SQL and DuckDB accept (the only dialect
 difference, the timestamp literal, is a placeholder).  The same text defines the input
@@ -71,7 +71,7 @@ _CUSTOMER_COLUMNS = """
        ELSE concat('Lastname', CAST(c.c_custkey % 97 AS STRING)) END AS last_name,
   CASE WHEN c.c_custkey % 29 = 0 THEN NULL
        WHEN c.c_custkey % 13 = 0 THEN lower(replace(c.c_name, '#', '.'))
-       ELSE concat(lower(replace(c.c_name, '#', '.')), '@bakehouse.example') END AS email_address,
+       ELSE concat(lower(replace(c.c_name, '#', '.')), '@example.com') END AS email_address,
   concat('+', CAST(c.c_nationkey + 10 AS STRING), ' ', CAST(c.c_custkey AS STRING)) AS phone_number,
   concat(CAST(c.c_custkey % 500 AS STRING), ' Main Street ') AS address,
   {city} AS city,
@@ -104,7 +104,7 @@ FRANCHISE_COLUMNS = ["franchiseID", "name", "city", "district", "zipcode", "coun
 
 FRANCHISES_SQL = """SELECT
   CAST(n.n_nationkey AS BIGINT) AS franchiseID,
-  concat('Bakehouse ', n.n_name) AS name,
+  concat('Franchise ', n.n_name) AS name,
   n.n_name AS city,
   concat('District ', CAST(n.n_regionkey AS STRING)) AS district,
   lpad(CAST(n.n_nationkey * 379 % 100000 AS STRING), 5, '0') AS zipcode,

@@ -1,4 +1,4 @@
-"""The bakehouse datasets in dependency order, on the analog inputs (batch form).
+"""The lakehouse datasets in dependency order, on the analog inputs (batch form).
 
 Dataset references become function calls; each returns a lazy DataFrame so Catalyst
 sees (and optimizes) the whole chain from the parquet scans to the chart query.

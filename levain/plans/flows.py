@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec
-from levain.plans import analogs, bakehouse as bk
+from levain.plans import analogs, chain as bk
 from levain.session import shared_dir
 from levain.sources.cursor import CursorIngest, table_source
 from levain.sources.files import FileIngest, NewColumnsError
@@ -63,9 +63,9 @@ def _bronze(ing: FileIngest) -> DataFrame:
 # ------------------------------------------------------------------------------- S1 S2 S3
 def csv_stream_ingest(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_stream_ingest")
-    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/samples_bakehouse_sales_suppliers_1")
-    write_csv(supplier_snapshot(spark, sf, 2), f"{root}/samples_bakehouse_sales_suppliers_2")
-    ing = ingest(spark, root, "samples_bakehouse_sales_suppliers_*/*.csv", evolution_mode="addNewColumns",
+    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/sales_suppliers_1")
+    write_csv(supplier_snapshot(spark, sf, 2), f"{root}/sales_suppliers_2")
+    ing = ingest(spark, root, "sales_suppliers_*/*.csv", evolution_mode="addNewColumns",
                  max_files_per_trigger=1000, max_bytes_per_trigger="10g", max_file_age="365 days")
     ing.run()
     return _bronze(ing)
@@ -367,11 +367,11 @@ def _supplier_flow(spark, sf):
     from levain.plans.pipelines import supplier_pipeline
     root = run_dir(spark, "suppliers_pipeline")
     vol = f"{root}/volume/input_files"
-    log = EventLog(spark, f"{root}/event_log", "dp_bakehouse")
-    p = supplier_pipeline(spark, root, f"{vol}/samples_bakehouse_sales_suppliers_*/*.csv", log)
-    write_csv(supplier_snapshot(spark, sf, 1), f"{vol}/samples_bakehouse_sales_suppliers_1")
+    log = EventLog(spark, f"{root}/event_log", "sales_pipeline")
+    p = supplier_pipeline(spark, root, f"{vol}/sales_suppliers_*/*.csv", log)
+    write_csv(supplier_snapshot(spark, sf, 1), f"{vol}/sales_suppliers_1")
     p.run("update_1")
-    write_csv(supplier_snapshot(spark, sf, 2), f"{vol}/samples_bakehouse_sales_suppliers_2")
+    write_csv(supplier_snapshot(spark, sf, 2), f"{vol}/sales_suppliers_2")
     p.run("update_2")
     return p, log
 
@@ -401,7 +401,7 @@ def franchises_pipeline(spark, sf) -> DataFrame:
     from levain.plans.pipelines import franchise_pipeline
     root = run_dir(spark, "franchises_pipeline")
     vol = f"{root}/volume/input_files"
-    write_csv(analogs.franchises(spark, sf), f"{vol}/samples_bakehouse_sales_franchises_1")
-    p = franchise_pipeline(spark, root, f"{vol}/samples_bakehouse_sales_franchises_*/*.csv")
+    write_csv(analogs.franchises(spark, sf), f"{vol}/sales_franchises_1")
+    p = franchise_pipeline(spark, root, f"{vol}/sales_franchises_*/*.csv")
     p.run()
     return sales.dim_franchise(p.silver_table())

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from levain.plans import bakehouse as bk
+from levain.plans import chain as bk
 from levain.plans import oracle as orc
 from levain.plans import sales
 
