@@ -330,3 +330,4 @@ register("suppliers_pipeline", orc.dim_supplier)(flows.suppliers_pipeline)
 register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
 register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)
 register("quarantine_stream", orc.quarantine_stream)(flows.quarantine_stream)
+register("sql_catalog_parameter", orc.dim_franchise)(flows.sql_catalog_parameter)
