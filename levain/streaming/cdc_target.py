@@ -35,6 +35,7 @@ from levain.operators.expectations import Expectations
 
 BUCKET = "__bucket"
 LAST = "__last_seq"
+STUB = "__stub"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -89,7 +90,9 @@ class CdcTarget:
             raise RuntimeError(f"target {self.path} has no committed batch yet")
         if self.spec.stored_as_scd_type == 1:
             df = df.filter(~F.col(DEL))
-        return df.drop(BUCKET, DEL, SEQ, TIE, TRUNC, LAST)
+        if STUB in df.columns:
+            df = df.filter(~F.col(STUB))
+        return df.drop(BUCKET, DEL, SEQ, TIE, TRUNC, LAST, STUB)
 
     def stream_into(self, stream_df: DataFrame, checkpoint: str, trigger_available_now: bool = True):
         w = stream_df.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
@@ -108,16 +111,16 @@ class CdcTarget:
             _touch(spark, marker)
             return
 
-        # materialise the batch once: the expectation counts and the target must see the same rows
-        batch = batch.persist()
+        # materialise the prepared batch once: the expectation counts (observed on its single
+        # evaluation) and the target must see the same rows
+        if self.expectations is not None:
+            checked, obs = self.expectations.observe(batch)
+            checked = self.expectations.apply(checked)
+        else:
+            checked, obs = batch, None
+        self._data_cols = self.spec.data_columns(batch.columns)
+        prepared = self._bucketed(prepare_changes(checked, self.spec)).persist()
         try:
-            if self.expectations is not None:
-                checked, obs = self.expectations.observe(batch)
-                checked = self.expectations.apply(checked)
-            else:
-                checked, obs = batch, None
-            self._data_cols = self.spec.data_columns(batch.columns)
-            prepared = self._bucketed(prepare_changes(checked, self.spec)).persist()
             touched = sorted(r[0] for r in prepared.select(BUCKET).distinct().collect())
             if obs is not None and self.on_metrics is not None:
                 self.on_metrics(batch_id, self.expectations.observed_metrics(obs))
@@ -130,16 +133,15 @@ class CdcTarget:
                 for name, df in outputs.items():
                     df.write.mode("overwrite").parquet(f"{staging}/{name}")
                 self._publish(staging, list(outputs))
-            prepared.unpersist()
         finally:
-            batch.unpersist()
+            prepared.unpersist()
         _touch(spark, marker)
 
     # ------------------------------------------------------------------ internals
     def _tables(self) -> list[str]:
         if self.spec.stored_as_scd_type == 1:
             return ["current"]
-        return ["versions", "log" if self.spec.late == "merge" else "state"]
+        return ["versions", "log"] if self.spec.late == "merge" else ["versions"]
 
     def _publish(self, staging: str, tables: list[str]) -> None:
         for name in tables:
@@ -169,23 +171,25 @@ class CdcTarget:
         return j.filter(F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST))).drop(LAST)
 
     def _compute_scd2_ignore(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
+        """Versions plus, on every row of a key, the newest sequence applied for it.
+
+        A key whose events left no version (a delete arriving first) keeps one stub row, so
+        the late filter still knows its newest sequence.  One table means one publish.
+        """
         keys = list(self.spec.keys)
         cols = self._prepared_columns()
-        old_v = self._read("versions", touched)
-        old_s = self._read("state", touched)
-        new = self._drop_late(prepared, old_s).select(*cols)
-        parts = [new]
-        if old_v is not None:
-            parts.append(self._versions_as_changes(old_v).select(*cols))
-        changes = parts[0]
-        for p in parts[1:]:
-            changes = changes.unionByName(p)
-        versions = self._bucketed(scd2_from_changes(changes, self.spec, self._data_cols))
-        new_last = new.groupBy(*keys).agg(F.max(SEQ).alias(LAST))
-        if old_s is not None:
-            new_last = new_last.unionByName(old_s.select(*keys, LAST)).groupBy(*keys).agg(F.max(LAST).alias(LAST))
-        state = self._bucketed(new_last)
-        return {"versions": versions, "state": state}
+        old = self._read("versions", touched)
+        old_last = None if old is None else old.groupBy(*keys).agg(F.max(LAST).alias(LAST))
+        new = self._drop_late(prepared, old_last).select(*cols)
+        changes = new
+        if old is not None:
+            changes = changes.unionByName(self._versions_as_changes(old.filter(~F.col(STUB))).select(*cols))
+        versions = scd2_from_changes(changes, self.spec, self._data_cols)
+        last = new.groupBy(*keys).agg(F.max(SEQ).alias(LAST))
+        if old_last is not None:
+            last = last.unionByName(old_last).groupBy(*keys).agg(F.max(LAST).alias(LAST))
+        out = versions.join(last, keys, "right").withColumn(STUB, F.col(START_AT).isNull())
+        return {"versions": self._bucketed(out)}
 
     def _compute_scd2_merge(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
         cols = self._prepared_columns()

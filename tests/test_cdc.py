@@ -156,3 +156,14 @@ def test_hot_key_split_path_equals_plain_kernel(spark, skew_rows):
         split = rows(apply_changes(df, spec, skew_rows=skew_rows))
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert split == plain
+
+
+def test_target_remembers_delete_that_arrived_first(spark, workdir):
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), apply_as_deletes="op = 'D'")
+    t = CdcTarget(spark, f"{workdir}/stub", spec, num_buckets=2)
+    t.apply(feed(spark, [(1, None, 0, T[3], "D"), (2, "X", 0, T[1], None)]), 0)
+    assert versions(t.read()) == [(2, "X", T[1], None)]
+    t.apply(feed(spark, [(1, "old", 0, T[2], None)]), 1)  # older than the delete: ignored
+    assert versions(t.read()) == [(2, "X", T[1], None)]
+    t.apply(feed(spark, [(1, "new", 0, T[4], None)]), 2)
+    assert versions(t.read()) == [(1, "new", T[4], None), (2, "X", T[1], None)]
