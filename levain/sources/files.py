@@ -7,8 +7,9 @@ and modification time are read); throttles (``maxFilesPerTrigger`` or
 ``maxBytesPerTrigger``), ``maxFileAge``, ``pathGlobFilter`` and ``includeExistingFiles``
 act on that list.  Each micro-batch then, in executors:
 
-1. reads the first line of each file (one text scan; skipped without a header) and
-   groups files by header — only file names and header strings reach the driver;
+1. reads the first line of each file (a small distributed job that opens each file and
+   reads its first line only; skipped without a header) and groups files by header —
+   only file names and header strings reach the driver;
 2. reads each group with the real CSV reader (all S2 dialect options, ``multiLine`` too)
    under an all-string schema in that header's order and unions the groups by name;
 3. infers types (first run) with one aggregate: a column gets the narrowest type every
@@ -36,6 +37,7 @@ from pyspark.sql.utils import AnalysisException
 
 FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 # Reader options passed through to Spark's CSV reader unchanged.
 CSV_OPTIONS = ("header", "delimiter", "sep", "quote", "escape", "encoding", "charset", "lineSep", "dateFormat",
@@ -146,6 +148,8 @@ class FileIngest:
             r = r.option("maxFilesPerTrigger", int(self.max_files_per_trigger))
         elif self.max_bytes_per_trigger is not None:  # Spark accepts one throttle at a time
             r = r.option("maxBytesPerTrigger", parse_size(self.max_bytes_per_trigger))
+        else:  # bound the file names a batch brings to the driver, even on a first run over a backlog
+            r = r.option("maxFilesPerTrigger", DEFAULT_MAX_FILES_PER_TRIGGER)
         if self.max_file_age is not None:
             r = r.option("maxFileAge", parse_age(self.max_file_age))
         files = r.load(self.path).select("path", "modificationTime")
@@ -201,18 +205,58 @@ class FileIngest:
         return o
 
     def _headers(self, paths: list[str]) -> dict[str, list[str]]:
-        """header string -> files having it (first line of each file, read in executors)."""
+        """header string -> files having it.
+
+        Each task opens its share of the batch's files and reads only their first line (a few
+        KB per file, through Arrow's file systems); where Arrow cannot open the URI scheme the
+        first lines come from a text scan of the files instead.
+        """
         opts = self._opts()
-        t = self.spark.read.option("lineSep", opts.get("lineSep", "\n")).option(
-            "encoding", opts.get("encoding", "UTF-8")).text(paths) if "lineSep" in opts else self.spark.read.text(paths)
-        first = (t.select("value", F.col("_metadata.file_path").alias("p"),
-                          F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
-                 .filter(F.col("b") == 0).groupBy("p").agg(F.min_by("value", "i").alias("h")))
+        encoding = opts.get("encoding", opts.get("charset", "UTF-8"))
+        sep = opts.get("lineSep", "\n")
+        try:
+            first = self._first_lines_arrow(paths, encoding, sep)
+        except Exception:  # unsupported scheme on this cluster: fall back to a text scan
+            first = self._first_lines_scan(paths, opts)
         groups: dict[str, list[str]] = {}
         for r in first.collect():  # one row per file of this batch
             groups.setdefault(r.h, []).append(r.p)
         return groups
 
+    def _first_lines_arrow(self, paths: list[str], encoding: str, sep: str) -> DataFrame:
+        def first_lines(batches):
+            import pandas as pd
+            import pyarrow.fs as pafs
+            for pdf in batches:
+                out = []
+                for path in pdf["p"]:
+                    fs, inner = pafs.FileSystem.from_uri(path)
+                    with fs.open_input_stream(inner) as f:
+                        buf = b""
+                        while True:
+                            chunk = f.read(65536)
+                            buf += chunk
+                            text = buf.decode(encoding, errors="ignore")
+                            if sep in text or not chunk:
+                                break
+                    line = text.split(sep, 1)[0]
+                    out.append(line[:-1] if sep == "\n" and line.endswith("\r") else line)
+                yield pd.DataFrame({"p": list(pdf["p"]), "h": out})
+        n = max(1, min(len(paths), self.spark.sparkContext.defaultParallelism))
+        files = self.spark.createDataFrame([(p,) for p in paths], "p string").repartition(n)
+        probe = files.mapInPandas(first_lines, "p string, h string")
+        probe.limit(1).collect()  # raise here (driver side) if the scheme is not supported
+        return probe
+
+    def _first_lines_scan(self, paths: list[str], opts: dict) -> DataFrame:
+        reader = self.spark.read
+        if "lineSep" in opts:
+            reader = reader.option("lineSep", opts["lineSep"])
+        t = reader.option("encoding", opts.get("encoding", "UTF-8")).text(paths)
+        return (t.select("value", F.col("_metadata.file_path").alias("p"),
+                         F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+                .filter(F.col("b") == 0).groupBy("p").agg(F.min_by("value", "i").alias("h")))
+
     def _raw_strings(self, paths: list[str]) -> tuple[DataFrame, list[str]]:
         """All files of the batch as string columns, matched by header name."""
         opts = self._opts()
