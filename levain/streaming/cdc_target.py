@@ -71,12 +71,19 @@ class CdcTarget:
 
     def _read(self, name: str, touched: list[int] | None = None) -> DataFrame | None:
         try:
-            df = self.spark.read.parquet(self._p(name))
+            # files written before a source column was added lack it: merge the file schemas
+            df = self.spark.read.option("mergeSchema", "true").parquet(self._p(name))
         except AnalysisException:
             return None
         if touched is not None:
             df = df.filter(F.col(BUCKET).isin(touched))
-        return df
+        return self._align(df)
+
+    def _align(self, df: DataFrame) -> DataFrame:
+        """Add data columns the stored rows do not have yet (NULL), typed like the batch."""
+        types = getattr(self, "_types", {})
+        missing = {c: F.lit(None).cast(types[c]) for c in (self._data_cols or []) if c not in df.columns and c in types}
+        return df.withColumns(missing) if missing else df
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.n)))
@@ -119,6 +126,7 @@ class CdcTarget:
         else:
             checked, obs = batch, None
         self._data_cols = self.spec.data_columns(batch.columns)
+        self._types = {f.name: f.dataType for f in batch.schema.fields}
         prepared = self._bucketed(prepare_changes(checked, self.spec)).persist()
         try:
             touched = sorted(r[0] for r in prepared.select(BUCKET).distinct().collect())

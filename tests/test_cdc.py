@@ -167,3 +167,27 @@ def test_target_remembers_delete_that_arrived_first(spark, workdir):
     assert versions(t.read()) == [(2, "X", T[1], None)]
     t.apply(feed(spark, [(1, "new", 0, T[4], None)]), 2)
     assert versions(t.read()) == [(1, "new", T[4], None), (2, "X", T[1], None)]
+
+
+def test_target_fail_rule_publishes_nothing(spark, workdir):
+    from levain.operators.expectations import Expectation, Expectations
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",))
+    rules = Expectations([Expectation("v_not_null", "v IS NOT NULL", "fail")], "t")
+    t = CdcTarget(spark, f"{workdir}/fail", spec, num_buckets=2, expectations=rules)
+    t.apply(feed(spark, [(1, "A", 0, T[1], None)]), 0)
+    with pytest.raises(Exception, match="v_not_null"):
+        t.apply(feed(spark, [(1, "B", 0, T[2], None), (2, None, 0, T[2], None)]), 1)
+    assert versions(t.read()) == [(1, "A", T[1], None)]
+    t.apply(feed(spark, [(1, "B", 0, T[2], None)]), 1)  # the fixed batch is applied under the same id
+    assert versions(t.read()) == [(1, "A", T[1], T[2]), (1, "B", T[2], None)]
+
+
+def test_target_source_gains_a_column(spark, workdir):
+    spec = CdcSpec(keys=("k",), sequence_by="ts", except_columns=("ts",))
+    t = CdcTarget(spark, f"{workdir}/evolve", spec, num_buckets=2)
+    t.apply(spark.createDataFrame([(1, "A", T[1])], "k long, v string, ts timestamp_ntz"), 0)
+    t.apply(spark.createDataFrame([(1, "A", "x", T[2]), (2, "B", None, T[2])],
+                                  "k long, v string, w string, ts timestamp_ntz"), 1)
+    got = rows(t.read(), "k", "v", "w", "__START_AT", "__END_AT")
+    want = [(1, "A", None, T[1], T[2]), (1, "A", "x", T[2], None), (2, "B", None, T[2], None)]
+    assert got == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
