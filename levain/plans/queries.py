@@ -10,8 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from levain.functions import clean_lower, date_parts, json_path
+from levain.operators import cdc
+from levain.operators.expectations import Expectations, quarantine
+from levain.operators.geo_join import pairs_within
+from levain.operators.semantic import SemanticModel
+from levain.plans import analogs, flows
 from levain.plans import chain as bk
+from levain.plans import eventlog as elog
 from levain.plans import oracle as orc
 from levain.plans import sales
 
@@ -88,10 +96,7 @@ def q_revenue_by_franchise(spark, sf):
 
 
 # ---------------------------------------------------------------- CDC on the events change stream
-from pyspark.sql import functions as F  # noqa: E402
 
-from levain.operators import cdc  # noqa: E402
-from levain.plans import analogs  # noqa: E402
 
 EVENT_COLUMNS = ("event_type", "value")
 EVENT_DELETE = "event_type = 'error'"
@@ -157,7 +162,6 @@ def q_scd_ignore_null_updates(spark, sf):
 
 
 # ---------------------------------------------------------------- expectations
-from levain.operators.expectations import Expectations, quarantine  # noqa: E402
 
 
 @register("expect_warn", orc.expect_warn)
@@ -206,7 +210,6 @@ def q_quarantine(spark, sf):
 
 
 # ---------------------------------------------------------------- scalar functions
-from levain.functions import clean_lower, date_parts, json_path  # noqa: E402
 
 
 @register("text_cleaning", orc.text_cleaning)
@@ -230,7 +233,6 @@ def q_json_path(spark, sf):
 
 
 # ---------------------------------------------------------------- event log reports
-from levain.plans import eventlog as elog  # noqa: E402
 
 
 def _event_log(spark, sf):
@@ -269,8 +271,6 @@ def q_event_log_flows(spark, sf):
 
 
 # ---------------------------------------------------------------- semantic layer, distance
-from levain.operators.geo_join import pairs_within  # noqa: E402
-from levain.operators.semantic import SemanticModel  # noqa: E402
 
 DISTANCE_MAX_KM = 2500.0
 
@@ -298,7 +298,6 @@ def q_distance(spark, sf):
 
 
 # ---------------------------------------------------------------- ingest and streaming flows
-from levain.plans import flows  # noqa: E402
 
 register("csv_stream_ingest", orc.csv_stream_ingest)(flows.csv_stream_ingest)
 register("csv_dialect", orc.csv_dialect)(flows.csv_dialect)
