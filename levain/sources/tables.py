@@ -71,11 +71,23 @@ class Lakehouse:
 
     # ------------------------------------------------------------------ datasets
     def materialized_view(self, layer: str, table: str, df: DataFrame, comment: str | None = None,
-                          properties: dict | None = None) -> DataFrame:
-        """Full recompute: overwrite the table's files, (re)register it, set comment / properties."""
+                          properties: dict | None = None, expectations=None, event_log=None,
+                          update_id: str | None = None) -> DataFrame:
+        """Full recompute: overwrite the table's files, (re)register it, set comment / properties.
+
+        With ``expectations``, drop / fail rules are enforced inside the write and every rule's
+        counts are observed on that same write (no extra pass); with ``event_log`` they are
+        appended as a ``flow_progress`` event of ``update_id``.
+        """
         name = self.name(layer, table)
+        obs = None
+        if expectations is not None:
+            df, obs = expectations.observe(df)
+            df = expectations.apply(df)
         df.write.mode("overwrite").format("parquet").option("path", self.location(layer, table)).saveAsTable(name)
         self.set_properties(layer, table, comment, properties)
+        if obs is not None and event_log is not None:
+            event_log.flow_progress(update_id or "manual", expectations.observed_metrics(obs))
         return self.spark.read.table(name)
 
     def register_parquet(self, layer: str, table: str, path: str) -> str:

@@ -50,3 +50,20 @@ def test_byte_throttle_and_parquet_ingest(spark, workdir):
     assert seen == [1, 1, 1]  # each file is larger than one byte: one file per batch
     assert rows(ing.read(), "id", "v") == [(0, "r0"), (1, "r1"), (2, "r2")]
     assert os.path.isdir(f"{root}/bronze")
+
+
+def test_materialized_view_reports_expectations(spark, workdir):
+    from levain.operators.expectations import Expectation, Expectations
+    from levain.plans.eventlog import EventLog, quality_report
+    from levain.sources.tables import Lakehouse
+    lh = Lakehouse(spark, catalog=f"t{abs(hash(workdir)) % 10**6}", root=f"{workdir}/lh")
+    lh.setup()
+    log = EventLog(spark, f"{workdir}/log", "p")
+    log.create_update("u1")
+    df = spark.createDataFrame([(1, "a@b"), (2, "nope"), (3, None)], "id long, email string")
+    rules = Expectations([Expectation("valid_email", "email LIKE '%@%'", "warn"),
+                          Expectation("id_small", "id < 3", "drop")], "customers_silver")
+    out = lh.materialized_view("silver", "customers", df, expectations=rules, event_log=log, update_id="u1")
+    assert out.count() == 2
+    assert rows(quality_report(log.read())) == [("customers_silver", "id_small", 2, 1),
+                                                ("customers_silver", "valid_email", 1, 2)]
