@@ -422,3 +422,25 @@ def sql_catalog_parameter(spark, sf) -> DataFrame:
     lh = _lakehouse(spark, "param")
     lh.materialized_view("silver", "franchises_silver", bk.silver_franchises(spark, sf), properties={"quality": "Silver"})
     return lh.materialized_view("gold", "dim_franchise_gold", spark.sql(substitute(DIM_FRANCHISE_SQL, {"catalog": lh.catalog})))
+
+
+def _gold_refresh(spark, sf):
+    from levain.plans.eventlog import EventLog
+    from levain.plans.pipelines import refresh_gold
+    lh = _lakehouse(spark, "gold_refresh")
+    log = EventLog(spark, f"{lh.root}/event_log", "sales_pipeline")
+    tables = refresh_gold(spark, sf, lh, log, update_id="refresh_1")
+    return tables, log
+
+
+def gold_refresh_chart(spark, sf) -> DataFrame:
+    """The chart query over the stored denormalized gold table after one pipeline update."""
+    from levain.plans import sales
+    tables, _ = _gold_refresh(spark, sf)
+    return sales.revenue_by_product(spark.read.table(tables["fact_transactions_sales_denormalized_gold"]))
+
+
+def gold_refresh_quality(spark, sf) -> DataFrame:
+    from levain.plans.eventlog import quality_report
+    _, log = _gold_refresh(spark, sf)
+    return quality_report(log.read())

@@ -105,3 +105,44 @@ def franchise_pipeline(spark: SparkSession, root: str, source_glob: str, event_l
                    except_columns=("file_timestamp", "_rescued_data", "__batch_id"))
     return FilePipeline(spark, root, "franchises", source_glob, spec, sales.FRANCHISE_RULES, "rescue",
                         schema_hints="franchiseID BIGINT, zipcode STRING", event_log=event_log)
+
+
+# ---------------------------------------------------------------------------------------
+# the batch side: database bronze -> silver views -> gold views, one pipeline update
+# ---------------------------------------------------------------------------------------
+def refresh_gold(spark: SparkSession, sf_dir: str, lakehouse, event_log: EventLog | None = None,
+                 update_id: str | None = None) -> dict[str, str]:
+    """Materialize the silver and gold datasets in dependency order (one update).
+
+    Each dataset is a full-recompute view whose expectations are enforced and counted in
+    the same write; later datasets read the stored tables, as the reference's views do.
+    Returns dataset -> table name.
+    """
+    from levain.plans import analogs, chain
+
+    update = update_id or uuid.uuid4().hex[:12]
+    if event_log is not None:
+        event_log.create_update(update)
+    lh = lakehouse
+    done: dict[str, str] = {}
+
+    def mv(layer, table, df, rules=None, inputs=()):
+        out = lh.materialized_view(layer, table, df, properties={"quality": layer.capitalize()},
+                                   expectations=rules, event_log=event_log, update_id=update)
+        if event_log is not None:
+            event_log.flow_definition(update, f"{layer}.{table}", list(inputs), "materialized_view", out.schema)
+        done[table] = lh.name(layer, table)
+        return out
+
+    # silver customers: the projection first, the (warn) rules on its output columns
+    cust = sales.silver_customers(chain.bronze_customers(spark, sf_dir), Expectations([], "c"))
+    cust = mv("silver", "sales_customers_silver", cust, sales.CUSTOMER_RULES, ["bronze.sales_customers"])
+    tx = mv("silver", "sales_transactions_silver",
+            sales.silver_transactions_projection(analogs.transaction_lines(spark, sf_dir)),
+            sales.TRANSACTION_RULES, ["bronze.sales_transactions"])
+    dim_c = mv("gold", "dim_customer_gold", sales.dim_customer(cust), inputs=["silver.sales_customers_silver"])
+    dim_f = mv("gold", "dim_franchise_gold", chain.dim_franchise(spark, sf_dir), inputs=["silver.franchises_silver"])
+    fact = mv("gold", "fact_transactions_sales_gold", sales.fact_sales(tx), inputs=["silver.sales_transactions_silver"])
+    mv("gold", "fact_transactions_sales_denormalized_gold", sales.denormalized_sales(fact, dim_c, dim_f),
+       inputs=["gold.fact_transactions_sales_gold", "gold.dim_customer_gold", "gold.dim_franchise_gold"])
+    return done

@@ -330,3 +330,5 @@ register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
 register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)
 register("quarantine_stream", orc.quarantine_stream)(flows.quarantine_stream)
 register("sql_catalog_parameter", orc.dim_franchise)(flows.sql_catalog_parameter)
+register("gold_refresh_chart", lambda: orc.revenue_by("product_name"))(flows.gold_refresh_chart)
+register("gold_refresh_quality", orc.gold_refresh_quality)(flows.gold_refresh_quality)
