@@ -191,3 +191,31 @@ def test_target_source_gains_a_column(spark, workdir):
     got = rows(t.read(), "k", "v", "w", "__START_AT", "__END_AT")
     want = [(1, "A", None, T[1], T[2]), (1, "A", "x", T[2], None), (2, "B", None, T[2], None)]
     assert got == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def _assert_no_overlap(df):
+    by_key = {}
+    for k, _, s, e in versions(df):
+        by_key.setdefault(k, []).append((s, e))
+    for k, spans in by_key.items():
+        spans.sort()
+        for (s1, e1), (s2, _) in zip(spans, spans[1:]):
+            assert e1 is not None and e1 <= s2, (k, spans)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_merge_mode_is_order_independent(spark, workdir, seed):
+    """late='merge': batches arriving in any order give the one-shot table; versions never overlap."""
+    data = _random_feed(spark, seed, n=200)
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), apply_as_deletes="op = 'D'", late="merge")
+    expected = rows(apply_changes(feed(spark, data), spec))
+    rnd = random.Random(seed)
+    shuffled = data[:]
+    rnd.shuffle(shuffled)
+    t = CdcTarget(spark, f"{workdir}/merge_{seed}", spec, num_buckets=3)
+    for b, lo in enumerate(range(0, len(shuffled), 50)):
+        t.apply(feed(spark, shuffled[lo:lo + 50]), b)
+    got = t.read()
+    assert rows(got) == expected
+    _assert_no_overlap(got)
+    _assert_no_overlap(apply_changes(feed(spark, data), spec))
