@@ -28,10 +28,8 @@ SPREAD_MIN_BYTES = 4 << 20
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    from levain.sources import fs
+    return fs.size(spark, path)
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql.utils import AnalysisException
 from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, prepare_changes,
                                   scd2_from_changes)
 from levain.operators.expectations import Expectations
+from levain.sources import fs
 
 BUCKET = "__bucket"
 LAST = "__last_seq"
@@ -39,17 +40,11 @@ STUB = "__stub"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    return fs.exists(spark, path)
 
 
 def _touch(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.create(hpath, True).close()
+    fs.touch(spark, path)
 
 
 class CdcTarget:
