@@ -39,10 +39,6 @@ FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, cont
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
-# Reader options passed through to Spark's CSV reader unchanged.
-CSV_OPTIONS = ("header", "delimiter", "sep", "quote", "escape", "encoding", "charset", "lineSep", "dateFormat",
-               "timestampFormat", "nullValue", "emptyValue", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace",
-               "multiLine", "comment", "mode", "locale", "unescapedQuoteHandling")
 
 
 class NewColumnsError(RuntimeError):
@@ -408,10 +404,3 @@ class FileIngest:
                            F.col("_metadata.file_modification_time").alias("file_timestamp"))
         return df
 
-
-def write_csv(df: DataFrame, path: str, **options) -> None:
-    """Write a DataFrame as CSV files with a header (test fixtures, exports)."""
-    w = df.write.mode("overwrite").option("header", "true")
-    for k, v in options.items():
-        w = w.option(k, v)
-    w.csv(path)

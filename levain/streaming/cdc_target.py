@@ -23,8 +23,6 @@ lives in a small side table with the same buckets.  SCD1 deletes stay as tombsto
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -274,11 +272,3 @@ class CdcTarget:
                             F.col(f"__r.{TIE}").alias(TIE))
         return self._bucketed(out)
 
-
-def local_path(path: str) -> str:
-    return path.replace("file:", "", 1) if path.startswith("file:") else path
-
-
-def committed_batches(target: CdcTarget) -> list[int]:
-    p = local_path(target._p("_commits"))
-    return sorted(int(x) for x in os.listdir(p)) if os.path.isdir(p) else []

@@ -1,7 +1,6 @@
 import os
 import time
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from levain.sources.files import FileIngest, header_columns, parse_age, parse_size
