@@ -7,9 +7,9 @@ and modification time are read); throttles (``maxFilesPerTrigger`` or
 ``maxBytesPerTrigger``), ``maxFileAge``, ``pathGlobFilter`` and ``includeExistingFiles``
 act on that list.  Each micro-batch then, in executors:
 
-1. reads the first line of each file (a small distributed job that opens each file and
-   reads its first line only; skipped without a header) and groups files by header —
-   only file names and header strings reach the driver;
+1. reads the first line of each file (only its first bytes; on the driver for a few files,
+   by a small distributed job above Spark's parallel-listing threshold; skipped without a
+   header) and groups files by header — only file names and header strings reach the driver;
 2. reads each group with the real CSV reader (all S2 dialect options, ``multiLine`` too)
    under an all-string schema in that header's order and unions the groups by name;
 3. infers types (first run) with one aggregate: a column gets the narrowest type every
@@ -77,6 +77,22 @@ def header_columns(line: str, delimiter: str = ",", quote: str = '"', escape: st
     return [c.strip() for c in row]
 
 
+def _first_line(path: str, encoding: str = "UTF-8", sep: str = "\n") -> str:
+    """The first line of a file, reading only as many bytes as it takes."""
+    import pyarrow.fs as pafs
+    fs, inner = pafs.FileSystem.from_uri(path)
+    buf = b""
+    with fs.open_input_stream(inner) as f:
+        while True:
+            chunk = f.read(65536)
+            buf += chunk
+            text = buf.decode(encoding, errors="ignore")
+            if sep in text or not chunk:
+                break
+    line = text.split(sep, 1)[0]
+    return line[:-1] if sep == "\n" and line.endswith("\r") else line
+
+
 def _ddl_hints(spark: SparkSession, hints: str) -> T.StructType:
     return spark.createDataFrame([], hints).schema
 
@@ -210,34 +226,25 @@ class FileIngest:
         opts = self._opts()
         encoding = opts.get("encoding", opts.get("charset", "UTF-8"))
         sep = opts.get("lineSep", "\n")
+        # like Spark's own file listing: few paths are handled on the driver, many by a job
+        threshold = int(self.spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold", "32"))
         try:
-            first = self._first_lines_arrow(paths, encoding, sep)
+            if len(paths) <= threshold:
+                pairs = [(p, _first_line(p, encoding, sep)) for p in paths]
+            else:
+                pairs = [(r.p, r.h) for r in self._first_lines_arrow(paths, encoding, sep).collect()]
         except Exception:  # unsupported scheme on this cluster: fall back to a text scan
-            first = self._first_lines_scan(paths, opts)
+            pairs = [(r.p, r.h) for r in self._first_lines_scan(paths, opts).collect()]
         groups: dict[str, list[str]] = {}
-        for r in first.collect():  # one row per file of this batch
-            groups.setdefault(r.h, []).append(r.p)
+        for path, header in pairs:  # one entry per file of this batch
+            groups.setdefault(header, []).append(path)
         return groups
 
     def _first_lines_arrow(self, paths: list[str], encoding: str, sep: str) -> DataFrame:
         def first_lines(batches):
             import pandas as pd
-            import pyarrow.fs as pafs
             for pdf in batches:
-                out = []
-                for path in pdf["p"]:
-                    fs, inner = pafs.FileSystem.from_uri(path)
-                    with fs.open_input_stream(inner) as f:
-                        buf = b""
-                        while True:
-                            chunk = f.read(65536)
-                            buf += chunk
-                            text = buf.decode(encoding, errors="ignore")
-                            if sep in text or not chunk:
-                                break
-                    line = text.split(sep, 1)[0]
-                    out.append(line[:-1] if sep == "\n" and line.endswith("\r") else line)
-                yield pd.DataFrame({"p": list(pdf["p"]), "h": out})
+                yield pd.DataFrame({"p": list(pdf["p"]), "h": [_first_line(p, encoding, sep) for p in pdf["p"]]})
         n = max(1, min(len(paths), self.spark.sparkContext.defaultParallelism))
         files = self.spark.createDataFrame([(p,) for p in paths], "p string").repartition(n)
         probe = files.mapInPandas(first_lines, "p string, h string")

@@ -71,3 +71,19 @@ def test_restart_reads_nothing_new(spark, workdir):
     ing.run()
     ing.run()
     assert ing.read().count() == 2
+
+
+def test_header_probe_paths_agree(spark, workdir):
+    """The driver-side and the distributed first-line readers group files the same way."""
+    root = workdir.replace("file:", "")
+    write(f"{root}/in/a.csv", "x,y\n1,2\n")
+    write(f"{root}/in/b.csv", "y,x\r\n3,4\r\n")
+    ing = make(spark, root)
+    paths = [f"file:{root}/in/a.csv", f"file:{root}/in/b.csv"]
+    small = ing._headers(paths)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "1")
+    try:
+        big = ing._headers(paths)
+    finally:
+        spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    assert small == big == {"x,y": [paths[0]], "y,x": [paths[1]]}
