@@ -64,10 +64,12 @@ class CdcTarget:
 
     def _read(self, name: str, touched: list[int] | None = None) -> DataFrame | None:
         try:
-            # files written before a source column was added lack it: merge the file schemas
-            df = self.spark.read.option("mergeSchema", "true").parquet(self._p(name))
+            df = self.spark.read.parquet(self._p(name))
         except AnalysisException:
             return None
+        if any(c not in df.columns for c in (self._data_cols or [])):
+            # the source gained a column since some files were written: merge the file schemas
+            df = self.spark.read.option("mergeSchema", "true").parquet(self._p(name))
         if touched is not None:
             df = df.filter(F.col(BUCKET).isin(touched))
         return self._align(df)
@@ -171,62 +173,38 @@ class CdcTarget:
         j = new.join(last_seen.select(*keys, F.col(LAST)), keys, "left")
         return j.filter(F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST))).drop(LAST)
 
-    def _split_by_batch_keys(self, stored: DataFrame, prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Stored rows of touched buckets: (keys present in the batch, keys absent from it).
-
-        Only the first part goes through the kernel; the second is copied unchanged, so the
-        sort and window work grows with the keys a batch changes, not with the bucket size.
-        A small batch's key set is broadcast by AQE; a large one is a sort-merge join.
-        """
-        keys = list(self.spec.keys)
-        batch_keys = prepared.select(*keys).distinct()
-        return stored.join(batch_keys, keys, "left_semi"), stored.join(batch_keys, keys, "left_anti")
-
     def _compute_scd2_ignore(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
         """Versions plus, on every row of a key, the newest sequence applied for it.
 
         A key whose events left no version (a delete arriving first) keeps one stub row, so
-        the late filter still knows its newest sequence.  One table means one publish.
+        the late filter still knows its newest sequence.  One table means one publish.  The
+        stored rows of the touched buckets are read once and go through the kernel with the
+        new rows (``num_buckets`` sets how fine that rewrite is).
         """
         keys = list(self.spec.keys)
         cols = self._prepared_columns()
-        stored_cols = [*keys, *self._data_cols, START_AT, END_AT, LAST, STUB, BUCKET]
         old = self._read("versions", touched)
-        old_hit = old_pass = old_last = None
-        if old is not None:
-            old_hit, old_pass = self._split_by_batch_keys(old, prepared)
-            old_last = old_hit.groupBy(*keys).agg(F.max(LAST).alias(LAST))
+        old_last = None if old is None else old.groupBy(*keys).agg(F.max(LAST).alias(LAST))
         new = self._drop_late(prepared, old_last).select(*cols)
         changes = new
-        if old_hit is not None:
-            changes = changes.unionByName(self._versions_as_changes(old_hit.filter(~F.col(STUB))).select(*cols))
+        if old is not None:
+            changes = changes.unionByName(self._versions_as_changes(old.filter(~F.col(STUB))).select(*cols))
         versions = scd2_from_changes(changes, self.spec, self._data_cols)
         last = new.groupBy(*keys).agg(F.max(SEQ).alias(LAST))
         if old_last is not None:
             last = last.unionByName(old_last).groupBy(*keys).agg(F.max(LAST).alias(LAST))
-        out = self._bucketed(versions.join(last, keys, "right").withColumn(STUB, F.col(START_AT).isNull()))
-        out = out.select(*stored_cols)
-        if old_pass is not None:
-            out = out.unionByName(old_pass.select(*stored_cols))
-        return {"versions": out}
+        out = versions.join(last, keys, "right").withColumn(STUB, F.col(START_AT).isNull())
+        return {"versions": self._bucketed(out)}
 
     def _compute_scd2_merge(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
         cols = self._prepared_columns()
-        version_cols = [*self.spec.keys, *self._data_cols, START_AT, END_AT, BUCKET]
         old_log = self._read("log", touched)
         log = prepared.select(*cols)
-        log_pass = None
         if old_log is not None:
-            log_hit, log_pass = self._split_by_batch_keys(old_log, prepared)
-            log = log.unionByName(log_hit.select(*cols))
+            log = log.unionByName(old_log.select(*cols))
         # idempotent log: one row per (key, sequence, content)
         log = log.dropDuplicates([*self.spec.keys, SEQ, TIE])
-        versions = self._bucketed(scd2_from_changes(log, self.spec, self._data_cols)).select(*version_cols)
-        old_v = self._read("versions", touched)
-        if old_v is not None:
-            versions = versions.unionByName(self._split_by_batch_keys(old_v, prepared)[1].select(*version_cols))
-        if log_pass is not None:
-            log = log.unionByName(log_pass.select(*cols))
+        versions = self._bucketed(scd2_from_changes(log, self.spec, self._data_cols))
         return {"versions": versions, "log": log}
 
     def _versions_as_changes(self, v: DataFrame) -> DataFrame:
