@@ -67,3 +67,20 @@ def test_materialized_view_reports_expectations(spark, workdir):
     assert out.count() == 2
     assert rows(quality_report(log.read())) == [("customers_silver", "id_small", 2, 1),
                                                 ("customers_silver", "valid_email", 1, 2)]
+
+
+def test_lakehouse_layers_preview_and_teardown(spark, workdir):
+    from levain.sources.tables import Lakehouse, preview, scan_table
+    lh = Lakehouse(spark, catalog=f"l{abs(hash(workdir)) % 10**6}", root=f"{workdir}/lh2")
+    assert lh.setup() == [lh.database(x) for x in ("bronze", "silver", "gold")]
+    df = spark.range(50).withColumnRenamed("id", "k")
+    lh.materialized_view("bronze", "t", df, comment="it's a test", properties={"quality": "Bronze"})
+    assert preview(spark, lh.name("bronze", "t"), 5).count() == 5
+    assert scan_table(spark, lh.name("bronze", "t")).count() == 50
+    assert rows(lh.properties("bronze", "t").filter("key = 'quality'"), "value") == [("Bronze",)]
+    lh.drop("bronze", "t")
+    assert lh.list_tables("bronze").filter("NOT isTemporary").count() == 0
+    lh.teardown()
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith(lh.catalog)]
+    with pytest.raises(ValueError):
+        Lakehouse(spark, catalog="bad name")
