@@ -84,3 +84,16 @@ def test_lakehouse_layers_preview_and_teardown(spark, workdir):
     assert not [d for d in spark.catalog.listDatabases() if d.name.startswith(lh.catalog)]
     with pytest.raises(ValueError):
         Lakehouse(spark, catalog="bad name")
+
+
+def test_json_paths(spark):
+    from pyspark.sql import functions as F
+
+    from levain.functions.json import json_path, parse_json_array, to_json_path
+    assert to_json_path("flow_progress:data_quality:expectations") == "$.flow_progress.data_quality.expectations"
+    assert to_json_path("flow_definition.output_dataset") == "$.flow_definition.output_dataset"
+    assert to_json_path("$.a") == "$.a"
+    df = spark.createDataFrame([('{"a": {"b": [{"n": "x", "v": 1}]}, "k": 7}',), ("{}",)], "d string")
+    got = df.select(json_path("d", "k").alias("k"), F.size(parse_json_array(json_path("d", "a:b"),
+                                                                             "struct<n: string, v: int>")).alias("n"))
+    assert rows(got) == [("7", 1), (None, None)]  # missing path: NULL array (explode gives no row)
