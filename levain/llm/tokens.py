@@ -26,7 +26,7 @@ def default_path(name: str = "word_bpe_49k.json") -> str:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, cache_runs: int = 200_000) -> RunEncoder:
+def encoder(path: str, cache_runs: int = 300_000) -> RunEncoder:
     """One encoder a worker process."""
     return RunEncoder(path, cache_runs)
 
@@ -36,6 +36,13 @@ def runs(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class Recent:
     """Values by key for at least the last ``size`` and at most twice as many keys; ``new`` holds all keys last asked for."""
 
@@ -55,7 +62,7 @@ class Recent:
 
 
 class RunEncoder:
-    def __init__(self, path: str, cache_runs: int = 200_000):
+    def __init__(self, path: str, cache_runs: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -64,6 +71,7 @@ class RunEncoder:
         self.tokenizer.no_padding()
         self.runs, self.words = Recent(cache_runs), Recent(cache_runs)
         self.names: list[str] | None = None
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = self._word_ends()
 
     def _word_ends(self) -> np.ndarray | None:
@@ -95,8 +103,7 @@ class RunEncoder:
             rest = []
             for w in missing:
                 word = w.rstrip(".,;:!?")
-                low = word.lower()
-                if word.isalpha() and max(word) < "\u0250" and low.isalpha():  # not a capital I with dot
+                if word.isalpha() and (word.isascii() or max(word) < "\u0250") and (low := word.lower()).isalpha():  # not a capital I with dot
                     split.append((w, low, w[len(word):]))
                 else:
                     rest.append(w)
@@ -113,9 +120,16 @@ class RunEncoder:
         for i in range(0, len(rest), 10_000):
             new.update(zip(rest[i:i + 10_000], self._plain(rest[i:i + 10_000]), strict=True))
 
+    def _lower(self, text: str) -> str:
+        """``text`` in lower case where that cannot matter: Latin-1 without the name of a special token."""
+        if self.ends is None or not _is_latin(text):
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.special) else low
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [runs(t) for t in texts]
+        parts = [runs(self._lower(t)) for t in texts]
         if missing := self.runs.lacks(set().union(*parts)):
             self._new(missing)
         return [b"".join(map(self.runs.new.__getitem__, p)) for p in parts]
