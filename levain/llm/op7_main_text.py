@@ -10,7 +10,7 @@ element (tag, with its class and id words) the log odds of its words being conte
 of SAMPLE pages.  A word under an element that decides against content weighs OUTSIDE, so a paragraph in an
 advert counts as advert; any other word weighs the largest log odds of its elements.  A tag weighs TAG (a small
 negative number); one that lies outside of content by the same counts weighs BOUNDARY.  Elements that the
-sample does not have fall back on the names in BOILERPLATE.
+sample does not have fall back on the names in BOILERPLATE and CONTENT.
 
 Text.  Character references are decoded, white space inside a block becomes one blank, blocks are trimmed, empty
 ones left out, and the others joined in page order by two line feeds.  Inline tags and ``br`` do not part blocks
@@ -19,7 +19,7 @@ ones left out, and the others joined in page order by two line feeds.  Inline ta
 Cases.  Null and empty pages, and pages without a region of positive score, give an empty text.  Broken HTML is
 read as it stands: an unclosed script, style or comment runs to the end of the page; end tags without a start are
 ignored; an end tag closes all that is open above its start.  Ties: the first region.  Repeated rows are kept and
-treated alike.  Other columns are not read.  Without labelled pages the weights of BOILERPLATE alone count.
+treated alike.  Other columns are not read.  Without labelled pages the weights of BOILERPLATE and CONTENT alone count.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
     known: dict[tuple[Element, ...], float] = {}
 
     def weight(e: Element) -> float:
-        return weights.get(("text", e), -MOST if BOILERPLATE & set(e) else 0.0)
+        return weights.get(("text", e), -MOST if BOILERPLATE & set(e) else MOST if e[0] in CONTENT else 0.0)
 
     def of_path(path: tuple[Element, ...]) -> float:
         if path not in known:
