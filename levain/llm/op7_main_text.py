@@ -80,8 +80,10 @@ def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]
                 gone, path = path[at], path[:at]
                 yield "close", gone, path
             continue
-        if tag == "p" and any(e[0] == "p" for e in path):  # a paragraph ends an open one, and inline elements left open in it
-            path = path[:next(n for n in range(len(path)) if path[n][0] == "p")]
+        if tag in BLOCKS:  # a block ends an open paragraph, and the inline elements left open in it
+            at = next((n for n in range(len(path) - 1, -1, -1) if path[n][0] in BLOCKS), None)
+            if at is not None and path[at][0] == "p":
+                path = path[:at]
         found = element(tag, m.group(4))
         yield "open", found, path
         if tag not in VOID and not m.group(4).endswith("/"):
