@@ -59,7 +59,7 @@ class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 60_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h

@@ -8,8 +8,8 @@ Histogram.  Lengths below 2**PRECISION have a bin each; longer ones share bins w
 2**(1 - PRECISION) of the length, so the histogram has at most 2**(PRECISION - 1) bins for each doubling of
 length, whatever the corpus.  A bucket's bound is the longest length in its last bin, so nothing is cut.
 
-Batches.  A bucket of n rows is dealt to ceil(n / SHARD_ROWS) shards by a hash of the id; each shard numbers its
-rows and fills batches; only a shard's last batch can be short.  So no bucket is in one task.
+Batches.  A bucket is dealt by a hash of the id to shards of about SHARD_ROWS rows and SHARD_TOKENS padded tokens
+at most; each shard numbers its rows and fills batches; only a shard's last batch can be short.  So no bucket is in one task.
 
 Cases.  A null length counts as 0; a null or empty text has length 0.  A row longer than the budget
 is a batch of its own.  Null ids and repeated rows are packed like others (ties among equal rows are
@@ -31,7 +31,7 @@ from levain.llm.common import prepare, written
 from levain.llm.tokens import default_path, encoder
 
 BUCKETS, BUDGET = 16, 65536
-PRECISION, SHARD_ROWS = 8, 32768
+PRECISION, SHARD_ROWS, SHARD_TOKENS = 8, 32768, 1 << 24
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] | None = None, tokenizer_path: str | None = None) -> DataFrame:
@@ -104,7 +104,7 @@ def pack(rows: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
     held = np.zeros(len(bounds), "int64")
     np.add.at(held, np.searchsorted(bounds, [b for b, _ in bins]), [n for _, n in bins])
     per_batch = [max(1, budget // max(1, b)) for b in bounds]
-    shards = [max(1, math.ceil(n / SHARD_ROWS)) for n in held.tolist()]
+    shards = [max(1, math.ceil(max(n / SHARD_ROWS, n * b / SHARD_TOKENS))) for n, b in zip(held.tolist(), bounds, strict=True)]
 
     def of(values: list[int]) -> Column:
         return F.element_at(F.array(*(F.lit(v) for v in values)), F.col("bucket") + 1)

@@ -69,7 +69,7 @@ class RunEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.runs, self.words = Recent(cache_runs), Recent(cache_runs)
+        self.runs, self.words = Recent(cache_runs), Recent(cache_runs // 3)
         self.names: list[str] | None = None
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = self._word_ends()
