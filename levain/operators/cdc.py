@@ -24,6 +24,7 @@ Decisions where the reference is silent:
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,8 +107,18 @@ class CdcSpec:
         return [c for c in cols if c.lower() != seq]
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL (a key may have NULL parts); the left side's keys are kept."""
+    other = {k: f"__right_{k}" for k in keys}
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    return left.join(right.withColumnsRenamed(other), same, how).drop(*other.values())
+
+
 def prepare_changes(source: DataFrame, spec: CdcSpec) -> DataFrame:
-    """Project the source to keys + data columns + internal (sequence, delete, truncate, tie) columns."""
+    """Project the source to keys + data columns + internal (sequence, delete, truncate, tie) columns.
+
+    A change with a NULL sequence has no place in the history of its key: the update fails with an error
+    that names it."""
     data_cols = spec.data_columns(source.columns)
     del_c = F.coalesce(_expr(spec.apply_as_deletes), F.lit(False)) if spec.apply_as_deletes is not None else F.lit(False)
     trunc_c = (F.coalesce(_expr(spec.apply_as_truncates), F.lit(False))
@@ -122,6 +133,8 @@ def prepare_changes(source: DataFrame, spec: CdcSpec) -> DataFrame:
             for c in nullable:
                 all_null = all_null & F.col(c).isNull()
             out = out.filter(~all_null | F.col(DEL) | F.col(TRUNC))
+    missing = F.raise_error(F.lit("CDC change with a NULL sequence value"))
+    out = out.withColumn(SEQ, F.when(F.col(SEQ).isNull(), missing.cast(out.schema[SEQ].dataType)).otherwise(F.col(SEQ)))
     tie_inputs = [F.col(c) for c in data_cols] + [F.col(DEL), F.col(TRUNC)]
     return out.withColumn(TIE, F.xxhash64(*tie_inputs))
 
@@ -148,17 +161,14 @@ def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str],
     if not skew_rows:
         return _scd2_by_key(prepared, spec, data_cols)
     keys = list(spec.keys)
-    # at most rows / skew_rows keys can qualify: a proven bound for the broadcast below
     counts = prepared.groupBy(*keys).count().filter(F.col("count") >= int(skew_rows))
     hot_total = counts.agg(F.sum("count")).first()[0]  # one number
     if not hot_total:
         return _scd2_by_key(prepared, spec, data_cols)
-    hot = F.broadcast(counts.select(*keys))
-    cold_rows = prepared.join(hot, keys, "left_anti")
-    hot_rows = prepared.join(hot, keys, "left_semi")
-    # about skew_rows events per chunk; the cap keeps the per-chunk summaries small
-    cap = 8 * int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(2, min(cap, -(-int(hot_total) // int(skew_rows))))
+    hot = counts.select(*keys)
+    cold_rows = join_keys(prepared, hot, keys, "left_anti")
+    hot_rows = join_keys(prepared, hot, keys, "left_semi")
+    chunks = max(2, -(-int(hot_total) // int(skew_rows)))  # about skew_rows events per chunk
     return _scd2_by_key(cold_rows, spec, data_cols).unionByName(
         _scd2_chunked(hot_rows, spec, data_cols, chunks))
 
@@ -206,7 +216,7 @@ def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chun
     ``repartitionByRange(keys, seq)`` samples the rows and cuts even a single key into
     balanced, ordered ranges; the partition id is the chunk.  Neighbour operations run
     per (key, chunk) and the chunk boundaries are stitched with one summary row per
-    chunk (at most ``chunks`` + number of hot keys rows, so broadcast).  Version values come from
+    chunk, joined on (key, chunk).  Version values come from
     a partial + final aggregate per (key, version), so a version spanning many chunks is
     pre-combined in every task.
     """
@@ -233,7 +243,7 @@ def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chun
     last = x.groupBy(*kc).agg(F.max_by(F.struct(F.col(DEL).alias("d"), F.col("__trk").alias("t")), SEQ)
                               .alias("__l"))
     prev = last.withColumn("__p", F.lag("__l").over(ws)).select(*kc, "__p")
-    x = x.join(F.broadcast(prev), kc, "left")
+    x = join_keys(x, prev, kc, "left")
     local_del = F.lag(DEL).over(wl)
     prev_del = F.when(local_del.isNull(), F.col("__p.d")).otherwise(local_del)
     prev_trk = F.when(local_del.isNull(), F.col("__p.t")).otherwise(F.lag("__trk").over(wl))
@@ -245,7 +255,7 @@ def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chun
     counts = x.groupBy(*kc).agg(F.sum("__chg").alias("__n"))
     offs = counts.withColumn("__off", F.coalesce(
         F.sum("__n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(*kc, "__off")
-    x = x.join(F.broadcast(offs), kc, "inner").withColumn("__v", F.col("__lv") + F.col("__off"))
+    x = join_keys(x, offs, kc, "inner").withColumn("__v", F.col("__lv") + F.col("__off"))
 
     # 4. one row per version: its first event (tracked values, delete flag) and newest untracked values
     first = F.struct(F.col(SEQ).alias("s"), F.col(DEL).alias("d"), *[F.col(c) for c in tracked])
@@ -261,7 +271,7 @@ def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chun
     wv = Window.partitionBy(*kc).orderBy(START_AT)
     starts = ver.groupBy(*kc).agg(F.min(START_AT).alias("__fs"))
     nxt = starts.withColumn("__nf", F.lead("__fs").over(ws)).select(*kc, "__nf")
-    ver = ver.join(F.broadcast(nxt), kc, "left")
+    ver = join_keys(ver, nxt, kc, "left")
     ver = ver.withColumn(END_AT, F.coalesce(F.lead(START_AT).over(wv), F.col("__nf")))
     ver = ver.filter(~F.col(DEL))
     return ver.select(*[F.col(k) for k in keys], *[F.col(c) for c in data_cols], F.col(START_AT), F.col(END_AT))

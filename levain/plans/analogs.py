@@ -22,34 +22,9 @@ def ts(literal: str, dialect: str) -> str:
     return f"TIMESTAMP_NTZ '{literal}'" if dialect == "spark" else f"TIMESTAMP '{literal}'"
 
 
-_LOADED: dict = {}
-# Inputs smaller than this are never re-spread: one task reads them faster than a shuffle.
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    from levain.sources import fs
-    return fs.size(spark, path)
-
-
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one input table (memoized per session).
-
-    A Parquet file is split by row group; a large file written as a single row group gives
-    one scan task however many cores there are.  When the scan has fewer splits than the
-    default parallelism and the input is not tiny, the rows are spread round-robin right
-    after the scan (one cheap shuffle).  Real inputs at scale have thousands of row groups
-    and are read as they are.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _LOADED:
-        df = spark.read.parquet(path)
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want and _bytes(spark, path) >= SPREAD_MIN_BYTES:
-            df = df.repartition(want)
-        _LOADED[key] = df
-    return _LOADED[key]
+    """Read one input table; its scan has as many tasks as the files have splits."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:

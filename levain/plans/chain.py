@@ -9,30 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import functools
-
 from levain.operators.cdc import CdcSpec, apply_changes
 from levain.plans import analogs, sales
 
 
-def _plan_memo(fn):
-    """Build each dataset's lazy plan once per (session, input folder).
-
-    The functions are pure given their inputs, which are read-only; only the plan object is
-    kept (no data is cached), so every action still runs the whole chain from the scans.
-    Building a long plan costs thousands of driver-JVM calls, which repeated chart queries
-    need not pay again.
-    """
-    cache: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-        if key not in cache:
-            cache[key] = fn(spark, sf_dir)
-        return cache[key]
-    return wrapper
-
 CUSTOMER_CDC = CdcSpec(keys=("customerid",), sequence_by="updated_at", except_columns=("op",),
                        apply_as_deletes="op = 'DELETE'")
 FRANCHISE_CDC = CdcSpec(keys=("franchiseID",), sequence_by="file_timestamp",
@@ -41,23 +21,19 @@ SUPPLIER_CDC = CdcSpec(keys=("supplierID",), sequence_by="file_timestamp",
                        except_columns=("file_timestamp", "_rescued_data"))
 
 
-@_plan_memo
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Database customers kept with history (SCD2 on customerid, sequence updated_at)."""
     return apply_changes(analogs.customer_changes(spark, sf_dir), CUSTOMER_CDC)
 
 
-@_plan_memo
 def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.silver_customers(bronze_customers(spark, sf_dir))
 
 
-@_plan_memo
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.dim_customer(silver_customers(spark, sf_dir))
 
 
-@_plan_memo
 def franchise_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The franchise file as bronze rows: one delivery, with its file name and time."""
     return analogs.franchises(spark, sf_dir).select(
@@ -65,39 +41,32 @@ def franchise_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("file_timestamp"))
 
 
-@_plan_memo
 def silver_franchises(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = sales.FRANCHISE_RULES.apply(franchise_deliveries(spark, sf_dir))
     return apply_changes(checked, FRANCHISE_CDC)
 
 
-@_plan_memo
 def dim_franchise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.dim_franchise(silver_franchises(spark, sf_dir))
 
 
-@_plan_memo
 def silver_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = sales.clean_suppliers(analogs.supplier_deliveries(spark, sf_dir))
     return apply_changes(sales.SUPPLIER_RULES.apply(cleaned), SUPPLIER_CDC)
 
 
-@_plan_memo
 def dim_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.dim_supplier(silver_suppliers(spark, sf_dir))
 
 
-@_plan_memo
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.silver_transactions(analogs.transaction_lines(spark, sf_dir))
 
 
-@_plan_memo
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.fact_sales(silver_transactions(spark, sf_dir))
 
 
-@_plan_memo
 def denormalized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.denormalized_sales(fact_sales(spark, sf_dir), dim_customer(spark, sf_dir),
                                     dim_franchise(spark, sf_dir))

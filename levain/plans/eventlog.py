@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from levain.functions.json import json_path
 
-EXPECTATION_DDL = "struct<name: string, dataset: string, passed_records: int, failed_records: int>"
+EXPECTATION_DDL = "struct<name: string, dataset: string, passed_records: bigint, failed_records: bigint>"
 EVENT_LOG_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
     T.StructField("event_type", T.StringType()),

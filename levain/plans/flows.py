@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec
-from levain.plans import analogs, chain as bk
+from levain.plans import analogs, chain
 from levain.session import shared_dir
 from levain.sources.cursor import CursorIngest, table_source
 from levain.sources.files import FileIngest, NewColumnsError
@@ -267,22 +267,22 @@ def scan_stream_table(spark, sf) -> DataFrame:
 
 def materialized_view_refresh(spark, sf) -> DataFrame:
     lh = _lakehouse(spark, "mv")
-    lh.materialized_view("gold", "fact_transactions_sales_gold", bk.fact_sales(spark, sf),
+    lh.materialized_view("gold", "fact_transactions_sales_gold", chain.fact_sales(spark, sf),
                          comment="Daily sales per customer, franchise and product", properties={"quality": "Gold"})
     # a refresh recomputes and replaces the stored rows
-    return lh.materialized_view("gold", "fact_transactions_sales_gold", bk.fact_sales(spark, sf))
+    return lh.materialized_view("gold", "fact_transactions_sales_gold", chain.fact_sales(spark, sf))
 
 
 def table_properties(spark, sf) -> DataFrame:
     lh = _lakehouse(spark, "props")
-    lh.materialized_view("gold", "dim_franchise_gold", bk.dim_franchise(spark, sf),
+    lh.materialized_view("gold", "dim_franchise_gold", chain.dim_franchise(spark, sf),
                          comment="Franchise dimension with valid records only", properties={"quality": "Gold"})
     return lh.properties("gold", "dim_franchise_gold").filter(F.col("key") == "quality")
 
 
 def layer_setup(spark, sf) -> DataFrame:
     lh = _lakehouse(spark, "layers")
-    lh.materialized_view("silver", "dim_supplier", bk.dim_supplier(spark, sf))
+    lh.materialized_view("silver", "dim_supplier", chain.dim_supplier(spark, sf))
     return spark.sql("SHOW DATABASES").filter(F.col("namespace").startswith(lh.catalog))
 
 
@@ -338,7 +338,7 @@ def cursor_incremental_scd2(spark, sf) -> DataFrame:
     first = changes.filter(F.col("updated_at") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     latest = changes.withColumn("__rk", F.row_number().over(
         Window.partitionBy("customerid").orderBy(F.desc("updated_at")))).filter("__rk = 1").drop("__rk")
-    target = CdcTarget(spark, f"{root}/target", bk.CUSTOMER_CDC, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", chain.CUSTOMER_CDC, num_buckets=8)
     for i, snap in enumerate((first, latest)):
         snap.write.mode("overwrite").parquet(f"{root}/db_customers")  # the database table at time i
         ing = CursorIngest(spark, table_source(lambda: spark.read.parquet(f"{root}/db_customers")),
@@ -407,12 +407,12 @@ def franchises_pipeline(spark, sf) -> DataFrame:
     return sales.dim_franchise(p.silver_table())
 
 
-# Reference-style SQL text with an environment parameter, as a dataset definition.
-DIM_FRANCHISE_SQL = """SELECT franchiseid AS franchise_id, name, city, district, zipcode, country, size,
-  longitude, latitude
-FROM ${catalog}_silver.franchises_silver
-WHERE franchiseid IS NOT NULL
-AND __END_AT IS NULL"""
+# SQL text with an environment parameter, as a dataset definition.
+FRANCHISES_BY_COUNTRY_SQL = """
+    SELECT country, count(*) AS franchises, count(DISTINCT city) AS cities, max(name) AS last_name
+    FROM ${catalog}_silver.franchises_silver
+    WHERE __END_AT IS NULL AND franchiseID IS NOT NULL
+    GROUP BY country"""
 
 
 def sql_catalog_parameter(spark, sf) -> DataFrame:
@@ -420,8 +420,8 @@ def sql_catalog_parameter(spark, sf) -> DataFrame:
     ``${catalog}`` substituted for that environment."""
     from levain.sources.tables import substitute
     lh = _lakehouse(spark, "param")
-    lh.materialized_view("silver", "franchises_silver", bk.silver_franchises(spark, sf), properties={"quality": "Silver"})
-    return lh.materialized_view("gold", "dim_franchise_gold", spark.sql(substitute(DIM_FRANCHISE_SQL, {"catalog": lh.catalog})))
+    lh.materialized_view("silver", "franchises_silver", chain.silver_franchises(spark, sf), properties={"quality": "Silver"})
+    return lh.materialized_view("gold", "franchises_by_country", spark.sql(substitute(FRANCHISES_BY_COUNTRY_SQL, {"catalog": lh.catalog})))
 
 
 def _gold_refresh(spark, sf):

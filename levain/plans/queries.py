@@ -18,7 +18,7 @@ from levain.operators.expectations import Expectations, quarantine
 from levain.operators.geo_join import pairs_within
 from levain.operators.semantic import SemanticModel
 from levain.plans import analogs, flows
-from levain.plans import chain as bk
+from levain.plans import chain
 from levain.plans import eventlog as elog
 from levain.plans import oracle as orc
 from levain.plans import sales
@@ -41,27 +41,27 @@ def register(key: str, oracle: str | Callable[[], str] | None = None):
 # ---------------------------------------------------------------- sales slice
 @register("silver_transactions", orc.silver_transactions)
 def q_silver_transactions(spark, sf):
-    return bk.silver_transactions(spark, sf)
+    return chain.silver_transactions(spark, sf)
 
 
 @register("fact_sales", orc.fact_sales)
 def q_fact_sales(spark, sf):
-    return bk.fact_sales(spark, sf)
+    return chain.fact_sales(spark, sf)
 
 
 @register("silver_customers", orc.silver_customers)
 def q_silver_customers(spark, sf):
-    return bk.silver_customers(spark, sf)
+    return chain.silver_customers(spark, sf)
 
 
 @register("dim_customer", orc.dim_customer)
 def q_dim_customer(spark, sf):
-    return bk.dim_customer(spark, sf)
+    return chain.dim_customer(spark, sf)
 
 
 @register("dim_franchise", orc.dim_franchise)
 def q_dim_franchise(spark, sf):
-    return bk.dim_franchise(spark, sf)
+    return chain.dim_franchise(spark, sf)
 
 
 @register("clean_suppliers", orc.clean_suppliers)
@@ -72,27 +72,27 @@ def q_clean_suppliers(spark, sf):
 
 @register("dim_supplier", orc.dim_supplier)
 def q_dim_supplier(spark, sf):
-    return bk.dim_supplier(spark, sf)
+    return chain.dim_supplier(spark, sf)
 
 
 @register("denormalized_sales", orc.denormalized_sales)
 def q_denormalized_sales(spark, sf):
-    return bk.denormalized_sales(spark, sf)
+    return chain.denormalized_sales(spark, sf)
 
 
 @register("revenue_by_product", lambda: orc.revenue_by("product_name"))
 def q_revenue_by_product(spark, sf):
-    return sales.revenue_by_product(bk.denormalized_sales(spark, sf))
+    return sales.revenue_by_product(chain.denormalized_sales(spark, sf))
 
 
 @register("revenue_by_date", lambda: orc.revenue_by("sale_date"))
 def q_revenue_by_date(spark, sf):
-    return sales.revenue_by_date(bk.denormalized_sales(spark, sf))
+    return sales.revenue_by_date(chain.denormalized_sales(spark, sf))
 
 
 @register("revenue_by_franchise", lambda: orc.revenue_by("franchise_country", "franchise_name"))
 def q_revenue_by_franchise(spark, sf):
-    return sales.revenue_by_franchise(bk.denormalized_sales(spark, sf))
+    return sales.revenue_by_franchise(chain.denormalized_sales(spark, sf))
 
 
 # ---------------------------------------------------------------- CDC on the events change stream
@@ -167,7 +167,7 @@ def q_scd_ignore_null_updates(spark, sf):
 @register("expect_warn", orc.expect_warn)
 def q_expect_warn(spark, sf):
     """Warn rules keep every row; the result is the per-rule pass / fail count."""
-    bronze = bk.bronze_customers(spark, sf)
+    bronze = chain.bronze_customers(spark, sf)
     kept = sales.silver_customers(bronze)  # rows unchanged by warn rules
     return sales.CUSTOMER_RULES.metrics(kept)
 
@@ -175,14 +175,14 @@ def q_expect_warn(spark, sf):
 @register("expect_drop", orc.expect_drop)
 def q_expect_drop(spark, sf):
     rules = Expectations([r for r in sales.FRANCHISE_RULES.rules if r.on_violation != "fail"], "franchises_silver")
-    return rules.apply(bk.franchise_deliveries(spark, sf))
+    return rules.apply(chain.franchise_deliveries(spark, sf))
 
 
 @register("expect_fail", orc.expect_fail)
 def q_expect_fail(spark, sf):
     """FAIL UPDATE: the projection raises if any franchise id is NULL (none is, so all rows pass)."""
     rules = Expectations([r for r in sales.FRANCHISE_RULES.rules if r.on_violation == "fail"], "franchises_silver")
-    return rules.apply(bk.franchise_deliveries(spark, sf))
+    return rules.apply(chain.franchise_deliveries(spark, sf))
 
 
 @register("expect_all", orc.expect_all)
@@ -196,9 +196,9 @@ def q_expect_all(spark, sf):
 @register("expectation_metrics", orc.expectation_metrics)
 def q_expectation_metrics(spark, sf):
     """Passed / failed counts of every rule of the pipeline, one aggregate per dataset."""
-    cust = sales.CUSTOMER_RULES.metrics(sales.silver_customers(bk.bronze_customers(spark, sf)))
+    cust = sales.CUSTOMER_RULES.metrics(sales.silver_customers(chain.bronze_customers(spark, sf)))
     tx = sales.TRANSACTION_RULES.metrics(sales.silver_transactions_projection(analogs.transaction_lines(spark, sf)))
-    fr = sales.FRANCHISE_RULES.metrics(bk.franchise_deliveries(spark, sf))
+    fr = sales.FRANCHISE_RULES.metrics(chain.franchise_deliveries(spark, sf))
     su = sales.SUPPLIER_RULES.metrics(sales.clean_suppliers(analogs.supplier_deliveries(spark, sf)))
     return cust.unionByName(tx).unionByName(fr).unionByName(su)
 
@@ -277,18 +277,18 @@ DISTANCE_MAX_KM = 2500.0
 
 @register("semantic_count", orc.semantic_count)
 def q_semantic_count(spark, sf):
-    model = SemanticModel.over_columns(bk.denormalized_sales(spark, sf))
+    model = SemanticModel.over_columns(chain.denormalized_sales(spark, sf))
     return model.query(["franchise_country", "product_name"], ["count"])
 
 
 @register("distance", lambda: orc.distance(DISTANCE_MAX_KM))
 def q_distance(spark, sf):
     """Franchise-supplier pairs within DISTANCE_MAX_KM, by great-circle distance (grid equi-join)."""
-    f = bk.silver_franchises(spark, sf).filter(
+    f = chain.silver_franchises(spark, sf).filter(
         "franchiseID IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND __END_AT IS NULL"
     ).select(F.col("franchiseID").alias("franchise_ID"), F.col("latitude").alias("f_lat"),
              F.col("longitude").alias("f_lon"))
-    s = bk.silver_suppliers(spark, sf).filter(
+    s = chain.silver_suppliers(spark, sf).filter(
         "supplierID IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND approved = 'Y' "
         "AND __END_AT IS NULL"
     ).select(F.col("supplierID").alias("supplier_ID"), F.col("latitude").alias("s_lat"),
@@ -329,6 +329,6 @@ register("suppliers_pipeline", orc.dim_supplier)(flows.suppliers_pipeline)
 register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
 register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)
 register("quarantine_stream", orc.quarantine_stream)(flows.quarantine_stream)
-register("sql_catalog_parameter", orc.dim_franchise)(flows.sql_catalog_parameter)
+register("sql_catalog_parameter", orc.franchises_by_country)(flows.sql_catalog_parameter)
 register("gold_refresh_chart", lambda: orc.revenue_by("product_name"))(flows.gold_refresh_chart)
 register("gold_refresh_quality", orc.gold_refresh_quality)(flows.gold_refresh_quality)

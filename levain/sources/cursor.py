@@ -34,10 +34,8 @@ def jdbc_source(spark: SparkSession, url: str, table: str, properties: dict | No
         if partition_column is None:
             df = base()
             return df if high_water is None else df.filter(F.col(cursor) >= F.lit(high_water))
-        where = "" if high_water is None else f" WHERE {cursor} >= '{high_water}'"
-        bounds = (spark.read.format("jdbc").option("url", url).options(**props)
-                  .option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
-                                   f"FROM {table}{where}").load().first())
+        rows = base() if high_water is None else base().filter(F.col(cursor) >= F.lit(high_water))
+        bounds = rows.agg(F.min(partition_column), F.max(partition_column)).first()  # pushed down
         if bounds is None or bounds[0] is None:
             return base().limit(0)
         df = (spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**props)
@@ -61,24 +59,44 @@ class CursorIngest:
         self.spark, self.source, self.cursor, self.target = spark, source, cursor, target
         self.state_path = state_path.rstrip("/")
 
-    def high_water(self):
+    def _state(self) -> DataFrame | None:
         try:
-            rows = self.spark.read.parquet(self.state_path).agg(F.max("high_water"), F.max("run")).first()
+            return self.spark.read.parquet(self.state_path)
         except AnalysisException:
+            return None
+
+    def high_water(self):
+        """(newest mark, last run) of the finished loads."""
+        state = self._state()
+        if state is None:
             return None, -1
-        return rows[0], rows[1]
+        done = state.filter("done").agg(F.max("high_water"), F.max("run")).first()
+        return done[0], -1 if done[1] is None else done[1]
+
+    def _record(self, run: int, low, high, kind, done: bool) -> None:
+        row = self.spark.range(1).select(F.lit(run).alias("run"), F.lit(low).cast(kind).alias("low_water"),
+                                         F.lit(high).cast(kind).alias("high_water"), F.lit(done).alias("done"))
+        row.coalesce(1).write.mode("append").parquet(self.state_path)
 
     def run(self) -> int:
-        """One incremental load; returns the run number."""
-        hwm, last_run = self.high_water()
-        run = last_run + 1
-        new = self.source(self.cursor, hwm).persist()
-        try:
-            self.target.apply(new, run)
-            mark = new.agg(F.max(self.cursor).alias("high_water"))
-            mark = mark.select(F.coalesce("high_water", F.lit(hwm).cast(new.schema[self.cursor].dataType))
-                               .alias("high_water"), F.lit(run).alias("run"))
-            mark.write.mode("append").parquet(self.state_path)
-        finally:
-            new.unpersist()
+        """One incremental load; returns the run number.
+
+        The window [last mark, newest cursor value] is fixed and recorded before any row is read, so rows
+        that arrive meanwhile belong to the next run, and a run that broke off is repeated over its own window."""
+        low, last_run = self.high_water()
+        run, state = last_run + 1, self._state()
+        open_ = None if state is None else state.filter((F.col("run") == run) & ~F.col("done")).first()
+        rows = self.source(self.cursor, low)
+        kind = rows.schema[self.cursor].dataType
+        if open_ is not None:
+            high = open_["high_water"]
+        else:
+            high = rows.agg(F.max(self.cursor)).first()[0]  # one value, pushed down
+            high = low if high is None else high
+            self._record(run, low, high, kind, False)
+        at = F.col(self.cursor)
+        within = at <= F.lit(high).cast(kind) if high is not None else F.lit(False)
+        # a first load passes rows without a cursor value on, so that the target can refuse them by name
+        self.target.apply(rows.filter(within | at.isNull() if low is None else within), run)
+        self._record(run, low, high, kind, True)
         return run

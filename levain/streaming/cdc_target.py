@@ -15,9 +15,10 @@ it touches:
    replayed batch (``foreachBatch`` is at-least-once) a no-op, and a finished staging
    folder is re-published instead of recomputed after a crash.
 
-State a version table cannot hold — the last sequence per key for ``late="ignore"``
-(the newest event may have changed nothing) and deletes that arrive before any insert —
-lives in a small side table with the same buckets.  SCD1 deletes stay as tombstone rows
+State that versions do not show: with ``late="ignore"`` every row of a key carries the newest
+(sequence, tie hash) applied for it, and a key whose events left no version (a delete that
+came first) keeps one stub row.  SCD1 remembers each batch's newest truncate in ``_truncates``.
+SCD1 deletes stay as tombstone rows
 (``__del``) because dynamic overwrite never clears a partition that ends up empty.
 """
 
@@ -27,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, prepare_changes,
-                                  scd2_from_changes)
+from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, join_keys,
+                                  prepare_changes, scd2_from_changes)
 from levain.operators.expectations import Expectations
 from levain.sources import fs
 
 BUCKET = "__bucket"
 LAST = "__last_seq"
+LAST_TIE = "__last_tie"
 STUB = "__stub"
 
 
@@ -94,7 +96,7 @@ class CdcTarget:
             df = df.filter(~F.col(DEL))
         if STUB in df.columns:
             df = df.filter(~F.col(STUB))
-        return df.drop(BUCKET, DEL, SEQ, TIE, TRUNC, LAST, STUB)
+        return df.drop(BUCKET, DEL, SEQ, TIE, TRUNC, LAST, LAST_TIE, STUB)
 
     def stream_into(self, stream_df: DataFrame, checkpoint: str, trigger_available_now: bool = True):
         w = stream_df.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
@@ -131,6 +133,9 @@ class CdcTarget:
                 prepared.filter(F.col(TRUNC)).limit(1).count() > 0
             if has_trunc:
                 touched = list(range(self.n))
+            if has_trunc:  # remembered: later batches may bring changes from before it
+                (prepared.filter(F.col(TRUNC)).agg(F.max(SEQ).alias(SEQ)).write.mode("overwrite")
+                 .parquet(self._p("_truncates", f"batch={batch_id}")))
             if touched:
                 outputs = self._compute(prepared, touched, has_trunc)
                 for name, df in outputs.items():
@@ -166,12 +171,14 @@ class CdcTarget:
         return [*self.spec.keys, *self._data_cols, SEQ, DEL, TRUNC, TIE, BUCKET]
 
     def _drop_late(self, new: DataFrame, last_seen: DataFrame | None) -> DataFrame:
-        """late='ignore': events not newer than the newest already applied for the key are dropped."""
+        """late='ignore': events not newer than the newest already applied for the key are dropped;
+        of events with one sequence the largest tie hash wins, in whichever batch it comes."""
         if last_seen is None:
             return new
         keys = list(self.spec.keys)
-        j = new.join(last_seen.select(*keys, F.col(LAST)), keys, "left")
-        return j.filter(F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST))).drop(LAST)
+        j = join_keys(new, last_seen.select(*keys, LAST, LAST_TIE), keys, "left")
+        newer = (F.col(SEQ) > F.col(LAST)) | ((F.col(SEQ) == F.col(LAST)) & (F.col(TIE) > F.col(LAST_TIE)))
+        return j.filter(F.col(LAST).isNull() | newer).drop(LAST, LAST_TIE)
 
     def _compute_scd2_ignore(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
         """Versions plus, on every row of a key, the newest sequence applied for it.
@@ -184,17 +191,21 @@ class CdcTarget:
         keys = list(self.spec.keys)
         cols = self._prepared_columns()
         old = self._read("versions", touched)
-        old_last = None if old is None else old.groupBy(*keys).agg(F.max(LAST).alias(LAST))
+        newest = F.max(F.struct(LAST, LAST_TIE)).alias("__m")
+        old_last = None if old is None else old.groupBy(*keys).agg(newest).select(*keys, "__m.*")
         new = self._drop_late(prepared, old_last).select(*cols)
         changes = new
         if old is not None:
             changes = changes.unionByName(self._versions_as_changes(old.filter(~F.col(STUB))).select(*cols))
         versions = scd2_from_changes(changes, self.spec, self._data_cols)
-        last = new.groupBy(*keys).agg(F.max(SEQ).alias(LAST))
+        last = new.select(*keys, F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE))
         if old_last is not None:
-            last = last.unionByName(old_last).groupBy(*keys).agg(F.max(LAST).alias(LAST))
-        out = versions.join(last, keys, "right").withColumn(STUB, F.col(START_AT).isNull())
-        return {"versions": self._bucketed(out)}
+            last = last.unionByName(old_last)
+        last = last.groupBy(*keys).agg(newest).select(*keys, "__m.*")
+        # the many-row side stands on the left, where AQE can split a hot key
+        kept = join_keys(versions, last, keys, "left").withColumn(STUB, F.lit(False))
+        stubs = join_keys(last, versions, keys, "left_anti").withColumn(STUB, F.lit(True))
+        return {"versions": self._bucketed(kept.unionByName(stubs, allowMissingColumns=True))}
 
     def _compute_scd2_merge(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
         cols = self._prepared_columns()
@@ -214,28 +225,38 @@ class CdcTarget:
         (key, sequence), so no key's history is gathered into one task.
         """
         keys = list(self.spec.keys)
-        tie = F.xxhash64(*[F.col(c) for c in self._data_cols], F.col(DEL), F.col(TRUNC))
+        tie = F.lit(-2**63).cast("long")  # an event that passed the late filter beats a stored row of its sequence
         ins = v.select(*keys, *self._data_cols, F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL),
                        F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
         ends = v.filter(F.col(END_AT).isNotNull()).select(*keys, F.col(END_AT).alias(SEQ), BUCKET)
         starts = v.select(*keys, F.col(START_AT).alias(SEQ))
-        gaps = ends.join(starts, [*keys, SEQ], "left_anti")
+        gaps = join_keys(ends, starts, [*keys, SEQ], "left_anti")
         dels = gaps.select(*keys, *[F.lit(None).cast(v.schema[c].dataType).alias(c) for c in self._data_cols],
                            SEQ, F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
         return ins.unionByName(dels)
 
+    def _truncates(self) -> DataFrame | None:
+        """The sequences of all truncates so far (a row for each batch that had one)."""
+        if self.spec.apply_as_truncates is None:
+            return None
+        try:
+            return self.spark.read.parquet(self._p("_truncates"))
+        except AnalysisException:
+            return None
+
     def _compute_scd1(self, prepared: DataFrame, touched: list[int], has_trunc: bool) -> DataFrame:
         keys = list(self.spec.keys)
         stored_cols = [*keys, *self._data_cols, SEQ, DEL, TIE, BUCKET]
         old = self._read("current", touched)
         new = prepared
         if self.spec.late == "ignore" and old is not None:
-            new = self._drop_late(new, old.select(*keys, F.col(SEQ).alias(LAST)))
+            new = self._drop_late(new, old.select(*keys, F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE)))
         rows = new.select(*stored_cols, TRUNC)
         if old is not None:
             rows = rows.unionByName(old.select(*stored_cols).withColumn(TRUNC, F.lit(False)))
-        if has_trunc:
-            t = rows.filter(F.col(TRUNC)).agg(F.max(SEQ)).scalar()
+        truncated = self._truncates()
+        if truncated is not None:
+            t = truncated.agg(F.max(SEQ)).scalar()
             # rows at or before the last truncate become tombstones carrying the truncate's sequence
             cut = F.col(SEQ) <= t
             rows = rows.filter(~F.col(TRUNC)).withColumns({
