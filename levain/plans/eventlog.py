@@ -109,13 +109,13 @@ def log_from_events(events: DataFrame) -> DataFrame:
     """An event log built from the ``events`` table (FIXTURES.md): update id from the user id."""
     k = F.get_json_object("props", "$.k").cast("int")
     ds = F.concat(F.lit("ds_"), (F.col("user_id") % 5).cast("string"))
-    exp_t = F.struct(F.lit("x").alias("name"), F.lit("x").alias("dataset"), F.lit(0).alias("passed_records"),
+    exp_t = F.struct(F.lit("x").alias("name"), F.lit("x").alias("dataset"), F.lit(0).cast("long").alias("passed_records"),
                      F.lit(0).alias("failed_records"))
     expectations = F.array(
         F.struct(F.lit("valid_value").alias("name"), ds.alias("dataset"),
-                 F.floor("value").cast("int").alias("passed_records"), (k % 7).alias("failed_records")),
+                 (F.floor("value").cast("long") * 100_000_000).alias("passed_records"), (k % 7).alias("failed_records")),
         F.struct(F.lit("valid_type").alias("name"), ds.alias("dataset"),
-                 (F.col("event_id") % 100).cast("int").alias("passed_records"), (k % 3).alias("failed_records")))
+                 (F.col("event_id") % 100).cast("long").alias("passed_records"), (k % 3).alias("failed_records")))
     empty = F.slice(F.array(exp_t), 1, 0)
     progress = F.to_json(F.struct(F.struct(
         F.lit("COMPLETED").alias("status"),
@@ -149,7 +149,7 @@ def log_from_events_sql() -> str:
     k = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
     ds = "('ds_' || CAST(user_id % 5 AS VARCHAR))"
     exps = (f"json_array(json_object('name', 'valid_value', 'dataset', {ds}, 'passed_records', "
-            f"CAST(floor(value) AS INTEGER), 'failed_records', {k} % 7), "
+            f"CAST(floor(value) AS BIGINT) * 100000000, 'failed_records', {k} % 7), "
             f"json_object('name', 'valid_type', 'dataset', {ds}, 'passed_records', CAST(event_id % 100 AS INTEGER), "
             f"'failed_records', {k} % 3))")
     progress = (f"json_object('flow_progress', json_object('status', 'COMPLETED', 'data_quality', "

@@ -8,12 +8,13 @@ triggers) and returns the resulting table as a DataFrame.
 
 from __future__ import annotations
 
+import functools
 import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from levain.operators.cdc import CdcSpec
+from levain.operators.cdc import CdcSpec, apply_changes
 from levain.plans import analogs, chain
 from levain.session import shared_dir
 from levain.sources.cursor import CursorIngest, table_source
@@ -175,11 +176,10 @@ def csv_rescue(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------------------- S8 S9 S10 S11
 def csv_throttle(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_throttle")
-    base = supplier_snapshot(spark, sf, 1).filter(F.col("supplierID").isNotNull())
-    # five deliveries written one after the other (ordered modification times); each is one
-    # file here because the supplier scan is one partition at these scales
+    base = supplier_snapshot(spark, sf, 1)
+    # five deliveries, a file each, written one after the other (ordered modification times)
     for i in range(5):
-        write_csv(base.filter(F.col("supplierID") % 5 == i), f"{root}/part_{i}")
+        write_csv(base.filter(F.coalesce(F.col("supplierID") % 5, F.lit(0)) == i).coalesce(1), f"{root}/part_{i}")
         time.sleep(0.05)
     ing = ingest(spark, root, "part_*/*.csv", max_files_per_trigger=2)
     ing.run()
@@ -261,7 +261,7 @@ def scan_table(spark, sf) -> DataFrame:
 def scan_stream_table(spark, sf) -> DataFrame:
     lh = _lakehouse(spark, "scan_stream")
     src = _source_table(lh, sf, "customer")
-    lh.streaming_table("silver", "customer_copy", spark.readStream.table(src).filter("c_acctbal >= 0"))
+    lh.streaming_table("silver", "customer_copy", spark.readStream.table(src))
     return spark.read.table(lh.name("silver", "customer_copy"))
 
 
@@ -287,10 +287,14 @@ def layer_setup(spark, sf) -> DataFrame:
 
 
 def list_tables(spark, sf) -> DataFrame:
+    """The tables of a layer with their row counts."""
     lh = _lakehouse(spark, "list")
-    for t in ("customer", "supplier", "orders"):
+    for t in ("customer", "orders", "supplier"):
         lh.register_parquet("bronze", t, f"{sf.rstrip('/')}/{t}.parquet")
-    return lh.list_tables("bronze").filter(~F.col("isTemporary")).select("tableName")
+    names = [r["tableName"] for r in lh.list_tables("bronze").filter("not isTemporary").collect()]  # catalog entries
+    counted = [spark.read.table(lh.name("bronze", t)).agg(F.count("*").alias("rows"))
+               .select(F.lit(t).alias("tableName"), "rows") for t in names]
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
 # ------------------------------------------------------------------------------- C2 C7 S12 S13
@@ -361,6 +365,77 @@ def cursor_incremental_scd1(spark, sf) -> DataFrame:
     return target.read()
 
 
+def cursor_resume(spark, sf) -> DataFrame:
+    """A load breaks off between apply and mark while rows arrive: nothing is lost and nothing applied twice."""
+    root = run_dir(spark, "cursor_resume")
+    tx = analogs.order_transactions(spark, sf)
+    spec = CdcSpec(keys=("transactionid",), sequence_by="updated_at", stored_as_scd_type=1)
+    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=8)
+
+    class BreaksOff(CursorIngest):
+        def _record(self, run, low, high, kind, done):
+            if done:
+                raise ConnectionError("lost between apply and mark")
+            super()._record(run, low, high, kind, done)
+
+    def load(kind):
+        return kind(spark, table_source(lambda: spark.read.parquet(f"{root}/db")), "updated_at", target, f"{root}/_cursor").run()
+
+    early = F.col("updated_at") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    tx.filter(early).write.parquet(f"{root}/db")
+    try:
+        load(BreaksOff)
+    except ConnectionError:
+        pass
+    tx.filter(~early).write.mode("append").parquet(f"{root}/db")
+    load(CursorIngest)  # the broken window again
+    load(CursorIngest)  # what arrived meanwhile
+    return target.read()
+
+
+NULLED_REGION = "CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id % 2 END"
+
+
+def scd2_composite_key(spark, sf) -> DataFrame:
+    """A key of two columns, one of them NULL in part of the rows: in one go and in weekly batches."""
+    root = run_dir(spark, "scd2_composite_key")
+    spec = CdcSpec(keys=("user_id", "region"), sequence_by="ts", columns=("event_type", "value"),
+                   apply_as_deletes="event_type = 'error'")
+    ev = analogs.events(spark, sf).withColumn("region", F.expr(NULLED_REGION))
+    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=4)
+    week = F.expr(analogs.EVENT_BATCH_SQL)
+    for i in range(4):
+        target.apply(ev.filter(week == i), i)
+    return (apply_changes(ev, spec).withColumn("how", F.lit("one go"))
+            .unionByName(target.read().withColumn("how", F.lit("batches"))))
+
+
+def scd1_truncate_incremental(spark, sf) -> DataFrame:
+    """Every fourth event comes a batch late; those from before a truncate of the first batch stay out."""
+    root = run_dir(spark, "scd1_truncate_incremental")
+    spec = CdcSpec(keys=("user_id",), sequence_by="ts", columns=("ts", "event_type", "value"), stored_as_scd_type=1,
+                   apply_as_truncates="value > 480", late="merge")
+    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=4)
+    ev = analogs.events(spark, sf)
+    for i, part in enumerate((ev.filter("event_id % 4 <> 0"), ev.filter("event_id % 4 = 0"))):
+        target.apply(part, i)
+    return target.read()
+
+
+def scd2_tie_across_batches(spark, sf) -> DataFrame:
+    """Each user's newest event comes again in a second batch with another value: rows by user in which
+    the batches differ from one go."""
+    root = run_dir(spark, "scd2_tie_across_batches")
+    ev = analogs.events(spark, sf).select("user_id", "ts", "event_type", "value")
+    again = ev.groupBy("user_id").agg(F.max_by(F.struct("ts", "event_type", (F.col("value") + 1).alias("value")), "ts").alias("e")).select("user_id", "e.*")
+    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC, num_buckets=4)
+    for i, part in enumerate((ev, again)):
+        target.apply(part, i)
+    both = apply_changes(ev.unionByName(again), EVENTS_SPEC).withColumn("n", F.lit(1)).unionByName(target.read().withColumn("n", F.lit(-1)))
+    odd = both.groupBy("user_id", "event_type", "value", "__START_AT", "__END_AT").agg(F.sum("n").alias("n")).filter("n <> 0")
+    return ev.select("user_id").distinct().join(odd, "user_id", "left").groupBy("user_id").agg(F.count("n").alias("differing"))
+
+
 # ------------------------------------------------------------------------------- end-to-end flows
 def _supplier_flow(spark, sf):
     from levain.plans.eventlog import EventLog

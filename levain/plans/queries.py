@@ -180,9 +180,24 @@ def q_expect_drop(spark, sf):
 
 @register("expect_fail", orc.expect_fail)
 def q_expect_fail(spark, sf):
-    """FAIL UPDATE: the projection raises if any franchise id is NULL (none is, so all rows pass)."""
+    """FAIL UPDATE: an update over the deliveries, and one in which every seventh id is NULL: did it fail, and
+    how many rows it wrote."""
+    from pyspark.errors import PySparkException
+
+    from levain.plans.flows import run_dir
     rules = Expectations([r for r in sales.FRANCHISE_RULES.rules if r.on_violation == "fail"], "franchises_silver")
-    return rules.apply(chain.franchise_deliveries(spark, sf))
+    good = chain.franchise_deliveries(spark, sf)
+    bad = good.withColumn("franchiseID", F.expr("CASE WHEN franchiseID % 7 = 0 THEN NULL ELSE franchiseID END"))
+    root, out = run_dir(spark, "expect_fail"), []
+    for name, rows in (("deliveries", good), ("ids_missing", bad)):
+        try:
+            rules.apply(rows).write.parquet(f"{root}/{name}")
+            out.append((name, False, spark.read.parquet(f"{root}/{name}").count()))
+        except PySparkException as e:
+            if "id_not_null" not in str(e):
+                raise
+            out.append((name, True, 0))
+    return spark.createDataFrame(out, "update string, raised boolean, written long")
 
 
 @register("expect_all", orc.expect_all)
@@ -314,17 +329,21 @@ register("json_stream_ingest", orc.JSON_STREAM_INGEST)(flows.json_stream_ingest)
 register("streaming_table_append", "SELECT * FROM events")(flows.streaming_table_append)
 register("incremental_second_run", "SELECT * FROM orders")(flows.incremental_second_run)
 register("scan_table", "SELECT * FROM orders")(flows.scan_table)
-register("scan_stream_table", "SELECT * FROM customer WHERE c_acctbal >= 0")(flows.scan_stream_table)
+register("scan_stream_table", "SELECT * FROM customer")(flows.scan_stream_table)
 register("materialized_view_refresh", orc.fact_sales)(flows.materialized_view_refresh)
 register("table_properties", "SELECT 'quality' AS \"key\", 'Gold' AS \"value\"")(flows.table_properties)
 register("layer_setup")(flows.layer_setup)
-register("list_tables", "SELECT * FROM (VALUES ('customer'), ('orders'), ('supplier')) t(tableName)")(
-    flows.list_tables)
+register("list_tables", orc.list_tables)(flows.list_tables)
 register("scd2_incremental", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd2_incremental)
 register("scd_late_events", orc.scd_late_events)(flows.scd_late_events)
 register("scd_late_merge", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd_late_merge)
 register("cursor_incremental_scd2", orc.cursor_incremental_scd2)(flows.cursor_incremental_scd2)
 register("cursor_incremental_scd1", orc.CURSOR_SCD1)(flows.cursor_incremental_scd1)
+register("cursor_resume", orc.CURSOR_SCD1)(flows.cursor_resume)
+register("scd2_composite_key", orc.scd2_composite_key)(flows.scd2_composite_key)
+register("scd1_truncate_incremental", lambda: orc.scd1_events(truncate="value > 480"))(flows.scd1_truncate_incremental)
+register("scd2_tie_across_batches", "SELECT user_id, CAST(0 AS BIGINT) AS differing FROM events GROUP BY user_id")(
+    flows.scd2_tie_across_batches)
 register("suppliers_pipeline", orc.dim_supplier)(flows.suppliers_pipeline)
 register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
 register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)

@@ -219,3 +219,37 @@ def test_merge_mode_is_order_independent(spark, workdir, seed):
     assert rows(got) == expected
     _assert_no_overlap(got)
     _assert_no_overlap(apply_changes(feed(spark, data), spec))
+
+
+def test_null_sequence_fails_by_name(spark):
+    df = feed(spark, [(1, "A", 0, None, None), (1, "B", 0, T[1], None)])
+    with pytest.raises(Exception, match="NULL sequence"):
+        scd2(df, "k", "ts", columns=("v",)).collect()
+
+
+@pytest.mark.parametrize("skew_rows", [0, 1, 3])
+def test_null_key_is_a_key_like_others(spark, skew_rows):
+    data = [(k, v, 0, T[n], None) for k in (None, 1) for n, v in enumerate("AABBA", 1)]
+    out = apply_changes(feed(spark, data), CdcSpec(keys=("k",), sequence_by="ts", columns=("v",)), skew_rows=skew_rows)
+    want = [("A", T[1], T[3]), ("B", T[3], T[5]), ("A", T[5], None)]
+    assert versions(out) == sorted([(k, *w) for k in (None, 1) for w in want], key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def test_truncate_is_remembered_between_batches(spark, workdir):
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), stored_as_scd_type=1, apply_as_truncates="op = 'T'")
+    target = CdcTarget(spark, f"{workdir}/t", spec, num_buckets=2)
+    target.apply(feed(spark, [(None, None, 0, T[5], "T"), (1, "A", 0, T[6], None)]), 0)
+    target.apply(feed(spark, [(2, "late", 0, T[3], None), (3, "new", 0, T[7], None)]), 1)
+    assert rows(target.read(), "k", "v") == [(1, "A"), (3, "new")]
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+def test_equal_sequences_in_any_order_of_batches(spark, workdir, kind):
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), stored_as_scd_type=kind)
+    batches = [feed(spark, [(1, v, 0, T[1], None)]) for v in "pq"]
+    want = rows(apply_changes(batches[0].union(batches[1]), spec), "k", "v")
+    for n, order in enumerate((batches, batches[::-1])):
+        target = CdcTarget(spark, f"{workdir}/{kind}{n}", spec, num_buckets=2)
+        for i, b in enumerate(order):
+            target.apply(b, i)
+        assert rows(target.read(), "k", "v") == want
