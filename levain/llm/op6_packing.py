@@ -32,6 +32,8 @@ from levain.llm.tokens import default_path, encoder
 
 BUCKETS, BUDGET = 16, 65536
 PRECISION, SHARD_ROWS, SHARD_TOKENS = 8, 32768, 1 << 24
+#: Runs that a worker's encoder keeps; fewer than elsewhere, as packing follows stages that hold caches of their own.
+CACHE_RUNS = 200_000
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] | None = None, tokenizer_path: str | None = None) -> DataFrame:
@@ -42,7 +44,7 @@ def token_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     rows = docs.select(*names, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, CACHE_RUNS)
         for x in batches:
             n = [len(i) // 4 for i in enc.encode(x.column("__text").to_pylist())]
             yield pa.record_batch([*(x.column(c) for c in names), pa.array(n, pa.int64())], [*names, "n_tokens"])
