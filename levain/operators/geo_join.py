@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from levain.functions.geo import EARTH_RADIUS_KM, haversine_km
@@ -29,7 +29,7 @@ def _band_height_deg(max_km: float) -> float:
 
 def _cells_expr(band, height: float, max_km: float):
     """Number of longitude cells in a band (SQL expression on the band number)."""
-    theta = max_km / EARTH_RADIUS_KM
+    theta = min(max_km / EARTH_RADIUS_KM, math.pi / 2)  # a circle beyond a quarter turn holds a pole: one cell
     lo = F.lit(-90.0) + band * F.lit(height)
     hi = F.least(F.lit(90.0), lo + F.lit(height))
     phi_max = F.greatest(F.abs(lo), F.abs(hi))
@@ -79,3 +79,36 @@ def pairs_within(left: DataFrame, right: DataFrame, max_km: float,
     j = probe.join(build, ["__band", "__cell"], "inner").drop("__band", "__cell")
     d = haversine_km(llat, llon, rlat, rlon)
     return j.withColumn(distance_col, d).filter(F.col(distance_col) <= F.lit(float(max_km)))
+
+
+def nearest(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id: str,
+            left_coords=("latitude", "longitude"), right_coords=("latitude", "longitude"),
+            first_km: float = 100.0, distance_col: str = "distance_km") -> DataFrame:
+    """(left_id, rank, right_id, distance): the ``k`` nearest right rows of each left row (all, if fewer), ties to the
+    smaller ``right_id``.  Coordinates as in ``pairs_within``; ids are unique.
+
+    Distinct left points are searched within ``first_km``; those with fewer than ``k`` hits go on with
+    four times the radius, until it spans the globe.  Of right rows at one point only the ``k`` with the smallest
+    ids can be among the results, so a crowded point costs k rows.  Output is ``k`` rows for each left row.
+    """
+    here = left.select(left_id, F.col(left_coords[0]).alias("__plat"), F.col(left_coords[1]).alias("__plon"))
+    there = right.select(F.col(right_id).alias("__rid"), F.col(right_coords[0]).alias("__rlat"), F.col(right_coords[1]).alias("__rlon"))
+    at_point = Window.partitionBy("__rlat", "__rlon").orderBy("__rid")
+    there = there.withColumn("__n", F.row_number().over(at_point)).filter(F.col("__n") <= k).drop("__n").checkpoint()
+    by_point = Window.partitionBy("__plat", "__plon")
+    todo, radius, found = here.select("__plat", "__plon").distinct().checkpoint(), first_km, None
+    while True:
+        whole = radius >= math.pi * EARTH_RADIUS_KM
+        hits = pairs_within(todo, there, radius, ("__plat", "__plon"), ("__rlat", "__rlon"), "__km")
+        hits = hits.withColumn("rank", F.row_number().over(by_point.orderBy("__km", "__rid"))).filter(F.col("rank") <= k)
+        if not whole:
+            hits = hits.withColumn("__n", F.max("rank").over(by_point)).filter(F.col("__n") == k).drop("__n")
+        hits = hits.select("__plat", "__plon", "rank", "__rid", "__km").checkpoint()
+        found = hits if found is None else found.unionByName(hits)
+        if whole:
+            break
+        todo = todo.join(hits.select("__plat", "__plon").distinct(), ["__plat", "__plon"], "left_anti").checkpoint()
+        if todo.isEmpty():
+            break
+        radius *= 4
+    return here.join(found, ["__plat", "__plon"]).select(left_id, "rank", F.col("__rid").alias(right_id), F.col("__km").alias(distance_col))

@@ -18,7 +18,7 @@ from levain.operators.cdc import CdcSpec, apply_changes
 from levain.plans import analogs, chain
 from levain.session import shared_dir
 from levain.sources.cursor import CursorIngest, table_source
-from levain.sources.files import FileIngest, NewColumnsError
+from levain.sources.files import BATCH_COLUMNS, FileIngest, NewColumnsError
 from levain.sources.tables import Lakehouse
 from levain.streaming.cdc_target import CdcTarget
 
@@ -58,7 +58,7 @@ def supplier_snapshot(spark, sf, delivery: int) -> DataFrame:
 
 
 def _bronze(ing: FileIngest) -> DataFrame:
-    return ing.read().drop("__batch_id", "file_name", "file_timestamp")
+    return ing.read().drop(*BATCH_COLUMNS, "file_name", "file_timestamp")
 
 
 # ------------------------------------------------------------------------------- S1 S2 S3
@@ -180,7 +180,6 @@ def csv_throttle(spark, sf) -> DataFrame:
     # five deliveries, a file each, written one after the other (ordered modification times)
     for i in range(5):
         write_csv(base.filter(F.coalesce(F.col("supplierID") % 5, F.lit(0)) == i).coalesce(1), f"{root}/part_{i}")
-        time.sleep(0.05)
     ing = ingest(spark, root, "part_*/*.csv", max_files_per_trigger=2)
     ing.run()
     return ing.read().select("supplierID", "name", "__batch_id")
@@ -190,22 +189,58 @@ def csv_skip_existing(spark, sf) -> DataFrame:
     root = run_dir(spark, "csv_skip_existing")
     base = supplier_snapshot(spark, sf, 1)
     write_csv(base.filter("supplierID IS NULL OR supplierID % 2 = 0"), f"{root}/suppliers_old")
-    time.sleep(1.2)
     ing = ingest(spark, root, "suppliers_*/*.csv", include_existing_files=False)
     ing.run()  # records the first start; the existing file is older and skipped
-    time.sleep(1.2)
     write_csv(base.filter("supplierID % 2 = 1"), f"{root}/suppliers_new")
     ing.run()
     return _bronze(ing)
 
 
+def csv_both_throttles(spark, sf) -> DataFrame:
+    """Three files a batch and one byte: each batch is ingested file by file."""
+    root = run_dir(spark, "csv_both_throttles")
+    base = supplier_snapshot(spark, sf, 1)
+    for i in range(5):
+        write_csv(base.filter(F.coalesce(F.col("supplierID") % 5, F.lit(0)) == i).coalesce(1), f"{root}/part_{i}")
+    ing = ingest(spark, root, "part_*/*.csv", max_files_per_trigger=3, max_bytes_per_trigger="1")
+    ing.run()
+    return ing.read().select("supplierID", "name", *BATCH_COLUMNS)
+
+
+def csv_header_case(spark, sf) -> DataFrame:
+    """A second delivery spells its header in capitals: the columns are the same."""
+    root = run_dir(spark, "csv_header_case")
+    write_csv(supplier_snapshot(spark, sf, 1), f"{root}/suppliers_1")
+    ing = ingest(spark, root, "suppliers_*/*.csv", evolution_mode="rescue")
+    ing.run()
+    second = supplier_snapshot(spark, sf, 2)
+    write_csv(second.toDF(*(c.upper() for c in second.columns)), f"{root}/suppliers_2")
+    ing.run()
+    return _bronze(ing)
+
+
+RAGGED_TAIL = "CASE supplierID % 3 WHEN 0 THEN ',x1' WHEN 1 THEN ',y1,y2' ELSE '' END"
+
+
+def csv_ragged_rescue(spark, sf) -> DataFrame:
+    """Rows with more fields than their header: the fields beyond it are rescued."""
+    root = run_dir(spark, "csv_ragged_rescue")
+    line = F.expr(f"concat(coalesce(CAST(supplierID AS STRING), ''), ',', coalesce(replace(name, ',', ' '), ''), coalesce({RAGGED_TAIL}, ''))")
+    write_csv(supplier_snapshot(spark, sf, 1).select(line.alias("supplierID,name")), f"{root}/suppliers_1", delimiter="|")
+    ing = ingest(spark, root, "suppliers_*/*.csv", evolution_mode="rescue")
+    ing.run()
+    return _bronze(ing)
+
+
 def csv_file_metadata(spark, sf) -> DataFrame:
+    """Each row knows its file's name and time."""
     root = run_dir(spark, "csv_file_metadata")
     write_csv(supplier_snapshot(spark, sf, 1), f"{root}/suppliers_1")
     ing = ingest(spark, root, "suppliers_*/*.csv")
     ing.run()
-    return ing.read().select("supplierID", "name", F.element_at(F.split("file_name", "/"), -1).alias("file_name"),
-                             "file_timestamp")
+    return ing.read().select(
+        "supplierID", "name", F.col("file_name").rlike(r"/suppliers_1/part-[^/]*\.csv$").alias("file_named"),
+        (F.col("file_timestamp") <= F.current_timestamp()).alias("file_dated"))
 
 
 JSON_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -220,7 +255,80 @@ def json_stream_ingest(spark, sf) -> DataFrame:
                      checkpoint=f"{root}/_checkpoint", schema_location=f"{root}/_schema", format="json",
                      max_files_per_trigger=2)
     ing.run()
-    return ing.read().drop("__batch_id", "file_name", "file_timestamp")
+    return _bronze(ing).drop("_rescued_data")
+
+
+def _json_events(spark, sf, root: str, mode: str) -> FileIngest:
+    return FileIngest(spark, path=f"{root}/events_*/*.json", target=f"{root}/_bronze", checkpoint=f"{root}/_checkpoint",
+                      schema_location=f"{root}/_schema", format="json", evolution_mode=mode)
+
+
+def _write_json(df: DataFrame, path: str) -> None:
+    df.write.option("timestampNTZFormat", JSON_TS_FORMAT).json(path)
+
+
+def json_evolve_add(spark, sf) -> DataFrame:
+    """The field ``value`` comes with the second delivery and becomes a column."""
+    root = run_dir(spark, "json_evolve_add")
+    ev = analogs.events(spark, sf)
+    _write_json(ev.filter("event_id % 2 = 0").drop("value"), f"{root}/events_1")
+    ing = _json_events(spark, sf, root, "addNewColumns")
+    ing.run()
+    _write_json(ev.filter("event_id % 2 = 1"), f"{root}/events_2")
+    ing.run()
+    return _bronze(ing)
+
+
+def json_evolve_fail(spark, sf) -> DataFrame:
+    root = run_dir(spark, "json_evolve_fail")
+    ev = analogs.events(spark, sf)
+    _write_json(ev.filter("event_id % 2 = 0").drop("value"), f"{root}/events_1")
+    ing = _json_events(spark, sf, root, "failOnNewColumns")
+    ing.run()
+    _write_json(ev.filter("event_id % 2 = 1"), f"{root}/events_2")
+    failed = False
+    try:
+        ing.run()
+    except Exception as e:  # the stream surfaces the foreachBatch error
+        failed = "NewColumnsError" in str(e) or "new columns" in str(e)
+    return _bronze(ing).withColumn("second_run_failed", F.lit(failed))
+
+
+def json_rescue(spark, sf) -> DataFrame:
+    """The second delivery has text for some user ids, and a field that the schema lacks."""
+    root = run_dir(spark, "json_rescue")
+    ev = analogs.events(spark, sf)
+    _write_json(ev.filter("event_id % 2 = 0"), f"{root}/events_1")
+    ing = _json_events(spark, sf, root, "rescue")
+    ing.run()
+    odd = ev.filter("event_id % 2 = 1")
+    user = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("u-"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string"))
+    _write_json(odd.withColumn("user_id", user).withColumn("note", F.expr("CASE WHEN event_id % 5 = 0 THEN 'n' END")), f"{root}/events_2")
+    ing.run()
+    return _bronze(ing)
+
+
+def _columnar_stream_ingest(spark, sf, fmt: str) -> DataFrame:
+    """Orders in two deliveries; the second has prices as text, some of them no numbers, and a new column."""
+    root = run_dir(spark, f"{fmt}_stream_ingest")
+    orders = analogs.load_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    orders.filter("o_orderkey % 2 = 0").write.format(fmt).save(f"{root}/orders_1")
+    ing = FileIngest(spark, path=f"{root}/orders_*/*.{fmt}", target=f"{root}/_bronze", checkpoint=f"{root}/_checkpoint",
+                     schema_location=f"{root}/_schema", format=fmt)
+    ing.run()
+    price = F.expr("CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS STRING) END")
+    second = orders.filter("o_orderkey % 2 = 1").withColumn("o_totalprice", price).withColumn("o_note", F.col("o_orderkey") % 10)
+    second.write.format(fmt).save(f"{root}/orders_2")
+    ing.run()
+    return _bronze(ing)
+
+
+def parquet_stream_ingest(spark, sf) -> DataFrame:
+    return _columnar_stream_ingest(spark, sf, "parquet")
+
+
+def orc_stream_ingest(spark, sf) -> DataFrame:
+    return _columnar_stream_ingest(spark, sf, "orc")
 
 
 # ------------------------------------------------------------------------------- K1 K3 K6 K7 K9 S14-S16
@@ -274,16 +382,26 @@ def materialized_view_refresh(spark, sf) -> DataFrame:
 
 
 def table_properties(spark, sf) -> DataFrame:
+    """A gold table's comment and quality property beside its number of rows."""
     lh = _lakehouse(spark, "props")
-    lh.materialized_view("gold", "dim_franchise_gold", chain.dim_franchise(spark, sf),
-                         comment="Franchise dimension with valid records only", properties={"quality": "Gold"})
-    return lh.properties("gold", "dim_franchise_gold").filter(F.col("key") == "quality")
+    stored = lh.materialized_view("gold", "dim_franchise_gold", chain.dim_franchise(spark, sf),
+                                  comment="Franchise dimension with valid records only", properties={"quality": "Gold"})
+    quality = lh.properties("gold", "dim_franchise_gold").filter(F.col("key") == "quality").first()
+    comment = spark.catalog.getTable(lh.name("gold", "dim_franchise_gold")).description
+    return stored.agg(F.count("*").alias("rows")).select(
+        F.lit(quality["key"]).alias("key"), F.lit(quality["value"]).alias("value"), F.lit(comment).alias("comment"), "rows")
 
 
 def layer_setup(spark, sf) -> DataFrame:
-    lh = _lakehouse(spark, "layers")
-    lh.materialized_view("silver", "dim_supplier", chain.dim_supplier(spark, sf))
-    return spark.sql("SHOW DATABASES").filter(F.col("namespace").startswith(lh.catalog))
+    """The layers of an environment with the rows of their supplier tables; a second environment is torn down again."""
+    lh, gone = _lakehouse(spark, "layers"), _lakehouse(spark, "layers_gone")
+    gone.teardown()
+    left = {r["namespace"] for r in spark.sql("SHOW DATABASES").collect()}  # catalog entries
+    made = {"bronze": supplier_snapshot(spark, sf, 1), "silver": chain.silver_suppliers(spark, sf), "gold": chain.dim_supplier(spark, sf)}
+    counted = [lh.materialized_view(layer, "suppliers", df).agg(F.count("*").alias("rows")).select(
+        F.lit(layer).alias("layer"), "rows", F.lit(lh.database(layer) in left).alias("present"),
+        F.lit(gone.database(layer) in left).alias("torn_down_present")) for layer, df in made.items()]
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
 def list_tables(spark, sf) -> DataFrame:
@@ -465,10 +583,18 @@ def pipeline_quality(spark, sf) -> DataFrame:
     return quality_report(log.read())
 
 
+def pipeline_full_refresh(spark, sf) -> DataFrame:
+    """Two updates, a full refresh and one more update: number of versions of each supplier, and of open ones."""
+    p, _ = _supplier_flow(spark, sf)
+    p.full_refresh()
+    p.run()
+    return p.silver_table().groupBy("supplierID").agg(F.count("*").alias("versions"), F.count_if(F.col("__END_AT").isNull()).alias("open"))
+
+
 def quarantine_stream(spark, sf) -> DataFrame:
     p, _ = _supplier_flow(spark, sf)
     return p.quarantine_table().drop("quarantine_timestamp", "file_name", "file_timestamp", "_rescued_data",
-                                     "__batch_id")
+                                     *BATCH_COLUMNS)
 
 
 def franchises_pipeline(spark, sf) -> DataFrame:

@@ -22,7 +22,8 @@ from levain.operators.cdc import CdcSpec
 from levain.operators.expectations import Expectations
 from levain.plans import sales
 from levain.plans.eventlog import EventLog
-from levain.sources.files import FileIngest
+from levain.sources import fs
+from levain.sources.files import BATCH_COLUMNS, FileIngest
 from levain.streaming.cdc_target import CdcTarget
 
 # Reader options of the reference's CSV streams.
@@ -43,24 +44,51 @@ class FilePipeline:
                  event_log: EventLog | None = None, num_buckets: int = 64):
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
         self.rules, self.clean, self.quarantine_rule = rules, clean, quarantine_rule
-        self.log = event_log
-        self.bronze = FileIngest(
-            spark, path=source_glob, target=f"{self.root}/bronze/{name}_raw",
-            checkpoint=f"{self.root}/_checkpoints/{name}_raw", schema_location=f"{self.root}/_schemas/{name}",
-            options=CSV_OPTIONS, evolution_mode=evolution_mode, schema_hints=schema_hints,
-            max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
-            max_file_age=max_file_age)
-        self.silver = CdcTarget(spark, f"{self.root}/silver/{name}", spec, num_buckets=num_buckets,
-                                expectations=rules, on_metrics=self._metrics)
+        self.log, self.spec, self.num_buckets = event_log, spec, num_buckets
+        self.ingest_args = dict(path=source_glob, options=CSV_OPTIONS, evolution_mode=evolution_mode, schema_hints=schema_hints,
+                                max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
+                                max_file_age=max_file_age)
+        self._use(self._version())
         self._update = None
 
+    def _version(self) -> int:
+        """How often the pipeline was fully refreshed: each refresh leaves a marker when it is complete."""
+        n = 0
+        while fs.exists(self.spark, f"{self.root}/_refreshed/{self.name}/{n + 1}"):
+            n += 1
+        return n
+
+    def _use(self, version: int) -> None:
+        """Tables, schema and checkpoints of one version of the pipeline."""
+        self.version = version
+        self.base = f"{self.root}/_refreshed/{self.name}_v{version}" if version else self.root
+        self.bronze = FileIngest(
+            self.spark, target=f"{self.base}/bronze/{self.name}_raw", checkpoint=f"{self.base}/_checkpoints/{self.name}_raw",
+            schema_location=f"{self.base}/_schemas/{self.name}", **self.ingest_args)
+        self.silver = CdcTarget(self.spark, f"{self.base}/silver/{self.name}", self.spec, num_buckets=self.num_buckets,
+                                expectations=self.rules, on_metrics=self._metrics)
+
+    def full_refresh(self, update_id: str | None = None) -> str:
+        """Rebuild everything from the files: a new version with a new schema, new checkpoints and new tables.  Readers
+        of a new pipeline object see it once it is complete; a refresh that breaks off leaves the version before."""
+        before = self.version
+        if fs.exists(self.spark, f"{self.root}/_refreshed/{self.name}_v{before + 1}"):  # of a refresh that broke off
+            fs.remove(self.spark, f"{self.root}/_refreshed/{self.name}_v{before + 1}")
+        try:
+            self._use(before + 1)
+            done = self.run(update_id)
+        except Exception:
+            self._use(before)
+            raise
+        fs.touch(self.spark, f"{self.root}/_refreshed/{self.name}/{before + 1}")
+        return done
+
     def _metrics(self, batch_id: int, records: list[dict]) -> None:
         if self.log is not None:
             self.log.flow_progress(self._update, records)
 
     def _bronze_stream(self) -> DataFrame:
-        schema = self.spark.read.option("mergeSchema", "true").parquet(self.bronze.target).schema
-        return self.spark.readStream.schema(schema).parquet(self.bronze.target)
+        return self.spark.readStream.schema(self.bronze.bronze_schema()).parquet(self.bronze.target)
 
     def run(self, update_id: str | None = None) -> str:
         """One pipeline update: every flow processes what is new, then stops."""
@@ -75,10 +103,10 @@ class FilePipeline:
                  .withColumn("quarantine_reason", F.lit(self.quarantine_rule))
                  .withColumn("quarantine_timestamp", F.current_timestamp())
                  .writeStream.format("parquet").option("checkpointLocation",
-                                                       f"{self.root}/_checkpoints/{self.name}_quarantine")
-                 .trigger(availableNow=True).start(f"{self.root}/bronze/{self.name}_invalid"))
+                                                       f"{self.base}/_checkpoints/{self.name}_quarantine")
+                 .trigger(availableNow=True).start(f"{self.base}/bronze/{self.name}_invalid"))
             q.awaitTermination()
-        self.silver.stream_into(cleaned, f"{self.root}/_checkpoints/{self.name}_cdc").awaitTermination()
+        self.silver.stream_into(cleaned, f"{self.base}/_checkpoints/{self.name}_cdc").awaitTermination()
         if self.log is not None:
             self.log.flow_definition(self._update, f"silver.{self.name}", [f"bronze.{self.name}_raw"], "cdc",
                                      self.silver.read().schema)
@@ -88,12 +116,12 @@ class FilePipeline:
         return self.silver.read()
 
     def quarantine_table(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/bronze/{self.name}_invalid")
+        return self.spark.read.parquet(f"{self.base}/bronze/{self.name}_invalid")
 
 
 def supplier_pipeline(spark: SparkSession, root: str, source_glob: str, event_log: EventLog | None = None) -> FilePipeline:
     spec = CdcSpec(keys=("supplierID",), sequence_by="file_timestamp",
-                   except_columns=("file_timestamp", "_rescued_data", "__batch_id"))
+                   except_columns=("file_timestamp", "_rescued_data", *BATCH_COLUMNS))
     return FilePipeline(spark, root, "suppliers", source_glob, spec, sales.SUPPLIER_RULES, "addNewColumns",
                         schema_hints="supplierID BIGINT", clean=sales.clean_suppliers,
                         quarantine_rule="supplierID IS NULL", max_files_per_trigger=1000,
@@ -102,7 +130,7 @@ def supplier_pipeline(spark: SparkSession, root: str, source_glob: str, event_lo
 
 def franchise_pipeline(spark: SparkSession, root: str, source_glob: str, event_log: EventLog | None = None) -> FilePipeline:
     spec = CdcSpec(keys=("franchiseID",), sequence_by="file_timestamp",
-                   except_columns=("file_timestamp", "_rescued_data", "__batch_id"))
+                   except_columns=("file_timestamp", "_rescued_data", *BATCH_COLUMNS))
     return FilePipeline(spark, root, "franchises", source_glob, spec, sales.FRANCHISE_RULES, "rescue",
                         schema_hints="franchiseID BIGINT, zipcode STRING", event_log=event_log)
 

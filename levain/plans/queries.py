@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from levain.functions import clean_lower, date_parts, json_path
 from levain.operators import cdc
 from levain.operators.expectations import Expectations, quarantine
-from levain.operators.geo_join import pairs_within
+from levain.operators.geo_join import nearest, pairs_within
 from levain.operators.semantic import SemanticModel
 from levain.plans import analogs, flows
 from levain.plans import chain
@@ -288,6 +288,7 @@ def q_event_log_flows(spark, sf):
 # ---------------------------------------------------------------- semantic layer, distance
 
 DISTANCE_MAX_KM = 2500.0
+NEAREST_SUPPLIERS = 5
 
 
 @register("semantic_count", orc.semantic_count)
@@ -296,9 +297,7 @@ def q_semantic_count(spark, sf):
     return model.query(["franchise_country", "product_name"], ["count"])
 
 
-@register("distance", lambda: orc.distance(DISTANCE_MAX_KM))
-def q_distance(spark, sf):
-    """Franchise-supplier pairs within DISTANCE_MAX_KM, by great-circle distance (grid equi-join)."""
+def _located(spark, sf):
     f = chain.silver_franchises(spark, sf).filter(
         "franchiseID IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL AND __END_AT IS NULL"
     ).select(F.col("franchiseID").alias("franchise_ID"), F.col("latitude").alias("f_lat"),
@@ -308,6 +307,21 @@ def q_distance(spark, sf):
         "AND __END_AT IS NULL"
     ).select(F.col("supplierID").alias("supplier_ID"), F.col("latitude").alias("s_lat"),
              F.col("longitude").alias("s_lon"))
+    return f, s
+
+
+@register("distance", lambda: orc.distance(NEAREST_SUPPLIERS))
+def q_distance(spark, sf):
+    """The NEAREST_SUPPLIERS suppliers of each franchise by great-circle distance (growing grid search)."""
+    f, s = _located(spark, sf)
+    p = nearest(f, s, NEAREST_SUPPLIERS, "franchise_ID", "supplier_ID", ("f_lat", "f_lon"), ("s_lat", "s_lon"))
+    return p.withColumn("distance_km", F.round("distance_km", 6))
+
+
+@register("distance_within", lambda: orc.distance_within(DISTANCE_MAX_KM))
+def q_distance_within(spark, sf):
+    """Franchise-supplier pairs within DISTANCE_MAX_KM (grid equi-join)."""
+    f, s = _located(spark, sf)
     p = pairs_within(f, s, DISTANCE_MAX_KM, ("f_lat", "f_lon"), ("s_lat", "s_lon"))
     return p.select("franchise_ID", "supplier_ID", F.round("distance_km", 6).alias("distance_km"))
 
@@ -324,15 +338,23 @@ register("csv_evolve_fail", orc.csv_evolve_fail)(flows.csv_evolve_fail)
 register("csv_rescue", orc.csv_rescue)(flows.csv_rescue)
 register("csv_throttle", orc.csv_throttle)(flows.csv_throttle)
 register("csv_skip_existing", orc.csv_skip_existing)(flows.csv_skip_existing)
-register("csv_file_metadata")(flows.csv_file_metadata)
+register("csv_file_metadata", orc.csv_file_metadata)(flows.csv_file_metadata)
+register("csv_both_throttles", orc.csv_both_throttles)(flows.csv_both_throttles)
+register("csv_header_case", orc.csv_stream_ingest)(flows.csv_header_case)
+register("csv_ragged_rescue", orc.csv_ragged_rescue)(flows.csv_ragged_rescue)
+register("json_evolve_add", orc.JSON_EVOLVE_ADD)(flows.json_evolve_add)
+register("json_evolve_fail", orc.JSON_EVOLVE_FAIL)(flows.json_evolve_fail)
+register("json_rescue", orc.JSON_RESCUE)(flows.json_rescue)
+register("parquet_stream_ingest", orc.COLUMNAR_STREAM_INGEST)(flows.parquet_stream_ingest)
+register("orc_stream_ingest", orc.COLUMNAR_STREAM_INGEST)(flows.orc_stream_ingest)
 register("json_stream_ingest", orc.JSON_STREAM_INGEST)(flows.json_stream_ingest)
 register("streaming_table_append", "SELECT * FROM events")(flows.streaming_table_append)
 register("incremental_second_run", "SELECT * FROM orders")(flows.incremental_second_run)
 register("scan_table", "SELECT * FROM orders")(flows.scan_table)
 register("scan_stream_table", "SELECT * FROM customer")(flows.scan_stream_table)
 register("materialized_view_refresh", orc.fact_sales)(flows.materialized_view_refresh)
-register("table_properties", "SELECT 'quality' AS \"key\", 'Gold' AS \"value\"")(flows.table_properties)
-register("layer_setup")(flows.layer_setup)
+register("table_properties", orc.table_properties)(flows.table_properties)
+register("layer_setup", orc.layer_setup)(flows.layer_setup)
 register("list_tables", orc.list_tables)(flows.list_tables)
 register("scd2_incremental", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd2_incremental)
 register("scd_late_events", orc.scd_late_events)(flows.scd_late_events)
@@ -344,6 +366,7 @@ register("scd2_composite_key", orc.scd2_composite_key)(flows.scd2_composite_key)
 register("scd1_truncate_incremental", lambda: orc.scd1_events(truncate="value > 480"))(flows.scd1_truncate_incremental)
 register("scd2_tie_across_batches", "SELECT user_id, CAST(0 AS BIGINT) AS differing FROM events GROUP BY user_id")(
     flows.scd2_tie_across_batches)
+register("pipeline_full_refresh", orc.pipeline_full_refresh)(flows.pipeline_full_refresh)
 register("suppliers_pipeline", orc.dim_supplier)(flows.suppliers_pipeline)
 register("franchises_pipeline", orc.dim_franchise)(flows.franchises_pipeline)
 register("pipeline_quality", orc.pipeline_quality)(flows.pipeline_quality)

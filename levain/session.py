@@ -7,12 +7,13 @@ We only pick a folder of our own when the session has none, as in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from levain.sources import fs
+
 # Settings every job in this package relies on.  The time zone is pinned so that
 # DATE(ts) and friends do not depend on the machine; AQE re-plans joins and
 # coalesces or splits shuffle partitions at run time.
@@ -74,6 +75,5 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     path = "/".join([checkpoint_root(spark), "levain", *parts])
     if unique:
         path = f"{path}/{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    fs.make_dirs(spark, path)
     return path

@@ -1,57 +1,39 @@
-"""Small file-system helpers (existence, markers, sizes) over Arrow's file systems.
-
-Arrow handles local paths, ``file:``, S3, GCS and HDFS URIs; a scheme it does not know
-falls back to the Hadoop FileSystem of the running Spark session.
-"""
+"""Small file-system helpers (existence, markers, sizes) over the Hadoop FileSystem of the running
+Spark session, so that a path without a scheme means the same here as in Spark's own reads and writes."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 
-def _arrow(path: str):
-    import pyarrow.fs as pafs
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-
-
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+def _of(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        import pyarrow.fs as pafs
-        fs, p = _arrow(path)
-        return fs.get_file_info(p).type != pafs.FileType.NotFound
-    except Exception:
-        fs, hpath = _hadoop(spark, path)
-        return bool(fs.exists(hpath))
+    fs, hpath = _of(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, hpath = _of(spark, path)
+    fs.mkdirs(hpath)
 
 
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (and its parent folders)."""
-    try:
-        fs, p = _arrow(path)
-        fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-        with fs.open_output_stream(p):
-            pass
-    except Exception:
-        fs, hpath = _hadoop(spark, path)
-        fs.create(hpath, True).close()
+    fs, hpath = _of(spark, path)
+    fs.create(hpath, True).close()
 
 
 def size(spark: SparkSession, path: str) -> int:
     """Bytes under a file or folder."""
-    try:
-        import pyarrow.fs as pafs
-        fs, p = _arrow(path)
-        info = fs.get_file_info(p)
-        if info.type == pafs.FileType.File:
-            return int(info.size)
-        return sum(int(i.size or 0) for i in fs.get_file_info(pafs.FileSelector(p, recursive=True))
-                   if i.type == pafs.FileType.File)
-    except Exception:
-        fs, hpath = _hadoop(spark, path)
-        return int(fs.getContentSummary(hpath).getLength())
+    fs, hpath = _of(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder of our own; nothing happens if it is not there."""
+    fs, hpath = _of(spark, path)
+    fs.delete(hpath, True)

@@ -13,7 +13,7 @@ it touches:
 4. the result is written to ``_staging/<batch_id>`` and then copied over the touched
    partitions with dynamic partition overwrite; a ``_commits/<batch_id>`` marker makes a
    replayed batch (``foreachBatch`` is at-least-once) a no-op, and a finished staging
-   folder is re-published instead of recomputed after a crash.
+   folder is re-published instead of recomputed after a crash; a published one is removed.
 
 State that versions do not show: with ``late="ignore"`` every row of a key carries the newest
 (sequence, tie hash) applied for it, and a key whose events left no version (a delete that
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, join_keys,
-                                  prepare_changes, scd2_from_changes)
+from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, check_target_schema,
+                                  join_keys, prepare_changes, scd2_from_changes)
 from levain.operators.expectations import Expectations
 from levain.sources import fs
 
@@ -51,13 +51,14 @@ class CdcTarget:
     """SCD target at ``path``; ``apply(batch_df, batch_id)`` is the ``foreachBatch`` function."""
 
     def __init__(self, spark: SparkSession, path: str, spec: CdcSpec, num_buckets: int = 64,
-                 expectations: Expectations | None = None, on_metrics=None):
+                 expectations: Expectations | None = None, on_metrics=None, target_schema=None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.spec = spec
         self.n = int(num_buckets)
         self.expectations = expectations
         self.on_metrics = on_metrics  # callback(batch_id, [expectation records])
+        self.target_schema = target_schema  # an explicit schema (StructType) that each batch is checked against
         self._data_cols: list[str] | None = None
 
     # ------------------------------------------------------------------ paths
@@ -108,11 +109,14 @@ class CdcTarget:
         marker = self._p("_commits", batch_id)
         if _exists(spark, marker):
             return  # replayed batch: already published
+        if self.target_schema is not None:
+            check_target_schema(self.target_schema, self.spec, batch.schema)
         staging = self._p("_staging", batch_id)
         tables = self._tables()
         if all(_exists(spark, f"{staging}/{t}/_SUCCESS") for t in tables):
             self._publish(staging, tables)
             _touch(spark, marker)
+            fs.remove(spark, staging)
             return
 
         # materialise the prepared batch once: the expectation counts (observed on its single
@@ -144,6 +148,7 @@ class CdcTarget:
         finally:
             prepared.unpersist()
         _touch(spark, marker)
+        fs.remove(spark, staging)
 
     # ------------------------------------------------------------------ internals
     def _tables(self) -> list[str]:
@@ -157,7 +162,8 @@ class CdcTarget:
                 src = self.spark.read.parquet(f"{staging}/{name}")
             except AnalysisException:  # nothing staged for this table (e.g. only deletes of unknown keys)
                 continue
-            (src.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # a few files a bucket, however many tasks read the staging; a large bucket is split by AQE
+            (src.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET).parquet(self._p(name)))
 
     def _compute(self, prepared: DataFrame, touched: list[int], has_trunc: bool) -> dict[str, DataFrame]:

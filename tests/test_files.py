@@ -1,6 +1,7 @@
 import os
 import time
 
+import pytest
 
 from conftest import rows
 from levain.sources.files import FileIngest, header_columns, parse_age, parse_size
@@ -73,17 +74,112 @@ def test_restart_reads_nothing_new(spark, workdir):
     assert ing.read().count() == 2
 
 
-def test_header_probe_paths_agree(spark, workdir):
-    """The driver-side and the distributed first-line readers group files the same way."""
+def test_header_probes_agree(spark, workdir):
+    """Reading first lines through Arrow and by a text scan group files the same way."""
     root = workdir.replace("file:", "")
     write(f"{root}/in/a.csv", "x,y\n1,2\n")
     write(f"{root}/in/b.csv", "y,x\r\n3,4\r\n")
     ing = make(spark, root)
     paths = [f"file:{root}/in/a.csv", f"file:{root}/in/b.csv"]
-    small = ing._headers(paths)
-    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "1")
-    try:
-        big = ing._headers(paths)
-    finally:
-        spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.threshold")
-    assert small == big == {"x,y": [paths[0]], "y,x": [paths[1]]}
+    want = {"x,y": [paths[0]], "y,x": [paths[1]]}
+    assert ing._headers(paths) == want
+    scanned = ing._grouped(ing._first_lines_scan(paths, {**ing._opts(), "lineSep": "\n"}))
+    assert {h.strip(): [f.replace("file:///", "file:/") for f in files] for h, files in scanned.items()} == want
+
+
+def test_schema_does_not_depend_on_the_throttle(spark, workdir):
+    for n in (1, 1000):
+        root = f"{workdir}/{n}".replace("file:", "")
+        write(f"{root}/in/f1.csv", "q\n1\n")
+        write(f"{root}/in/f2.csv", "q\n2.5\n")
+        ing = make(spark, root, max_files_per_trigger=n)
+        ing.run()
+        write(f"{root}/in/f3.csv", "q,r\n3,1\n")
+        write(f"{root}/in/f4.csv", "q,r\n4,x\n")
+        ing.run()
+        df = ing.read()
+        assert dict(df.dtypes)["q"] == "double" and dict(df.dtypes)["r"] == "string", n
+        assert rows(df, "q", "r", "_rescued_data") == [(1.0, None, None), (2.5, None, None), (3.0, "1", None), (4.0, "x", None)]
+
+
+def test_header_case_repeated_and_empty_names(spark, workdir):
+    root = workdir.replace("file:", "")
+    write(f"{root}/in/f1.csv", "id,name\n1,a\n")
+    ing = make(spark, root, evolution_mode="rescue")
+    ing.run()
+    write(f"{root}/in/f2.csv", "NAME,ID\nb,2\n")
+    write(f"{root}/in/f3.csv", "id,,Id,name\n3,p,q,c\n")
+    ing.run()
+    assert rows(ing.read(), "id", "name", "_rescued_data") == [(1, "a", None), (2, "b", None), (3, "c", '{"_c1":"p","Id_2":"q"}')]
+
+
+def test_ragged_rows(spark, workdir):
+    root = workdir.replace("file:", "")
+    write(f"{root}/in/f1.csv", 'id,name\n1,a\n2\n3,"x, ""y""",  more  ,"q,r"\n,,only\n4,b,\n')
+    ing = make(spark, root)
+    ing.run()
+    assert rows(ing.read(), "id", "name", "_rescued_data") == [
+        (1, "a", None), (2, None, None), (3, 'x, "y"', '{"_c2":"more","_c3":"q,r"}'), (4, "b", None), (None, None, '{"_c2":"only"}')]
+
+
+def test_without_a_rescue_column_a_bad_value_fails(spark, workdir):
+    root = workdir.replace("file:", "")
+    with pytest.raises(ValueError):
+        make(spark, root, evolution_mode="rescue", rescued_data_column=None)
+    with pytest.raises(ValueError):
+        make(spark, root, evolution_mode="none")
+    write(f"{root}/in/f1.csv", "q\n1\n")
+    ing = make(spark, root, rescued_data_column=None)
+    ing.run()
+    write(f"{root}/in/f2.csv", "q\nbad\n")
+    with pytest.raises(Exception, match="do not fit the schema"):
+        ing.run()
+    assert rows(ing.read(), "q") == [(1,)]
+
+
+def test_both_throttles_cut_parts_in_order(spark, workdir):
+    root = workdir.replace("file:", "")
+    for i, size in enumerate((10, 10, 30, 10, 10)):
+        write(f"{root}/in/f{i}.csv", "t\n" + "x" * size + "\n")
+    seen = []
+    make(spark, root, max_files_per_trigger=4, max_bytes_per_trigger=30).run(on_batch=lambda b, r: seen.append((b, r.count())))
+    assert seen == [(0, 2), (0, 1), (0, 1), (1, 1)]
+
+
+def ingest_json(spark, root, **kw):
+    return FileIngest(spark, path=f"{root}/in/*.json", target=f"{root}/bronze", checkpoint=f"{root}/ckpt",
+                      schema_location=f"{root}/schema", format="json", **kw)
+
+
+def test_json_drift_case_and_broken_lines(spark, workdir):
+    root = workdir.replace("file:", "")
+    write(f"{root}/in/f1.json", '{"q":1,"s":{"a":1}}\n{"q":2}\n')
+    ing = ingest_json(spark, root, evolution_mode="rescue", schema_hints="q BIGINT")
+    ing.run()
+    write(f"{root}/in/f2.json", '{"Q":1.5,"s":{"a":2},"new":[1,2]}\n{"q":3,"Q":4}\nnot json\n\n{}\n{"q":null}\n')
+    ing.run()
+    df = ing.read()
+    assert dict(df.dtypes)["q"] == "bigint" and dict(df.dtypes)["s"] == "struct<a:bigint>"
+    assert rows(df, "q", "s.a", "_rescued_data") == [
+        (1, 1, None), (2, None, None), (3, None, '{"Q#1":"4"}'), (None, 2, '{"Q":"1.5","new":"[1,2]"}'), (None, None, '{"_corrupt_record":"not json"}'),
+        (None, None, None), (None, None, None)]
+
+
+def test_columnar_drift(spark, workdir):
+    for fmt in ("parquet", "orc"):
+        root = f"{workdir}/{fmt}"
+        spark.createDataFrame([(1, "a")], "id int, v string").coalesce(1).write.format(fmt).save(f"{root}/in/p1")
+        ing = FileIngest(spark, path=f"{root}/in/p*/*.{fmt}", target=f"{root}/bronze", checkpoint=f"{root}/ckpt",
+                         schema_location=f"{root}/schema", format=fmt, evolution_mode="rescue", schema_hints="id BIGINT")
+        ing.run()
+        spark.createDataFrame([(2.5, [1], "b"), (3.0, None, "c")], "id double, v array<int>, w string").coalesce(1).write.format(fmt).save(f"{root}/in/p2")
+        ing.run()
+        assert dict(ing.read().dtypes)["id"] == "bigint"
+        assert rows(ing.read(), "id", "v", "_rescued_data") == [(1, "a", None), (None, "[1]", '{"id":"2.5","w":"b"}'), (None, None, '{"id":"3.0","w":"c"}')]
+
+
+def test_nothing_to_ingest(spark, workdir):
+    root = workdir.replace("file:", "")
+    os.makedirs(f"{root}/in")
+    make(spark, root).run()
+    assert not os.path.exists(f"{root}/bronze")

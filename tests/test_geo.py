@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from levain.functions.geo import haversine_km
-from levain.operators.geo_join import pairs_within
+from levain.operators.geo_join import nearest, pairs_within
 
 
 def test_haversine_edges(spark):
@@ -25,3 +25,25 @@ def test_pairs_within_equals_brute_force(spark):
         fast = {(r.lid, r.rid) for r in pairs_within(left, right, km, ("la", "lo"), ("ra", "ro")).collect()}
         brute = left.crossJoin(right).withColumn("d", haversine_km("la", "lo", "ra", "ro")).filter(F.col("d") <= km)
         assert fast == {(r.lid, r.rid) for r in brute.collect()}, km
+
+
+def test_nearest_equals_brute_force(spark):
+    rnd = random.Random(5)
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(40)] + [(100, 10.0, 10.0), (101, 10.0, 10.0)]
+    crowd = [(i, rnd.uniform(40, 45), rnd.uniform(0, 5)) for i in range(50)] + [(200 + i, 10.0, 10.0) for i in range(9)] + [(300, -90.0, 0.0)]
+    left = spark.createDataFrame(pts, "lid long, la double, lo double")
+    right = spark.createDataFrame(crowd, "rid long, ra double, ro double")
+
+    def brute(r, k):
+        pairs = left.crossJoin(r).select("lid", "rid", haversine_km("la", "lo", "ra", "ro").alias("d")).collect()
+        out = set()
+        for lid in {p.lid for p in pairs}:
+            mine = sorted((p.d, p.rid) for p in pairs if p.lid == lid)[:k]
+            out |= {(lid, n, rid) for n, (_, rid) in enumerate(mine, 1)}
+        return out
+
+    for k in (1, 4, 100):
+        got = {(r.lid, r.rank, r.rid) for r in nearest(left, right, k, "lid", "rid", ("la", "lo"), ("ra", "ro")).collect()}
+        assert got == brute(right, k), k
+    assert nearest(left, right.limit(0), 2, "lid", "rid", ("la", "lo"), ("ra", "ro")).count() == 0
+    assert nearest(left.limit(0), right, 2, "lid", "rid", ("la", "lo"), ("ra", "ro")).count() == 0
