@@ -46,6 +46,8 @@ from pyspark.sql.utils import AnalysisException
 FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns")
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+#: Files whose first line or footer one task reads.
+PROBE_FILES = 64
 #: What the ingest adds to bronze beside the data and the file's name and time.
 BATCH_COLUMNS = ("__batch_id", "__batch_part")
 ENTRIES = "array<struct<key:string,value:string>>"
@@ -338,12 +340,12 @@ class FileIngest:
     def _by_probe(self, paths: list[str], probe) -> dict[str, list[str]]:
         """What ``probe`` says of a file -> files, in tasks that open a share of the files each."""
         def run(batches):
-            import pandas as pd
-            for pdf in batches:
-                yield pd.DataFrame({"p": list(pdf["p"]), "h": [probe(p) for p in pdf["p"]]})
-        n = max(1, min(len(paths), self.spark.sparkContext.defaultParallelism))
-        files = self.spark.createDataFrame([(p,) for p in paths], "p string").repartition(n)
-        return self._grouped(files.mapInPandas(run, "p string, h string"))
+            import pyarrow as pa
+            for x in batches:
+                files = x.column(0).to_pylist()
+                yield pa.record_batch([x.column(0), pa.array([probe(p) for p in files], pa.string())], ["p", "h"])
+        files = self.spark.createDataFrame([(p,) for p in paths], "p string").repartition(-(-len(paths) // PROBE_FILES))
+        return self._grouped(files.mapInArrow(run, "p string, h string"))
 
     @staticmethod
     def _grouped(probed: DataFrame) -> dict[str, list[str]]:
