@@ -7,10 +7,17 @@ or a form inside an article) is the result.
 
 Weights come from labelled pages: pages with an ``article`` or ``main`` element, whose words are content.  For each
 element (tag, with its class and id words) the log odds of its words being content are counted over a bounded sample
-of SAMPLE pages.  A word under an element that decides against content weighs OUTSIDE, so a paragraph in an
+of SAMPLE pages.  A word weighs OUTSIDE if the innermost element that decides is against content, so a paragraph in an
 advert counts as advert; any other word weighs the largest log odds of its elements.  A tag weighs TAG (a small
-negative number); one that lies outside of content by the same counts weighs BOUNDARY.  Elements that the
-sample does not have fall back on the names in BOILERPLATE and CONTENT.
+negative number); one that lies outside of content by the same counts weighs BOUNDARY.
+
+Elements that the sample does not have fall back on names, then on the mean log odds of their words, then on those of
+their tag.  A name is a tag in TAGS, or a whole class, role or id of words in BOILERPLATE (and PLAIN ones beside them):
+``cookie-notice`` is one, ``post-title`` and ``social-policy`` are not.  Only blocks have names, and a ``form``, a name or word that the
+sample does not have decides only up to the next ``div`` or ``section`` with a class or id that is no name.  ``html``, ``body``, ``article``,
+``main``, headings and what is in a heading never decide against content, nor does a tag without class or id that is not in
+TAGS.  Within ``article`` or ``main`` only tags and classes that are names decide (a heading's id may be any word), and
+``header`` does not.
 
 Text.  Character references are decoded, white space inside a block becomes one blank, blocks are trimmed, empty
 ones left out, and the others joined in page order by two line feeds.  Inline tags and ``br`` do not part blocks
@@ -45,21 +52,48 @@ CONTENT = frozenset(("article", "main"))
 BLOCKS = frozenset("address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SKIPPED = frozenset("script style noscript template textarea svg math iframe object select button".split())
-#: Names of elements (tag, or a word of class or id) that are not content unless the sample says so.
-BOILERPLATE = frozenset("""nav menu menubar header footer aside sidebar form script style head title ad ads advert adverts advertisement sponsored promo banner
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Tags that are not content unless the sample says so.
+TAGS = frozenset("nav menu header footer aside form script style head title".split())
+#: Words of names (class, id or role) that are not content unless the sample says so, and words that change nothing beside them.
+BOILERPLATE = frozenset("""nav navigation navbar menu menubar footer aside sidebar ad ads advert adverts advertisement sponsored promo banner contentinfo complementary
     cookie cookies consent notice notices alert popup modal newsletter subscribe signup login breadcrumb breadcrumbs pagination pager share sharing social related
     recommended comment comments disqus reply replies widget toolbar copyright legal""".split())
+PLAIN = frozenset("area bar block box buttons container icons inner items links list page posts primary secondary section site top bottom wrap wrapper".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|svg|math|iframe|object|select|button)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 Element = tuple[str, ...]
 
 
+def named(name: str) -> bool:
+    """Whether a whole class, id or role is a name of what is not content."""
+    words = set(re.findall(r"[^\W_\d]+", name))
+    return not words.isdisjoint(BOILERPLATE) and words <= BOILERPLATE | PLAIN
+
+
 def element(tag: str, attributes: str) -> Element:
-    """The tag and the words of its class, id and role."""
+    """The tag, "!" if a class or role is a name, else "#" if the id is one, else "", and the words of class, role and (with "#") id."""
     if not attributes or "=" not in attributes:
-        return (tag,)
-    found = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)).lower()
-    return (tag, *re.findall(r"[^\W_\d]+", found))
+        return (tag, "")
+    sign, words = "", []
+    for kind, a, b, c in NAMES.findall(attributes):
+        by_id, found = kind.lower() == "id", (a or b or c).lower()
+        if tag in BLOCKS and sign != "!" and any(map(named, found.split())):
+            sign = "#" if by_id else "!"
+        words += ["#" * by_id + w for w in re.findall(r"[^\W_\d]+", found)]
+    return (tag, sign, *words)
+
+
+def is_named(e: Element, in_content: bool = False) -> bool:
+    """Whether the element has a name that speaks against content, there or within ``article`` or ``main``."""
+    if e[0] in CONTENT or e[0] in HEADINGS or e[0] in ("html", "body"):
+        return False
+    return e[1] == "!" or e[0] in TAGS and not (in_content and e[0] == "header") or e[1] == "#" and not in_content
+
+
+def lean(odds: float) -> float:
+    """Log odds that do not decide."""
+    return max(0.1 - DECISIVE, min(DECISIVE - 0.1, odds))
 
 
 def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]:
@@ -71,7 +105,7 @@ def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]
             if whole[0] != "<" or len(whole) == 1:
                 yield "text", whole, path
             elif m.group(1):  # what a reader does not see, as one element
-                yield "open", (m.group(1).lower(),), path
+                yield "open", (m.group(1).lower(), ""), path
             continue
         tag = tag.lower()
         if m.group(2):
@@ -84,6 +118,8 @@ def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]
             at = next((n for n in range(len(path) - 1, -1, -1) if path[n][0] in BLOCKS), None)
             if at is not None and path[at][0] == "p":
                 path = path[:at]
+            if path and tag != "title" and "head" in (path[-1][0], path[0][0], path[1:2] and path[1][0]):  # its end tag may be left out
+                path = path[:next(n for n, e in enumerate(path) if e[0] == "head")]
         found = element(tag, m.group(4))
         yield "open", found, path
         if tag not in VOID and not m.group(4).endswith("/"):
@@ -100,9 +136,11 @@ def counts(page: str) -> dict[tuple[str, Element], list[int]]:
         inside = any(e[0] in CONTENT for e in path)
         if kind == "text":
             n = len(what.split())
-            named = [e for e in path if BOILERPLATE & set(e)]  # what a menu holds says nothing against lists and links
-            for e in set(named if named and not inside else path) if n else ():
-                out.setdefault(("text", e), [0, 0])[not inside] += n
+            by_name = [e for e in path if is_named(e)]  # what a menu holds says nothing against lists and links
+            each_of = by_name if by_name and not inside else path
+            found = {("text", e) for e in each_of} | {("tag", (e[0],)) for e in each_of} | {("word", (w,)) for e in each_of for w in e[2:]}
+            for x in found if n else ():
+                out.setdefault(x, [0, 0])[not inside] += n
         else:
             out.setdefault((kind, what), [0, 0])[not inside] += 1
     return out
@@ -124,7 +162,7 @@ def learn(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> dic
     out = {}
     for kind, e, a, b in found.collect():  # the elements of at most ``sample`` pages
         odds = max(-MOST, min(MOST, math.log((a + 0.5) / (b + 0.5))))
-        out[kind, tuple(e.split("\t"))] = odds if kind == "text" else TAG if odds > 0 else BOUNDARY
+        out[kind, tuple(e.split("\t"))] = odds if kind not in ("open", "close") else TAG if odds > 0 else BOUNDARY
     return out
 
 
@@ -136,14 +174,32 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
     items: list[tuple[str, str | None]] = []  # (what, text run or None)
     known: dict[tuple[Element, ...], float] = {}
 
-    def weight(e: Element) -> float:
-        return weights.get(("text", e), -MOST if BOILERPLATE & set(e) else MOST if e[0] in CONTENT else 0.0)
+    def weight(e: Element, in_content: bool = False) -> float:
+        if e[0] in CONTENT:
+            return MOST
+        by_name = is_named(e, in_content)
+        if ("text", e) in weights:
+            odds = weights["text", e]
+        elif by_name:
+            odds = -MOST
+        elif of_words := [weights["word", (w,)] for w in e[2:] if ("word", (w,)) in weights]:
+            odds = sum(of_words) / len(of_words)
+        else:
+            odds = lean(weights.get(("tag", (e[0],)), 0.0))
+        mute = in_content or len(e) == 2 or e[0] in HEADINGS or e[0] in ("html", "body")
+        return max(odds, lean(odds)) if mute and not by_name else odds
 
     def of_path(path: tuple[Element, ...]) -> float:
         if path not in known:
-            each = [weight(e) for e in path]
-            against = min(each, default=0.0)
-            known[path] = OUTSIDE if against <= -DECISIVE else max(LEAST, *each, LEAST)
+            content = next((n for n in range(len(path) - 1, -1, -1) if path[n][0] in CONTENT), -1)
+            heading = next((n for n, e in enumerate(path) if n > content and e[0] in HEADINGS), len(path))
+            inner = [weight(e, content >= 0) for e in path[content + 1:]]  # what is around the innermost content does not decide
+            against = inside = False  # inside: of a nearer block with words of its own
+            for e, w in reversed(list(zip(path[content + 1:heading], inner, strict=False))):
+                weak = e[0] == "form" or e[0] not in TAGS and ("text", e) not in weights
+                against |= w <= -DECISIVE and not (inside and weak)
+                inside |= e[0] in ("div", "section") and len(e) > 2 and not is_named(e, content >= 0)
+            known[path] = OUTSIDE if against else max(LEAST, *inner, *map(weight, path[:content + 1]), LEAST)
         return known[path]
 
     for kind, what, path in parts(page):
@@ -153,7 +209,7 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
             items.append(("text", what if n == 0 or scores[-1] > 0 else None))
         else:
             within = any(weight(e) >= DECISIVE for e in path)  # a tag inside of content does not bound it
-            scores.append(TAG if within else weights.get((kind, what), BOUNDARY if weight(what) < 0 else TAG))
+            scores.append(TAG if within else weights.get((kind, what), BOUNDARY if weight(what) <= -DECISIVE else TAG))
             items.append(("break" if what[0] in BLOCKS else "space" if what[0] == "br" else "tag", None))
     best, run, first, last, start = 0.0, 0.0, 0, 0, 0
     for n, s in enumerate(scores):

@@ -375,6 +375,28 @@ def test_main_text_of_other_layouts(spark):
     assert o7.main_text(rows.limit(0), known).count() == 0 and o7.learn(rows.limit(0)) == {}
 
 
+def test_main_text_keeps_unseen_layouts_with_everyday_names(spark):
+    known, body = o7.learn(spark.read.parquet(f"{SF}/pages.parquet")), "word " * 30
+    inner = f"""<header class="entry-header"><h1 class="post-title">Title <span class="share">one</span></h1></header><h2 id="related-work">Related work</h2><p>{body}</p>
+        <section id="social-policy"><p>{body}</p></section><section id="legal"><p>{body}</p></section><div class="legal-basis-text">{body}</div>"""
+    want = "\n\n".join(["Title one", "Related work", *[body.strip()] * 4])
+    for weights in (known, {}):
+        for start, end in (('<article class="post comments-open">', "</article>"), ('<div class="layout sidebar"><main>', "</main></div>")):
+            page = f"""<html><head><title>T</title><body class="has-sidebar"><nav>Home page</nav>{start}{inner}<div class="social-links">Share it</div>{end}<div id="comments">{body}</div></html>"""
+            assert o7.extract(page, weights) == want
+    for wrapper in ('<form id="f">', '<div class="page legal">'):  # around the whole page
+        assert o7.extract(f'<body>{wrapper}Skip<div class="text"><p>{body}</p></div><aside><div class="x">{body}</div></aside></body>', {}) == body.strip()
+    assert o7.extract(f'<html><body class="has-sidebar"><h2 class="post-title">Head</h2><p>{body}</p></body></html>', known) == "Head\n\n" + body.strip()
+
+
+def test_main_text_backs_off_to_words(spark):
+    body = "word " * 30
+    page = f'<body><article><p>{body}</p></article><div class="zzq one">{body}</div></body>'
+    known = o7.learn(spark.createDataFrame([(page,)], "html string"))
+    assert o7.extract(f'<body><div class="text"><p>{body}</p></div><div class="zzq">{body * 3}</div></body>', known) == body.strip()
+    assert o7.extract(f'<body><article><div class="zzq">{body}</div></article></body>', known) == body.strip()
+
+
 # ---- pipeline
 
 def test_pipeline_stages_keep_columns_and_rows(spark):
