@@ -21,11 +21,15 @@ TAGS.  Within ``article`` or ``main`` only tags and classes that are names decid
 
 Text.  Character references are decoded, white space inside a block becomes one blank, blocks are trimmed, empty
 ones left out, and the others joined in page order by two line feeds.  Inline tags and ``br`` do not part blocks
-(``br`` is white space).  Nothing else is dropped or cut.
+(``br`` is white space).  Beyond hidden elements and words that weigh
+less than nothing, nothing is dropped or cut.
+
+Text of HIDDEN elements is left out, that of ``math`` and ``object`` is kept.
 
 Cases.  Null and empty pages, and pages without a region of positive score, give an empty text.  Broken HTML is
-read as it stands: an unclosed script, style or comment runs to the end of the page; end tags without a start are
-ignored; an end tag closes all that is open above its start.  Ties: the first region.  Repeated rows are kept and
+read as it stands: an unclosed script, style or comment runs to the end of the page; a self-closed element is empty, and
+so is a hidden one that no end tag follows; a block ends an open button, select, textarea, title, svg or math; end tags
+without a start are ignored; an end tag closes all that is open above its start.  Copies of a page count once in the sample.  Ties: the first region.  Repeated rows are kept and
 treated alike.  Other columns are not read.  Without labelled pages the weights of BOILERPLATE and CONTENT alone count.
 """
 
@@ -49,9 +53,11 @@ TAG, BOUNDARY = -0.01, -40.0
 #: Largest log odds that count; log odds from which an element decides; weights of a word outside of content, and at least of any other.
 MOST, DECISIVE, OUTSIDE, LEAST = 4.0, 2.9, -1.0, 0.1
 CONTENT = frozenset(("article", "main"))
-BLOCKS = frozenset("address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
+BLOCKS = frozenset("address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SKIPPED = frozenset("script style noscript template textarea svg math iframe object select button".split())
+#: Elements whose text a reader does not see as text, and those of them that no block lies in.
+HIDDEN = frozenset("noscript template textarea svg iframe select button title".split())
+FLAT = frozenset("textarea svg select button title math".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Tags that are not content unless the sample says so.
 TAGS = frozenset("nav menu header footer aside form script style head title".split())
@@ -60,7 +66,7 @@ BOILERPLATE = frozenset("""nav navigation navbar menu menubar footer aside sideb
     cookie cookies consent notice notices alert popup modal newsletter subscribe signup login breadcrumb breadcrumbs pagination pager share sharing social related
     recommended comment comments disqus reply replies widget toolbar copyright legal""".split())
 PLAIN = frozenset("area bar block box buttons container icons inner items links list page posts primary secondary section site top bottom wrap wrapper".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|svg|math|iframe|object|select|button)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
 NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 Element = tuple[str, ...]
 
@@ -99,6 +105,7 @@ def lean(odds: float) -> float:
 def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]:
     """("open" | "close", element, path) for each tag and ("text", run, path) for each text run; ``path``: the open elements."""
     path: tuple[Element, ...] = ()
+    last: dict[str, int] = {}  # where the last end tag of a hidden element starts
     for m in TOKEN.finditer(page):
         whole, tag = m.group(0), m.group(3)
         if tag is None:
@@ -118,11 +125,20 @@ def parts(page: str) -> Iterator[tuple[str, Element | str, tuple[Element, ...]]]
             at = next((n for n in range(len(path) - 1, -1, -1) if path[n][0] in BLOCKS), None)
             if at is not None and path[at][0] == "p":
                 path = path[:at]
-            if path and tag != "title" and "head" in (path[-1][0], path[0][0], path[1:2] and path[1][0]):  # its end tag may be left out
+            if path and "head" in (path[-1][0], path[0][0], path[1:2] and path[1][0]):  # its end tag may be left out
                 path = path[:next(n for n, e in enumerate(path) if e[0] == "head")]
+            at = next((n for n, e in enumerate(path) if e[0] in FLAT), None)  # and what holds no block
+            if at is not None:
+                path = path[:at]
+        elif tag in HIDDEN and tag not in ("svg", "template"):  # nor do these lie in themselves
+            at = next((n for n, e in enumerate(path) if e[0] == tag), None)
+            if at is not None:
+                path = path[:at]
         found = element(tag, m.group(4))
         yield "open", found, path
-        if tag not in VOID and not m.group(4).endswith("/"):
+        if tag in HIDDEN and tag not in last:
+            last[tag] = max((e.start() for e in re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)), default=-1)
+        if tag not in VOID and not m.group(4).endswith("/") and last.get(tag, m.end()) >= m.end():
             path = (*path, found)
 
 
@@ -135,7 +151,7 @@ def counts(page: str) -> dict[tuple[str, Element], list[int]]:
     for kind, what, path in each:
         inside = any(e[0] in CONTENT for e in path)
         if kind == "text":
-            n = len(what.split())
+            n = 0 if any(e[0] in HIDDEN for e in path) else len(what.split())
             by_name = [e for e in path if is_named(e)]  # what a menu holds says nothing against lists and links
             each_of = by_name if by_name and not inside else path
             found = {("text", e) for e in each_of} | {("tag", (e[0],)) for e in each_of} | {("word", (w,)) for e in each_of for w in e[2:]}
@@ -147,10 +163,12 @@ def counts(page: str) -> dict[tuple[str, Element], list[int]]:
 
 
 def learn(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> dict[tuple[str, Element], float]:
-    """Weights from the ``sample`` labelled pages with the smallest hashes."""
+    """Weights from the ``sample`` distinct labelled pages with the smallest hashes."""
     prepare(pages.sparkSession)
     page = F.col(html_col).cast("string")
-    some = pages.filter(page.rlike(r"(?i)<(article|main)\b")).select(page.alias("page")).orderBy(F.xxhash64("page"), F.length("page")).limit(sample)
+    labelled = pages.filter(page.rlike(r"(?i)<(article|main)\b")).select(page.alias("page")).withColumn("hash", F.xxhash64("page"))
+    least = [r["hash"] for r in labelled.select("hash").distinct().orderBy("hash").limit(sample).collect()]  # at most ``sample`` numbers
+    some = labelled.filter(F.col("hash").isin(least)).groupBy("hash").agg(F.min("page").alias("page")).select("page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -177,6 +195,8 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
     def weight(e: Element, in_content: bool = False) -> float:
         if e[0] in CONTENT:
             return MOST
+        if e[0] in HIDDEN:
+            return -MOST
         by_name = is_named(e, in_content)
         if ("text", e) in weights:
             odds = weights["text", e]
@@ -194,7 +214,8 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
             content = next((n for n in range(len(path) - 1, -1, -1) if path[n][0] in CONTENT), -1)
             heading = next((n for n, e in enumerate(path) if n > content and e[0] in HEADINGS), len(path))
             inner = [weight(e, content >= 0) for e in path[content + 1:]]  # what is around the innermost content does not decide
-            against = inside = False  # inside: of a nearer block with words of its own
+            against = any(e[0] in HIDDEN for e in path)
+            inside = False  # inside: of a nearer block with words of its own
             for e, w in reversed(list(zip(path[content + 1:heading], inner, strict=False))):
                 weak = e[0] == "form" or e[0] not in TAGS and ("text", e) not in weights
                 against |= w <= -DECISIVE and not (inside and weak)
@@ -208,8 +229,8 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
             scores.append(n * of_path(path))
             items.append(("text", what if n == 0 or scores[-1] > 0 else None))
         else:
-            within = any(weight(e) >= DECISIVE for e in path)  # a tag inside of content does not bound it
-            scores.append(TAG if within else weights.get((kind, what), BOUNDARY if weight(what) <= -DECISIVE else TAG))
+            within = any(weight(e) >= DECISIVE for e in path)  # a tag inside of content does not bound it, nor does an icon or a button
+            scores.append(TAG if within or what[0] in HIDDEN and what[0] != "title" else weights.get((kind, what), BOUNDARY if weight(what) <= -DECISIVE else TAG))
             items.append(("break" if what[0] in BLOCKS else "space" if what[0] == "br" else "tag", None))
     best, run, first, last, start = 0.0, 0.0, 0, 0, 0
     for n, s in enumerate(scores):

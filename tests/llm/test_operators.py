@@ -397,6 +397,24 @@ def test_main_text_backs_off_to_words(spark):
     assert o7.extract(f'<body><article><div class="zzq">{body}</div></article></body>', known) == body.strip()
 
 
+def test_main_text_reads_on_after_icons_buttons_and_formulas(spark):
+    known, body = o7.learn(spark.read.parquet(f"{SF}/pages.parquet")), "word " * 30
+    for weights in (known, {}):
+        for odd in ("<svg/>", '<svg class="icon" />', "<math/>", "<svg><path>", "<svg><title>Icon</title><path/></svg>", "<button>Share", "<button>Share</button>", "<select><option>A</select>", "<select>", "<template>", "<noscript>", "<iframe src=x>", "<textarea>"):
+            rest = "" if odd.endswith(("Share", "<path>")) else "tail"
+            page = f"<body><article><p>{body}</p><p>Before {odd}{rest}<p>{body}<p>Later<svg></svg></article><footer>{body}<button>x</button></footer></body>"
+            want = [body.strip(), f"Before {rest}".strip(), body.strip(), "Later"]
+            assert o7.extract(page, weights) == "\n\n".join(want), odd
+        page = f"<body><article><p>{body}</p><p>Sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> <object data=y>instead</object></p><template>no</template></article></body>"
+        assert o7.extract(page, weights) == body.strip() + "\n\nSum x+1 instead"
+
+
+def test_main_text_samples_distinct_pages(spark):
+    rows = [(f"<body><article><p>{'word ' * 30}</p></article><div class='c{chr(97 + k)}'>{'other ' * 30}</div></body>",) for k in range(6) for _ in range(1 + 50 * (k < 3))]
+    known = o7.learn(spark.createDataFrame(rows, "html string"), sample=6)
+    assert {e[2] for kind, e in known if kind == "text" and len(e) > 2} == {"ca", "cb", "cc", "cd", "ce", "cf"}
+
+
 # ---- pipeline
 
 def test_pipeline_stages_keep_columns_and_rows(spark):
