@@ -126,6 +126,11 @@ def test_language_narrow_margins_reject_and_short_texts_do_not():
     assert o2.judge("one", same)[::2] == ("a", True)
 
 
+def test_language_learns_from_distinct_texts(spark):
+    rows = spark.range(12_000).select(F.when(F.col("id") < 6000, "aa").otherwise("bb").alias("lang"), F.concat(F.when(F.col("id") < 6000, F.lit("uno ")).otherwise(F.lit("zwei ")), F.translate((F.col("id") % 3).cast("string"), "012", "xyz")).alias("text"))
+    assert o2.learn(rows, sample_texts=4) == o2.learn(rows.distinct(), sample_texts=4) and {k: len(v.split()) for k, v in o2.learn(rows, sample_texts=2).items()} == {"aa": 4, "bb": 4}
+
+
 def test_held_out_is_the_crc(spark):
     got = spark.range(500).select("id", o2.held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in got)
