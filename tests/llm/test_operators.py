@@ -126,6 +126,19 @@ def test_language_narrow_margins_reject_and_short_texts_do_not():
     assert o2.judge("one", same)[::2] == ("a", True)
 
 
+def test_language_rejects_noise_and_languages_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 0")
+    known = o2.learn(docs.filter(~o2.held_out()).filter("lang <> 'es'"))
+    assert set(known) == {"en", "de", "fr"} and known.least
+    tried = docs.filter(o2.held_out()).filter("length(text) >= 300")
+    got = o2.identify(tried, known).join(tried.select("doc_id", "lang"), "doc_id").collect()
+    clean, other = [r["accepted"] for r in got if r["lang"] in known], [r["accepted"] for r in got if r["lang"] == "es"]
+    assert len(clean) > 300 and sum(clean) >= 0.98 * len(clean) and len(other) > 30 and sum(other) <= 0.1 * len(other)
+    r = random.Random(7)
+    noise = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n)) for n in (40, 80, 300, 1000) for _ in range(20)]
+    assert sum(o2.judge(t, tuple(known.items()), known.least)[2] for t in noise) <= 0.05 * len(noise)
+
+
 def test_language_learns_from_distinct_texts(spark):
     rows = spark.range(12_000).select(F.when(F.col("id") < 6000, "aa").otherwise("bb").alias("lang"), F.concat(F.when(F.col("id") < 6000, F.lit("uno ")).otherwise(F.lit("zwei ")), F.translate((F.col("id") % 3).cast("string"), "012", "xyz")).alias("text"))
     assert o2.learn(rows, sample_texts=4) == o2.learn(rows.distinct(), sample_texts=4) and {k: len(v.split()) for k, v in o2.learn(rows, sample_texts=2).items()} == {"aa": 4, "bb": 4}
