@@ -80,6 +80,15 @@ def test_join_against_all_pairs(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "4", "5", "6", "7", "9", "10", "11", "12", "None"])
 
 
+def test_keep_one_works_by_row(spark):
+    a, b, c = (" ".join(words(60, 90 + k, 9000)) for k in range(3))
+    near = " ".join(["changed", *c.split()[1:]])
+    rows = [(1, a), (5, b), (5, a), (5, c), (5, c), (9, near), (None, near), (None, c), (None, c), (None, ""), (None, ""), (None, "only " + b[::-1])]
+    got = sorted(map(tuple, o1.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    fixed = [r for r in got if r[1] not in (c, near) or r[0] is not None]
+    assert fixed == sorted([(1, a), (5, b), (5, c), (None, ""), (None, ""), (None, "only " + b[::-1])], key=str) and len(got) == len(fixed) + 1
+
+
 def test_join_splits_a_large_group_into_tiles(spark, monkeypatch):
     base, r = words(150, 5), random.Random(3)
     rows = [(k, " ".join(base[:j] + [f"new{k}"] + base[j + 1:])) for k in range(60) for j in [r.randrange(150)]] + [(100 + k, " ".join(words(40, 50 + k, 10_000))) for k in range(20)]
