@@ -7,12 +7,12 @@ different values of a format different ones.
 | kind | valid if | pseudonym |
 |-|-|-|
 | card number, 13 to 19 digits, plain or grouped | Luhn sum | all digits but the last are permuted, the last is the new check digit |
-| phone, +country (area) number or area-number | 10 digits after the country code | the 10 digits are permuted |
+| phone: +country number in any grouping, area-number, or groups parted by blanks (3-3-4, or from a 0) | 8 to 15 digits | the last 10 digits, or all of fewer, are permuted |
 | social security number ddd-dd-dddd | area, group and serial in range | permuted among the valid numbers |
 | IPv4 address | four numbers up to 255 | permuted among 2**32 |
 | date Y-M-D, Y/M/D, D.M.Y, M/D/Y or D/M/Y | a day of the years 1800 to 2199 | permuted among these 146,097 days, in the same format |
 | e-mail address | its syntax | the part before the @ becomes a keyed hash |
-| secret in ``token = "..."`` and the like | 16 characters at least | a keyed hash of the same length |
+| secret in ``token = "..."`` and the like, the whole run with its dots | 16 characters at least, or 6 with a digit or in quotes | a keyed hash of the same length |
 
 A value x below A * B is split into x div B and x mod B; ROUNDS rounds add a keyed SHA-256 of one part and the round to the other,
 modulo its range: a Feistel network over mixed radices, a permutation for every key.  (E-mail names and secrets
@@ -20,7 +20,7 @@ have no such range; their keyed hashes keep equal values linked.)  M/D/Y is trie
 
 Cases.  A null text stays null, with 0 replacements; an empty one stays empty.  Numbers that do not validate stay as they
 are.  Repeated rows are treated alike.  Other columns pass through; ``n_chars``, if there, is set to the new length.  Very
-long texts are whole: the pattern looks at each place a bounded number of times.  Column names beginning with
+long texts are whole, and so are long e-mail names and secrets: their runs are read once.  Column names beginning with
 ``__pii_`` are used inside.  An empty table gives an empty result.
 """
 
@@ -32,16 +32,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-SECRET = r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b["']?\s{0,4}[=:]\s{0,4}["']?)[A-Za-z0-9+/_\-]{16,512}+"""
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,128}+@[A-Za-z0-9\-]{1,63}+(?:\.[A-Za-z0-9\-]{1,63}+){1,8}+"
-PHONE = r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}|(?:\+\d{1,3}[ .\-])?\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)"
+_NAMED = r"""(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b["']?\s{0,4}[=:]\s{0,4}["']?)"""
+_RUN = r"[A-Za-z0-9+/_.\-]"
+SECRET = rf"""{_NAMED}(?:{_RUN}{{16,}}+|(?=[A-Za-z+/_.\-]{{0,15}}\d){_RUN}{{6,15}}+|(?<=["']){_RUN}{{6,15}}+(?=["']))"""
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]{1,63}+(?:\.[A-Za-z0-9\-]{1,63}+){1,8}+"
+PHONE = r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .\-]?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}|(?:\+\d{1,3}[ .\-])?\d{3}[.\-]\d{3}[.\-]\d{4}|\+\d(?:[ .\-()]{0,2}\d){7,14}|\d{3} \d{3} \d{4}|(?=\d(?: ?\d){7,14}(?! ?\d))0\d{0,4}(?: \d{2,4}){2,6})(?!\d)"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 CARD = r"(?<!\d)(?:\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5}|\d{13,19})(?!\d)"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
-DATE = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d)"
+DATE = r"(?<!\d)(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d)"
 ANY = "|".join((SECRET, EMAIL, CARD, PHONE, SSN, IP, DATE))
 DAYS = (189, 773)  # 400 Gregorian years
-FORMATS = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{4}/", "yyyy/MM/dd"), (r"^\d{2}\.", "dd.MM.yyyy"), (r"^\d{2}/", "MM/dd/yyyy"), (r"^\d{2}/", "dd/MM/yyyy"))
+FORMATS = (
+    (r"^\d{4}-\d\d-\d\d$", "yyyy-MM-dd"), (r"^\d{4}/\d\d/\d\d$", "yyyy/MM/dd"), (r"^\d\d\.\d\d\.", "dd.MM.yyyy"), (r"^\d\d/\d\d/", "MM/dd/yyyy"), (r"^\d\d/\d\d/", "dd/MM/yyyy"),
+    (r"^\d{4}-(\d-|\d\d-\d$)", "yyyy-M-d"), (r"^\d{4}/(\d/|\d\d/\d$)", "yyyy/M/d"), (r"^(\d\.|\d\d\.\d\.)", "d.M.yyyy"), (r"^(\d/|\d\d/\d/)", "M/d/yyyy"), (r"^(\d/|\d\d/\d/)", "d/M/yyyy"),
+)
 
 
 def _long(x: Column) -> Column:
@@ -159,17 +164,25 @@ def email(m: Column, key: str) -> Column:
 
 
 def secret(m: Column, key: str) -> Column:
-    value = F.regexp_extract(m, r"[A-Za-z0-9+/_\-]*$", 0)
-    return _with(value, lambda v: F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(v)), F.substr(F.repeat(_keyed(key, F.lit("secret"), v), F.lit(8)), F.lit(1), F.length(v))))
+    """The run without the dots that end a sentence."""
+    end = F.regexp_extract(m, r"\.*$", 0)
+    body = F.substr(m, F.lit(1), F.length(m) - F.length(end))
+    value = F.regexp_extract(body, rf"{_RUN}*$", 0)
+
+    def put(v: Column) -> Column:
+        times = F.ceil(F.length(v) / 64).cast("int")
+        return F.concat(F.substr(body, F.lit(1), F.length(body) - F.length(v)), F.substr(F.repeat(_keyed(key, F.lit("secret"), v), times), F.lit(1), F.length(v)), end)
+
+    return _with(value, put)
 
 
 def pseudonym(m: Column, key: str) -> Column:
     """What stands for the hit ``m``; ``m`` itself if it does not validate."""
     return (
-        F.when(m.rlike(rf"^(?:{SECRET})$"), secret(m, key)).when(F.instr(m, "@") > 0, email(m, key))
+        F.when(m.rlike(rf"^{_NAMED}"), secret(m, key)).when(F.instr(m, "@") > 0, email(m, key))
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), ssn(m, key)).when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), ip(m, key))
-        .when(m.rlike(r"^(\d{4}[-/]\d{2}[-/]\d{2}|\d{2}[./]\d{2}[./]\d{4})$"), date(m, key))
-        .when(m.rlike(r"^\d[\d \-]{11,21}\d$") & ~m.rlike(r"^\d{3}-\d{3}-\d{4}$"), card(m, key)).otherwise(phone(m, key))
+        .when(m.rlike(rf"^{DATE}$"), date(m, key))
+        .when(m.rlike(rf"^{CARD}$"), card(m, key)).otherwise(phone(m, key))
     )
 
 

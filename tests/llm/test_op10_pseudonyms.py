@@ -132,6 +132,24 @@ def test_several_in_one_text_and_equal_values_stay_linked(spark):
     assert [r["n"] for r in got] == [2, 4]
 
 
+def test_whole_secrets_names_phones_and_short_dates(spark):
+    long, jwt = "aB3" * 500, "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9"
+    hexes = hashlib.sha256(f"{KEY}|secret|{long}".encode()).hexdigest() * 30
+    cases = [(f"token={long}.", f"token={hexes[:len(long)]}."), (f'token: "{jwt}"', f'token: "{secret(jwt)}"'), ("password=hunter2!", f"password={secret('hunter2')}!"),
+             ("password = 'letmein'", f"password = '{secret('letmein')}'"), ("token: string", "token: string"), ("n" * 400 + "@a.example", email("n" * 400 + "@a.example"))]
+    cases += [(x, phone(x)) for x in ("+15551234567", "+1 555 123 4567", "+44 20 7946 0958", "+33 1 42 68 53 00", "01 42 68 53 00", "020 7946 0958", "555 123 4567", "+12345678", "+123456789012345")]
+    cases += [(x, x) for x in ("+1234567", "+1234567890123456", "10 000 000", "12 of 345 678 901")]
+
+    def short(text, parse):
+        d = datetime.date(1800, 1, 1) + datetime.timedelta(feistel((parse - datetime.date(1800, 1, 1)).days, 189, 773, "date"))
+        return text.format(d=d.day, m=d.month, y=d.year)
+
+    cases += [("3.5.2021", short("{d}.{m}.{y}", datetime.date(2021, 5, 3))), ("7/4/1999", short("{m}/{d}/{y}", datetime.date(1999, 7, 4))), ("2021-5-3", short("{y}-{m}-{d}", datetime.date(2021, 5, 3))),
+              ("31/1/1999", short("{d}/{m}/{y}", datetime.date(1999, 1, 31))), ("12.5.2021", short("{d}.{m}.{y}", datetime.date(2021, 5, 12)))]
+    got = replaced(spark, [(k, f"See {x} here") for k, (x, _) in enumerate(cases)])
+    assert [r["text"] for r in got] == [f"See {w} here" for _, w in cases]
+
+
 def test_edge_rows_and_other_columns(spark):
     schema = "doc_id long, text string, n_chars long, a string, b string, found string"
     rows = [(None, None, None, "p", "q", "r"), (1, "", 9, None, None, None), (2, "1.2.3.4", 7, "", "", ""), (2, "1.2.3.4", 7, "", "", "")]
