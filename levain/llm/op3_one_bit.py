@@ -14,8 +14,8 @@ Search.  Every vector is coded and every code is scored for every query, block b
 bound reaches the k-th exact score is reranked on the original vectors in double precision.
 
 Cases.  Vectors that are null, empty, zero, or hold null or non-finite components take no part,
-as queries either.  Shorter vectors count as padded with zeros.  Of rows that share an id the
-smallest vector stands.  Ties go to the smaller id.  A query with fewer than k others gets all.
+as queries either.  Shorter vectors count as padded with zeros.  Rows that share an id are
+rows like others.  Ties go to the smaller id.  A query with fewer than k others gets all.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levain.llm.blocks import search, valid
+from levain.llm.blocks import numbered, search, valid
 
 #: Code length at least, and the error bound in standard errors.
 BITS, EPSILON, SEED = 512, 2.6, 20
@@ -76,13 +76,14 @@ def error_bound(c: np.ndarray, bits: int, epsilon: float = EPSILON) -> np.ndarra
 def nearest_in_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, dims: int, bits: int, epsilon: float) -> pd.DataFrame:
     """The k nearest of each query within one block, by estimate, bound and exact rerank."""
     ids, qids = vectors["vec_id"].to_numpy("int64"), queries["vec_id"].to_numpy("int64")
-    order = np.argsort(ids)  # ties in a stable sort then go to the smaller id
+    order = np.argsort(ids, kind="stable")  # ties in a stable sort then go to the smaller id
+    rows, own = vectors["row"].to_numpy("int64")[order], queries["row"].to_numpy("int64")
     ids, x, q = ids[order], unit(stack(vectors["v"], dims))[order], unit(stack(queries["v"], dims))
     codes, c = encode(x, bits)
     bound, out = error_bound(c, bits, epsilon).astype("float32"), []
     for at in range(0, len(q), 128):
         high = estimates(q[at:at + 128], codes, c, bits)
-        high[qids[at:at + 128, None] == ids] = -np.inf
+        high[own[at:at + 128, None] == rows] = -np.inf
         for n, est in enumerate(high, at):
             first = np.argpartition(-est, min(k, len(est) - 1))[:k]
             first = first[est[first] > -np.inf]
@@ -90,13 +91,13 @@ def nearest_in_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, dims:
             near = np.flatnonzero((est + bound >= least) & (est > -np.inf))
             score = (x[near] * q[n]).sum(axis=1)
             best = np.argsort(-score, kind="stable")[:k]
-            out.append((np.full(len(best), qids[n]), ids[near[best]], score[best]))
-    return pd.DataFrame({"query_id": np.concatenate([o[0] for o in out]), "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
+            out.append((np.full(len(best), own[n]), np.full(len(best), qids[n]), ids[near[best]], score[best]))
+    return pd.DataFrame({name: np.concatenate(part) for name, part in zip(("query_row", "query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
 
 
 def nearest(df: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", bits: int = BITS, epsilon: float = EPSILON) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest others, by cosine, of each row that ``queries`` (a condition on ``vec_id``) picks."""
-    rows = valid(df, id_col, vec_col).filter(F.exists("v", lambda x: x != 0))
+    rows = numbered(valid(df, id_col, vec_col).filter(F.exists("v", lambda x: x != 0)))
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
     places = max(bits, -(-dims // 64) * 64)
     return search(rows, rows.filter(queries), lambda a, b: nearest_in_block(a, b, k, dims, places, epsilon), "double", k)

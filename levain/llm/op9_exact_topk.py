@@ -12,8 +12,9 @@ Scores are exact: sums that fit 53 bits are formed in double precision, else in
 a score beyond a 64-bit integer is given as the nearest one.
 
 Cases.  Vectors that are null or hold null or non-finite components take no part, as queries
-either; an empty vector has score 0 with all.  Shorter vectors count as padded with zeros.  Of rows
-that share an id the smallest vector stands.  A query with fewer than k others gets all.
+either; an empty vector has score 0 with all.  Shorter vectors count as padded with zeros.  Rows
+that share an id are rows like others: each is a candidate of the others, and each that is a query gets its own k.
+A query with fewer than k others gets all.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levain.llm.blocks import search, valid
+from levain.llm.blocks import numbered, search, valid
 from levain.llm.op3_one_bit import stack
 
 #: Documents in a range.
@@ -45,7 +46,8 @@ def _top(have_s: np.ndarray, have_i: np.ndarray, s: np.ndarray, i: np.ndarray, k
 def best_in_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, dims: int) -> pd.DataFrame:
     """The k highest scores of each query within one block."""
     ids, qids = vectors["vec_id"].to_numpy("int64"), queries["vec_id"].to_numpy("int64")
-    order = np.argsort(ids)
+    order = np.argsort(ids, kind="stable")
+    rows_, own = vectors["row"].to_numpy("int64")[order], queries["row"].to_numpy("int64")
     ids, x, q = ids[order], stack(vectors["v"], dims)[order], stack(queries["v"], dims)
     if dims * max(1.0, np.abs(x).max(initial=0)) * max(1.0, np.abs(q).max(initial=0)) >= 2.0**53:
         x, q = (np.vectorize(int, otypes=[object])(a) for a in (x, q))
@@ -67,7 +69,7 @@ def best_in_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, dims: in
             who = rows[ranges == r]
             part = slice(starts[r], starts[r] + RANGE)
             score = q[who] @ x[part].T
-            score[qids[who, None] == ids[part]] = never
+            score[own[who, None] == rows_[part]] = never
             beats = np.flatnonzero((score >= top_s[who, -1:]).any(axis=1))
             if len(beats):
                 top_s[who[beats]], top_i[who[beats]] = _top(top_s[who[beats]], top_i[who[beats]], score[beats], np.broadcast_to(ids[part], (len(beats), len(ids[part]))), k)
@@ -75,14 +77,15 @@ def best_in_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, dims: in
     found = top_s > never
     lim = np.iinfo("int64")
     score = [min(max(int(s), lim.min), lim.max) for s in top_s[found]] if x.dtype == object else top_s[found].astype("int64")
-    return pd.DataFrame({"query_id": np.broadcast_to(qids[:, None], found.shape)[found], "vec_id": top_i[found], "score": np.array(score, "int64")})
+    of = np.nonzero(found)[0]
+    return pd.DataFrame({"query_row": own[of], "query_id": qids[of], "vec_id": top_i[found], "score": np.array(score, "int64")})
 
 
 def top(df: DataFrame, queries: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` highest inner products, over the integers floor(scale * x),
     of each row that ``queries`` (a condition on ``vec_id``) picks, with every other row."""
     rows = valid(df, id_col, vec_col)
-    rows = rows.select("vec_id", F.transform("v", lambda x: _floor(x * scale)).alias("v"))
+    rows = numbered(rows.withColumn("v", F.transform("v", lambda x: _floor(x * scale))))
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
     return search(rows, rows.filter(queries), lambda a, b: best_in_block(a, b, k, dims), "long", k)
 

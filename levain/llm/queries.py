@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from levain.llm import (
     op1_lsh_forest, op2_language, op3_one_bit, op4_bpe_chunks, op5_url_filter, op6_packing, op7_main_text, op8_token_files, op9_exact_topk, op10_pseudonyms,
+    op13_hard_negatives,
 )
 from levain.llm.common import table
 
@@ -82,14 +83,42 @@ def pii_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.levain.pii.key", "example key")
 
 
+def op13_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 hard negatives for each of the 5 positives of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op13_hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_lsh_forest_join, op2_language_id, op3_one_bit_neighbours, op4_bpe_chunk_reuse, op5_url_verdicts, op6_length_buckets, op7_main_text_of_pages,
-              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms)
+              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms, op13_threshold_hard_negatives)
 }
 
+#: Whole, finite vectors with a number for each row; floor(scale * x) of each component, as doubles that hold the integers.
+_INTEGERS = """
+        rows AS (SELECT row_number() OVER () AS n, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+                 WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
 _AFTER = "CASE WHEN instr(url, '://') > 0 THEN split_part(substr(url, instr(url, '://') + 3), '#', 1) ELSE '' END"
 ORACLES: dict[str, str] = {
+    "op9_exact_top20": f"""
+        WITH {_INTEGERS.format(scale=64)},
+        scored AS (SELECT q.n, q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score FROM rows q JOIN rows r ON q.vec_id % 20 = 0 AND q.n <> r.n)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+        QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) <= 20
+    """,
+    "op13_threshold_hard_negatives": f"""
+        WITH {_INTEGERS.format(scale=256)},
+        labelled AS (SELECT n, vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM rows WHERE label IS NOT NULL),
+        scored AS (SELECT a.n, a.vec_id AS anchor_id, r.vec_id, r.n AS other, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+                   FROM labelled a JOIN labelled r ON a.vec_id % 100 = 0 AND a.n <> r.n),
+        positives AS (SELECT n, anchor_id, other, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+                      QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) <= 5),
+        ranked AS (SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                          row_number() OVER (PARTITION BY p.n, p.other ORDER BY s.score DESC, s.vec_id) AS rank
+                   FROM positives p JOIN scored s ON s.n = p.n AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """,
     "op5_url_verdicts": f"""
         WITH cut AS (SELECT page_id, coalesce({_AFTER}, '') AS rest FROM pages),
         parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
