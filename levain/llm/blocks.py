@@ -32,6 +32,11 @@ def numbered(rows: DataFrame) -> DataFrame:
     return written(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with columns of its own, for a plan in which the table meets itself."""
+    return rows.select(*(F.col(c).alias(c) for c in rows.columns))
+
+
 def dealt(by: str, blocks: int, seed: int = 42) -> Column:
     """A block from 0 for each value of ``by``."""
     return F.pmod(F.xxhash64(by, F.lit(seed)), F.lit(blocks)).cast("int")
@@ -46,7 +51,7 @@ def search(vectors: DataFrame, queries: DataFrame, run: Callable[[pd.DataFrame,
     n, q = vectors.count(), queries.count()
     across, down = max(1, math.ceil(n / vector_block)), max(1, math.ceil(q / query_block))
     left = vectors.withColumn("vb", dealt("row", across)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
-    right = queries.withColumn("qb", dealt("row", down, 1)).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+    right = apart(queries).withColumn("qb", dealt("row", down, 1)).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
     nothing = pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
     found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInPandas(
         lambda a, b: run(a, b) if len(a) and len(b) else nothing, f"query_row long, query_id long, vec_id long, score {score_type}")

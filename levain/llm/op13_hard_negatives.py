@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from levain.llm.blocks import QUERY_BLOCK, VECTOR_BLOCK, dealt, numbered, valid
+from levain.llm.blocks import QUERY_BLOCK, VECTOR_BLOCK, apart, dealt, numbered, valid
 from levain.llm.common import prepare, written
 from levain.llm.op3_one_bit import stack
 from levain.llm.op9_exact_topk import _floor
@@ -138,7 +138,7 @@ def mine(df: DataFrame, anchors: Column, label: Column, positives: int = 5, nega
     rows = numbered(rows.withColumn("v", F.transform("v", lambda x: _floor(x * scale))))
     size = rows.agg(F.max(F.size("v")), F.count("*"), F.count_if(anchors)).first()
     dims, across, down = size[0] or 1, max(1, math.ceil(size[1] / row_block)), max(1, math.ceil(size[2] / anchor_block))
-    picked = rows.filter(anchors).select(*(F.col(c).alias(c) for c in rows.columns))  # columns of its own beside those of ``rows``
+    picked = apart(rows.filter(anchors))
 
     # positives: blocks within a label, as many as its rows need
     held = rows.groupBy("label").agg(F.ceil(F.count("*") / row_block).cast("int").alias("of_rows"), F.greatest(F.lit(1), F.ceil(F.count_if(anchors) / anchor_block)).cast("int").alias("of_anchors"))
