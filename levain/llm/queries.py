@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from levain.llm import (
     op1_lsh_forest, op2_language, op3_one_bit, op4_bpe_chunks, op5_url_filter, op6_packing, op7_main_text, op8_token_files, op9_exact_topk, op10_pseudonyms,
-    op13_hard_negatives,
+    op12_prefix_trie, op13_hard_negatives,
 )
 from levain.llm.common import table
 
@@ -83,6 +83,11 @@ def pii_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.levain.pii.key", "example key")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return op12_prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=20)
+
+
 def op13_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 hard negatives for each of the 5 positives of every vector whose id is divisible by 100."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -92,7 +97,7 @@ def op13_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_lsh_forest_join, op2_language_id, op3_one_bit_neighbours, op4_bpe_chunk_reuse, op5_url_verdicts, op6_length_buckets, op7_main_text_of_pages,
-              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms, op13_threshold_hard_negatives)
+              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms, op12_conversation_trie, op13_threshold_hard_negatives)
 }
 
 #: Whole, finite vectors with a number for each row; floor(scale * x) of each component, as doubles that hold the integers.
@@ -107,6 +112,29 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
         QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) <= 20
     """,
+    "op12_conversation_trie": r"""
+        WITH read AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        keyed AS (SELECT conv_id, turn, role, text, md5(length(role) || ':' || role || text) AS key FROM read),
+        own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, key) AS pos FROM keyed),
+        crc AS (SELECT DISTINCT conv_id AS c, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                        lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))) AS crc FROM own),
+        convs AS (SELECT c, xor(crc, 4294967295) % 4 AS h FROM crc),
+        rebuilt AS (SELECT c, 0 AS part, pos, key, text FROM convs JOIN own ON conv_id = c - c % 20 AND pos <= h
+                    UNION ALL SELECT c, 1, pos, key, text FROM convs JOIN own ON conv_id = c AND pos > h),
+        numbered AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, key, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt),
+        paths AS (SELECT c, depth, words, string_agg(key, '') OVER (PARTITION BY c ORDER BY depth) AS path FROM numbered),
+        nodes AS (SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY path, depth
+                  UNION ALL SELECT '', 0, min(c), count(*), 0 FROM convs HAVING count(*) > 0),
+        children AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        below AS (SELECT n.path, (n.n_convs - 1) * n.words AS saved, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(generate_series(0, n.depth)) AS up FROM nodes n LEFT JOIN children k ON k.path = n.path),
+        sums AS (SELECT left(path, 32 * up) AS path, sum(saved) AS saved, sum(leaf) AS leaves FROM below GROUP BY 1),
+        finals AS (SELECT convs.c, coalesce(max_by(path, depth), '') AS path FROM convs LEFT JOIN paths ON paths.c = convs.c GROUP BY convs.c),
+        ends AS (SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest FROM finals GROUP BY path)
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+               coalesce(e.digest, sha256('')) AS ends_sha256
+        FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN children k ON k.path = n.path LEFT JOIN ends e ON e.path = n.path
+        LEFT JOIN nodes up ON n.depth > 0 AND up.path = left(n.path, length(n.path) - 32)
+    """,
     "op13_threshold_hard_negatives": f"""
         WITH {_INTEGERS.format(scale=256)},
         labelled AS (SELECT n, vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM rows WHERE label IS NOT NULL),
