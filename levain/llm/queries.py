@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from levain.llm import (
     op1_lsh_forest, op2_language, op3_one_bit, op4_bpe_chunks, op5_url_filter, op6_packing, op7_main_text, op8_token_files, op9_exact_topk, op10_pseudonyms,
-    op12_prefix_trie, op13_hard_negatives,
+    op11_toxicity, op12_prefix_trie, op13_hard_negatives,
 )
 from levain.llm.common import table
 
@@ -83,6 +83,11 @@ def pii_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.levain.pii.key", "example key")
 
 
+def op11_toxicity_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by the nearest labelled ones that are not held out."""
+    return op11_toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations."""
     return op12_prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=20)
@@ -97,7 +102,7 @@ def op13_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_lsh_forest_join, op2_language_id, op3_one_bit_neighbours, op4_bpe_chunk_reuse, op5_url_verdicts, op6_length_buckets, op7_main_text_of_pages,
-              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms, op12_conversation_trie, op13_threshold_hard_negatives)
+              op8_token_files_roundtrip, op9_exact_top20, op10_feistel_pseudonyms, op11_toxicity_votes, op12_conversation_trie, op13_threshold_hard_negatives)
 }
 
 #: Whole, finite vectors with a number for each row; floor(scale * x) of each component, as doubles that hold the integers.
