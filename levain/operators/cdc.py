@@ -8,11 +8,12 @@ a sequence, optionally a delete / truncate marker) into the target table:
   a delete closes the open version; only changes of the tracked columns open a new
   version, the other columns are updated in place (newest value within the version).
 
-Plan shape (SCD2): one hash exchange on the keys, one sort by (keys, sequence); every
-later step (dedupe, change flags, version values, end times) is a window with the same
-partitioning and ordering, so Spark adds no further exchange or sort.  With a skew
-threshold (``skew_rows``), keys holding that many events are split off and processed
-in sequence-range chunks (:func:`_scd2_chunked`), so no key is ever one task.  SCD1 is a single
+Plan shape (SCD2): a two-level scan.  Events are dealt by (key, slice of the sequence), one hash exchange and
+one sort, so that a hot key is spread over all slices; dedupe, change flags, version values and end times are windows with
+that partitioning and ordering.  What a slice must know of its neighbours (the state before it, the next change after it)
+comes from one summary row for each (key, slice): windows over the summaries, joined back.  Slices are
+equal steps of the sequence between two quantiles of a bounded hash sample, a function of the event alone, so any
+task that is run again deals alike; nothing runs while the plan is built.  SCD1 is a single
 ``groupBy(keys).agg(max_by(...))`` — partial aggregation on the map side, so a key that
 holds a third of all rows is pre-combined in every task before the shuffle.
 
@@ -29,6 +30,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEQ = "__seq"
 DEL = "__del"
@@ -37,9 +39,10 @@ TIE = "__tb"
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
-# keys with at least this many events are processed in sequence-range chunks (0: never)
-SKEW_CONF = "levain.cdc.skewRows"
-DEFAULT_SKEW_ROWS = 10_000_000
+# key and slice of the sequence, by which SCD2 events are dealt; events sampled for the slices' bounds
+KEY = "__key"
+SLICE = "__slice"
+BOUND_SAMPLE = 4096
 
 
 def _expr(x: str | Column) -> Column:
@@ -139,142 +142,99 @@ def prepare_changes(source: DataFrame, spec: CdcSpec) -> DataFrame:
     return out.withColumn(TIE, F.xxhash64(*tie_inputs))
 
 
-def _key_window(spec: CdcSpec):
-    return Window.partitionBy(*spec.keys).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
-
-
 def _distinct_from(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str],
-                      skew_rows: int | None = None) -> DataFrame:
-    """The SCD2 kernel over prepared change rows (all history for the keys present).
-
-    With ``skew_rows`` set, keys holding at least that many rows are split off and
-    processed by :func:`_scd2_chunked`, which never puts one key in one task.
+def _rank_code(seq: Column, kind: T.DataType) -> Column:
+    """A double that never falls as the sequence rises (equal codes for different values are fine)."""
+    if isinstance(kind, T.StructType):
+        first = kind.fields[0]
+        return _rank_code(seq.getField(first.name), first.dataType)
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return seq.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(seq).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(seq).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_date(seq.cast("date")) * 86400.0 + F.hour(seq) * 3600 + F.minute(seq) * 60 + F.second(seq)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(seq, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.lit(0.0)
+
+
+def _sliced(prepared: DataFrame, slices: int) -> DataFrame:
+    """``prepared`` with ``SLICE`` from 0: equal steps between the 5 % and the 95 % quantile of the sequence, the rest in the
+    first and the last.  The quantiles come from the events with the smallest hashes, so a repeated task finds the same."""
+    kind = prepared.schema[SEQ].dataType
+    code = F.coalesce(_rank_code(F.col(SEQ), kind), F.lit(float("-inf")))
+    if slices < 2:
+        return prepared.withColumn(SLICE, F.lit(0))
+    some = prepared.select(code.alias("c"), F.xxhash64(KEY, SEQ).alias("h")).filter(~F.isnan("c") & (F.abs("c") < float("inf"))).orderBy("h", "c").limit(BOUND_SAMPLE)
+    bounds = some.agg(F.percentile("c", F.array(F.lit(0.05), F.lit(0.95)))).scalar()
+    low, high = bounds[0], bounds[1]
+    step = F.floor((F.least(code, high) - low) / F.when(high > low, high - low) * (slices - 2)) + 1
+    return prepared.withColumn(SLICE, F.when(F.isnan(code) | (code > high), slices - 1).when(code > low, F.least(F.coalesce(step, F.lit(1)), F.lit(slices - 2))).otherwise(0).cast("int"))
+
+
+def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str], slices: int | None = None) -> DataFrame:
+    """The SCD2 kernel over prepared change rows (all history for the keys present), as one lazy plan.
+
+    ``slices`` (else ``spec.extra["slices"]``, else the session's shuffle partitions) is the number of tasks a hot key is dealt to.
     """
-    if skew_rows is None:
-        skew_rows = spec.extra.get("skew_rows")
-    if skew_rows is None:
-        skew_rows = int(prepared.sparkSession.conf.get(SKEW_CONF, str(DEFAULT_SKEW_ROWS)))
-    if not skew_rows:
-        return _scd2_by_key(prepared, spec, data_cols)
-    keys = list(spec.keys)
-    counts = prepared.groupBy(*keys).count().filter(F.col("count") >= int(skew_rows))
-    hot_total = counts.agg(F.sum("count")).first()[0]  # one number
-    if not hot_total:
-        return _scd2_by_key(prepared, spec, data_cols)
-    hot = counts.select(*keys)
-    cold_rows = join_keys(prepared, hot, keys, "left_anti")
-    hot_rows = join_keys(prepared, hot, keys, "left_semi")
-    chunks = max(2, -(-int(hot_total) // int(skew_rows)))  # about skew_rows events per chunk
-    return _scd2_by_key(cold_rows, spec, data_cols).unionByName(
-        _scd2_chunked(hot_rows, spec, data_cols, chunks))
-
-
-def _scd2_by_key(prepared: DataFrame, spec: CdcSpec, data_cols: list[str]) -> DataFrame:
-    """One exchange on the keys, one sort; every step is a window with that same spec."""
+    slices = slices or spec.extra.get("slices") or int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tracked = spec.tracked_columns(data_cols)
     untracked = [c for c in data_cols if c not in tracked]
-    w = _key_window(spec)
-
-    # 1. one row per (key, sequence): the first in (seq asc, tie-hash desc) order
-    x = prepared.withColumn("__pseq", F.lag(SEQ).over(w))
-    x = x.filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ))).drop("__pseq")
-
-    # 2. change flag: first event, delete <-> upsert switch, or a tracked value changed
-    trk = F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True)
-    x = x.withColumn("__trk", trk)
-    prev_del = F.lag(DEL).over(w)
-    prev_trk = F.lag("__trk").over(w)
-    x = x.withColumn("__chg", prev_del.isNull() | (prev_del != F.col(DEL))
-                     | (~F.col(DEL) & _distinct_from(F.col("__trk"), prev_trk)))
-
-    # 3. untracked columns take the value of the last event of their version
+    # keys as one struct: equal where their parts are, NULL parts too, and join and windows ask for one partitioning
+    x = prepared.select(F.struct(*spec.keys).alias(KEY), SEQ, DEL, TIE, F.struct(*tracked, F.lit(0).alias("__")).alias("__trk"), F.struct(*untracked, F.lit(0).alias("__")).alias("__u"))
+    x = _sliced(x, int(slices))
+    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
+
+    # 1. one row per (key, sequence), the first by (sequence, falling tie hash); equal sequences share a slice
+    x = x.withColumn("__pseq", F.lag(SEQ).over(own))
+    x = x.filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ))).drop("__pseq", TIE)
+    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc())
+
+    # 2. changes within the slice: delete <-> upsert, or a tracked value changed
+    def changed(now_del, now_trk, was_del, was_trk):
+        return (was_del != now_del) | (~now_del & _distinct_from(now_trk, was_trk))
+
+    x = x.withColumns({"__wasdel": F.lag(DEL).over(own), "__wastrk": F.lag("__trk").over(own)})
+    x = x.withColumn("__first", F.col("__wasdel").isNull())
+    x = x.withColumn("__inner", ~F.col("__first") & changed(F.col(DEL), F.col("__trk"), F.col("__wasdel"), F.col("__wastrk"))).drop("__wasdel", "__wastrk")
     if untracked:
-        nxt = F.lead("__chg").over(w)
-        x = x.withColumn("__last", nxt.isNull() | nxt)
-        x = x.filter(F.col("__chg") | F.col("__last"))
-        u = F.struct(*[F.col(c) for c in untracked])
-        x = x.withColumn("__u", F.when(F.col("__last"), u).otherwise(F.lead(u).over(w)))
-        x = x.withColumns({c: F.col(f"__u.{c}") for c in untracked})
-
-    # 4. versions: change rows; a version ends where the next change (insert or delete) starts
-    v = x.filter(F.col("__chg")).withColumn(END_AT, F.lead(SEQ).over(w))
-    v = v.filter(~F.col(DEL))
-    return v.select(*[F.col(k) for k in spec.keys], *[F.col(c) for c in data_cols],
-                    F.col(SEQ).alias(START_AT), F.col(END_AT))
-
-
-CHUNK = "__chunk"
+        x = x.withColumn("__before", F.sum(F.col("__inner").cast("int")).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 0)
 
-
-def _scd2_chunked(hot_rows: DataFrame, spec: CdcSpec, data_cols: list[str], chunks: int) -> DataFrame:
-    """SCD2 for hot keys: each key's history is cut into sequence ranges ("chunks").
-
-    ``repartitionByRange(keys, seq)`` samples the rows and cuts even a single key into
-    balanced, ordered ranges; the partition id is the chunk.  Neighbour operations run
-    per (key, chunk) and the chunk boundaries are stitched with one summary row per
-    chunk, joined on (key, chunk).  Version values come from
-    a partial + final aggregate per (key, version), so a version spanning many chunks is
-    pre-combined in every task.
-    """
-    keys = list(spec.keys)
-    tracked = spec.tracked_columns(data_cols)
-    untracked = [c for c in data_cols if c not in tracked]
-    kc = [*keys, CHUNK]
-    # The range bounds come from sampling (re-sampled with an RDD-id seed when partitions
-    # are uneven), so two evaluations of this exchange may cut different chunks.  The
-    # summaries below read the chunked rows several times, and a lost executor would make
-    # Spark recompute them: the assignment is therefore written once to the shared
-    # checkpoint folder and every branch (and every retry) reads that copy.
-    x = hot_rows.repartitionByRange(chunks, *[F.col(k) for k in keys], F.col(SEQ))
-    x = x.withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True)
-    wl = Window.partitionBy(*kc).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
-    ws = Window.partitionBy(*keys).orderBy(CHUNK)
-
-    # 1. dedupe per (key, sequence): equal sort keys always share a range partition
-    x = x.withColumn("__pseq", F.lag(SEQ).over(wl))
-    x = x.filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ))).drop("__pseq")
-    x = x.withColumn("__trk", F.struct(*[F.col(c) for c in tracked]) if tracked else F.lit(True))
-
-    # 2. the previous row of a chunk's first row is the previous chunk's last row
-    last = x.groupBy(*kc).agg(F.max_by(F.struct(F.col(DEL).alias("d"), F.col("__trk").alias("t")), SEQ)
-                              .alias("__l"))
-    prev = last.withColumn("__p", F.lag("__l").over(ws)).select(*kc, "__p")
-    x = join_keys(x, prev, kc, "left")
-    local_del = F.lag(DEL).over(wl)
-    prev_del = F.when(local_del.isNull(), F.col("__p.d")).otherwise(local_del)
-    prev_trk = F.when(local_del.isNull(), F.col("__p.t")).otherwise(F.lag("__trk").over(wl))
-    x = x.withColumn("__chg", (prev_del.isNull() | (prev_del != F.col(DEL))
-                               | (~F.col(DEL) & _distinct_from(F.col("__trk"), prev_trk))).cast("int"))
-
-    # 3. global version number = changes so far in this chunk + changes in earlier chunks
-    x = x.withColumn("__lv", F.sum("__chg").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    counts = x.groupBy(*kc).agg(F.sum("__chg").alias("__n"))
-    offs = counts.withColumn("__off", F.coalesce(
-        F.sum("__n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(*kc, "__off")
-    x = join_keys(x, offs, kc, "inner").withColumn("__v", F.col("__lv") + F.col("__off"))
-
-    # 4. one row per version: its first event (tracked values, delete flag) and newest untracked values
-    first = F.struct(F.col(SEQ).alias("s"), F.col(DEL).alias("d"), *[F.col(c) for c in tracked])
-    aggs = [F.min_by(first, SEQ).alias("__f"), F.min(CHUNK).alias(CHUNK)]
+    # 3. one summary row for each slice, and windows over those of a key, forwards and backwards
+    aggs = [F.min_by(F.struct(SEQ, DEL, "__trk"), SEQ).alias("f"), F.max_by(F.struct(DEL, "__trk", "__u"), SEQ).alias("l"), F.min(F.when(F.col("__inner"), F.col(SEQ))).alias("inner")]
     if untracked:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in untracked]), SEQ).alias("__u"))
-    ver = x.groupBy(*keys, "__v").agg(*aggs)
-    ver = ver.select(*keys, CHUNK, F.col("__f.s").alias(START_AT), F.col("__f.d").alias(DEL),
-                     *[F.col(f"__f.{c}").alias(c) for c in tracked],
-                     *[F.col(f"__u.{c}").alias(c) for c in untracked])
-
-    # 5. a version ends where the next one starts (next in its chunk, else the next chunk's first)
-    wv = Window.partitionBy(*kc).orderBy(START_AT)
-    starts = ver.groupBy(*kc).agg(F.min(START_AT).alias("__fs"))
-    nxt = starts.withColumn("__nf", F.lead("__fs").over(ws)).select(*kc, "__nf")
-    ver = join_keys(ver, nxt, kc, "left")
-    ver = ver.withColumn(END_AT, F.coalesce(F.lead(START_AT).over(wv), F.col("__nf")))
-    ver = ver.filter(~F.col(DEL))
-    return ver.select(*[F.col(k) for k in keys], *[F.col(c) for c in data_cols], F.col(START_AT), F.col(END_AT))
+        aggs.append(F.max_by("__u", F.when(F.col("__before"), F.col(SEQ))).alias("pre"))
+    part = x.groupBy(KEY, SLICE).agg(*aggs)
+    up, down = Window.partitionBy(KEY).orderBy(SLICE), Window.partitionBy(KEY).orderBy(F.col(SLICE).desc())
+    later = down.rowsBetween(Window.unboundedPreceding, -1)
+    part = part.withColumn("was", F.lag("l").over(up))
+    part = part.withColumn("__opens", F.col("was").isNull() | changed(F.col(f"f.{DEL}"), F.col("f.__trk"), F.col(f"was.{DEL}"), F.col("was.__trk")))
+    part = part.withColumn("change", F.when(F.col("__opens"), F.col(f"f.{SEQ}")).otherwise(F.col("inner")))
+    part = part.withColumn("__next", F.min("change").over(later))
+    if untracked:  # the last untracked values before the first change of this slice; those that the slice's last version ends with
+        ends = F.when(F.col("change").isNotNull(), F.when(F.col("__opens"), F.col("was.__u")).otherwise(F.col("pre")))
+        part = part.withColumn("ends", ends)
+        part = part.withColumn("__ucont", F.coalesce(F.last("ends", ignorenulls=True).over(later), F.first("l.__u").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    part = part.select(F.col(KEY).alias("__k"), F.col(SLICE).alias("__s"), "__opens", "__next", *(["__ucont"] if untracked else []))
+    x = x.join(part, (F.col(KEY) == F.col("__k")) & (F.col(SLICE) == F.col("__s"))).drop("__k", "__s")
+    x = x.withColumn("__chg", F.when(F.col("__first"), F.col("__opens")).otherwise(F.col("__inner")))
+
+    # 4. untracked columns take the value of the last event of their version
+    if untracked:
+        nxt = F.lead("__chg").over(own)
+        x = x.withColumn("__nxt", nxt).withColumn("__last", F.col("__nxt").isNull() | F.col("__nxt"))
+        x = x.filter(F.col("__chg") | F.col("__last")).withColumn("__u", F.when(F.col("__nxt").isNull(), F.col("__ucont")).otherwise(F.col("__u")))
+        x = x.withColumn("__u", F.when(F.col("__last"), F.col("__u")).otherwise(F.lead("__u").over(own)))
+
+    # 5. versions: change rows; a version ends where the next change (insert or delete) starts
+    v = x.filter(F.col("__chg")).withColumn(END_AT, F.coalesce(F.lead(SEQ).over(own), F.col("__next"))).filter(~F.col(DEL))
+    return v.select(*[F.col(f"{KEY}.{k}").alias(k) for k in spec.keys], *[F.col(f"{'__trk' if c in tracked else '__u'}.{c}").alias(c) for c in data_cols], F.col(SEQ).alias(START_AT), F.col(END_AT))
 
 
 def scd1_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str]) -> DataFrame:
@@ -289,17 +249,12 @@ def scd1_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str])
     return latest.select(*[F.col(k) for k in spec.keys], *[F.col(f"__r.{c}").alias(c) for c in data_cols])
 
 
-def apply_changes(source: DataFrame, spec: CdcSpec, skew_rows: int | None = None) -> DataFrame:
-    """One-shot CDC apply of a whole change feed (batch).
-
-    ``skew_rows`` (else ``spec.extra["skew_rows"]``, else the session conf
-    ``levain.cdc.skewRows``, default 10M; 0 disables): keys with at least this many
-    events take the split path.
-    """
+def apply_changes(source: DataFrame, spec: CdcSpec, slices: int | None = None) -> DataFrame:
+    """One-shot CDC apply of a whole change feed (batch); ``slices`` as for :func:`scd2_from_changes`."""
     data_cols = spec.data_columns(source.columns)
     prepared = prepare_changes(source, spec)
     if spec.stored_as_scd_type == 2:
-        return scd2_from_changes(prepared, spec, data_cols, skew_rows)
+        return scd2_from_changes(prepared, spec, data_cols, slices)
     return scd1_from_changes(prepared, spec, data_cols)
 
 

@@ -1,6 +1,7 @@
 """SCD1 / SCD2 semantics on hand-made change feeds (FIXTURES.md §3)."""
 
 import datetime as dt
+import decimal
 import random
 
 import pytest
@@ -141,21 +142,63 @@ def test_scd1_target_tombstones_and_truncate(spark, workdir):
     assert rows(t.read(), "k", "v") == [(3, "C")]
 
 
-@pytest.mark.parametrize("skew_rows", [1, 25])
-def test_hot_key_split_path_equals_plain_kernel(spark, skew_rows):
-    """Keys above the threshold go through range chunks; the table must not change."""
+def plain_versions(events, tracked):
+    """SCD2 by key, event by event: (k, v, u, seq, deleted) with distinct sequences -> (k, v, u, start, end)."""
+    out, of = [], {}
+    for e in events:
+        of.setdefault(e[0], []).append(e)
+    for k, mine in of.items():
+        open_, was = None, None
+        for _, v, u, seq, deleted in sorted(mine, key=lambda e: e[3]):
+            now = (deleted, None if deleted else (v, u) if tracked == ("v", "u") else (v,))
+            if now != was:
+                if open_:
+                    out.append((*open_, seq))
+                open_ = None if deleted else [k, v, u, seq]
+            elif open_:
+                open_[2] = u  # an untracked column takes the newest value
+            was = now
+        if open_:
+            out.append((*open_, None))
+    return out
+
+
+def in_order(found):
+    return sorted(found, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 60, None])
+@pytest.mark.parametrize("tracked", [("v", "u"), ("v",)])
+def test_hot_null_and_plain_keys_in_any_number_of_slices(spark, slices, tracked):
     data = _random_feed(spark, 11, n=400)
-    data += [(99, "A" if i % 7 else "B", i % 5, dt.datetime(2024, 3, 1) + dt.timedelta(seconds=i), None)
-             for i in range(300)]  # one hot key with long unchanged runs
-    df = feed(spark, data).repartition(5)
-    for spec in (CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), apply_as_deletes="op = 'D'"),
-                 CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), track_history=("v",),
-                         apply_as_deletes="op = 'D'")):
-        plain = rows(apply_changes(df, spec))
-        spark.conf.set("spark.sql.shuffle.partitions", "7")
-        split = rows(apply_changes(df, spec, skew_rows=skew_rows))
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        assert split == plain
+    data += [(99, "A" if i % 7 else "B", i % 5, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), None) for i in range(300)]
+    data += [(98, "A", i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), "D" if i in (40, 41, 290) else None) for i in range(300)]  # long unchanged runs
+    data += [(None, "AB"[i // 50 % 2], i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), None) for i in range(200)]
+    spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), track_history=tracked, apply_as_deletes="op = 'D'")
+    got = [tuple(r) for r in apply_changes(feed(spark, data).repartition(5), spec, slices=slices).collect()]
+    assert in_order(got) == in_order(plain_versions([(k, v, u, ts, op == "D") for k, v, u, ts, op in data], tracked))
+
+
+@pytest.mark.parametrize("kind,of", [("long", lambda i: i * 10**12), ("double", lambda i: [float("-inf"), -1e300, 0.0, 3.5, 1e300, float("inf"), float("nan")][i // 6] if i % 6 == 0 else i + 0.5),
+                                     ("date", lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)), ("string", lambda i: f"{i:03d}" + "x" * 20), ("decimal(20,2)", decimal.Decimal),
+                                     ("struct<a:date,b:long>", lambda i: (dt.date(2024, 1, 1 + i // 10), i)), ("timestamp", lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)), ("binary", lambda i: bytes([i]))])
+def test_slices_keep_the_order_of_any_sequence(spark, kind, of):
+    data = [(k, "ABC"[(i * i + k) // 7 % 3], of(i)) for k in (1, 2) for i in range(40)]
+    df = spark.createDataFrame(data, f"k long, v string, s {kind}")
+    spec = CdcSpec(keys=("k",), sequence_by="s", columns=("v",))
+    one, many = ([tuple(map(str, r)) for r in apply_changes(df, spec, slices=n).collect()] for n in (1, 9))
+    assert in_order(one) == in_order(many) and len(one) > 10
+
+
+def test_scd2_runs_nothing_while_the_plan_is_built(spark):
+    data = _random_feed(spark, 3)
+    df = feed(spark, data)
+    spark.sparkContext.setJobGroup("build", "build")
+    out = apply_changes(df, CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), track_history=("v",)))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    out.count()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_target_remembers_delete_that_arrived_first(spark, workdir):
@@ -227,10 +270,10 @@ def test_null_sequence_fails_by_name(spark):
         scd2(df, "k", "ts", columns=("v",)).collect()
 
 
-@pytest.mark.parametrize("skew_rows", [0, 1, 3])
-def test_null_key_is_a_key_like_others(spark, skew_rows):
+@pytest.mark.parametrize("slices", [1, 2, 5])
+def test_null_key_is_a_key_like_others(spark, slices):
     data = [(k, v, 0, T[n], None) for k in (None, 1) for n, v in enumerate("AABBA", 1)]
-    out = apply_changes(feed(spark, data), CdcSpec(keys=("k",), sequence_by="ts", columns=("v",)), skew_rows=skew_rows)
+    out = apply_changes(feed(spark, data), CdcSpec(keys=("k",), sequence_by="ts", columns=("v",)), slices=slices)
     want = [("A", T[1], T[3]), ("B", T[3], T[5]), ("A", T[5], None)]
     assert versions(out) == sorted([(k, *w) for k in (None, 1) for w in want], key=lambda r: tuple((x is None, str(x)) for x in r))
 
