@@ -423,7 +423,7 @@ EVENTS_SPEC = CdcSpec(keys=("user_id",), sequence_by="ts", columns=("event_type"
 def scd2_incremental(spark, sf) -> DataFrame:
     """Four in-order weekly batches through the bucketed target equal the one-shot result."""
     root = run_dir(spark, "scd2_incremental")
-    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC)
     ev = analogs.events(spark, sf).withColumn("__week", F.expr(analogs.EVENT_BATCH_SQL))
     for week in range(4):
         target.apply(ev.filter(F.col("__week") == week).drop("__week"), week)
@@ -434,7 +434,7 @@ def scd2_incremental(spark, sf) -> DataFrame:
 def scd_late_events(spark, sf) -> DataFrame:
     """Every fourth event arrives one batch late; late='ignore' drops those older than the key's newest."""
     root = run_dir(spark, "scd_late_events")
-    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC)
     ev = analogs.events(spark, sf)
     target.apply(ev.filter(F.col("event_id") % 4 != 0), 0)
     target.apply(ev.filter(F.col("event_id") % 4 == 0), 1)
@@ -446,7 +446,7 @@ def scd_late_merge(spark, sf) -> DataFrame:
     root = run_dir(spark, "scd_late_merge")
     spec = CdcSpec(keys=EVENTS_SPEC.keys, sequence_by="ts", columns=EVENTS_SPEC.columns,
                    apply_as_deletes=EVENTS_SPEC.apply_as_deletes, late="merge")
-    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", spec)
     ev = analogs.events(spark, sf)
     target.apply(ev.filter(F.col("event_id") % 4 != 0), 0)
     target.apply(ev.filter(F.col("event_id") % 4 == 0), 1)
@@ -460,7 +460,7 @@ def cursor_incremental_scd2(spark, sf) -> DataFrame:
     first = changes.filter(F.col("updated_at") == F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     latest = changes.withColumn("__rk", F.row_number().over(
         Window.partitionBy("customerid").orderBy(F.desc("updated_at")))).filter("__rk = 1").drop("__rk")
-    target = CdcTarget(spark, f"{root}/target", chain.CUSTOMER_CDC, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", chain.CUSTOMER_CDC)
     for i, snap in enumerate((first, latest)):
         snap.write.mode("overwrite").parquet(f"{root}/db_customers")  # the database table at time i
         ing = CursorIngest(spark, table_source(lambda: spark.read.parquet(f"{root}/db_customers")),
@@ -474,7 +474,7 @@ def cursor_incremental_scd1(spark, sf) -> DataFrame:
     root = run_dir(spark, "cursor_scd1")
     tx = analogs.order_transactions(spark, sf)
     spec = CdcSpec(keys=("transactionid",), sequence_by="updated_at", stored_as_scd_type=1)
-    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", spec)
     snaps = (tx.filter(F.col("updated_at") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")), tx)
     for snap in snaps:
         snap.write.mode("overwrite").parquet(f"{root}/db_transactions")
@@ -488,7 +488,7 @@ def cursor_resume(spark, sf) -> DataFrame:
     root = run_dir(spark, "cursor_resume")
     tx = analogs.order_transactions(spark, sf)
     spec = CdcSpec(keys=("transactionid",), sequence_by="updated_at", stored_as_scd_type=1)
-    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=8)
+    target = CdcTarget(spark, f"{root}/target", spec)
 
     class BreaksOff(CursorIngest):
         def _record(self, run, low, high, kind, done):
@@ -520,7 +520,7 @@ def scd2_composite_key(spark, sf) -> DataFrame:
     spec = CdcSpec(keys=("user_id", "region"), sequence_by="ts", columns=("event_type", "value"),
                    apply_as_deletes="event_type = 'error'")
     ev = analogs.events(spark, sf).withColumn("region", F.expr(NULLED_REGION))
-    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=4)
+    target = CdcTarget(spark, f"{root}/target", spec)
     week = F.expr(analogs.EVENT_BATCH_SQL)
     for i in range(4):
         target.apply(ev.filter(week == i), i)
@@ -533,7 +533,7 @@ def scd1_truncate_incremental(spark, sf) -> DataFrame:
     root = run_dir(spark, "scd1_truncate_incremental")
     spec = CdcSpec(keys=("user_id",), sequence_by="ts", columns=("ts", "event_type", "value"), stored_as_scd_type=1,
                    apply_as_truncates="value > 480", late="merge")
-    target = CdcTarget(spark, f"{root}/target", spec, num_buckets=4)
+    target = CdcTarget(spark, f"{root}/target", spec)
     ev = analogs.events(spark, sf)
     for i, part in enumerate((ev.filter("event_id % 4 <> 0"), ev.filter("event_id % 4 = 0"))):
         target.apply(part, i)
@@ -546,7 +546,7 @@ def scd2_tie_across_batches(spark, sf) -> DataFrame:
     root = run_dir(spark, "scd2_tie_across_batches")
     ev = analogs.events(spark, sf).select("user_id", "ts", "event_type", "value")
     again = ev.groupBy("user_id").agg(F.max_by(F.struct("ts", "event_type", (F.col("value") + 1).alias("value")), "ts").alias("e")).select("user_id", "e.*")
-    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC, num_buckets=4)
+    target = CdcTarget(spark, f"{root}/target", EVENTS_SPEC)
     for i, part in enumerate((ev, again)):
         target.apply(part, i)
     both = apply_changes(ev.unionByName(again), EVENTS_SPEC).withColumn("n", F.lit(1)).unionByName(target.read().withColumn("n", F.lit(-1)))

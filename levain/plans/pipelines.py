@@ -41,10 +41,10 @@ class FilePipeline:
                  rules: Expectations, evolution_mode: str, schema_hints: str | None = None,
                  clean=None, quarantine_rule: str | None = None, max_files_per_trigger: int | None = None,
                  max_bytes_per_trigger: str | None = None, max_file_age: str | None = None,
-                 event_log: EventLog | None = None, num_buckets: int = 64):
+                 event_log: EventLog | None = None):
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
         self.rules, self.clean, self.quarantine_rule = rules, clean, quarantine_rule
-        self.log, self.spec, self.num_buckets = event_log, spec, num_buckets
+        self.log, self.spec = event_log, spec
         self.ingest_args = dict(path=source_glob, options=CSV_OPTIONS, evolution_mode=evolution_mode, schema_hints=schema_hints,
                                 max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger,
                                 max_file_age=max_file_age)
@@ -65,7 +65,7 @@ class FilePipeline:
         self.bronze = FileIngest(
             self.spark, target=f"{self.base}/bronze/{self.name}_raw", checkpoint=f"{self.base}/_checkpoints/{self.name}_raw",
             schema_location=f"{self.base}/_schemas/{self.name}", **self.ingest_args)
-        self.silver = CdcTarget(self.spark, f"{self.base}/silver/{self.name}", self.spec, num_buckets=self.num_buckets,
+        self.silver = CdcTarget(self.spark, f"{self.base}/silver/{self.name}", self.spec,
                                 expectations=self.rules, on_metrics=self._metrics)
 
     def full_refresh(self, update_id: str | None = None) -> str:

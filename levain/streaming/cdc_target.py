@@ -1,103 +1,68 @@
-"""An updatable SCD1 / SCD2 target on plain Parquet, maintained batch by batch.
-
-Parquet tables cannot MERGE, so the target is partitioned by
-``__bucket = pmod(xxhash64(keys), N)`` and every micro-batch rewrites only the buckets
-it touches:
-
-1. the batch's change rows are prepared and bucketed; only the distinct bucket numbers
-   (at most N integers) reach the driver;
-2. the touched partitions of the stored table are read (partition pruning) and turned
-   back into change rows (SCD2: a version -> an insert at ``__START_AT``, an end with no
-   successor -> a delete at ``__END_AT``; ``late="merge"`` keeps the change log itself);
-3. stored + new rows go through the same kernel as the batch ``apply_changes``;
-4. the result is written to ``_staging/<batch_id>`` and then copied over the touched
-   partitions with dynamic partition overwrite; a ``_commits/<batch_id>`` marker makes a
-   replayed batch (``foreachBatch`` is at-least-once) a no-op, and a finished staging
-   folder is re-published instead of recomputed after a crash; a published one is removed.
-
-State that versions do not show: with ``late="ignore"`` every row of a key carries the newest
-(sequence, tie hash) applied for it, and a key whose events left no version (a delete that
-came first) keeps one stub row.  SCD1 remembers each batch's newest truncate in ``_truncates``.
-SCD1 deletes stay as tombstone rows
-(``__del``) because dynamic overwrite never clears a partition that ends up empty.
+"""An updatable SCD1 / SCD2 target on plain Parquet, log-structured: a batch of k keys writes rows for those keys only.
+
+Every batch writes one new folder and commits a manifest that names it (see ``sources.versions``): readers see whole
+batches, a replayed batch is a no-op, one that breaks off leaves the version before.  Nothing is
+rewritten in place.  What a batch writes:
+
+* SCD1 — the newest event of each of its keys.  Reading takes each key's newest by (sequence, tie hash); a delete hides
+  the key, and so does a remembered truncate at or after it.
+* SCD2, ``late="ignore"`` — *closed* versions (appended, never touched again) and the *state* of its keys: the open version,
+  one that ended at the key's newest sequence (an event of that sequence with a larger tie hash can still change it), and
+  a row with the newest (sequence, tie hash) applied.  The newest state of a key stands.
+* SCD2, ``late="merge"`` — its events go to a *log*; then each key's history is respliced where the events fall: from
+  the last change before the first of them to the second change after the last of them, which bounds every version they can cut,
+  merge or extend.  The versions that started in that interval are *removed* (by key and start), their successors written.
+
+``compact`` merges the folders of a table into one; it is maintenance, never part of a batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
-from levain.operators.cdc import (DEL, END_AT, SEQ, START_AT, TIE, TRUNC, CdcSpec, check_target_schema,
-                                  join_keys, prepare_changes, scd2_from_changes)
+from levain.operators.cdc import (DEL, END_AT, KEY, SEQ, START_AT, TIE, TRUNC, CdcSpec, check_target_schema, prepare_changes,
+                                  scd2_from_changes)
 from levain.operators.expectations import Expectations
 from levain.sources import fs
+from levain.sources.versions import Versions, has_batch, with_batch
 
-BUCKET = "__bucket"
 LAST = "__last_seq"
 LAST_TIE = "__last_tie"
-STUB = "__stub"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return fs.exists(spark, path)
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    fs.touch(spark, path)
+HEAD = "__head"
+GEN = "__gen"
+KIND = "__kind"
+CLOSED, STATE, REMOVED, LOG, TRUNCATES = "closed", "state", "removed", "log", "truncates"
 
 
 class CdcTarget:
     """SCD target at ``path``; ``apply(batch_df, batch_id)`` is the ``foreachBatch`` function."""
 
-    def __init__(self, spark: SparkSession, path: str, spec: CdcSpec, num_buckets: int = 64,
-                 expectations: Expectations | None = None, on_metrics=None, target_schema=None):
+    def __init__(self, spark: SparkSession, path: str, spec: CdcSpec, expectations: Expectations | None = None, on_metrics=None, target_schema=None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.spec = spec
-        self.n = int(num_buckets)
         self.expectations = expectations
-        self.on_metrics = on_metrics  # callback(batch_id, [expectation records])
+        self.on_metrics = on_metrics  # callback(batch_id, [expectation records]), after the commit
         self.target_schema = target_schema  # an explicit schema (StructType) that each batch is checked against
-        self._data_cols: list[str] | None = None
-
-    # ------------------------------------------------------------------ paths
-    def _p(self, *parts) -> str:
-        return "/".join([self.path, *map(str, parts)])
-
-    def _read(self, name: str, touched: list[int] | None = None) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(self._p(name))
-        except AnalysisException:
-            return None
-        if any(c not in df.columns for c in (self._data_cols or [])):
-            # the source gained a column since some files were written: merge the file schemas
-            df = self.spark.read.option("mergeSchema", "true").parquet(self._p(name))
-        if touched is not None:
-            df = df.filter(F.col(BUCKET).isin(touched))
-        return self._align(df)
-
-    def _align(self, df: DataFrame) -> DataFrame:
-        """Add data columns the stored rows do not have yet (NULL), typed like the batch."""
-        types = getattr(self, "_types", {})
-        missing = {c: F.lit(None).cast(types[c]) for c in (self._data_cols or []) if c not in df.columns and c in types}
-        return df.withColumns(missing) if missing else df
-
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.n)))
+        self.versions = Versions(spark, self.path)
 
     # ------------------------------------------------------------------ public
-    def read(self) -> DataFrame:
-        """The target table as users see it (internal columns removed, tombstones filtered)."""
-        name = "versions" if self.spec.stored_as_scd_type == 2 else "current"
-        df = self._read(name)
-        if df is None:
+    def read(self, version: int | None = None) -> DataFrame:
+        """The target as users see it, of the current version or of an earlier one that was not vacuumed."""
+        m = self.versions.current() if version is None else self.versions.manifest(version)
+        if not m["version"]:
             raise RuntimeError(f"target {self.path} has no committed batch yet")
         if self.spec.stored_as_scd_type == 1:
-            df = df.filter(~F.col(DEL))
-        if STUB in df.columns:
-            df = df.filter(~F.col(STUB))
-        return df.drop(BUCKET, DEL, SEQ, TIE, TRUNC, LAST, LAST_TIE, STUB)
+            return self._scd1(m)
+        live = self._live(m)
+        if self.spec.late == "ignore":
+            state = self._state(m).filter(~F.col(HEAD))
+            live = live.unionByName(state.select(*live.columns))
+        return live.drop(GEN)
 
     def stream_into(self, stream_df: DataFrame, checkpoint: str, trigger_available_now: bool = True):
         w = stream_df.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
@@ -105,175 +70,209 @@ class CdcTarget:
         return w.start()
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
-        marker = self._p("_commits", batch_id)
-        if _exists(spark, marker):
+        m = self.versions.current()
+        if has_batch(m["batches"], batch_id):
             return  # replayed batch: already published
         if self.target_schema is not None:
             check_target_schema(self.target_schema, self.spec, batch.schema)
-        staging = self._p("_staging", batch_id)
-        tables = self._tables()
-        if all(_exists(spark, f"{staging}/{t}/_SUCCESS") for t in tables):
-            self._publish(staging, tables)
-            _touch(spark, marker)
-            fs.remove(spark, staging)
-            return
-
-        # materialise the prepared batch once: the expectation counts (observed on its single
-        # evaluation) and the target must see the same rows
+        batch, data_cols = self._conform(batch, m)
+        obs = None
         if self.expectations is not None:
-            checked, obs = self.expectations.observe(batch)
-            checked = self.expectations.apply(checked)
-        else:
-            checked, obs = batch, None
-        self._data_cols = self.spec.data_columns(batch.columns)
-        self._types = {f.name: f.dataType for f in batch.schema.fields}
-        prepared = self._bucketed(prepare_changes(checked, self.spec)).persist()
-        try:
-            touched = sorted(r[0] for r in prepared.select(BUCKET).distinct().collect())
-            if obs is not None and self.on_metrics is not None:
-                self.on_metrics(batch_id, self.expectations.observed_metrics(obs))
-            has_trunc = self.spec.apply_as_truncates is not None and \
-                prepared.filter(F.col(TRUNC)).limit(1).count() > 0
-            if has_trunc:
-                touched = list(range(self.n))
-            if has_trunc:  # remembered: later batches may bring changes from before it
-                (prepared.filter(F.col(TRUNC)).agg(F.max(SEQ).alias(SEQ)).write.mode("overwrite")
-                 .parquet(self._p("_truncates", f"batch={batch_id}")))
-            if touched:
-                outputs = self._compute(prepared, touched, has_trunc)
-                for name, df in outputs.items():
-                    df.write.mode("overwrite").parquet(f"{staging}/{name}")
-                self._publish(staging, list(outputs))
-        finally:
-            prepared.unpersist()
-        _touch(spark, marker)
-        fs.remove(spark, staging)
-
-    # ------------------------------------------------------------------ internals
-    def _tables(self) -> list[str]:
+            batch, obs = self.expectations.observe(batch)
+            batch = self.expectations.apply(batch)
+        folder = self.versions.new_folder()
+        prepared = prepare_changes(batch, self.spec)
+        # written once: the counts are observed on that write, and every step below reads the same rows
+        prepared.write.parquet(f"{folder}/{LOG}")
+        changes = self.spark.read.schema(prepared.schema).parquet(f"{folder}/{LOG}")
+        new = {"version": m["version"] + 1, "batches": with_batch(m["batches"], batch_id), "tables": {k: list(v) for k, v in m["tables"].items()},
+               "schemas": dict(m["schemas"]), "columns": data_cols}
+        if obs is not None:
+            new["metrics"] = {"batch": batch_id, "expectations": self.expectations.observed_metrics(obs)}
+        keep_log = False
         if self.spec.stored_as_scd_type == 1:
-            return ["current"]
-        return ["versions", "log"] if self.spec.late == "merge" else ["versions"]
-
-    def _publish(self, staging: str, tables: list[str]) -> None:
-        for name in tables:
-            try:
-                src = self.spark.read.parquet(f"{staging}/{name}")
-            except AnalysisException:  # nothing staged for this table (e.g. only deletes of unknown keys)
-                continue
-            # a few files a bucket, however many tasks read the staging; a large bucket is split by AQE
-            (src.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(self._p(name)))
-
-    def _compute(self, prepared: DataFrame, touched: list[int], has_trunc: bool) -> dict[str, DataFrame]:
+            rows = self._scd1_rows(changes, data_cols)
+        elif self.spec.late == "merge":
+            self._name(new, LOG, f"{folder}/{LOG}", prepared.schema)
+            keep_log, rows = True, self._spliced(changes, m, new, data_cols)
+        else:
+            rows = self._advanced(changes, m, data_cols)
+        rows = rows.withColumn(GEN, F.lit(new["version"]))
+        rows.write.partitionBy(KIND).parquet(f"{folder}/rows")
+        for kind in (CLOSED, STATE, REMOVED, TRUNCATES):
+            found = f"{folder}/rows/{KIND}={kind}"
+            self._name(new, kind, found if fs.exists(self.spark, found) else None, rows.drop(KIND).schema)
+        self.versions.commit(new)
+        if not keep_log:
+            fs.remove(self.spark, f"{folder}/{LOG}")
+        if obs is not None and self.on_metrics is not None:
+            self.on_metrics(batch_id, new["metrics"]["expectations"])
+
+    def batch_metrics(self, since: int = 0) -> list[tuple[int, int, list[dict]]]:
+        """(version, batch, expectation records) of the batches committed after version ``since``, as their manifests hold them."""
+        return [(m["version"], m["metrics"]["batch"], m["metrics"]["expectations"]) for m in self.versions.since(since) if "metrics" in m]
+
+    def folders(self) -> int:
+        """The most folders that any table has."""
+        return max((len(x) for x in self.versions.current()["tables"].values()), default=0)
+
+    def compact(self) -> None:
+        """Merge the folders of each table into one, as a new version."""
+        m = self.versions.current()
+        if not m["version"]:
+            return
+        folder = self.versions.new_folder()
+        new = {**m, "version": m["version"] + 1, "tables": {}, "schemas": dict(m["schemas"])}
+        new.pop("metrics", None)
         if self.spec.stored_as_scd_type == 1:
-            return {"current": self._compute_scd1(prepared, touched, has_trunc)}
-        if self.spec.late == "merge":
-            return self._compute_scd2_merge(prepared, touched)
-        return self._compute_scd2_ignore(prepared, touched)
-
-    def _prepared_columns(self) -> list[str]:
-        return [*self.spec.keys, *self._data_cols, SEQ, DEL, TRUNC, TIE, BUCKET]
-
-    def _drop_late(self, new: DataFrame, last_seen: DataFrame | None) -> DataFrame:
-        """late='ignore': events not newer than the newest already applied for the key are dropped;
-        of events with one sequence the largest tie hash wins, in whichever batch it comes."""
-        if last_seen is None:
-            return new
-        keys = list(self.spec.keys)
-        j = join_keys(new, last_seen.select(*keys, LAST, LAST_TIE), keys, "left")
-        newer = (F.col(SEQ) > F.col(LAST)) | ((F.col(SEQ) == F.col(LAST)) & (F.col(TIE) > F.col(LAST_TIE)))
-        return j.filter(F.col(LAST).isNull() | newer).drop(LAST, LAST_TIE)
-
-    def _compute_scd2_ignore(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
-        """Versions plus, on every row of a key, the newest sequence applied for it.
-
-        A key whose events left no version (a delete arriving first) keeps one stub row, so
-        the late filter still knows its newest sequence.  One table means one publish.  The
-        stored rows of the touched buckets are read once and go through the kernel with the
-        new rows (``num_buckets`` sets how fine that rewrite is).
-        """
-        keys = list(self.spec.keys)
-        cols = self._prepared_columns()
-        old = self._read("versions", touched)
-        newest = F.max(F.struct(LAST, LAST_TIE)).alias("__m")
-        old_last = None if old is None else old.groupBy(*keys).agg(newest).select(*keys, "__m.*")
-        new = self._drop_late(prepared, old_last).select(*cols)
-        changes = new
-        if old is not None:
-            changes = changes.unionByName(self._versions_as_changes(old.filter(~F.col(STUB))).select(*cols))
-        versions = scd2_from_changes(changes, self.spec, self._data_cols)
-        last = new.select(*keys, F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE))
-        if old_last is not None:
-            last = last.unionByName(old_last)
-        last = last.groupBy(*keys).agg(newest).select(*keys, "__m.*")
-        # the many-row side stands on the left, where AQE can split a hot key
-        kept = join_keys(versions, last, keys, "left").withColumn(STUB, F.lit(False))
-        stubs = join_keys(last, versions, keys, "left_anti").withColumn(STUB, F.lit(True))
-        return {"versions": self._bucketed(kept.unionByName(stubs, allowMissingColumns=True))}
-
-    def _compute_scd2_merge(self, prepared: DataFrame, touched: list[int]) -> dict[str, DataFrame]:
-        cols = self._prepared_columns()
-        old_log = self._read("log", touched)
-        log = prepared.select(*cols)
-        if old_log is not None:
-            log = log.unionByName(old_log.select(*cols))
-        # idempotent log: one row per (key, sequence, content)
-        log = log.dropDuplicates([*self.spec.keys, SEQ, TIE])
-        versions = self._bucketed(scd2_from_changes(log, self.spec, self._data_cols))
-        return {"versions": versions, "log": log}
-
-    def _versions_as_changes(self, v: DataFrame) -> DataFrame:
-        """Stored versions back to change rows (inserts at starts, deletes at unmatched ends).
-
-        An end with no version of the same key starting there is a delete: an anti-join on
-        (key, sequence), so no key's history is gathered into one task.
-        """
-        keys = list(self.spec.keys)
-        tie = F.lit(-2**63).cast("long")  # an event that passed the late filter beats a stored row of its sequence
-        ins = v.select(*keys, *self._data_cols, F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL),
-                       F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
-        ends = v.filter(F.col(END_AT).isNotNull()).select(*keys, F.col(END_AT).alias(SEQ), BUCKET)
-        starts = v.select(*keys, F.col(START_AT).alias(SEQ))
-        gaps = join_keys(ends, starts, [*keys, SEQ], "left_anti")
-        dels = gaps.select(*keys, *[F.lit(None).cast(v.schema[c].dataType).alias(c) for c in self._data_cols],
-                           SEQ, F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), BUCKET).withColumn(TIE, tie)
-        return ins.unionByName(dels)
-
-    def _truncates(self) -> DataFrame | None:
-        """The sequences of all truncates so far (a row for each batch that had one)."""
-        if self.spec.apply_as_truncates is None:
-            return None
-        try:
-            return self.spark.read.parquet(self._p("_truncates"))
-        except AnalysisException:
+            tables = {STATE: self._newest_rows(m), TRUNCATES: self._table(m, TRUNCATES)}
+        elif self.spec.late == "merge":
+            log = self._table(m, LOG)
+            tables = {CLOSED: self._live(m), LOG: None if log is None else log.dropDuplicates([*self.spec.keys, SEQ, TIE])}
+        else:
+            tables = {CLOSED: self._table(m, CLOSED), STATE: self._state(m)}
+        for name, df in tables.items():
+            if df is not None:
+                df.write.parquet(f"{folder}/{name}")
+                self._name(new, name, f"{folder}/{name}", df.schema)
+        self.versions.commit(new)
+
+    # ------------------------------------------------------------------ tables
+    def _name(self, m: dict, table: str, folder: str | None, schema: T.StructType) -> None:
+        """List ``folder``, if there is one, in a manifest; the table's schema gains its columns."""
+        if folder:
+            m["tables"].setdefault(table, []).append(folder)
+        old = T.StructType.fromJson(_json(m["schemas"][table])) if table in m["schemas"] else T.StructType([])
+        have = {f.name.lower() for f in old.fields}
+        m["schemas"][table] = T.StructType([*old.fields, *(f for f in _nullable(schema) if f.name.lower() not in have)]).json()
+
+    def _table(self, m: dict, table: str) -> DataFrame | None:
+        """The rows of all of a table's folders; None where it has no schema yet."""
+        if table not in m["schemas"]:
             return None
-
-    def _compute_scd1(self, prepared: DataFrame, touched: list[int], has_trunc: bool) -> DataFrame:
+        schema = T.StructType.fromJson(_json(m["schemas"][table]))
+        folders = m["tables"].get(table, [])
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    def _key(self) -> Column:
+        """The keys as one value that equals itself where parts are NULL."""
+        return F.struct(*self.spec.keys)
+
+    def _conform(self, batch: DataFrame, m: dict) -> tuple[DataFrame, list[str]]:
+        """The batch with every data column that the target has (NULL where the batch lacks it), and their names."""
+        now = self.spec.data_columns(batch.columns)
+        low = {c.lower() for c in now}
+        known = {f.name: f.dataType for f in T.StructType.fromJson(_json(m["schemas"][STATE])).fields} if STATE in m["schemas"] else {}
+        for c in now:
+            stored = next((t for k, t in known.items() if k.lower() == c.lower()), None)
+            if stored is not None and stored.simpleString() != batch.schema[c].dataType.simpleString():
+                raise ValueError(f"column {c} is {batch.schema[c].dataType.simpleString()} in this batch, {stored.simpleString()} in the target {self.path}")
+        gone = [c for c in m.get("columns", []) if c.lower() not in low]
+        return batch.withColumns({c: F.lit(None).cast(known[c]) for c in gone}) if gone else batch, [*(c for c in m.get("columns", []) if c in gone), *now] if gone else now
+
+    # ------------------------------------------------------------------ SCD1
+    def _scd1_rows(self, changes: DataFrame, data_cols: list[str]) -> DataFrame:
+        payload = F.struct(*data_cols, DEL, SEQ, TIE)
+        latest = changes.filter(~F.col(TRUNC)).groupBy(*self.spec.keys).agg(F.max_by(payload, F.struct(SEQ, TIE)).alias("__r"))
+        rows = latest.select(*self.spec.keys, "__r.*").withColumn(KIND, F.lit(STATE))
+        if self.spec.apply_as_truncates is None:
+            return rows
+        cut = changes.filter(TRUNC).agg(F.max(SEQ).alias(SEQ)).filter(F.col(SEQ).isNotNull()).withColumn(KIND, F.lit(TRUNCATES))
+        return rows.unionByName(cut, allowMissingColumns=True)
+
+    def _newest_rows(self, m: dict) -> DataFrame:
+        rows = self._table(m, STATE)
+        if len(m["tables"].get(STATE, [])) < 2:
+            return rows
+        rest = [c for c in rows.columns if c not in self.spec.keys]
+        return rows.groupBy(*self.spec.keys).agg(F.max_by(F.struct(*rest), F.struct(SEQ, TIE)).alias("__r")).select(*self.spec.keys, "__r.*")
+
+    def _scd1(self, m: dict) -> DataFrame:
+        rows = self._newest_rows(m).filter(~F.col(DEL))
+        if m["tables"].get(TRUNCATES):
+            last = self._table(m, TRUNCATES).agg(F.max(SEQ)).scalar()
+            rows = rows.filter(F.col(SEQ) > last)
+        return rows.drop(DEL, SEQ, TIE, GEN)
+
+    # ------------------------------------------------------------------ SCD2, late events ignored
+    def _state(self, m: dict) -> DataFrame | None:
+        """The newest state rows of each key."""
+        rows = self._table(m, STATE)
+        if rows is None or len(m["tables"].get(STATE, [])) < 2:
+            return rows
+        return rows.withColumn("__newest", F.max(GEN).over(Window.partitionBy(self._key()))).filter(F.col(GEN) == F.col("__newest")).drop("__newest")
+
+    def _advanced(self, changes: DataFrame, m: dict, data_cols: list[str]) -> DataFrame:
+        """Closed versions and state of the batch's keys."""
+        keys, newest = list(self.spec.keys), F.max(F.struct(F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE))).alias("__m")
+        new = changes.withColumn(KEY, self._key())
+        state = self._state(m)
+        if state is not None:
+            gained = {c: F.lit(None).cast(changes.schema[c].dataType) for c in data_cols if c not in state.columns}
+            state = state.withColumns(gained).withColumn(KEY, self._key())
+            touched = state.join(new.select(KEY).distinct(), KEY, "left_semi")
+            heads = touched.filter(HEAD).select(F.col(KEY).alias("__k"), LAST, LAST_TIE)
+            later = F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST)) | ((F.col(SEQ) == F.col(LAST)) & (F.col(TIE) > F.col(LAST_TIE)))
+            new = new.join(heads, F.col(KEY) == F.col("__k"), "left").filter(later).drop("__k", LAST, LAST_TIE)
+        last = new.groupBy(KEY).agg(newest)
+        feed = new.select(*keys, *data_cols, SEQ, DEL, TRUNC, TIE)
+        if state is not None:
+            pending = touched.filter(~F.col(HEAD))
+            # stored rows lose ties against events that came later; of an end and a start at one place the start stands
+            starts = pending.select(*keys, *data_cols, F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL), F.lit(False).alias(TRUNC), F.lit(-2**63 + 1).cast("long").alias(TIE))
+            ends = pending.filter(F.col(END_AT).isNotNull()).select(*keys, *(F.lit(None).cast(pending.schema[c].dataType).alias(c) for c in data_cols),
+                                                                    F.col(END_AT).alias(SEQ), F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), F.lit(-2**63).cast("long").alias(TIE))
+            feed = feed.unionByName(starts).unionByName(ends)
+            last = last.unionByName(heads.select(F.col("__k").alias(KEY), F.struct(LAST, LAST_TIE).alias("__m"))).groupBy(KEY).agg(F.max("__m").alias("__m"))
+        versions = scd2_from_changes(feed, self.spec, data_cols).withColumn(KEY, self._key())
+        versions = versions.join(last.select(F.col(KEY).alias("__k"), "__m.*"), F.col(KEY) == F.col("__k")).drop("__k", KEY)
+        settled = F.col(END_AT).isNotNull() & (F.col(END_AT) < F.col(LAST))
+        versions = versions.withColumn(HEAD, F.lit(False)).withColumn(KIND, F.when(settled, CLOSED).otherwise(STATE))
+        tops = last.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], "__m.*").withColumn(HEAD, F.lit(True)).withColumn(KIND, F.lit(STATE))
+        return versions.unionByName(tops, allowMissingColumns=True)
+
+    # ------------------------------------------------------------------ SCD2, late events spliced in
+    def _live(self, m: dict) -> DataFrame:
+        """Closed versions (with ``late="merge"`` all versions) that no later batch removed."""
+        cols = [*self.spec.keys, *m["columns"], START_AT, END_AT, GEN]
+        rows = self._table(m, CLOSED).select(*cols)
+        if not m["tables"].get(REMOVED):
+            return rows
+        gone = self._table(m, REMOVED).select(self._key().alias("__k"), F.col(START_AT).alias("__s"), F.col(GEN).alias("__g"))
+        same = (self._key() == F.col("__k")) & (F.col(START_AT) == F.col("__s")) & (F.col("__g") > F.col(GEN))
+        return rows.join(gone, same, "left_anti")
+
+    def _spliced(self, changes: DataFrame, m: dict, new: dict, data_cols: list[str]) -> DataFrame:
+        """The versions of the intervals that the batch's events fall into, and the starts they replace."""
         keys = list(self.spec.keys)
-        stored_cols = [*keys, *self._data_cols, SEQ, DEL, TIE, BUCKET]
-        old = self._read("current", touched)
-        new = prepared
-        if self.spec.late == "ignore" and old is not None:
-            new = self._drop_late(new, old.select(*keys, F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE)))
-        rows = new.select(*stored_cols, TRUNC)
-        if old is not None:
-            rows = rows.unionByName(old.select(*stored_cols).withColumn(TRUNC, F.lit(False)))
-        truncated = self._truncates()
-        if truncated is not None:
-            t = truncated.agg(F.max(SEQ)).scalar()
-            # rows at or before the last truncate become tombstones carrying the truncate's sequence
-            cut = F.col(SEQ) <= t
-            rows = rows.filter(~F.col(TRUNC)).withColumns({
-                DEL: F.when(cut, F.lit(True)).otherwise(F.col(DEL)),
-                SEQ: F.when(cut, t).otherwise(F.col(SEQ)),
-            })
-        payload = F.struct(*[F.col(c) for c in self._data_cols], F.col(DEL).alias(DEL), F.col(SEQ).alias(SEQ),
-                           F.col(TIE).alias(TIE))
-        latest = rows.groupBy(*keys).agg(F.max_by(payload, F.struct(F.col(SEQ), F.col(TIE))).alias("__r"))
-        out = latest.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in self._data_cols],
-                            F.col(f"__r.{DEL}").alias(DEL), F.col(f"__r.{SEQ}").alias(SEQ),
-                            F.col(f"__r.{TIE}").alias(TIE))
-        return self._bucketed(out)
+        touched = changes.groupBy(self._key().alias("__k")).agg(F.min(SEQ).alias("__first"), F.max(SEQ).alias("__final"))
+        if CLOSED in m["schemas"]:
+            old = self._live(m).select(*keys, START_AT, END_AT).withColumn(KEY, self._key()).join(touched, F.col(KEY) == F.col("__k")).drop("__k")
+            edges = old.select(KEY, "__first", "__final", F.explode(F.array(START_AT, END_AT)).alias("__at")).filter("__at IS NOT NULL").distinct()
+            edges = edges.withColumn("__then", F.lead("__at").over(Window.partitionBy(KEY).orderBy("__at")))
+            edges = edges.groupBy(KEY).agg(F.max(F.when(F.col("__at") < F.col("__first"), F.col("__at"))).alias("__low"),
+                                           F.min_by("__then", F.when(F.col("__at") > F.col("__final"), F.col("__at"))).alias("__high"))
+            cut = touched.join(edges, F.col("__k") == F.col(KEY), "left").select("__k", "__low", "__high")
+        else:
+            kind = changes.schema[SEQ].dataType
+            old, cut = None, touched.select("__k", F.lit(None).cast(kind).alias("__low"), F.lit(None).cast(kind).alias("__high"))
+
+        def within(at: str) -> Column:
+            return (F.col("__low").isNull() | (F.col(at) >= F.col("__low"))) & (F.col("__high").isNull() | (F.col(at) < F.col("__high")))
+
+        log = self._table(new, LOG).withColumn(KEY, self._key())
+        feed = log.join(cut, F.col(KEY) == F.col("__k")).filter(within(SEQ)).select(*keys, *data_cols, SEQ, DEL, TRUNC, TIE)
+        versions = scd2_from_changes(feed, self.spec, data_cols).withColumn(KEY, self._key()).join(cut, F.col(KEY) == F.col("__k"))
+        versions = versions.withColumn(END_AT, F.coalesce(END_AT, "__high")).select(*keys, *data_cols, START_AT, END_AT).withColumn(KIND, F.lit(CLOSED))
+        if old is None:
+            return versions
+        gone = old.join(cut, F.col(KEY) == F.col("__k")).filter(within(START_AT)).select(*keys, START_AT).withColumn(KIND, F.lit(REMOVED))
+        return versions.unionByName(gone, allowMissingColumns=True)
+
+
+def _nullable(schema: T.StructType) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType, True) for f in schema.fields]
+
 
+def _json(text: str) -> dict:
+    return json.loads(text)

@@ -108,7 +108,7 @@ def test_incremental_target_equals_one_shot(spark, workdir, late):
     spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v", "u"), track_history=("v",),
                    apply_as_deletes="op = 'D'", late=late)
     expected = rows(apply_changes(feed(spark, data), spec))
-    target = CdcTarget(spark, f"{workdir}/t_{late}", spec, num_buckets=4)
+    target = CdcTarget(spark, f"{workdir}/t_{late}", spec)
     cuts = [0, 40, 41, 150, 300]
     for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
         target.apply(feed(spark, data[lo:hi]), b)
@@ -123,7 +123,7 @@ def test_late_events_ignore_vs_merge(spark, workdir):
     for mode, expect in (("ignore", [(1, "A", T[1], T[3]), (1, "C", T[3], None)]),
                          ("merge", [(1, "A", T[1], T[2]), (1, "B", T[2], T[3]), (1, "C", T[3], None)])):
         spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), late=mode)
-        t = CdcTarget(spark, f"{workdir}/late_{mode}", spec, num_buckets=2)
+        t = CdcTarget(spark, f"{workdir}/late_{mode}", spec)
         t.apply(feed(spark, early), 0)
         t.apply(feed(spark, late), 1)
         assert versions(t.read()) == expect
@@ -132,7 +132,7 @@ def test_late_events_ignore_vs_merge(spark, workdir):
 def test_scd1_target_tombstones_and_truncate(spark, workdir):
     spec = CdcSpec(keys=("k",), sequence_by="ts", stored_as_scd_type=1, columns=("v",),
                    apply_as_deletes="op = 'D'", apply_as_truncates="op = 'T'")
-    t = CdcTarget(spark, f"{workdir}/scd1", spec, num_buckets=2)
+    t = CdcTarget(spark, f"{workdir}/scd1", spec)
     t.apply(feed(spark, [(1, "A", 0, T[1], None), (2, "B", 0, T[1], None)]), 0)
     t.apply(feed(spark, [(1, None, 0, T[2], "D")]), 1)
     assert rows(t.read(), "k", "v") == [(2, "B")]
@@ -203,7 +203,7 @@ def test_scd2_runs_nothing_while_the_plan_is_built(spark):
 
 def test_target_remembers_delete_that_arrived_first(spark, workdir):
     spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), apply_as_deletes="op = 'D'")
-    t = CdcTarget(spark, f"{workdir}/stub", spec, num_buckets=2)
+    t = CdcTarget(spark, f"{workdir}/stub", spec)
     t.apply(feed(spark, [(1, None, 0, T[3], "D"), (2, "X", 0, T[1], None)]), 0)
     assert versions(t.read()) == [(2, "X", T[1], None)]
     t.apply(feed(spark, [(1, "old", 0, T[2], None)]), 1)  # older than the delete: ignored
@@ -216,7 +216,7 @@ def test_target_fail_rule_publishes_nothing(spark, workdir):
     from levain.operators.expectations import Expectation, Expectations
     spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",))
     rules = Expectations([Expectation("v_not_null", "v IS NOT NULL", "fail")], "t")
-    t = CdcTarget(spark, f"{workdir}/fail", spec, num_buckets=2, expectations=rules)
+    t = CdcTarget(spark, f"{workdir}/fail", spec, expectations=rules)
     t.apply(feed(spark, [(1, "A", 0, T[1], None)]), 0)
     with pytest.raises(Exception, match="v_not_null"):
         t.apply(feed(spark, [(1, "B", 0, T[2], None), (2, None, 0, T[2], None)]), 1)
@@ -227,7 +227,7 @@ def test_target_fail_rule_publishes_nothing(spark, workdir):
 
 def test_target_source_gains_a_column(spark, workdir):
     spec = CdcSpec(keys=("k",), sequence_by="ts", except_columns=("ts",))
-    t = CdcTarget(spark, f"{workdir}/evolve", spec, num_buckets=2)
+    t = CdcTarget(spark, f"{workdir}/evolve", spec)
     t.apply(spark.createDataFrame([(1, "A", T[1])], "k long, v string, ts timestamp_ntz"), 0)
     t.apply(spark.createDataFrame([(1, "A", "x", T[2]), (2, "B", None, T[2])],
                                   "k long, v string, w string, ts timestamp_ntz"), 1)
@@ -255,7 +255,7 @@ def test_merge_mode_is_order_independent(spark, workdir, seed):
     rnd = random.Random(seed)
     shuffled = data[:]
     rnd.shuffle(shuffled)
-    t = CdcTarget(spark, f"{workdir}/merge_{seed}", spec, num_buckets=3)
+    t = CdcTarget(spark, f"{workdir}/merge_{seed}", spec)
     for b, lo in enumerate(range(0, len(shuffled), 50)):
         t.apply(feed(spark, shuffled[lo:lo + 50]), b)
     got = t.read()
@@ -280,7 +280,7 @@ def test_null_key_is_a_key_like_others(spark, slices):
 
 def test_truncate_is_remembered_between_batches(spark, workdir):
     spec = CdcSpec(keys=("k",), sequence_by="ts", columns=("v",), stored_as_scd_type=1, apply_as_truncates="op = 'T'")
-    target = CdcTarget(spark, f"{workdir}/t", spec, num_buckets=2)
+    target = CdcTarget(spark, f"{workdir}/t", spec)
     target.apply(feed(spark, [(None, None, 0, T[5], "T"), (1, "A", 0, T[6], None)]), 0)
     target.apply(feed(spark, [(2, "late", 0, T[3], None), (3, "new", 0, T[7], None)]), 1)
     assert rows(target.read(), "k", "v") == [(1, "A"), (3, "new")]
@@ -292,7 +292,7 @@ def test_equal_sequences_in_any_order_of_batches(spark, workdir, kind):
     batches = [feed(spark, [(1, v, 0, T[1], None)]) for v in "pq"]
     want = rows(apply_changes(batches[0].union(batches[1]), spec), "k", "v")
     for n, order in enumerate((batches, batches[::-1])):
-        target = CdcTarget(spark, f"{workdir}/{kind}{n}", spec, num_buckets=2)
+        target = CdcTarget(spark, f"{workdir}/{kind}{n}", spec)
         for i, b in enumerate(order):
             target.apply(b, i)
         assert rows(target.read(), "k", "v") == want

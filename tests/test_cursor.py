@@ -11,7 +11,7 @@ T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 def test_rows_sharing_the_high_water_mark_are_kept(spark, workdir):
     db = f"{workdir}/db"
     spec = CdcSpec(keys=("id",), sequence_by="updated_at", stored_as_scd_type=1)
-    target = CdcTarget(spark, f"{workdir}/t", spec, num_buckets=2)
+    target = CdcTarget(spark, f"{workdir}/t", spec)
     schema = "id long, v string, updated_at timestamp_ntz"
     spark.createDataFrame([(1, "a", T1), (2, "b", T2)], schema).write.mode("overwrite").parquet(db)
     ing = CursorIngest(spark, table_source(lambda: spark.read.parquet(db)), "updated_at", target, f"{workdir}/c")
