@@ -105,7 +105,10 @@ def examples(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: s
     texts = written(places.join(given, "__id").groupBy("place").agg(F.min("__id").alias("example"), F.sum("ones").alias("ones"), F.sum("n").alias("n"), (F.sum("ones") / F.sum("n")).alias("vote"))
                     .withColumn("kind", (F.col("vote") >= 0.5).cast("int")), "labelled-texts")
     counted = {r["kind"]: r for r in texts.groupBy("kind").agg(F.count("*").alias("texts"), F.sum("ones").alias("ones"), F.sum("n").alias("n")).collect()}  # two rows
-    first = texts.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("place"))).filter(F.col("rank") <= sample)  # each task finds its own first
+    # hashes are spread evenly: the first four shares of them surely hold the sample, and little else reaches the two tasks that rank it
+    share = {k: min(1.0, 4 * sample / r["texts"]) for k, r in counted.items()}
+    few = F.col("place").cast("double") <= F.when(F.col("kind") == 1, -2.0**63 + 2.0**64 * share.get(1, 1.0)).otherwise(-2.0**63 + 2.0**64 * share.get(0, 1.0))
+    first = texts.filter(few).withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("place"))).filter(F.col("rank") <= sample)
     first = first.select("place", "example", "vote", "kind")
     chosen = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(F.col(text_col).cast("string")).alias("place"), F.col(text_col).cast("string").alias("text"))
     chosen = chosen.join(F.broadcast(first), "place").groupBy("place", "example", "vote", "kind").agg(F.min("text").alias("text"))  # 2 * sample rows are broadcast
@@ -135,6 +138,22 @@ def vocabulary(sample: DataFrame, most: int = TERMS, alpha: float = ALPHA) -> li
     return [r["term"] for r in counts.withColumn("chi", chi).filter(F.col("chi") >= least).orderBy(F.col("chi").desc(), "term").limit(most).select("term").collect()]
 
 
+def document_frequencies(found: DataFrame, terms: int) -> np.ndarray:
+    """The number of rows that have each term; every task counts its own first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = np.zeros(terms, "int64")
+        for x in batches:
+            mine += np.bincount(x.column(0).flatten().to_numpy(zero_copy_only=False), minlength=terms)
+        at = np.flatnonzero(mine)
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(mine[at], pa.int64())], ["t", "n"])
+
+    df = np.zeros(terms)
+    for t, n in found.select("terms").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n")).collect():  # a row a term at most
+        df[t] = n
+    return df
+
+
 @dataclass
 class Index:
     """Labelled examples as a block-max inverted index, with what the vote needs."""
@@ -217,8 +236,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms:
     some, texts, (ones, n) = examples(docs, labels, sample, id_col, text_col, label_col)
     terms = vocabulary(some, most_terms)
     found = written(term_counts(docs, terms, list(keep), text_col), "document-terms")
-    of = dict(found.select(F.explode("terms").alias("t")).groupBy("t").count().collect())  # a row a term at most
-    idf = np.log((1 + found.count()) / (1 + np.array([of.get(t, 0) for t in range(len(terms))], float))) + 1
+    df = document_frequencies(found, len(terms))
+    idf = np.log((1 + found.count()) / (1 + df)) + 1
     rows = [tuple(r) for r in term_counts(some, terms, ["example", "vote", "kind"]).collect()]  # 2 * sample rows of at most most_terms numbers
     return _build(rows, terms, idf, texts, ones / n if n else 0.0), found
 
