@@ -46,7 +46,7 @@ def token_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, CACHE_RUNS)
         for x in batches:
-            n = [len(i) // 4 for i in enc.encode(x.column("__text").to_pylist())]
+            n = np.diff(enc.flat(x.column("__text").to_pylist())[1])
             yield pa.record_batch([*(x.column(c) for c in names), pa.array(n, pa.int64())], [*names, "n_tokens"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)

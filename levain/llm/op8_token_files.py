@@ -47,7 +47,6 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         raise ValueError(f"columns with the file's own names: {sorted(clash)}")
     prepare(docs.sparkSession)
     vocabulary = tokenizer_path or default_path()
-    tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
     keep = [id_col, *meta_cols]
     rows = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).withColumn("__tie", F.xxhash64("__text"))
     order = [F.col(id_col).asc_nulls_first(), F.col("__tie")]
@@ -57,9 +56,11 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, before = encoder(vocabulary), 0  # a task holds one part, in order
         for x in batches:
-            found = [i + tail for i in enc.encode(x.column("__text").to_pylist())]
-            ends = np.cumsum([0, *(len(i) // 4 for i in found)]).astype("int32")
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
+            flat, ends = enc.flat(x.column("__text").to_pylist())
+            if end_id is not None:
+                flat, ends = np.insert(flat, ends[1:], end_id), ends + np.arange(len(ends))
+            ends = ends.astype("int32")
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view("<i4")))
             yield pa.record_batch([*(x.column(c) for c in fields), pa.array(before + ends[:-1].astype("int64")), pa.array(np.diff(ends).astype("int64")), ids], [*fields, "offset", "n_tokens", "ids"])
             before += int(ends[-1])
 

@@ -5,9 +5,11 @@ no normalizer step, split pattern or special token reaches across a blank.  So t
 are the ids of its runs in order, and a bounded cache of runs saves most of the work.  Only blank,
 tab, newline and carriage return part runs; any other white space is left to the tokenizer.
 
+Whether a tokenizer does so is tried out on loading; one that does not encodes whole texts.
+
 Most runs that the cache lacks are a Latin word with or without closing punctuation.  If the tokenizer marks
-the ends of words, lowers case and parts letters from punctuation (both are tried out on loading),
-such words are encoded many at a time, parted by blanks, and the ids told apart at the marks.
+the ends of words, lowers case and parts letters from punctuation (both are tried out on loading), such runs are encoded many
+at a time, parted by blanks and without normalizing, and the ids are told apart at the marks.
 """
 
 from __future__ import annotations
@@ -15,8 +17,16 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
+import regex
+
+#: Marks that close a word of letters.
+CLOSING = ".,;:!?"
+#: Runs that the normalizer must leave as they are, and texts whose ids depend on blanks unless these only part runs.
+LATIN = "a the quickly \u00e4rger \u00e9t\u00e9 ni\u00f1o \u00ff\u00fe\u00b5\u00aa\u00ba\u00df word, end. what?! etc...; xxxxxxxxxxxxxxxxxxxxxxxx"
+TRIED = ("a b", " a", "a ", "a  b", "one two, three.  Four\tfive\nsix\r\nseven 8 9", "  \n\n x\n\n  y", "the end .", "it 's", "\u00e4 b\u00df, \u65e5\u672c \u8a9e")
 
 
 def default_path(name: str = "word_bpe_49k.json") -> str:
@@ -43,22 +53,34 @@ def _is_latin(text: str) -> bool:
         return False
 
 
-class Recent:
-    """Values by key for at least the last ``size`` and at most twice as many keys; ``new`` holds all keys last asked for."""
+class Arena:
+    """The ids of runs, one after another, with each run's place; emptied when it holds more than ``size`` runs."""
 
     def __init__(self, size: int):
         self.size = size
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def lacks(self, need: set[str]) -> list[str]:
-        if len(self.new) > self.size:
-            self.new, self.old = {}, self.new
-        new, old = self.new, self.old
-        missing = [w for w in need if w not in new]
-        kept = [w for w in missing if w in old]
-        new.update(zip(kept, map(old.__getitem__, kept), strict=True))
-        return [w for w in missing if w not in old]
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.ids, self.ends, self.used = np.empty(1 << 20, "<u4"), np.zeros(self.size + 1, "int64"), 0
+
+    def add(self, runs_: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Add runs whose ids lie in ``ids`` up to ``ends`` each."""
+        n, start = len(self.at), int(self.ends[len(self.at)])
+        if start + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:start], np.empty(2 * (start + len(ids)), "<u4")])
+        if n + len(runs_) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(len(self.ends) + len(runs_), "int64")])
+        self.ids[start:start + len(ids)] = ids
+        self.ends[n + 1:n + 1 + len(runs_)] = start + ends
+        self.at.update(zip(runs_, range(n, n + len(runs_)), strict=True))
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs at ``places``, in order, and where each run's end."""
+        start = self.ends[places]
+        size = self.ends[places + 1] - start
+        ends = size.cumsum()
+        return self.ids[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 class RunEncoder:
@@ -69,56 +91,83 @@ class RunEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.runs, self.words = Recent(cache_runs), Recent(cache_runs)
+        self.cache = Arena(2 * cache_runs)
+        self.pattern = None
+        self.bare = Tokenizer.from_file(path)  # for words that need no normalizing
         self.names: list[str] | None = None
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ends = self._word_ends()
+        self.by_run = self._parts_at_blanks()
+        self.ends = self._word_ends() if self.by_run else None
+
+    def _parts_at_blanks(self) -> bool:
+        """Whether runs between blanks are encoded on their own, tried on texts whose blanks would matter otherwise."""
+        return all(self._plain([t]) == [b"".join(self._plain(runs(t)))] for t in TRIED)
 
     def _word_ends(self) -> np.ndarray | None:
         """Whether each id ends a word; None if the tokenizer does not tell or treats words otherwise."""
         mark = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         if not mark or self._plain(["\u00c4Bc!!"]) != [b"".join(self._plain(["\u00e4bc", "!!"]))]:
             return None
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        split = [x for x in split.get("pretokenizers", [split]) if x.get("type") == "Split"]
+        if len(split) == 1 and split[0].get("invert") and "Regex" in split[0]["pattern"]:
+            self.pattern = regex.compile(split[0]["pattern"]["Regex"])  # what it finds are the pieces that end in a mark
+        self.bare.normalizer = None
+        self.bare.model._resize_cache(0)  # it gets each word once
+        tried = LATIN.split()
+        if [np.array(e.ids, "<u4").tobytes() for e in self.bare.encode_batch_fast(tried, add_special_tokens=False)] != self._plain(tried):
+            return None
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         ends = np.zeros(max(vocab.values()) + 1, bool)
         ends[[i for t, i in vocab.items() if t.endswith(mark)]] = True
         return ends
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _many(self, words: list[str]) -> list[bytes]:
-        """The ids of each of many lower-case words, from one call."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        at = np.flatnonzero(self.ends[ids]) + 1
-        if len(at) != len(words):
-            return self._plain(words)
-        raw, at = ids.tobytes(), (4 * at).tolist()
-        return [raw[i:j] for i, j in zip([0, *at[:-1]], at, strict=True)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, missing: list[str]) -> None:
-        """Put the ids of ``missing`` into the cache of runs."""
-        rest, split = missing, []
+    def _many(self, some: list[str], pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of many lower-case Latin runs from one call, and where each run's end, given the number of word ends in each; None where that does not fit."""
+        joined = " ".join(some)
+        if not _is_latin(joined) or joined != joined.lower():
+            return None
+        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        at, upto = np.flatnonzero(self.ends[ids]) + 1, pieces.cumsum()
+        return (ids, at[upto - 1]) if len(at) == upto[-1] else None
+
+    def _bulk(self, some: list[str], pieces: np.ndarray) -> list[str]:
+        """Add ``some`` to the cache, many at a time; returns those that must go one by one."""
+        rest = []
+        for i in range(0, len(some), 2000):
+            part = some[i:i + 2000]
+            found = self._many(part, pieces[i:i + 2000])
+            if found is None:
+                rest += part
+            else:
+                self.cache.add(part, *found)
+        return rest
+
+    def _add(self, missing: list[str]) -> None:
+        """Put the ids of ``missing`` into the cache."""
+        rest, closed, at = missing, [], self.cache.at
         if self.ends is not None:
-            rest = []
-            for w in missing:
-                word = w.rstrip(".,;:!?")
-                if word.isalpha() and (word.isascii() or max(word) < "\u0250") and (low := word.lower()).isalpha():  # not a capital I with dot
-                    split.append((w, low, w[len(word):]))
-                else:
-                    rest.append(w)
-        words = self.words.lacks({p for _, *both in split for p in both if p})
-        letters = [w for w in words if w.isalpha()]
-        for i in range(0, len(letters), 2000):
-            some = letters[i:i + 2000]
-            self.words.new.update(zip(some, self._many(some), strict=True))
-        marks = [w for w in words if not w.isalpha()]
-        self.words.new.update(zip(marks, self._plain(marks), strict=True))
-        of, new = self.words.new, self.runs.new
-        for w, word, tail in split:
-            new[w] = of[word] + of[tail] if tail else of[word]
+            words = [w for w in missing if w.isalpha()]
+            others = [w for w in missing if not w.isalpha()]
+            stems = [w.rstrip(CLOSING) for w in others]  # closing marks after a word of letters are on their own
+            fits = [stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and stem.lower().isalpha())) for stem in stems]  # not a capital I with dot
+            closed = [(w, stem, w[len(stem):]) for w, stem in compress(zip(others, stems, strict=True), fits)]
+            rest = [w for w, fit in zip(others, fits, strict=True) if not fit]
+            words += {stem for _, stem, _ in closed}.difference(at).difference(words)
+            rest += {tail for *_, tail in closed}.difference(at).difference(rest)
+            rest += self._bulk(words, np.ones(len(words), int))
+            if self.pattern is not None:
+                counted = np.array([len(self.pattern.findall(w)) if w.isprintable() else 0 for w in rest], int)  # not where other white space may be replaced
+                rest = self._bulk([w for w, n in zip(rest, counted, strict=True) if n], counted[counted > 0]) + [w for w, n in zip(rest, counted, strict=True) if not n]
         for i in range(0, len(rest), 10_000):
-            new.update(zip(rest[i:i + 10_000], self._plain(rest[i:i + 10_000]), strict=True))
+            found = self._plain(rest[i:i + 10_000])
+            self.cache.add(rest[i:i + 10_000], np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found]))
+        if closed:
+            ids, ends = self.cache.gather(np.array([at[part] for _, *both in closed for part in both]))
+            self.cache.add([w for w, *_ in closed], ids, ends[1::2])
 
     def _lower(self, text: str) -> str:
         """``text`` in lower case where that cannot matter: Latin-1 without the name of a special token."""
@@ -127,12 +176,27 @@ class RunEncoder:
         low = text.lower()
         return text if any(s in low for s in self.special) else low
 
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's begin and the last one's end."""
+        if not self.by_run:
+            found = self._plain(texts)
+            return np.frombuffer(b"".join(found), "<u4"), np.cumsum([0, *(len(x) // 4 for x in found)])
+        cache = self.cache
+        if len(cache.at) > cache.size:
+            cache.clear()
+        parts = [runs(self._lower(t)) for t in texts]
+        if missing := set().union(*parts).difference(cache.at):
+            self._add(list(missing))
+        upto = np.cumsum([0, *map(len, parts)])
+        places = np.fromiter(map(cache.at.__getitem__, chain.from_iterable(parts)), "int64", int(upto[-1]))
+        ids, ends = cache.gather(places)
+        return ids, np.concatenate([[0], ends])[upto]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [runs(self._lower(t)) for t in texts]
-        if missing := self.runs.lacks(set().union(*parts)):
-            self._new(missing)
-        return [b"".join(map(self.runs.new.__getitem__, p)) for p in parts]
+        ids, at = self.flat(texts)
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        return [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
     def decode(self, ids: bytes) -> str:
         """What the tokenizer's ``decode(ids, skip_special_tokens=False)`` gives."""

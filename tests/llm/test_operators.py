@@ -261,6 +261,22 @@ def test_encoder_is_the_library(library):
         assert [enc.decode(g) for g in got] == [library.decode(w, skip_special_tokens=False) for w in want]
 
 
+def test_encoder_counts_and_leaves_other_tokenizers_whole(library, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    texts = [" ".join(words(300, k)) for k in range(20)] + ["", "  a  b ", "it's  12.5\n\nx"]
+    enc = encoder(default_path(), 300)
+    assert enc.by_run and np.diff(enc.flat(texts)[1]).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts] == [len(x) // 4 for x in enc.encode(texts)]
+    kept = default_path("byte_bpe_50k.json")  # keeps white space
+    plain, enc = Tokenizer.from_file(kept), encoder(kept, 300)
+    assert not enc.by_run and [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    letters = Tokenizer(models.WordLevel({c: n for n, c in enumerate("abc xyz")}, unk_token="a"))  # parts at blanks, without marks for ends of words
+    letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    letters.save(str(tmp_path / "own.json"))
+    enc = encoder(str(tmp_path / "own.json"), 300)
+    assert enc.by_run and [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [e.ids for e in letters.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("bloom_bits", [o4.BLOOM_BITS, 6])
 def test_chunk_reuse_is_the_library(spark, library, bloom_bits):
     passage = " ".join(words(3000, 9, 4000))
