@@ -186,23 +186,22 @@ def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str],
     slices = slices or spec.extra.get("slices") or int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tracked = spec.tracked_columns(data_cols)
     untracked = [c for c in data_cols if c not in tracked]
+    def changed(now_del, now_trk, was_del, was_trk):
+        return (was_del != now_del) | (~now_del & _distinct_from(now_trk, was_trk))
+
     # keys as one struct: equal where their parts are, NULL parts too, and join and windows ask for one partitioning
     x = prepared.select(F.struct(*spec.keys).alias(KEY), SEQ, DEL, TIE, F.struct(*tracked, F.lit(0).alias("__")).alias("__trk"), F.struct(*untracked, F.lit(0).alias("__")).alias("__u"))
     x = _sliced(x, int(slices))
-    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
 
     # 1. one row per (key, sequence), the first by (sequence, falling tie hash); equal sequences share a slice
-    x = x.withColumn("__pseq", F.lag(SEQ).over(own))
-    x = x.filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ))).drop("__pseq", TIE)
-    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc())
+    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc(), F.col(TIE).desc())
+    x = x.withColumn("__pseq", F.lag(SEQ).over(own)).filter(F.col("__pseq").isNull() | _distinct_from(F.col("__pseq"), F.col(SEQ)))
 
     # 2. changes within the slice: delete <-> upsert, or a tracked value changed
-    def changed(now_del, now_trk, was_del, was_trk):
-        return (was_del != now_del) | (~now_del & _distinct_from(now_trk, was_trk))
-
-    x = x.withColumns({"__wasdel": F.lag(DEL).over(own), "__wastrk": F.lag("__trk").over(own)})
-    x = x.withColumn("__first", F.col("__wasdel").isNull())
-    x = x.withColumn("__inner", ~F.col("__first") & changed(F.col(DEL), F.col("__trk"), F.col("__wasdel"), F.col("__wastrk"))).drop("__wasdel", "__wastrk")
+    own = Window.partitionBy(KEY, SLICE).orderBy(F.col(SEQ).asc())
+    x = x.select(KEY, SLICE, SEQ, DEL, "__trk", "__u", F.lag(DEL).over(own).alias("__wasdel"), F.lag("__trk").over(own).alias("__wastrk"))
+    inner = F.col("__wasdel").isNotNull() & changed(F.col(DEL), F.col("__trk"), F.col("__wasdel"), F.col("__wastrk"))
+    x = x.select(KEY, SLICE, SEQ, DEL, "__trk", "__u", F.col("__wasdel").isNull().alias("__first"), inner.alias("__inner"))
     if untracked:
         x = x.withColumn("__before", F.sum(F.col("__inner").cast("int")).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)) == 0)
 
@@ -210,19 +209,16 @@ def scd2_from_changes(prepared: DataFrame, spec: CdcSpec, data_cols: list[str],
     aggs = [F.min_by(F.struct(SEQ, DEL, "__trk"), SEQ).alias("f"), F.max_by(F.struct(DEL, "__trk", "__u"), SEQ).alias("l"), F.min(F.when(F.col("__inner"), F.col(SEQ))).alias("inner")]
     if untracked:
         aggs.append(F.max_by("__u", F.when(F.col("__before"), F.col(SEQ))).alias("pre"))
-    part = x.groupBy(KEY, SLICE).agg(*aggs)
     up, down = Window.partitionBy(KEY).orderBy(SLICE), Window.partitionBy(KEY).orderBy(F.col(SLICE).desc())
     later = down.rowsBetween(Window.unboundedPreceding, -1)
-    part = part.withColumn("was", F.lag("l").over(up))
-    part = part.withColumn("__opens", F.col("was").isNull() | changed(F.col(f"f.{DEL}"), F.col("f.__trk"), F.col(f"was.{DEL}"), F.col("was.__trk")))
-    part = part.withColumn("change", F.when(F.col("__opens"), F.col(f"f.{SEQ}")).otherwise(F.col("inner")))
-    part = part.withColumn("__next", F.min("change").over(later))
-    if untracked:  # the last untracked values before the first change of this slice; those that the slice's last version ends with
-        ends = F.when(F.col("change").isNotNull(), F.when(F.col("__opens"), F.col("was.__u")).otherwise(F.col("pre")))
-        part = part.withColumn("ends", ends)
-        part = part.withColumn("__ucont", F.coalesce(F.last("ends", ignorenulls=True).over(later), F.first("l.__u").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    part = part.select(F.col(KEY).alias("__k"), F.col(SLICE).alias("__s"), "__opens", "__next", *(["__ucont"] if untracked else []))
-    x = x.join(part, (F.col(KEY) == F.col("__k")) & (F.col(SLICE) == F.col("__s"))).drop("__k", "__s")
+    part = x.groupBy(KEY, SLICE).agg(*aggs).withColumn("was", F.lag("l").over(up))
+    opens = F.col("was").isNull() | changed(F.col(f"f.{DEL}"), F.col("f.__trk"), F.col(f"was.{DEL}"), F.col("was.__trk"))
+    change = F.when(opens, F.col(f"f.{SEQ}")).otherwise(F.col("inner"))
+    found = [F.col(KEY).alias("__k"), F.col(SLICE).alias("__s"), opens.alias("__opens"), F.min(change).over(later).alias("__next")]
+    if untracked:  # the last untracked values before the first change of a slice; those that this slice's last version ends with
+        ends = F.when(change.isNotNull(), F.when(opens, F.col("was.__u")).otherwise(F.col("pre")))
+        found.append(F.coalesce(F.last(ends, ignorenulls=True).over(later), F.first("l.__u").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("__ucont"))
+    x = x.join(part.select(*found), (F.col(KEY) == F.col("__k")) & (F.col(SLICE) == F.col("__s")))
     x = x.withColumn("__chg", F.when(F.col("__first"), F.col("__opens")).otherwise(F.col("__inner")))
 
     # 4. untracked columns take the value of the last event of their version

@@ -96,15 +96,17 @@ class CdcTarget:
             self._name(new, LOG, f"{folder}/{LOG}", prepared.schema)
             keep_log, rows = True, self._spliced(changes, m, new, data_cols)
         else:
-            rows = self._advanced(changes, m, data_cols)
+            feed = self._feed(changes, m, data_cols)
+            feed.write.parquet(f"{folder}/feed")
+            rows = self._advanced(self.spark.read.schema(feed.schema).parquet(f"{folder}/feed"), data_cols)
         rows = rows.withColumn(GEN, F.lit(new["version"]))
         rows.write.partitionBy(KIND).parquet(f"{folder}/rows")
         for kind in (CLOSED, STATE, REMOVED, TRUNCATES):
             found = f"{folder}/rows/{KIND}={kind}"
             self._name(new, kind, found if fs.exists(self.spark, found) else None, rows.drop(KIND).schema)
         self.versions.commit(new)
-        if not keep_log:
-            fs.remove(self.spark, f"{folder}/{LOG}")
+        for part in ["feed"] if keep_log else ["feed", LOG]:
+            fs.remove(self.spark, f"{folder}/{part}")
         if obs is not None and self.on_metrics is not None:
             self.on_metrics(batch_id, new["metrics"]["expectations"])
 
@@ -202,33 +204,40 @@ class CdcTarget:
             return rows
         return rows.withColumn("__newest", F.max(GEN).over(Window.partitionBy(self._key()))).filter(F.col(GEN) == F.col("__newest")).drop("__newest")
 
-    def _advanced(self, changes: DataFrame, m: dict, data_cols: list[str]) -> DataFrame:
-        """Closed versions and state of the batch's keys."""
-        keys, newest = list(self.spec.keys), F.max(F.struct(F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE))).alias("__m")
-        new = changes.withColumn(KEY, self._key())
+    def _feed(self, changes: DataFrame, m: dict, data_cols: list[str]) -> DataFrame:
+        """The batch's events that are newer than what was applied to their keys, and the stored state of these keys as events of
+        its own: each pending version as a start and an end, each head as a row with ``LAST`` alone."""
+        keys, cols = list(self.spec.keys), [*self.spec.keys, *data_cols]
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in ((LAST, changes.schema[SEQ].dataType), (LAST_TIE, T.LongType()))]
         state = self._state(m)
-        if state is not None:
-            gained = {c: F.lit(None).cast(changes.schema[c].dataType) for c in data_cols if c not in state.columns}
-            state = state.withColumns(gained).withColumn(KEY, self._key())
-            touched = state.join(new.select(KEY).distinct(), KEY, "left_semi")
-            heads = touched.filter(HEAD).select(F.col(KEY).alias("__k"), LAST, LAST_TIE)
-            later = F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST)) | ((F.col(SEQ) == F.col(LAST)) & (F.col(TIE) > F.col(LAST_TIE)))
-            new = new.join(heads, F.col(KEY) == F.col("__k"), "left").filter(later).drop("__k", LAST, LAST_TIE)
-        last = new.groupBy(KEY).agg(newest)
-        feed = new.select(*keys, *data_cols, SEQ, DEL, TRUNC, TIE)
-        if state is not None:
-            pending = touched.filter(~F.col(HEAD))
-            # stored rows lose ties against events that came later; of an end and a start at one place the start stands
-            starts = pending.select(*keys, *data_cols, F.col(START_AT).alias(SEQ), F.lit(False).alias(DEL), F.lit(False).alias(TRUNC), F.lit(-2**63 + 1).cast("long").alias(TIE))
-            ends = pending.filter(F.col(END_AT).isNotNull()).select(*keys, *(F.lit(None).cast(pending.schema[c].dataType).alias(c) for c in data_cols),
-                                                                    F.col(END_AT).alias(SEQ), F.lit(True).alias(DEL), F.lit(False).alias(TRUNC), F.lit(-2**63).cast("long").alias(TIE))
-            feed = feed.unionByName(starts).unionByName(ends)
-            last = last.unionByName(heads.select(F.col("__k").alias(KEY), F.struct(LAST, LAST_TIE).alias("__m"))).groupBy(KEY).agg(F.max("__m").alias("__m"))
-        versions = scd2_from_changes(feed, self.spec, data_cols).withColumn(KEY, self._key())
-        versions = versions.join(last.select(F.col(KEY).alias("__k"), "__m.*"), F.col(KEY) == F.col("__k")).drop("__k", KEY)
+        if state is None:
+            return changes.select(*cols, SEQ, DEL, TRUNC, TIE, *nothing)
+        new = changes.withColumn(KEY, self._key())
+        gained = {c: F.lit(None).cast(changes.schema[c].dataType) for c in data_cols if c not in state.columns}
+        touched = state.withColumns({**gained, KEY: self._key()}).join(new.select(KEY).distinct(), KEY, "left_semi")
+        heads = touched.filter(HEAD).select(F.col(KEY).alias("__k"), LAST, LAST_TIE)
+        later = F.col(LAST).isNull() | (F.col(SEQ) > F.col(LAST)) | ((F.col(SEQ) == F.col(LAST)) & (F.col(TIE) > F.col(LAST_TIE)))
+        new = new.join(heads, F.col(KEY) == F.col("__k"), "left").filter(later).select(*cols, SEQ, DEL, TRUNC, TIE, *nothing)
+
+        def event(at: Column, deleted: bool, tie: int) -> Column:
+            return F.struct(at.alias(SEQ), F.lit(deleted).alias(DEL), F.lit(False).alias(TRUNC), F.lit(tie).cast("long").alias(TIE))
+
+        # stored rows lose ties against events that came later; of an end and a start at one place the start stands
+        parts = F.filter(F.array(event(F.col(START_AT), False, -2**63 + 1), event(F.col(END_AT), True, -2**63)), lambda e: F.col(HEAD) | e[SEQ].isNotNull())
+        parts = F.when(F.col(HEAD), F.slice(parts, 1, 1)).otherwise(parts)
+        return new.unionByName(touched.select(*keys, *data_cols, LAST, LAST_TIE, HEAD, F.inline(parts)).select(
+            *cols, SEQ, DEL, TRUNC, TIE, *(F.when(F.col(HEAD), F.col(c)).alias(c) for c in (LAST, LAST_TIE))))
+
+    def _advanced(self, feed: DataFrame, data_cols: list[str]) -> DataFrame:
+        """Closed versions and state of the keys in ``feed``."""
+        stored = F.col(TIE) <= -2**63 + 1
+        applied = F.when(F.col(LAST).isNotNull(), F.struct(F.col(LAST), F.col(LAST_TIE))).when(~stored, F.struct(F.col(SEQ).alias(LAST), F.col(TIE).alias(LAST_TIE)))
+        last = feed.groupBy(self._key().alias("__k")).agg(F.max(applied).alias("__m")).select("__k", "__m.*")
+        versions = scd2_from_changes(feed.filter(F.col(SEQ).isNotNull()), self.spec, data_cols)
+        versions = versions.join(last, self._key() == F.col("__k"))
         settled = F.col(END_AT).isNotNull() & (F.col(END_AT) < F.col(LAST))
-        versions = versions.withColumn(HEAD, F.lit(False)).withColumn(KIND, F.when(settled, CLOSED).otherwise(STATE))
-        tops = last.select(*[F.col(f"{KEY}.{k}").alias(k) for k in keys], "__m.*").withColumn(HEAD, F.lit(True)).withColumn(KIND, F.lit(STATE))
+        versions = versions.select(*self.spec.keys, *data_cols, START_AT, END_AT, LAST, LAST_TIE, F.lit(False).alias(HEAD), F.when(settled, CLOSED).otherwise(STATE).alias(KIND))
+        tops = last.select(*[F.col(f"__k.{k}").alias(k) for k in self.spec.keys], LAST, LAST_TIE, F.lit(True).alias(HEAD), F.lit(STATE).alias(KIND))
         return versions.unionByName(tops, allowMissingColumns=True)
 
     # ------------------------------------------------------------------ SCD2, late events spliced in
