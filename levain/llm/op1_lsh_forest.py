@@ -283,17 +283,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each class the row with the smallest id stays, of several with it the
-    one with the smallest text hash, and of the rows with a null id the one with the smallest text hash too.
-    Rows without words have no copies and stay."""
+    """The rows of ``docs`` without near copies: exactly one row of each class stays, the one with the smallest id (a null
+    id comes last), of several with it the one with the smallest text hash.  Rows without words have no copies and stay."""
     names = docs.columns
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     blank = text.rlike(r"(?U)^[\s\x1c-\x1f]*$")
     row = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.md5(text).alias("hash"))
     keyed = docs.filter(~blank).withColumn("__row", row)
-    of = join(keyed.select("__row", text_col), "__row", text_col, threshold)
-    named = of.filter("NOT __row.unnamed AND __row = class_id").select("__row")
-    kept = named.unionByName(of.filter("__row.unnamed").groupBy("class_id").agg(F.min("__row").alias("__row")).select("__row")).distinct()
+    kept = join(keyed.select("__row", text_col), "__row", text_col, threshold).filter("__row = class_id").select("__row").distinct()
     order = F.xxhash64(*(f"`{f.name}`" for f in docs.schema if "map<" not in f.dataType.simpleString()))
     one = keyed.groupBy("__row").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in names)), order).alias("doc"))  # rows equal in id and text meet in part before the shuffle
     return one.join(kept, "__row", "left_semi").select("doc.*").unionByName(docs.filter(blank))
