@@ -4,11 +4,10 @@ Method.  The histogram of lengths over all rows goes to a dynamic program that c
 upper bounds so that padding every row to its bucket's bound wastes the fewest tokens.  Each bucket's rows
 then form batches of as many rows as the token budget holds at the bucket's bound (one at least).
 
-Histogram.  Lengths below 2**PRECISION have a bin each; longer ones share bins whose width is at most
-2**(1 - PRECISION) of the length, so the histogram has at most 2**(PRECISION - 1) bins for each doubling of
-length, whatever the corpus.  A bucket's bound is the longest length in its last bin, so nothing is cut.
+Histogram.  Every length has a bin of its own, so the bounds are optimal; there are at most as many bins as the longest text
+has tokens, whatever the number of rows.
 
-Batches.  A bucket is dealt by a hash of the id to shards of about SHARD_ROWS rows and SHARD_TOKENS padded tokens
+Batches.  A bucket is dealt by a hash of the id and the row's place in the stored table (so a hot id is spread) to shards of about SHARD_ROWS rows and SHARD_TOKENS padded tokens
 at most; each shard numbers its rows and fills batches; only a shard's last batch can be short.  So no bucket is in one task.
 
 Cases.  A null length counts as 0; a null or empty text has length 0.  A row longer than the budget
@@ -31,7 +30,7 @@ from levain.llm.common import prepare, written
 from levain.llm.tokens import default_path, encoder
 
 BUCKETS, BUDGET = 16, 65536
-PRECISION, SHARD_ROWS, SHARD_TOKENS = 8, 32768, 1 << 24
+SHARD_ROWS, SHARD_TOKENS = 32768, 1 << 24
 #: Runs that a worker's encoder keeps; fewer than elsewhere, as packing follows stages that hold caches of their own.
 CACHE_RUNS = 200_000
 
@@ -41,29 +40,25 @@ def token_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     prepare(docs.sparkSession)
     path = tokenizer_path or default_path()
     names = [c for c in (docs.columns if keep is None else keep) if c != "n_tokens"]
-    rows = docs.select(*names, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
+    own = text_col in names and docs.schema[text_col].dataType.simpleString() == "string"  # then the text travels once
+    text = text_col if own else "__text"
+    rows = docs.select(*names) if own else docs.select(*names, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, CACHE_RUNS)
         for x in batches:
-            n = np.diff(enc.flat(x.column("__text").to_pylist())[1])
+            n = np.diff(enc.flat([t or "" for t in x.column(text).to_pylist()])[1])
             yield pa.record_batch([*(x.column(c) for c in names), pa.array(n, pa.int64())], [*names, "n_tokens"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     return rows.mapInArrow(run, f"{fields}{', ' * bool(names)}n_tokens long")
 
 
-def _bin(length: Column) -> Column:
-    wide = F.greatest(F.length(F.bin(length)) - PRECISION, F.lit(0))
-    step = F.pow(F.lit(2.0), wide).cast("long")
-    return F.ceil(length / step).cast("long") * step
-
-
 def histogram(rows: DataFrame, length_col: str = "n_tokens") -> list[tuple[int, int]]:
-    """(longest length, rows) of each bin, by rising length."""
+    """(length, rows) of each length, rising."""
     n = F.coalesce(F.col(length_col).cast("long"), F.lit(0))
-    found = rows.select(n.alias("n")).groupBy(_bin(F.col("n")).alias("bin")).agg(F.max("n").alias("longest"), F.count("*").alias("rows"))
-    return sorted((r["longest"], r["rows"]) for r in found.collect())  # bounded, see the module's notes
+    found = rows.groupBy(n.alias("n")).agg(F.count("*").alias("rows"))
+    return sorted((r["n"], r["rows"]) for r in found.collect())  # bounded by the longest text
 
 
 def best_bounds(bins: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int]:
@@ -76,17 +71,19 @@ def best_bounds(bins: list[tuple[int, int]], buckets: int = BUCKETS) -> list[int
     cost, back = top * rows[1:], []
     for _ in range(1, min(buckets, n)):
         new, first = np.empty(n), np.zeros(n, int)
-        todo = [(0, n - 1, 0, n - 1)]
-        while todo:
-            lo, hi, a, b = todo.pop()
-            if lo > hi:
-                continue
+        lo, hi, a, b = (np.array([v]) for v in (0, n - 1, 0, n - 1))
+        while len(lo):  # the middles of all open spans at once
             mid = (lo + hi) // 2
-            start = np.arange(a, min(mid, b) + 1)  # the last bucket holds the bins start..mid
-            total = np.where(start > 0, cost[start - 1], 0) + top[mid] * (rows[mid + 1] - rows[start])
-            best = int(np.argmin(total))
-            new[mid], first[mid] = total[best], start[best]
-            todo += [(lo, mid - 1, a, first[mid]), (mid + 1, hi, first[mid], b)]
+            size = np.minimum(mid, b) - a + 1
+            span = np.repeat(np.arange(len(lo)), size)
+            start = np.arange(len(span)) - np.repeat(size.cumsum() - size, size) + a[span]  # the last bucket holds the bins start..mid
+            total = np.where(start > 0, cost[start - 1], 0) + top[mid][span] * (rows[mid + 1][span] - rows[start])
+            least = np.minimum.reduceat(total, size.cumsum() - size)
+            hit = np.flatnonzero(total == least[span])
+            best = start[hit[np.unique(span[hit], return_index=True)[1]]]
+            new[mid], first[mid] = least, best
+            lo, hi, a, b = (np.concatenate(pair) for pair in ((lo, mid + 1), (mid - 1, hi), (a, best), (best, b)))
+            lo, hi, a, b = (v[keep] for keep in [lo <= hi] for v in (lo, hi, a, b))
         cost = new
         back.append(first)
     bounds, at = [int(top[-1])], n - 1
@@ -113,8 +110,8 @@ def pack(rows: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
 
     n = F.coalesce(F.col(length_col).cast("long"), F.lit(0))
     dealt = rows.drop("bucket", "padded", "batch", "batch_row").withColumn("bucket", F.size(F.filter(F.array(*(F.lit(b).cast("long") for b in bounds)), lambda b: b < n)))
-    dealt = dealt.withColumn("padded", of(bounds).cast("long")).withColumn("__key", F.xxhash64(id_col)).withColumn("__shard", F.pmod("__key", of(shards).cast("long")))
-    order = Window.partitionBy("bucket", "__shard").orderBy("__key", id_col, n)
+    dealt = dealt.withColumn("padded", of(bounds).cast("long")).withColumn("__key", F.xxhash64(id_col, F.monotonically_increasing_id())).withColumn("__shard", F.pmod("__key", of(shards).cast("long")))
+    order = Window.partitionBy("bucket", "__shard").orderBy("__key")
     dealt = dealt.withColumn("__n", F.row_number().over(order) - 1).withColumn("__size", of(per_batch))
     batch = F.concat_ws("-", "bucket", "__shard", F.floor(F.col("__n") / F.col("__size")))
     return dealt.withColumn("batch", batch).withColumn("batch_row", F.col("__n") % F.col("__size")).drop("__key", "__shard", "__n", "__size")
