@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec, apply_changes
-from levain.plans import analogs, chain
+from levain.plans import analogs, chain, sales
 from levain.session import shared_dir
 from levain.sources.cursor import CursorIngest, table_source
 from levain.sources.files import BATCH_COLUMNS, FileIngest, NewColumnsError
@@ -511,6 +511,36 @@ def cursor_resume(spark, sf) -> DataFrame:
     return target.read()
 
 
+def sales_updates(spark, sf) -> list[DataFrame]:
+    """The transaction lines in three updates: a first one with wrong quantities, wrong days, lines held back and lines too many;
+    one that corrects quantities and deletes what was too many; one that corrects days and brings the rest."""
+    tx = analogs.transaction_lines(spark, sf)
+    again = Window.partitionBy("cardnumber").orderBy(F.xxhash64(*tx.columns))  # the test table repeats line numbers
+    tx = tx.withColumn("line", F.col("cardnumber") * 1000 + F.row_number().over(again))
+    wrong = tx.withColumns({"quantity": F.when(F.col("line") % 7 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
+                            "totalprice": F.when(F.col("line") % 7 == 0, F.col("totalprice") + F.col("unitprice")).otherwise(F.col("totalprice")).cast("decimal(18,2)"),
+                            "datetime": F.when(F.col("line") % 13 == 0, F.col("datetime") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("datetime"))})
+    extra = tx.filter("line % 17 = 0").withColumn("line", -F.col("line"))
+    parts = [wrong.filter("line % 11 <> 0").unionByName(extra).withColumn("op", F.lit("U")),
+             tx.filter("line % 7 = 0 AND line % 11 <> 0").withColumn("op", F.lit("U")).unionByName(extra.withColumn("op", F.lit("D"))),
+             tx.filter("line % 13 = 0 OR line % 11 = 0").withColumn("op", F.lit("U"))]
+    return [p.withColumn("update", F.lit(n)) for n, p in enumerate(parts)]
+
+
+SALES_CDC = CdcSpec(keys=("line",), sequence_by="update", except_columns=("op", "update"), stored_as_scd_type=1, apply_as_deletes="op = 'D'")
+
+
+def fact_sales_incremental(spark, sf) -> DataFrame:
+    """The daily fact kept up to date from the changes of three updates with corrections, late lines and deletes."""
+    root = run_dir(spark, "fact_sales_incremental")
+    bronze = CdcTarget(spark, f"{root}/transactions", SALES_CDC)
+    view = sales.fact_sales_view(spark, f"{root}/fact", bronze)
+    for n, update in enumerate(sales_updates(spark, sf)):
+        bronze.apply(update, n)
+        view.refresh()
+    return sales.fact_sales_of(view)
+
+
 NULLED_REGION = "CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id % 2 END"
 
 

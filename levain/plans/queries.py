@@ -359,6 +359,7 @@ register("list_tables", orc.list_tables)(flows.list_tables)
 register("scd2_incremental", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd2_incremental)
 register("scd_late_events", orc.scd_late_events)(flows.scd_late_events)
 register("scd_late_merge", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.scd_late_merge)
+register("fact_sales_incremental", orc.fact_sales)(flows.fact_sales_incremental)
 register("cursor_incremental_scd2", orc.cursor_incremental_scd2)(flows.cursor_incremental_scd2)
 register("cursor_incremental_scd1", orc.CURSOR_SCD1)(flows.cursor_incremental_scd1)
 register("cursor_resume", orc.CURSOR_SCD1)(flows.cursor_resume)

@@ -6,12 +6,14 @@ Every function takes and returns DataFrames; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levain.functions.text import clean_lower
 from levain.operators.cdc import END_AT
 from levain.operators.expectations import Expectation, Expectations
+from levain.streaming.aggregate_view import AggregateView
+from levain.streaming.cdc_target import SIGN, CdcTarget
 
 # ---------------------------------------------------------------------------
 # transactions
@@ -21,8 +23,8 @@ TRANSACTION_RULES = Expectations(
     dataset="sales_transactions_silver")
 
 
-def silver_transactions_projection(bronze: DataFrame) -> DataFrame:
-    """Rename and trim; the rule below is written against these output names."""
+def silver_transactions_projection(bronze: DataFrame, *more: str) -> DataFrame:
+    """Rename and trim, with the columns ``more`` as they are; the rule below is written against these output names."""
     return bronze.select(
         F.col("transactionid"),
         F.col("customerid"),
@@ -35,6 +37,7 @@ def silver_transactions_projection(bronze: DataFrame) -> DataFrame:
         F.trim("paymentmethod").alias("payment_method"),
         F.col("cardnumber").alias("card_number"),
         F.col("updated_at"),
+        *more,
     )
 
 
@@ -69,6 +72,32 @@ def fact_sales(silver: DataFrame) -> DataFrame:
         "transaction_count", "total_quantity", "total_revenue", "avg_unit_price", "first_purchase", "last_purchase")
 
 
+#: The grain of the daily fact.
+FACT_GRAIN = ["customer_ID", "franchise_ID", "product_name", "sale_date"]
+
+
+def fact_sales_view(spark: SparkSession, path: str, bronze: CdcTarget) -> AggregateView:
+    """The daily fact over a target of transaction lines, kept up to date from the target's changes."""
+
+    def rows(signed: DataFrame) -> DataFrame:
+        silver = TRANSACTION_RULES.apply(silver_transactions_projection(signed, SIGN))
+        silver = silver.filter("transactionid IS NOT NULL AND customerid IS NOT NULL AND franchiseid IS NOT NULL")
+        return silver.select(F.col("customerid").alias("customer_ID"), F.col("franchiseid").alias("franchise_ID"), "product_name", F.to_date("transaction_datetime").alias("sale_date"),
+                             "transactionid", "quantity", "total_price", "unit_price", "transaction_datetime", SIGN)
+
+    return AggregateView(spark, path, bronze, FACT_GRAIN, rows, counts={"transaction_count": "transactionid", "__prices": "unit_price"},
+                         sums={"total_quantity": "quantity", "total_revenue": "total_price", "__price": "unit_price"},
+                         mins={"first_purchase": "transaction_datetime"}, maxs={"last_purchase": "transaction_datetime"})
+
+
+def fact_sales_of(view: AggregateView) -> DataFrame:
+    """The fact's rows, in the columns of :func:`fact_sales`."""
+    price = (F.col("__price") / F.col("__prices")).cast("decimal(22,6)").cast("decimal(18,6)")
+    return view.read().select(
+        *FACT_GRAIN, F.year("sale_date").alias("sale_year"), F.month("sale_date").alias("sale_month"), "transaction_count", "total_quantity",
+        F.col("total_revenue").cast("decimal(38,2)").alias("total_revenue"), price.alias("avg_unit_price"), "first_purchase", "last_purchase")
+
+
 # ---------------------------------------------------------------------------
 # customers
 # ---------------------------------------------------------------------------

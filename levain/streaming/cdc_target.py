@@ -35,6 +35,7 @@ LAST_TIE = "__last_tie"
 HEAD = "__head"
 GEN = "__gen"
 KIND = "__kind"
+SIGN = "__sign"
 CLOSED, STATE, REMOVED, LOG, TRUNCATES = "closed", "state", "removed", "log", "truncates"
 
 
@@ -86,7 +87,7 @@ class CdcTarget:
         prepared.write.parquet(f"{folder}/{LOG}")
         changes = self.spark.read.schema(prepared.schema).parquet(f"{folder}/{LOG}")
         new = {"version": m["version"] + 1, "batches": with_batch(m["batches"], batch_id), "tables": {k: list(v) for k, v in m["tables"].items()},
-               "schemas": dict(m["schemas"]), "columns": data_cols}
+               "schemas": dict(m["schemas"]), "columns": data_cols, "added": []}
         if obs is not None:
             new["metrics"] = {"batch": batch_id, "expectations": self.expectations.observed_metrics(obs)}
         keep_log = False
@@ -103,7 +104,9 @@ class CdcTarget:
         rows.write.partitionBy(KIND).parquet(f"{folder}/rows")
         for kind in (CLOSED, STATE, REMOVED, TRUNCATES):
             found = f"{folder}/rows/{KIND}={kind}"
-            self._name(new, kind, found if fs.exists(self.spark, found) else None, rows.drop(KIND).schema)
+            there = fs.exists(self.spark, found)
+            self._name(new, kind, found if there else None, rows.drop(KIND).schema)
+            new["added"] += [found] if there and kind != TRUNCATES else []
         self.versions.commit(new)
         for part in ["feed"] if keep_log else ["feed", LOG]:
             fs.remove(self.spark, f"{folder}/{part}")
@@ -114,6 +117,27 @@ class CdcTarget:
         """(version, batch, expectation records) of the batches committed after version ``since``, as their manifests hold them."""
         return [(m["version"], m["metrics"]["batch"], m["metrics"]["expectations"]) for m in self.versions.since(since) if "metrics" in m]
 
+    def changes(self, since: int, upto: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """What changed between two versions, as signed rows (``SIGN`` is how often a row was added, or taken away if negative),
+        over ``columns`` (all by default).  Only keys that batches between the two wrote are looked at; both versions must not be vacuumed."""
+        now = self.versions.current() if upto is None else self.versions.manifest(upto)
+        new = self.read(now["version"])
+        columns = columns or new.columns
+        if not since:
+            return new.select(*columns).withColumn(SIGN, F.lit(1).cast("long"))
+        between = [f for m in self.versions.since(since) if m["version"] <= now["version"] for f in m.get("added", [])]
+        cut = [f for f in now["tables"].get(TRUNCATES, []) if f not in self.versions.manifest(since)["tables"].get(TRUNCATES, [])]
+        if not between and not cut:
+            return new.select(*columns).withColumn(SIGN, F.lit(1).cast("long")).limit(0)
+        old = self.read(since)
+        if not cut:  # else any key may have changed
+            schema = new.select(*self.spec.keys).schema
+            touched = self.spark.read.schema(schema).parquet(*between).select(self._key().alias("__k")).distinct()
+            old, new = (df.join(touched, self._key() == F.col("__k"), "left_semi") for df in (old, new))
+        gained = {c: F.lit(None).cast(new.schema[c].dataType) for c in columns if c not in old.columns}
+        both = new.select(*columns, F.lit(1).cast("long").alias(SIGN)).unionByName(old.withColumns(gained).select(*columns, F.lit(-1).cast("long").alias(SIGN)))
+        return both.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0)
+
     def folders(self) -> int:
         """The most folders that any table has."""
         return max((len(x) for x in self.versions.current()["tables"].values()), default=0)
@@ -125,7 +149,8 @@ class CdcTarget:
             return
         folder = self.versions.new_folder()
         new = {**m, "version": m["version"] + 1, "tables": {}, "schemas": dict(m["schemas"])}
-        new.pop("metrics", None)
+        for once in ("metrics", "added"):
+            new.pop(once, None)
         if self.spec.stored_as_scd_type == 1:
             tables = {STATE: self._newest_rows(m), TRUNCATES: self._table(m, TRUNCATES)}
         elif self.spec.late == "merge":
