@@ -541,6 +541,46 @@ def fact_sales_incremental(spark, sf) -> DataFrame:
     return sales.fact_sales_of(view)
 
 
+def cursor_late_commit(spark, sf) -> DataFrame:
+    """Every ninth order of the last 60 days before the first load is committed after it: the look-back finds it, once."""
+    root = run_dir(spark, "cursor_late_commit")
+    tx = analogs.order_transactions(spark, sf)
+    target = CdcTarget(spark, f"{root}/target", CdcSpec(keys=("transactionid",), sequence_by="updated_at"))
+    mark = F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+    late = (F.col("transactionid") % 9 == 0) & (F.col("updated_at") >= mark - F.expr("INTERVAL 60 DAYS"))
+    for part in (tx.filter((F.col("updated_at") < mark) & ~late), tx.filter(F.col("updated_at") < mark), tx):
+        part.write.mode("overwrite").parquet(f"{root}/db")
+        CursorIngest(spark, table_source(lambda: spark.read.parquet(f"{root}/db")), "updated_at", target, f"{root}/_cursor", look_back="90 days").run()
+    return target.read().drop("__START_AT", "__END_AT")
+
+
+def cursor_null(spark, sf) -> DataFrame:
+    """Every fiftieth order has no cursor value in the first two loads: quarantined, not lost; half of them get one in the third."""
+    root = run_dir(spark, "cursor_null")
+    tx = analogs.order_transactions(spark, sf)
+    target = CdcTarget(spark, f"{root}/target", CdcSpec(keys=("transactionid",), sequence_by="updated_at", stored_as_scd_type=1))
+    nulled = lambda every: tx.withColumn("updated_at", F.when(F.col("transactionid") % every != 0, F.col("updated_at")))
+    first = F.col("datetime") < F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+    for part in (nulled(50).filter(first), nulled(50), nulled(100).withColumn("updated_at", F.when(F.col("transactionid") % 100 == 50, F.lit("2031-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("updated_at")))):
+        part.write.mode("overwrite").parquet(f"{root}/db")
+        load = CursorIngest(spark, table_source(lambda: spark.read.parquet(f"{root}/db")), "updated_at", target, f"{root}/_cursor", null_cursor="quarantine", quarantine=f"{root}/quarantine")
+        load.run()
+    return target.read().withColumn("quarantine_reason", F.lit(None).cast("string")).unionByName(load.quarantined())
+
+
+def json_array_ingest(spark, sf) -> DataFrame:
+    """Files that are one JSON array each, over many lines: a row for each element."""
+    root = run_dir(spark, "json_array_ingest")
+    ev = analogs.events(spark, sf)
+    files = ev.groupBy(F.floor(F.col("event_id") / 1000).alias("file")).agg(F.collect_list(F.struct(*ev.columns)).alias("rows"))  # 1,000 events a file
+    text = F.regexp_replace(F.to_json("rows", {"timestampNTZFormat": JSON_TS_FORMAT}), r"\},\{", "},\n {")
+    files.select("file", text.alias("value")).repartition("file").write.option("maxRecordsPerFile", 1).partitionBy("file").text(f"{root}/events")
+    ing = FileIngest(spark, path=f"{root}/events/file=*/*.txt", target=f"{root}/_bronze", checkpoint=f"{root}/_checkpoint",
+                     schema_location=f"{root}/_schema", format="json", options={"multiLine": "true"})
+    ing.run()
+    return _bronze(ing).drop("_rescued_data")
+
+
 NULLED_REGION = "CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id % 2 END"
 
 

@@ -362,6 +362,9 @@ register("scd_late_merge", lambda: orc.scd2_events(delete=EVENT_DELETE))(flows.s
 register("fact_sales_incremental", orc.fact_sales)(flows.fact_sales_incremental)
 register("cursor_incremental_scd2", orc.cursor_incremental_scd2)(flows.cursor_incremental_scd2)
 register("cursor_incremental_scd1", orc.CURSOR_SCD1)(flows.cursor_incremental_scd1)
+register("cursor_late_commit", orc.CURSOR_SCD1)(flows.cursor_late_commit)
+register("cursor_null", orc.CURSOR_NULL)(flows.cursor_null)
+register("json_array_ingest", orc.JSON_STREAM_INGEST)(flows.json_array_ingest)
 register("cursor_resume", orc.CURSOR_SCD1)(flows.cursor_resume)
 register("scd2_composite_key", orc.scd2_composite_key)(flows.scd2_composite_key)
 register("scd1_truncate_incremental", lambda: orc.scd1_events(truncate="value > 480"))(flows.scd1_truncate_incremental)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from levain.sources.versions import Versions
 from levain.streaming.cdc_target import CdcTarget
 
 
@@ -54,10 +55,47 @@ def table_source(read_table: Callable[[], DataFrame]) -> Callable[[str, object],
 
 
 class CursorIngest:
-    def __init__(self, spark: SparkSession, source: Callable[[str, object], DataFrame], cursor: str,
-                 target: CdcTarget, state_path: str):
+    """Incremental loads of ``source`` into ``target`` by the column ``cursor``.
+
+    ``look_back`` (an interval such as ``"2 hours"``; for numeric cursors a number) widens each window below the last mark, for
+    rows that a longer transaction committed after a load had passed their cursor value.  Rows in the overlap that were
+    applied before are told apart by the target's state: not newer than their key's last sequence.
+
+    A row without a cursor value belongs to no window.  Every load looks for such rows: ``null_cursor="fail"`` refuses the load
+    by name, ``"quarantine"`` keeps them in ``quarantine`` (the table as of the newest load, so a row that got a value leaves it).
+    """
+
+    def __init__(self, spark: SparkSession, source: Callable[[str, object], DataFrame], cursor: str, target: CdcTarget, state_path: str,
+                 look_back: str | float | None = None, null_cursor: str = "fail", quarantine: str | None = None):
+        if null_cursor not in ("fail", "quarantine") or (null_cursor == "quarantine") != (quarantine is not None):
+            raise ValueError("null_cursor is 'fail', or 'quarantine' with a quarantine path")
         self.spark, self.source, self.cursor, self.target = spark, source, cursor, target
         self.state_path = state_path.rstrip("/")
+        self.look_back, self.quarantine = look_back, quarantine
+
+    def _below(self, low, kind):
+        """The window's lower end: the last mark, less the look-back."""
+        if low is None or self.look_back is None:
+            return low
+        back = F.lit(low).cast(kind) - (F.expr(f"INTERVAL {self.look_back}") if isinstance(self.look_back, str) else F.lit(self.look_back))
+        return self.spark.range(1).select(back.cast(kind)).first()[0]
+
+    def _set_aside(self) -> None:
+        """Refuse or keep the rows without a cursor value (a pushed-down IS NULL)."""
+        missing = self.source(self.cursor, None).filter(F.col(self.cursor).isNull())
+        if self.quarantine is not None:
+            missing = missing.withColumn("quarantine_reason", F.lit(f"{self.cursor} IS NULL"))
+            versions = Versions(self.spark, self.quarantine)
+            folder = versions.new_folder()
+            missing.write.parquet(folder)
+            versions.commit({"version": versions.current()["version"] + 1, "tables": {"rows": [folder]}})
+            versions.vacuum()
+        elif missing.limit(1).count():
+            raise ValueError(f"rows with a NULL cursor value {self.cursor!r}: they belong to no load")
+
+    def quarantined(self) -> DataFrame:
+        """The rows without a cursor value, as of the newest load."""
+        return self.spark.read.parquet(*Versions(self.spark, self.quarantine).current()["tables"]["rows"])
 
     def _state(self) -> DataFrame | None:
         try:
@@ -86,17 +124,16 @@ class CursorIngest:
         low, last_run = self.high_water()
         run, state = last_run + 1, self._state()
         open_ = None if state is None else state.filter((F.col("run") == run) & ~F.col("done")).first()
-        rows = self.source(self.cursor, low)
-        kind = rows.schema[self.cursor].dataType
+        self._set_aside()
+        kind = self.source(self.cursor, None).schema[self.cursor].dataType
+        rows = self.source(self.cursor, self._below(low, kind))
         if open_ is not None:
             high = open_["high_water"]
         else:
             high = rows.agg(F.max(self.cursor)).first()[0]  # one value, pushed down
             high = low if high is None else high
             self._record(run, low, high, kind, False)
-        at = F.col(self.cursor)
-        within = at <= F.lit(high).cast(kind) if high is not None else F.lit(False)
-        # a first load passes rows without a cursor value on, so that the target can refuse them by name
-        self.target.apply(rows.filter(within | at.isNull() if low is None else within), run)
+        within = F.col(self.cursor) <= F.lit(high).cast(kind) if high is not None else F.lit(False)
+        self.target.apply(rows.filter(within), run)
         self._record(run, low, high, kind, True)
         return run

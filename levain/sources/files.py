@@ -409,8 +409,10 @@ class FileIngest:
     def _json_groups(self, paths: list[str]) -> list[DataFrame]:
         opts = self._opts()
         lines = self.spark.read.text(paths, wholetext=opts.get("multiLine", "false") == "true")
-        entries = F.map_entries(F.from_json("value", "map<string,string>", opts))
-        lines = self._with_meta(lines).withColumn("__entries", entries).withColumn("__keys", F.transform("__entries", lambda e: F.lower(e["key"])))
+        # a top-level array is a row for each of its elements, as Spark's reader has it
+        records = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<map<string,string>>", opts)).otherwise(F.array(F.from_json("value", "map<string,string>", opts)))
+        lines = self._with_meta(lines).withColumn("__record", F.explode(F.coalesce(records, F.array(F.lit(None).cast("map<string,string>")))))
+        lines = lines.withColumn("__entries", F.map_entries("__record")).withColumn("__keys", F.transform("__entries", lambda e: F.lower(e["key"])))
         known: dict[str, str] = {}
         self._json_found = self._json_schema(paths)
         for f in self._json_found.fields:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from levain.session import shared_dir
+from levain.sources.versions import Versions
 
 LAYERS = ("bronze", "silver", "gold")
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -73,7 +74,11 @@ class Lakehouse:
     def materialized_view(self, layer: str, table: str, df: DataFrame, comment: str | None = None,
                           properties: dict | None = None, expectations=None, event_log=None,
                           update_id: str | None = None) -> DataFrame:
-        """Full recompute: overwrite the table's files, (re)register it, set comment / properties.
+        """Full recompute into a new folder; then the table is switched to it, and comment / properties are set.
+
+        Until the switch (one change of the table's location) readers see the old rows, and a refresh that breaks off leaves
+        them; the folder before is kept for readers that are under way, older ones are removed.  Where the
+        columns changed, the table is registered anew.
 
         With ``expectations``, drop / fail rules are enforced inside the write and every rule's
         counts are observed on that same write (no extra pass); with ``event_log`` they are
@@ -84,12 +89,27 @@ class Lakehouse:
         if expectations is not None:
             df, obs = expectations.observe(df)
             df = expectations.apply(df)
-        df.write.mode("overwrite").format("parquet").option("path", self.location(layer, table)).saveAsTable(name)
+        versions = Versions(self.spark, self.location(layer, table))
+        folder = versions.new_folder()
+        df.write.parquet(folder)
+        versions.commit({"version": versions.current()["version"] + 1, "tables": {"rows": [folder]}})
+        self._switch(name, folder, df)
+        versions.vacuum(keep=2)
         self.set_properties(layer, table, comment, properties)
         if obs is not None and event_log is not None:
             event_log.flow_progress(update_id or "manual", expectations.observed_metrics(obs))
         return self.spark.read.table(name)
 
+    def _switch(self, name: str, folder: str, df: DataFrame) -> None:
+        """Let the table's name stand for the files in ``folder``."""
+        same = self.spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in self.spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]
+        if same:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, folder, "parquet")
+
     def register_parquet(self, layer: str, table: str, path: str) -> str:
         """Expose existing Parquet files as a table (no copy)."""
         name = self.name(layer, table)

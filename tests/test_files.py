@@ -183,3 +183,19 @@ def test_nothing_to_ingest(spark, workdir):
     os.makedirs(f"{root}/in")
     make(spark, root).run()
     assert not os.path.exists(f"{root}/bronze")
+
+
+def test_json_arrays_are_a_row_for_each_element(spark, workdir):
+    local = workdir.removeprefix("file:")
+    with open(f"{local}/a.json", "w") as f:
+        f.write('[{"id": 1, "v": "x"},\n {"id": 2, "w": true}]')
+    with open(f"{local}/b.json", "w") as f:
+        f.write('{"id": 3}')
+    with open(f"{local}/c.json", "w") as f:
+        f.write("[]")
+    with open(f"{local}/d.json", "w") as f:
+        f.write('[{"id": 4,')
+    ing = FileIngest(spark, path=f"{workdir}/*.json", target=f"{workdir}/b", checkpoint=f"{workdir}/c", schema_location=f"{workdir}/s", format="json", options={"multiLine": "true"})
+    ing.run()
+    got = sorted(((r["id"], r["v"], r["w"], r["_rescued_data"]) for r in spark.read.parquet(ing.target).collect()), key=str)
+    assert [g[:3] for g in got] == [(1, "x", None), (2, None, True), (3, None, None), (None, None, None)] and got[3][3] is not None

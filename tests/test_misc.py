@@ -97,3 +97,21 @@ def test_json_paths(spark):
     got = df.select(json_path("d", "k").alias("k"), F.size(parse_json_array(json_path("d", "a:b"),
                                                                              "struct<n: string, v: int>")).alias("n"))
     assert rows(got) == [("7", 1), (None, None)]  # missing path: NULL array (explode gives no row)
+
+
+def test_a_refresh_that_breaks_off_leaves_the_view(spark, workdir):
+    from levain.sources.tables import Lakehouse
+
+    lh = Lakehouse(spark, catalog="broken", root=f"{workdir}/lake")
+    lh.setup()
+    try:
+        first = lh.materialized_view("gold", "v", spark.range(3))
+        with pytest.raises(Exception, match="broke off"):
+            lh.materialized_view("gold", "v", spark.range(5).filter("IF(id = 4, CAST(raise_error('broke off') AS BOOLEAN), TRUE)"))
+        assert spark.table("broken_gold.v").count() == 3
+        lh.materialized_view("gold", "v", spark.table("broken_gold.v").selectExpr("id + 10 AS id"))  # a view may even read itself
+        assert rows(spark.table("broken_gold.v"), "id") == [(10,), (11,), (12,)] and first.count() == 3
+        lh.materialized_view("gold", "v", spark.range(2).selectExpr("id", "'x' AS more"))
+        assert spark.table("broken_gold.v").columns == ["id", "more"]
+    finally:
+        lh.teardown()
