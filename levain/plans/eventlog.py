@@ -52,9 +52,17 @@ class EventLog:
             "output_dataset": output_dataset, "input_datasets": input_datasets, "flow_type": flow_type,
             "schema": fields}})
 
-    def flow_progress(self, update_id: str, expectations: list[dict], status: str = "COMPLETED") -> None:
+    def flow_progress(self, update_id: str, expectations: list[dict], status: str = "COMPLETED", target: str | None = None, version: int | None = None) -> None:
+        """The counts of one write; with ``target`` and ``version``, of that version of a target table."""
+        of = {} if target is None else {"target": target, "version": version}
         self._append(update_id, "flow_progress", {"flow_progress": {
-            "status": status, "data_quality": {"expectations": expectations}}})
+            "status": status, "data_quality": {"expectations": expectations}, **of}})
+
+    def logged_version(self, target: str) -> int:
+        """The newest version of ``target`` whose counts are in the log; 0 if none."""
+        part = lambda name: F.get_json_object("details", f"$.flow_progress.{name}")
+        done = self.read().filter((F.col("event_type") == "flow_progress") & (part("target") == target))
+        return done.agg(F.max(part("version").cast("int"))).first()[0] or 0
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(EVENT_LOG_SCHEMA).parquet(self.path)

@@ -7,7 +7,7 @@ franchises: CSV files -> bronze (file stream, rescue) -> silver (drop / warn / f
 
 Every stream runs with ``availableNow``: it processes what is new and stops, so a run is
 one pipeline update.  Each update writes ``create_update``, one ``flow_definition`` per
-flow and a ``flow_progress`` row per micro-batch with the observed expectation counts to
+flow and a ``flow_progress`` row per committed micro-batch with its expectation counts to
 the event log.
 """
 
@@ -33,6 +33,9 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
 }
 
+#: A target with more folders than this is compacted at the end of an update.
+COMPACT_FOLDERS = 64
+
 
 class FilePipeline:
     """bronze file ingest -> streamed bronze -> (clean) -> expectations -> SCD2 silver -> gold."""
@@ -66,7 +69,7 @@ class FilePipeline:
             self.spark, target=f"{self.base}/bronze/{self.name}_raw", checkpoint=f"{self.base}/_checkpoints/{self.name}_raw",
             schema_location=f"{self.base}/_schemas/{self.name}", **self.ingest_args)
         self.silver = CdcTarget(self.spark, f"{self.base}/silver/{self.name}", self.spec,
-                                expectations=self.rules, on_metrics=self._metrics)
+                                expectations=self.rules)
 
     def full_refresh(self, update_id: str | None = None) -> str:
         """Rebuild everything from the files: a new version with a new schema, new checkpoints and new tables.  Readers
@@ -83,9 +86,12 @@ class FilePipeline:
         fs.touch(self.spark, f"{self.root}/_refreshed/{self.name}/{before + 1}")
         return done
 
-    def _metrics(self, batch_id: int, records: list[dict]) -> None:
+    def _log_counts(self) -> None:
+        """Append the counts of every committed batch that the log lacks: they come from the commits themselves, so a batch that
+        broke off has none, and one whose update broke off before this line is logged by the next."""
         if self.log is not None:
-            self.log.flow_progress(self._update, records)
+            for version, _, records in self.silver.batch_metrics(self.log.logged_version(self.silver.path)):
+                self.log.flow_progress(self._update, records, target=self.silver.path, version=version)
 
     def _bronze_stream(self) -> DataFrame:
         return self.spark.readStream.schema(self.bronze.bronze_schema()).parquet(self.bronze.target)
@@ -107,6 +113,10 @@ class FilePipeline:
                  .trigger(availableNow=True).start(f"{self.base}/bronze/{self.name}_invalid"))
             q.awaitTermination()
         self.silver.stream_into(cleaned, f"{self.base}/_checkpoints/{self.name}_cdc").awaitTermination()
+        self._log_counts()
+        if self.silver.folders() > COMPACT_FOLDERS:
+            self.silver.compact()
+            self.silver.versions.vacuum()
         if self.log is not None:
             self.log.flow_definition(self._update, f"silver.{self.name}", [f"bronze.{self.name}_raw"], "cdc",
                                      self.silver.read().schema)

@@ -47,3 +47,49 @@ def test_nearest_equals_brute_force(spark):
         assert got == brute(right, k), k
     assert nearest(left, right.limit(0), 2, "lid", "rid", ("la", "lo"), ("ra", "ro")).count() == 0
     assert nearest(left.limit(0), right, 2, "lid", "rid", ("la", "lo"), ("ra", "ro")).count() == 0
+
+
+def test_nearest_in_a_crowded_city_meets_few_points(spark):
+    """2,000 x 2,000 points within 0.2 degrees, some far away, poles and date line: exact, and few distances are computed."""
+    import math
+    import random
+
+    r = random.Random(3)
+    spots = [(48 + r.random() * 0.2, 2 + r.random() * 0.2) for _ in range(4000)] + [(90.0, 0.0), (-89.99, 170.0), (10.0, 179.999), (10.0, -179.999), (0.0, 0.0), (-40.0, -120.0)] * 2
+    left = spark.createDataFrame([(n, *p) for n, p in enumerate(spots[:2000] + spots[4000:4006])], "lid long, la double, lo double")
+    right = spark.createDataFrame([(n, *p) for n, p in enumerate(spots[2000:4000] + spots[4006:])], "rid long, ra double, ro double")
+    out = nearest(left, right, 5, "lid", "rid", ("la", "lo"), ("ra", "ro"))
+    got = {}
+    for x in out.collect():
+        got.setdefault(x["lid"], []).append((x["rank"], x["rid"]))
+
+    def km(a, b):
+        (p, q), (s, t) = (map(math.radians, v) for v in (a, b))
+        return 2 * 6371 * math.asin(math.sqrt(min(1.0, math.sin((s - p) / 2) ** 2 + math.cos(p) * math.cos(s) * math.sin((t - q) / 2) ** 2)))
+
+    there = spots[2000:4000] + spots[4006:]
+    for n, p in [*list(enumerate(spots[:2000]))[::40], *enumerate(spots[4000:4006], 2000)]:
+        best = sorted((round(km(p, q), 7), m) for m, q in enumerate(there))[:5]
+        assert [m for _, m in sorted(got[n])] == [m for _, m in best], (n, p)
+    plan = out._jdf.queryExecution().executedPlan()
+    joined = [int(line.split(":")[1].replace(",", "")) for line in _join_rows(plan)]
+    assert 0 < max(joined) < 600_000  # of 4,024,036 pairs
+
+
+def _join_rows(plan):
+    """Output rows of every join that ran, from the executed plan's metrics."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if "Adaptive" in name:
+            todo.append(node.executedPlan())
+            continue
+        if hasattr(node, "plan") and "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if "Join" in name:
+            out.append(f"rows:{node.metrics().apply('numOutputRows').value()}")
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
