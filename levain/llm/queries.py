@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,8 +80,10 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_key(spark: SparkSession) -> str:
-    """The secret of the permutations, from the session; the default is for examples only."""
-    return spark.conf.get("spark.levain.pii.key", "example key")
+    """The secret of the permutations: ``spark.levain.pii.key``, or else a random one for the length of the session."""
+    if not spark.conf.get("spark.levain.pii.key", None):
+        spark.conf.set("spark.levain.pii.key", secrets.token_hex(32))
+    return spark.conf.get("spark.levain.pii.key")
 
 
 def op11_toxicity_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
