@@ -27,7 +27,7 @@ def test_scd2_shuffles_and_sorts_events_once(spark):
     """Events go by (key, slice), once (the plan shows it in both branches, which share it when run); by key alone only the summaries go."""
     lines = [x for x in plan_of(QUERIES["scd2_track_history"](spark, SF_SMALL)).splitlines() if "Exchange hashpartitioning" in x]
     by_key = [x for x in lines if "__slice" not in x]
-    assert len(by_key) == 1 and len(lines) - len(by_key) == 3, lines
+    assert len(by_key) == 1 and 2 <= len(lines) - len(by_key) <= 3, lines  # the third only where the summaries are not broadcast
 
 
 def test_fact_scan_is_pruned_and_filtered(spark):
