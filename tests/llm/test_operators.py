@@ -5,6 +5,7 @@ import html
 import itertools
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -137,6 +138,43 @@ def test_language_narrow_margins_reject_and_short_texts_do_not():
     assert o2.judge("one", same)[::2] == ("a", True)
 
 
+def test_language_is_plain_compression_by_every_dictionary(spark):
+    """Against compressors made anew, text by text, without prepared dictionaries."""
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = o2.learn(docs.filter(~o2.held_out()))
+
+    def plain(text):
+        kept = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split()
+        raw = " ".join(w for n, w in enumerate(kept) if n == 0 or w != kept[n - 1]).encode()
+        if not raw:
+            return "und", 0.0
+
+        def sizes(**how):
+            how = z.ZstdCompressionParameters(write_content_size=False, write_checksum=False, write_dict_id=False, window_log=18, hash_log=16, chain_log=16, **how)
+            return {x: sum(len(z.ZstdCompressor(dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=how).compress(raw[n:n + 4096]))
+                           for n in range(0, len(raw), 4096)) for x, d in known.items()}
+
+        got = sizes(strategy=z.STRATEGY_GREEDY, min_match=4, search_log=3)
+        first, second = sorted(got.values())[:2]
+        if second / first - 1 < o2.NARROW:
+            got = sizes(strategy=z.STRATEGY_BTULTRA, min_match=3, search_log=6, target_length=64)
+            first, second = sorted(got.values())[:2]
+        return min(got, key=got.get), min(1.0, 2 * (1 - first / second))
+
+    rows = docs.select("doc_id", "text").filter("doc_id < 150").collect() + edge_docs(spark).select("doc_id", "text").collect()
+    got = sorted(o2.identify(spark.createDataFrame(rows, "doc_id long, text string"), known).select("lang_pred", "score").collect())
+    assert [(r[0], pytest.approx(r[1])) for r in got] == sorted(plain(r["text"] or "") for r in rows)
+
+
+def test_numbers_are_no_letters():
+    some = (("a", b"one two three"), ("b", b"uno dos tres"))
+    for text in ("½ ²", "Ⅷ ①", "x²"[1:], "12 ٣", "_ -"):
+        assert o2.judge(text, some) == ("und", 0.0, False)
+    assert o2.words("H²O ½tel Ⅷ") == b"h o tel"
+
+
 def test_language_rejects_noise_and_languages_not_learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 0")
     known = o2.learn(docs.filter(~o2.held_out()).filter("lang <> 'es'"))
