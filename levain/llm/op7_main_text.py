@@ -13,11 +13,11 @@ negative number); one that lies outside of content by the same counts weighs BOU
 
 Elements that the sample does not have fall back on names, then on the mean log odds of their words, then on those of
 their tag.  A name is a tag in TAGS, or a whole class, role or id of words in BOILERPLATE (and PLAIN ones beside them):
-``cookie-notice`` is one, ``post-title`` and ``social-policy`` are not.  Only blocks have names, and a ``form``, a name or word that the
+``cookie-notice`` is one, ``post-title`` and ``social-policy`` are not; beside words of STRICT (comments, adverts) those of BESIDE change nothing either.  Only blocks have names, and a ``form``, a name or word that the
 sample does not have decides only up to the next ``div`` or ``section`` with a class or id that is no name.  ``html``, ``body``, ``article``,
 ``main``, headings and what is in a heading never decide against content, nor does a tag without class or id that is not in
-TAGS.  Within ``article`` or ``main`` only tags and classes that are names decide (a heading's id may be any word), and
-``header`` does not.
+TAGS.  Within ``article`` or ``main`` only tags and classes that are names decide, and ids that are names with a word of STRICT (a
+heading's id may be any word); ``header`` does not, nor does a paragraph whose name has EVERYDAY words alone; forms and names with a word of STRICT decide for all in them.
 
 Text.  Character references are decoded, white space inside a block becomes one blank, blocks are trimmed, empty
 ones left out, and the others joined in page order by two line feeds.  Inline tags and ``br`` do not part blocks
@@ -29,7 +29,7 @@ Text of HIDDEN elements is left out, that of ``math`` and ``object`` is kept.
 Cases.  Null and empty pages, and pages without a region of positive score, give an empty text.  Broken HTML is
 read as it stands: an unclosed script, style or comment runs to the end of the page; a self-closed element is empty, and
 so is a hidden one that no end tag follows; a block ends an open button, select, textarea, title, svg or math; end tags
-without a start are ignored; an end tag closes all that is open above its start.  Copies of a page count once in the sample.  Ties: the first region.  Repeated rows are kept and
+without a start are ignored; an end tag closes all that is open above its start.  Copies of a page count once in the sample.  Ties: the region that ends first, then the shortest.  Repeated rows are kept and
 treated alike.  Other columns are not read.  Without labelled pages the weights of BOILERPLATE and CONTENT alone count.
 """
 
@@ -66,6 +66,12 @@ BOILERPLATE = frozenset("""nav navigation navbar menu menubar footer aside sideb
     cookie cookies consent notice notices alert popup modal newsletter subscribe signup login breadcrumb breadcrumbs pagination pager share sharing social related
     recommended comment comments disqus reply replies widget toolbar copyright legal""".split())
 PLAIN = frozenset("area bar block box buttons container icons inner items links list page posts primary secondary section site top bottom wrap wrapper".split())
+#: Words of these that speak of readers' comments and adverts: also in ids within content, and beside more words that change nothing.
+STRICT = frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies newsletter sidebar comment comments commentlist disqus respond replies".split())
+BESIDE = frozenset("user users reader readers post article body content text author meta item slot unit form thread count title header avatar area new all".split())
+#: Words of names that everyday paragraphs of an article have too, and tags of such paragraphs.
+EVERYDAY = frozenset("legal notice notices alert social related".split())
+PROSE = frozenset("p li dd dt blockquote figcaption td th tr pre".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
 NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 Element = tuple[str, ...]
@@ -74,7 +80,7 @@ Element = tuple[str, ...]
 def named(name: str) -> bool:
     """Whether a whole class, id or role is a name of what is not content."""
     words = set(re.findall(r"[^\W_\d]+", name))
-    return not words.isdisjoint(BOILERPLATE) and words <= BOILERPLATE | PLAIN
+    return not words.isdisjoint(BOILERPLATE | STRICT) and words <= BOILERPLATE | STRICT | (PLAIN if words.isdisjoint(STRICT) else PLAIN | BESIDE)
 
 
 def element(tag: str, attributes: str) -> Element:
@@ -94,7 +100,12 @@ def is_named(e: Element, in_content: bool = False) -> bool:
     """Whether the element has a name that speaks against content, there or within ``article`` or ``main``."""
     if e[0] in CONTENT or e[0] in HEADINGS or e[0] in ("html", "body"):
         return False
-    return e[1] == "!" or e[0] in TAGS and not (in_content and e[0] == "header") or e[1] == "#" and not in_content
+    if e[0] in TAGS and not (in_content and e[0] == "header"):
+        return True
+    words = {w.lstrip("#") for w in e[2:]}
+    if e[1] == "#":
+        return not in_content or e[0] not in PROSE and not words.isdisjoint(STRICT)
+    return e[1] == "!" and not (in_content and e[0] in PROSE and words & (BOILERPLATE | STRICT) <= EVERYDAY)
 
 
 def lean(odds: float) -> float:
@@ -217,7 +228,8 @@ def extract(page: str | None, weights: dict[tuple[str, Element], float]) -> str:
             against = any(e[0] in HIDDEN for e in path)
             inside = False  # inside: of a nearer block with words of its own
             for e, w in reversed(list(zip(path[content + 1:heading], inner, strict=False))):
-                weak = e[0] == "form" or e[0] not in TAGS and ("text", e) not in weights
+                sure = content >= 0 and is_named(e, True) and (e[0] == "form" or not STRICT.isdisjoint(w.lstrip("#") for w in e[2:]))
+                weak = not sure and (e[0] == "form" or e[0] not in TAGS and ("text", e) not in weights)
                 against |= w <= -DECISIVE and not (inside and weak)
                 inside |= e[0] in ("div", "section") and len(e) > 2 and not is_named(e, content >= 0)
             known[path] = OUTSIDE if against else max(LEAST, *inner, *map(weight, path[:content + 1]), LEAST)

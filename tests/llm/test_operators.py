@@ -560,3 +560,46 @@ def test_queries_return_a_row_for_each_row(spark, name):
     table = {"op5": "pages", "op7": "pages", "op3": "embeddings", "op9": "embeddings"}.get(name.split("_")[0], "documents")
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert QUERIES[name](spark, SF).count() == {"op3": n // 50 * 5, "op9": n // 20 * 20}.get(name.split("_")[0], n)
+
+
+@pytest.mark.parametrize("learned", [False, True])
+def test_comments_adverts_and_forms_within_an_article_go_and_its_paragraphs_stay(spark, learned):
+    known = o7.learn(spark.read.parquet(f"{SF}/pages.parquet")) if learned else {}
+    body = "word " * 30
+    out = ['<section id="comments"><p>{}</p></section>', '<section id="comments"><div class="entry"><p>{}</p></div></section>', '<div class="post-comments">{}</div>', '<div class="user-comments"><div class="comment-body"><p>{}</p></div></div>',
+           '<ol class="commentlist"><li>{}</li></ol>', '<div class="ad-slot">{}</div>', '<div class="advertising"><p>{}</p></div>', '<div id="sidebar">{}</div>', '<form><div class="field"><label>{}</label></div></form>',
+           '<aside>{}</aside>', '<div class="cookie-notice">{}</div>', '<p class="advert">{}</p>']
+    stay = ['<p class="legal">{}</p>', '<p class="notice">{}</p>', '<section id="related-work"><p>{}</p></section>', '<section id="notice"><p>{}</p></section>', '<h2 id="comments">{}</h2>', '<div class="comments-open"><p>{}</p></div>', '<li class="social">{}</li>']
+    for at, element in enumerate(out + stay):
+        extra = "other " * 12
+        page = f"<html><body><nav>Menu</nav><article><p>{body}</p>{element.format(extra)}<p>{body}</p></article></body></html>"
+        want = [body.strip(), extra.strip(), body.strip()] if at >= len(out) else [body.strip()] * 2
+        assert o7.extract(page, known) == "\n\n".join(want), element
+    assert o7.extract(f'<body><div class="text"><p>{body}</p></div><div class="user-comments"><p>{body * 2}</p></div></body>', known) == body.strip()
+
+
+def test_the_scan_finds_the_best_of_all_regions(spark):
+    """Pages of one-word blocks with weights drawn at random, against a search over all regions."""
+    r = random.Random(3)
+    for _ in range(300):
+        weights, blocks = {}, []
+        for n in range(r.randint(1, 9)):
+            cls = f"c{'abcdefghij'[n]}"
+            weights["text", ("div", "", cls)] = r.choice((4.0, 1.0, -4.0))
+            weights["open", ("div", "", cls)] = weights["close", ("div", "", cls)] = r.choice((-40.0, -1.0, -0.25))  # sums are exact
+            blocks.append((cls, " ".join(f"w{n}x{k}" for k in range(r.randint(1, 6)))))
+        page = "".join(f'<div class="{c}">{t}</div>' for c, t in blocks)
+        scores = []
+        for c, t in blocks:
+            w = weights["text", ("div", "", c)]
+            each = len(t.split()) * (o7.OUTSIDE if w <= -o7.DECISIVE else max(o7.LEAST, w))
+            edge = weights["open", ("div", "", c)]
+            scores.append((edge, each, edge))
+        flat = [x for s in scores for x in s]
+        best, region = 0.0, (0, 0)
+        for j in range(1, len(flat) + 1):
+            for i in range(j - 1, -1, -1):  # of equal sums the one that ends first, then the shortest
+                if sum(flat[i:j]) > best:
+                    best, region = sum(flat[i:j]), (i, j)
+        want = [t for n, (_, t) in enumerate(blocks) if region[0] <= 3 * n + 1 < region[1] and scores[n][1] > 0]
+        assert o7.extract(page, weights) == "\n\n".join(want), (page, weights)
