@@ -287,7 +287,7 @@ def q_event_log_flows(spark, sf):
 
 # ---------------------------------------------------------------- semantic layer, distance
 
-DISTANCE_MAX_KM = 2500.0
+DISTANCE_MAX_KM = 50.0
 NEAREST_SUPPLIERS = 5
 
 
