@@ -27,6 +27,17 @@ def test_pairs_within_equals_brute_force(spark):
         assert fast == {(r.lid, r.rid) for r in brute.collect()}, km
 
 
+def test_distance_within_reaches_2500_km(spark, monkeypatch):
+    """The registered radius join and its SQL keep pairs up to 2,500 km: 1,112, 2,446 and 2,557 km apart on the equator."""
+    from levain.plans import oracle, queries
+
+    left = spark.createDataFrame([(1, 0.0, 179.0)], "franchise_ID long, f_lat double, f_lon double")
+    right = spark.createDataFrame([(1, 0.0, 169.0), (2, 0.0, -159.0), (3, 0.0, -158.0), (4, 0.0, 179.0)], "supplier_ID long, s_lat double, s_lon double")
+    monkeypatch.setattr(queries, "_located", lambda spark, sf: (left, right))
+    assert {r["supplier_ID"] for r in queries.q_distance_within(spark, "").collect()} == {1, 2, 4}
+    assert oracle.distance_within(queries.DISTANCE_MAX_KM).endswith("WHERE distance_km <= 2500.0")
+
+
 def test_nearest_equals_brute_force(spark):
     rnd = random.Random(5)
     pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(40)] + [(100, 10.0, 10.0), (101, 10.0, 10.0)]
