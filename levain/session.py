@@ -7,8 +7,10 @@ We only pick a folder of our own when the session has none, as in local tests.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,19 @@ def apply_defaults(spark: SparkSession) -> None:
     checkpoint_root(spark)
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that ends within are removed then, not when the driver next collects garbage: for writes,
+    whose plans are not run again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and work tables.
 

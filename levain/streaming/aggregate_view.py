@@ -4,8 +4,8 @@
 counts +1, one taken away -1), and merges them into the groups they belong to:
 
 * counts and sums are additive: the groups' stored values plus the signed sums;
-* minima and maxima take in added values; where a row was taken away that held the extreme, they are found again from the
-  source's rows of those groups only;
+* minima and maxima take in added values; where a row was taken away that held the extreme, and none was added that does, they
+  are found again from the source's rows of those groups only;
 * a group whose rows are all gone is deleted.
 
 Groups are stored in a CdcTarget of their own (SCD1 by group): a refresh writes the groups that changed and nothing else,
@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec
+from levain.session import shared_dir, shuffles_removed
+from levain.sources import fs
 from levain.sources.versions import has_batch
 from levain.streaming.cdc_target import SIGN, CdcTarget
 
@@ -53,7 +55,11 @@ class AggregateView:
         if now == since or has_batch(self.target.versions.current()["batches"], now):
             return now
         delta = self.project(self.source.changes(since, now))
-        self.target.apply(self._merged(delta, now, since), now)
+        work = shared_dir(self.target.spark, "views", unique=True)
+        try:
+            self.target.apply(self._merged(delta, now, since, work), now)
+        finally:
+            fs.remove(self.target.spark, work)
         return now
 
     # ------------------------------------------------------------------ internals
@@ -79,23 +85,32 @@ class AggregateView:
             aggs += [F.max(of(c, 1)).alias(o), F.max(of(c, -1)).alias(f"__gone_{o}")]
         return delta.groupBy(*self.group).agg(*aggs)
 
-    def _merged(self, delta: DataFrame, now: int, since: int) -> DataFrame:
+    @staticmethod
+    def _step(df: DataFrame, path: str) -> DataFrame:
+        """``df`` written and read back, so that its shuffle files are gone before the next step writes its own."""
+        with shuffles_removed(df.sparkSession):
+            df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _merged(self, delta: DataFrame, now: int, since: int, work: str) -> DataFrame:
         signed = self._signed(delta)
         additive = [ROWS, *self.counts, *(x for o in self.sums for x in (o, f"__n_{o}"))]
         if not since:
             return signed.drop(*(f"__gone_{o}" for o in (*self.mins, *self.maxs))).withColumn(VERSION, F.lit(now))
-        old = self.target.read()
+        signed = self._step(signed, f"{work}/signed")
+        old = self.target.read(among=signed.select(self._key().alias("__k")))
         old = old.select(self._key().alias("__k"), *(F.col(c).alias(f"__old_{c}") for c in (*additive, *self.mins, *self.maxs)))
         both = signed.join(old, self._key() == F.col("__k"), "left").drop("__k")
         # sums keep the type of the aggregate, as adding decimals would widen them with every refresh
         merged = both.withColumns({c: (F.coalesce(f"__old_{c}", F.lit(0)) + F.coalesce(c, F.lit(0))).cast(signed.schema[c].dataType) for c in additive})
         lost = F.lit(False)
         for o in self.mins:
-            lost = lost | F.coalesce(F.col(f"__gone_{o}") <= F.col(f"__old_{o}"), F.lit(False))
+            lost = lost | (F.coalesce(F.col(f"__gone_{o}") <= F.col(f"__old_{o}"), F.lit(False)) & ~F.coalesce(F.col(o) <= F.col(f"__gone_{o}"), F.lit(False)))
         for o in self.maxs:
-            lost = lost | F.coalesce(F.col(f"__gone_{o}") >= F.col(f"__old_{o}"), F.lit(False))
+            lost = lost | (F.coalesce(F.col(f"__gone_{o}") >= F.col(f"__old_{o}"), F.lit(False)) & ~F.coalesce(F.col(o) >= F.col(f"__gone_{o}"), F.lit(False)))
         merged = merged.withColumns({"__lost": lost & (F.col(ROWS) > 0), **{o: F.least(o, f"__old_{o}") for o in self.mins}, **{o: F.greatest(o, f"__old_{o}") for o in self.maxs}})
         if self.mins or self.maxs:
+            merged = self._step(merged, f"{work}/merged")
             again = merged.filter("__lost").select(self._key().alias("__k"))
             rows = self.project(self.source.read(now).withColumn(SIGN, F.lit(1).cast("long")))
             found = rows.join(again, self._key() == F.col("__k"), "left_semi").groupBy(self._key().alias("__k")).agg(

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from levain.operators.cdc import (DEL, END_AT, KEY, SEQ, START_AT, TIE, TRUNC, CdcSpec, check_target_schema, prepare_changes,
                                   scd2_from_changes)
 from levain.operators.expectations import Expectations
+from levain.session import shuffles_removed
 from levain.sources import fs
 from levain.sources.versions import Versions, has_batch, with_batch
 
@@ -52,13 +53,14 @@ class CdcTarget:
         self.versions = Versions(spark, self.path)
 
     # ------------------------------------------------------------------ public
-    def read(self, version: int | None = None) -> DataFrame:
-        """The target as users see it, of the current version or of an earlier one that was not vacuumed."""
+    def read(self, version: int | None = None, among: DataFrame | None = None) -> DataFrame:
+        """The target as users see it, of the current version or of an earlier one that was not vacuumed; SCD1 keys only
+        those in the ``__k`` (struct of the keys) of ``among``, if given."""
         m = self.versions.current() if version is None else self.versions.manifest(version)
         if not m["version"]:
             raise RuntimeError(f"target {self.path} has no committed batch yet")
         if self.spec.stored_as_scd_type == 1:
-            return self._scd1(m)
+            return self._scd1(m, among)
         live = self._live(m)
         if self.spec.late == "ignore":
             state = self._state(m).filter(~F.col(HEAD))
@@ -84,7 +86,7 @@ class CdcTarget:
         folder = self.versions.new_folder()
         prepared = prepare_changes(batch, self.spec)
         # written once: the counts are observed on that write, and every step below reads the same rows
-        prepared.write.parquet(f"{folder}/{LOG}")
+        _write(prepared, f"{folder}/{LOG}")
         changes = self.spark.read.schema(prepared.schema).parquet(f"{folder}/{LOG}")
         new = {"version": m["version"] + 1, "batches": with_batch(m["batches"], batch_id), "tables": {k: list(v) for k, v in m["tables"].items()},
                "schemas": dict(m["schemas"]), "columns": data_cols, "added": []}
@@ -98,10 +100,10 @@ class CdcTarget:
             keep_log, rows = True, self._spliced(changes, m, new, data_cols)
         else:
             feed = self._feed(changes, m, data_cols)
-            feed.write.parquet(f"{folder}/feed")
+            _write(feed, f"{folder}/feed")
             rows = self._advanced(self.spark.read.schema(feed.schema).parquet(f"{folder}/feed"), data_cols)
         rows = rows.withColumn(GEN, F.lit(new["version"]))
-        rows.write.partitionBy(KIND).parquet(f"{folder}/rows")
+        _write(rows, f"{folder}/rows", KIND)
         for kind in (CLOSED, STATE, REMOVED, TRUNCATES):
             found = f"{folder}/rows/{KIND}={kind}"
             there = fs.exists(self.spark, found)
@@ -129,6 +131,9 @@ class CdcTarget:
         cut = [f for f in now["tables"].get(TRUNCATES, []) if f not in self.versions.manifest(since)["tables"].get(TRUNCATES, [])]
         if not between and not cut:
             return new.select(*columns).withColumn(SIGN, F.lit(1).cast("long")).limit(0)
+        before = self.versions.manifest(since)["tables"].get(STATE, [])
+        if self.spec.stored_as_scd_type == 1 and not cut and not now["tables"].get(TRUNCATES) and set(before) <= set(now["tables"][STATE]) and {*self.spec.keys} <= {*columns}:
+            return self._scd1_changes(now, since, columns)
         old = self.read(since)
         if not cut:  # else any key may have changed
             schema = new.select(*self.spec.keys).schema
@@ -138,6 +143,16 @@ class CdcTarget:
         both = new.select(*columns, F.lit(1).cast("long").alias(SIGN)).unionByName(old.withColumns(gained).select(*columns, F.lit(-1).cast("long").alias(SIGN)))
         return both.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0)
 
+    def _scd1_changes(self, now: dict, since: int, columns: list[str]) -> DataFrame:
+        """The signed rows in one shuffle of the stored rows: each key's newest row before and after, where they differ."""
+        rows = self._table(now, STATE).select(self._key().alias("__k"), (F.col(GEN) > since).alias("__late"), F.struct(SEQ, TIE).alias("__at"), F.struct(DEL, *columns).alias("__r"))
+        newest = rows.repartition("__k").groupBy("__k", "__late").agg(F.max_by("__r", "__at").alias("__r"), F.max("__at").alias("__at"))
+        both = newest.groupBy("__k").agg(F.max_by("__r", "__at").alias("__new"), F.max_by("__r", F.when(~F.col("__late"), F.col("__at"))).alias("__old"), F.max("__late").alias("__late"))
+        both = both.filter(F.col("__late") & ~F.col("__new").eqNullSafe(F.col("__old")))
+        signed = F.array(*(F.struct(F.col(c).alias("__r"), F.lit(n).cast("long").alias(SIGN)) for c, n in (("__new", 1), ("__old", -1))))
+        signed = both.select(F.inline(signed)).filter(~F.col(f"__r.{DEL}"))
+        return signed.select(*(F.col(f"__r.{c}").alias(c) for c in columns), SIGN)
+
     def folders(self) -> int:
         """The most folders that any table has."""
         return max((len(x) for x in self.versions.current()["tables"].values()), default=0)
@@ -160,7 +175,7 @@ class CdcTarget:
             tables = {CLOSED: self._table(m, CLOSED), STATE: self._state(m)}
         for name, df in tables.items():
             if df is not None:
-                df.write.parquet(f"{folder}/{name}")
+                _write(df, f"{folder}/{name}")
                 self._name(new, name, f"{folder}/{name}", df.schema)
         self.versions.commit(new)
 
@@ -207,15 +222,17 @@ class CdcTarget:
         cut = changes.filter(TRUNC).agg(F.max(SEQ).alias(SEQ)).filter(F.col(SEQ).isNotNull()).withColumn(KIND, F.lit(TRUNCATES))
         return rows.unionByName(cut, allowMissingColumns=True)
 
-    def _newest_rows(self, m: dict) -> DataFrame:
+    def _newest_rows(self, m: dict, among: DataFrame | None = None) -> DataFrame:
         rows = self._table(m, STATE)
+        if among is not None:  # before the newest are taken, so that only these keys' rows are dealt again
+            rows = rows.join(among.select("__k"), self._key() == F.col("__k"), "left_semi")
         if len(m["tables"].get(STATE, [])) < 2:
             return rows
         rest = [c for c in rows.columns if c not in self.spec.keys]
         return rows.groupBy(*self.spec.keys).agg(F.max_by(F.struct(*rest), F.struct(SEQ, TIE)).alias("__r")).select(*self.spec.keys, "__r.*")
 
-    def _scd1(self, m: dict) -> DataFrame:
-        rows = self._newest_rows(m).filter(~F.col(DEL))
+    def _scd1(self, m: dict, among: DataFrame | None = None) -> DataFrame:
+        rows = self._newest_rows(m, among).filter(~F.col(DEL))
         if m["tables"].get(TRUNCATES):
             last = self._table(m, TRUNCATES).agg(F.max(SEQ)).scalar()
             rows = rows.filter(F.col(SEQ) > last)
@@ -304,6 +321,11 @@ class CdcTarget:
         return versions.unionByName(gone, allowMissingColumns=True)
 
 
+def _write(df: DataFrame, path: str, *parts: str) -> None:
+    with shuffles_removed(df.sparkSession):
+        (df.write.partitionBy(*parts) if parts else df.write).parquet(path)
+
+
 def _nullable(schema: T.StructType) -> list[T.StructField]:
     return [T.StructField(f.name, f.dataType, True) for f in schema.fields]
 

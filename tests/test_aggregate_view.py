@@ -97,3 +97,24 @@ def test_untouched_days_of_the_fact_stay(spark, workdir):
     bronze.apply(third, 2)
     view.refresh()
     assert rows(sales.fact_sales_of(view)) == rows(sales.fact_sales(sales.silver_transactions(analogs.transaction_lines(spark, SF_SMALL))))
+
+
+def test_changes_shuffle_the_stored_rows_once_and_a_refresh_leaves_no_shuffle_files(spark, workdir):
+    source = CdcTarget(spark, f"{workdir}/s", SPEC)
+    view = view_of(spark, f"{workdir}/v", source)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        found = disk.getAllFiles()
+        return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+    before = shuffle_files()
+    for n in range(3):
+        source.apply(spark.createDataFrame([(k, None if k % 5 == 0 else f"g{k % 3}", k + n, None, n, "D" if n == 2 and k % 7 == 0 else None) for k in range(n, 60, n + 1)], SCHEMA), n)
+        view.refresh()
+    assert shuffle_files() <= before  # older queries' files may go meanwhile
+    assert rows(view.read()) == recomputed(source)
+    changed = source.changes(1, 3)
+    assert changed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    old, new = rows(source.read(1)), rows(source.read(3))
+    assert rows(changed.filter(f"{SIGN} = 1").drop(SIGN)) == [r for r in new if r not in old] and rows(changed.filter(f"{SIGN} = -1").drop(SIGN)) == [r for r in old if r not in new]
