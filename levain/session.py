@@ -56,16 +56,20 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 @contextlib.contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a query that ends within are removed then, not when the driver next collects garbage: for writes,
-    whose plans are not run again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Runtime settings that hold within."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Shuffle files of a query go when it ends, not when the driver next collects garbage: for writes, whose plans are not run again.
+SHUFFLES_REMOVED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def checkpoint_root(spark: SparkSession) -> str:

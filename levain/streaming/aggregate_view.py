@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec
-from levain.session import shared_dir, shuffles_removed
+from levain.session import SHUFFLES_REMOVED, settings, shared_dir
 from levain.sources import fs
 from levain.sources.versions import has_batch
 from levain.streaming.cdc_target import SIGN, CdcTarget
@@ -88,7 +88,7 @@ class AggregateView:
     @staticmethod
     def _step(df: DataFrame, path: str) -> DataFrame:
         """``df`` written and read back, so that its shuffle files are gone before the next step writes its own."""
-        with shuffles_removed(df.sparkSession):
+        with settings(df.sparkSession, SHUFFLES_REMOVED):
             df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 

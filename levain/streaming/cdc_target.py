@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from levain.operators.cdc import (DEL, END_AT, KEY, SEQ, START_AT, TIE, TRUNC, CdcSpec, check_target_schema, prepare_changes,
                                   scd2_from_changes)
 from levain.operators.expectations import Expectations
-from levain.session import shuffles_removed
+from levain.session import SHUFFLES_REMOVED, settings
 from levain.sources import fs
 from levain.sources.versions import Versions, has_batch, with_batch
 
@@ -37,6 +37,10 @@ HEAD = "__head"
 GEN = "__gen"
 KIND = "__kind"
 SIGN = "__sign"
+#: Events that one task of a splice takes: so its sorts stay as small as they are when the table grows.
+TASK_ROWS = 100_000
+#: Up to so many tasks Spark merges shuffle partitions by their bytes.
+MERGED_TASKS = 8
 CLOSED, STATE, REMOVED, LOG, TRUNCATES = "closed", "state", "removed", "log", "truncates"
 
 
@@ -92,18 +96,21 @@ class CdcTarget:
                "schemas": dict(m["schemas"]), "columns": data_cols, "added": []}
         if obs is not None:
             new["metrics"] = {"batch": batch_id, "expectations": self.expectations.observed_metrics(obs)}
-        keep_log = False
+        keep_log, tasks = False, 0
         if self.spec.stored_as_scd_type == 1:
             rows = self._scd1_rows(changes, data_cols)
         elif self.spec.late == "merge":
             self._name(new, LOG, f"{folder}/{LOG}", prepared.schema)
+            tasks = self._tasks(self._table(new, LOG))
             keep_log, rows = True, self._spliced(changes, m, new, data_cols)
         else:
             feed = self._feed(changes, m, data_cols)
             _write(feed, f"{folder}/feed")
-            rows = self._advanced(self.spark.read.schema(feed.schema).parquet(f"{folder}/feed"), data_cols)
+            feed = self.spark.read.schema(feed.schema).parquet(f"{folder}/feed")
+            tasks = self._tasks(feed)
+            rows = self._advanced(feed, data_cols)
         rows = rows.withColumn(GEN, F.lit(new["version"]))
-        _write(rows, f"{folder}/rows", KIND)
+        _write(rows, f"{folder}/rows", KIND, tasks=tasks)
         for kind in (CLOSED, STATE, REMOVED, TRUNCATES):
             found = f"{folder}/rows/{KIND}={kind}"
             there = fs.exists(self.spark, found)
@@ -179,6 +186,10 @@ class CdcTarget:
                 self._name(new, name, f"{folder}/{name}", df.schema)
         self.versions.commit(new)
 
+    def _tasks(self, events: DataFrame) -> int:
+        """Tasks for stored events, by their number (from the files' footers)."""
+        return -(-events.count() // TASK_ROWS)
+
     # ------------------------------------------------------------------ tables
     def _name(self, m: dict, table: str, folder: str | None, schema: T.StructType) -> None:
         """List ``folder``, if there is one, in a manifest; the table's schema gains its columns."""
@@ -321,8 +332,10 @@ class CdcTarget:
         return versions.unionByName(gone, allowMissingColumns=True)
 
 
-def _write(df: DataFrame, path: str, *parts: str) -> None:
-    with shuffles_removed(df.sparkSession):
+def _write(df: DataFrame, path: str, *parts: str, tasks: int = 0) -> None:
+    """Write ``df``; its shuffles have ``tasks`` partitions, if that is more than MERGED_TASKS."""
+    dealt = {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.coalescePartitions.enabled": "false"} if tasks > MERGED_TASKS else {}
+    with settings(df.sparkSession, {**SHUFFLES_REMOVED, **dealt}):
         (df.write.partitionBy(*parts) if parts else df.write).parquet(path)
 
 

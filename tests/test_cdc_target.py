@@ -177,3 +177,18 @@ def test_a_column_of_another_type_is_refused_and_a_lost_one_is_null(spark, workd
     target.apply(feed(spark, [(1, "A", 1, at(0), None)]), 0)
     target.apply(feed(spark, [(1, "B", 1, at(1), None)]).drop("u"), 1)
     assert rows(target.read(), "k", "v", "u", "__END_AT") == [(1, "A", 1, at(1)), (1, "B", None, None)]
+
+
+@pytest.mark.parametrize("late", ["ignore", "merge"])
+def test_tasks_of_a_batch_follow_its_events(spark, workdir, monkeypatch, late):
+    """1,200 events, 60 for a task: as many tasks, however small their bytes, and the same versions as in one go."""
+    monkeypatch.setattr(cdc_target, "TASK_ROWS", 60)
+    spec = CdcSpec(keys=("k",), sequence_by="s", columns=("v",), late=late)
+    data = [(None if n % 40 == 0 else n % 40, n, n * 7 % 3) for n in range(1200)]
+    target = CdcTarget(spark, f"{workdir}/t", spec)
+    before = [spark.conf.get(x) for x in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")]
+    for n, part in enumerate((data[:900], data[900:]) if late == "ignore" else (data[::2], data[1::2])):
+        target.apply(spark.createDataFrame(part, "k long, s long, v long"), n)
+    assert before == [spark.conf.get(x) for x in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")]
+    assert max(len(glob.glob(f"{x}/*.parquet")) for x in glob.glob(f"{workdir}/t/**/*__kind=closed", recursive=True)) > 8
+    assert rows(target.read()) == rows(apply_changes(spark.createDataFrame(data, "k long, s long, v long"), spec))
