@@ -43,11 +43,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from levain.session import settings
+
 FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 EVOLUTION_MODES = ("addNewColumns", "rescue", "failOnNewColumns")
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 #: Files whose first line or footer one task reads.
 PROBE_FILES = 64
+#: Tasks that list the files of a batch (Spark takes one for each file, if there are under 10,000).
+LIST_TASKS = 64
 #: What the ingest adds to bronze beside the data and the file's name and time.
 BATCH_COLUMNS = ("__batch_id", "__batch_part")
 ENTRIES = "array<struct<key:string,value:string>>"
@@ -175,6 +179,8 @@ class FileIngest:
     file_metadata: bool = True
 
     def __post_init__(self):
+        self._looked: frozenset[str] = frozenset()  # files that the run has looked at, with the fields found in them
+        self._looked_found = None
         if self.evolution_mode not in EVOLUTION_MODES:
             raise ValueError(f"evolution_mode must be one of {EVOLUTION_MODES}")
         if self.evolution_mode == "rescue" and not self.rescued_data_column:
@@ -243,6 +249,12 @@ class FileIngest:
 
     def run(self, on_batch=None):
         """Process everything new (availableNow), then stop.  Returns the finished query."""
+        key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        with settings(self.spark, {key: str(min(LIST_TASKS, int(self.spark.conf.get(key))))}):
+            return self._run(on_batch)
+
+    def _run(self, on_batch):
+        self._looked, self._looked_found = frozenset(), None
         self._look_ahead()
 
         def fb(files: DataFrame, batch_id: int):
@@ -284,6 +296,8 @@ class FileIngest:
         if found:
             groups = self._groups([f.path for f in found])
             self._target_schema(groups)
+            if self.format == "json":
+                self._looked, self._looked_found = frozenset(f.path for f in found), self._json_found
             self._put_note(seen, max(f.at for f in found))
 
     def _parts(self, files: DataFrame) -> list[list[str]]:
@@ -414,7 +428,8 @@ class FileIngest:
         lines = self._with_meta(lines).withColumn("__record", F.explode(F.coalesce(records, F.array(F.lit(None).cast("map<string,string>")))))
         lines = lines.withColumn("__entries", F.map_entries("__record")).withColumn("__keys", F.transform("__entries", lambda e: F.lower(e["key"])))
         known: dict[str, str] = {}
-        self._json_found = self._json_schema(paths)
+        # of files that were looked at the fields are known; those that a batch lacks are NULL in it
+        self._json_found = self._looked_found if self._looked.issuperset(paths) else self._json_schema(paths)
         for f in self._json_found.fields:
             known.setdefault(f.name.lower(), f.name)
 

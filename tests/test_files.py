@@ -199,3 +199,31 @@ def test_json_arrays_are_a_row_for_each_element(spark, workdir):
     ing.run()
     got = sorted(((r["id"], r["v"], r["w"], r["_rescued_data"]) for r in spark.read.parquet(ing.target).collect()), key=str)
     assert [g[:3] for g in got] == [(1, "x", None), (2, None, True), (3, None, None), (None, None, None)] and got[3][3] is not None
+
+
+def test_json_types_are_read_once_and_files_that_come_later_are_whole(spark, workdir, monkeypatch):
+    calls = []
+    read = FileIngest._json_schema
+    monkeypatch.setattr(FileIngest, "_json_schema", lambda self, paths: calls.append(len(paths)) or read(self, paths))
+    for n, text in enumerate(['[{"a": 1, "b": "x"},\n {"a": 2}]', '[{"a": 3}]', '[{"a": 4, "c": true}]']):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{workdir}/in/{n}")
+
+    class Late(FileIngest):
+        def _look_ahead(self):
+            super()._look_ahead()
+            if late:
+                spark.createDataFrame([('[{"a": 5, "d": 2.5}]',)], "value string").coalesce(1).write.text(f"{workdir}/in/{late.pop()}")
+
+    late = []
+    ing = Late(spark, path=f"{workdir}/in/*/*.txt", target=f"{workdir}/b", checkpoint=f"{workdir}/c", schema_location=f"{workdir}/s", format="json",
+               options={"multiLine": "true"}, max_files_per_trigger=1)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    ing.run()
+    assert calls == [3] and spark.conf.get(key) == before
+    assert rows(ing.read(), "a", "b", "c") == [(1, "x", None), (2, None, None), (3, None, None), (4, None, True)]
+    for n in (10, 11):
+        spark.createDataFrame([('[{"a": 6, "b": "y", "c": false}]',)], "value string").coalesce(1).write.text(f"{workdir}/in/{n}")
+    late.append(5)
+    ing.run()
+    assert rows(ing.read().filter("a > 4"), "a", "b", "c", "d") == [(5, None, None, 2.5), (6, "y", False, None), (6, "y", False, None)]
