@@ -1,7 +1,7 @@
 """Language identification by compression with per-language dictionaries.
 
-Method.  For each language a raw-content zstandard dictionary is cut from a bounded sample of its
-labelled texts.  A text is compressed with each dictionary; the language of the smallest size wins.
+Method.  For each language the words of all its distinct labelled texts are counted, and those that hold the most
+bytes of them make a raw-content zstandard dictionary.  A text is compressed with each dictionary; the language of the smallest size wins.
 Texts are read as words: lower-case runs of letters, each run of equal words once, so that case,
 punctuation, numbers and repeated words do not hide the letters.  The whole text counts, in frames
 of FRAME bytes (else a long text is compressed against itself rather than the dictionary).
@@ -9,9 +9,9 @@ If the margin (second smallest size over smallest, less one) is narrow, the text
 the strongest match finder.  A margin below the threshold of the language found and the text's length rejects the text
 (``accepted`` is false).
 
-Thresholds.  A quarter of the hashes is kept out of the dictionaries.  Of each language and class of lengths (doublings of the
-bytes of words) the margins of the TRIAL texts among them with the smallest hashes are measured, 0 for those that get another
-language.  PART of the QUANTILE of a class is the threshold, so that clean texts stay; with under FEW margins that of the class in all
+Thresholds.  A quarter of the hashes is kept out of the dictionaries.  The margins of all these texts, whole, are measured, 0 for those that
+get another language, and counted by language and class of lengths (doublings of the bytes of words) in steps of STEP.
+PART of the QUANTILE of a class is the threshold, so that clean texts stay; with under FEW margins that of the class in all
 languages, then that of the class and its neighbours, then REJECT, or nothing under SHORT bytes.
 A language with under LEAST texts for its dictionary keeps none out.
 
@@ -27,25 +27,27 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from levain.llm.common import id_field, prepare, written
+from levain.llm.common import id_field, prepare
 
 UNKNOWN = "und"
-#: The bound of the sample: SAMPLE_TEXTS texts a language, each giving SNIPPET bytes, DICTIONARY bytes in all.
-SAMPLE_TEXTS, SNIPPET, DICTIONARY = 256, 512, 65536
+#: Bytes of a dictionary.
+DICTIONARY = 65536
 FRAME, SHORT = 4096, 64
 #: Margins under NARROW are measured again; those under REJECT reject where no threshold is known.
 NARROW, REJECT = 0.02, 0.001
-#: Texts tried in each language and class of lengths, margins that make a threshold, texts of a dictionary that come first.
-TRIAL, FEW, LEAST = 48, 20, 32
+#: Margins that make a threshold, texts of a dictionary that come first.
+FEW, LEAST = 20, 32
 QUANTILE, PART = 0.05, 0.5
-#: The first and the last class of lengths: under 2**5 and from 2**12 bytes; of a long text so many characters are tried.
-CLASSES, TRIED = (5, 13), 2 * FRAME
+#: Margins are counted in steps of STEP, up to 1.
+STEP = 1e-4
+#: The first and the last class of lengths: under 2**5 and from 2**12 bytes.
+CLASSES = (5, 13)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -57,32 +59,63 @@ def words(text: str) -> bytes:
     return " ".join(w for w, _ in groupby(found)).encode()
 
 
-def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_texts: int = SAMPLE_TEXTS) -> Dictionaries:
-    """A dictionary for each language, by falling number of labelled rows.  The sample is the
-    ``sample_texts`` distinct texts with the smallest hashes in each language."""
-    spark = labelled.sparkSession
-    prepare(spark)
+def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_texts: int | None = None) -> Dictionaries:
+    """A dictionary for each language, by falling number of labelled rows, from every distinct text
+    (``sample_texts``, the bound of a sample there once was, has no effect)."""
+    prepare(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("length(lang) > 0 and length(text) > 0")
     counts = dict(rows.groupBy("lang").count().collect())  # a row a language
     rows = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64("text"))
-    kind = F.when(F.col("place") % 4 == 0, F.least(F.greatest(F.length(F.bin(F.octet_length("text"))), F.lit(CLASSES[0])), F.lit(CLASSES[1]))).otherwise(0)
-    some = [tuple(r) for r in smallest(rows.select("lang", "place", kind.cast("long").alias("kind")), {0: sample_texts}, TRIAL).collect()]  # numbers, bounded by language
-    enough = {x for x, n in Counter(x for x, _, k in some if k == 0).items() if n >= min(LEAST, sample_texts)}
-    some = [(x, p, k if x in enough else 0) for x, p, k in some]
-    part = rows.join(F.broadcast(spark.createDataFrame(some, "lang string, place long, kind long")), ["lang", "place"]).groupBy("lang", "kind", "place").agg(F.min(F.substring("text", 1, TRIED)).alias("text"))
-    part = written(part, "language-sample")
-    found: dict[str, bytes] = dict.fromkeys(sorted(counts, key=lambda x: (-counts[x], x)), b"")
-    taken = Counter()
-    for r in sorted(part.filter("kind = 0").select("lang", "place", F.substring("text", 1, 2 * SNIPPET).alias("text")).collect(), key=lambda r: (r["lang"], r["place"])):
-        snippet = words(r["text"])[:SNIPPET]
-        taken[r["lang"]] += 1
-        if taken[r["lang"]] <= sample_texts and len(found[r["lang"]]) + len(snippet) < DICTIONARY:
-            found[r["lang"]] += snippet + b" "
-    known = Dictionaries({x: d for x, d in found.items() if d.strip()})
-    known.least = thresholds(part.filter("kind > 0").select("lang", "text"), known)
+    tried = F.col("place") % 4 == 0
+    taken = rows.filter(~tried).select("lang", "place").distinct().groupBy("lang").count().collect()  # a row a language
+    tried = tried & F.col("lang").isin([x for x, n in taken if n >= LEAST])
+    part = rows.filter(~tried).dropDuplicates(["lang", "place"]).select("lang", "text")
+    found: dict[str, list[str]] = {x: [] for x in sorted(counts, key=lambda x: (-counts[x], x))}
+    for lang, word, _ in most_bytes(word_counts(part)).collect():  # at most DICTIONARY bytes a language
+        found[lang].append(word)
+    known = Dictionaries({x: " ".join([*reversed(w), ""]).encode() for x, w in found.items() if w})  # the last are the nearest
+    known.least = thresholds(rows.filter(tried).dropDuplicates(["lang", "place"]).select("lang", "text"), known)
     return known
 
 
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(lang, word, n): how often the words of the texts (lang, text) occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            seen: Counter = Counter()
+            for lang, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+                seen.update((lang, w) for w in words(text).decode().split())
+            yield pa.record_batch([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
+
+    return texts.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def most_bytes(counted: DataFrame) -> DataFrame:
+    """The words of each language that hold the most bytes of its texts, up to DICTIONARY bytes with the blanks, in falling order;
+    each task first finds its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[int, str, int]]] = defaultdict(list)
+
+        def first(of: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+            of.sort(key=lambda r: (-r[0], r[1]))
+            sizes = accumulate(len(w.encode()) + 1 for _, w, _ in of)
+            return [r for r, size in zip(of, sizes, strict=True) if size <= DICTIONARY]
+
+        for x in batches:
+            for lang, word, n in zip(*(c.to_pylist() for c in x.columns), strict=True):
+                held[lang].append((n * len(word.encode()), word, n))
+                if len(held[lang]) >= 2 * DICTIONARY:
+                    held[lang] = first(held[lang])
+        out = [(lang, w, n) for lang, of in held.items() for _, w, n in first(of)]
+        cols = list(zip(*out, strict=True)) or [()] * 3
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "word", "n"])
+
+    kinds = "lang string, word string, n long"
+    return counted.mapInArrow(run, kinds).repartition("lang").mapInArrow(run, kinds)
+
+
 class Dictionaries(dict):
     """Dictionaries by language, with ``least``: the smallest margin that is accepted, by language and class of lengths."""
 
@@ -99,51 +132,29 @@ def thresholds(tried: DataFrame, known: dict[str, bytes]) -> dict[tuple[str, int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            out = [(lang, *measured(words(t), dictionaries)) for lang, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True) if words(t)]
-            cols = list(zip(*((lang, length_class(n), margin if lang == best else 0.0) for lang, best, margin, _, n in out), strict=True)) or [()] * 3
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.float64()), strict=True)], ["lang", "class", "margin"])
-
-    of: dict[tuple[str | None, int], list[float]] = defaultdict(list)
-    near: dict[tuple[str, int], list[float]] = defaultdict(list)
-    for lang, size, margin in tried.mapInArrow(run, "lang string, class long, margin double").collect() if len(known) > 1 else ():  # at most TRIAL by language and class
-        of[lang, size].append(margin)
-        of[None, size].append(margin)
+            out = [(lang, *measured(raw, dictionaries)) for lang, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True) if (raw := words(t))]
+            cols = list(zip(*((lang, length_class(n), int(min(margin, 1.0) / STEP) if lang == best else 0) for lang, best, margin, _, n in out), strict=True)) or [()] * 3
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["lang", "class", "step"])
+
+    if len(known) < 2:
+        return {}
+    of: dict[tuple[str | None, int], Counter] = defaultdict(Counter)
+    near: dict[tuple[str, int], Counter] = defaultdict(Counter)
+    for lang, size, step, n in tried.mapInArrow(run, "lang string, class long, step long").groupBy("lang", "class", "step").count().collect():  # bounded by steps
+        of[lang, size][step] += n
+        of[None, size][step] += n
         for c in (size - 1, size, size + 1):
-            near[lang, c].append(margin)
+            near[lang, c][step] += n
     out = {}
     for lang in known:
         for c in range(CLASSES[0], CLASSES[1] + 1):
-            margins = next((sorted(m) for m in (of[lang, c], of[None, c], near[lang, c]) if len(m) >= FEW), None)
-            if margins:
-                out[lang, c] = PART * margins[int(QUANTILE * len(margins))]
+            steps = next((m for m in (of[lang, c], of[None, c], near[lang, c]) if m.total() >= FEW), None)
+            if steps:
+                place, inner = int(QUANTILE * steps.total()), sorted(steps)
+                out[lang, c] = PART * STEP * next(x for x, upto in zip(inner, accumulate(steps[x] for x in inner), strict=True) if upto > place)
     return out
 
 
-def smallest(rows: DataFrame, most: dict[int, int], other: int) -> DataFrame:
-    """(lang, place, kind): the smallest distinct places of each language and kind, ``most[kind]`` or ``other`` of them; each task first finds its own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], set[int]] = {}
-        bound: dict[tuple[str, int], int] = {}
-        for x in batches:
-            for lang, place, kind in zip(*(c.to_pylist() for c in x.columns), strict=True):
-                if place >= bound.get((lang, kind), 2**63):
-                    continue
-                mine = held.setdefault((lang, kind), set())
-                mine.add(place)
-                k = most.get(kind, other)
-                if len(mine) >= 2 * k:
-                    held[lang, kind] = set(sorted(mine)[:k])
-                    bound[lang, kind] = max(held[lang, kind])
-        out = [(lang, p, kind) for (lang, kind), mine in held.items() for p in sorted(mine)[:most.get(kind, other)]]
-        cols = list(zip(*out, strict=True)) or [()] * 3
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["lang", "place", "kind"])
-
-    k = F.element_at(F.create_map(*(F.lit(x).cast("long") for pair in most.items() for x in pair)), F.col("kind"))
-    order = Window.partitionBy("lang", "kind").orderBy("place")
-    return rows.mapInArrow(run, "lang string, place long, kind long").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= F.coalesce(k, F.lit(other))).drop("n")
-
-
 @lru_cache(maxsize=2)
 def _compressors(dictionaries: tuple[tuple[str, bytes], ...]) -> tuple[list[str], list, list]:
     import zstandard as z

@@ -193,6 +193,20 @@ def test_language_learns_from_distinct_texts(spark):
     assert o2.learn(rows, sample_texts=4) == o2.learn(rows.distinct(), sample_texts=4) and {k: len(v.split()) for k, v in o2.learn(rows, sample_texts=2).items()} == {"aa": 4, "bb": 4}
 
 
+def test_language_learns_from_every_text_and_all_of_it(spark):
+    """A word that only one text of 3,000 has, far behind its start, is in the dictionary; counts are those of all distinct texts."""
+    text = F.concat(F.lit("alpha beta "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.when(F.col("id").isin(17, 2999), F.concat(F.repeat(F.lit("gamma delta "), 400), F.lit("omega"), F.col("id") % 2)).otherwise(""))
+    rows = spark.range(3000).select(F.lit("aa").alias("lang"), text.alias("text"))
+    counted = {r["word"]: r["n"] for r in o2.word_counts(rows).collect()}
+    assert counted["alpha"] == 3000 and counted["delta"] == 800 and counted["omega"] == 2
+    more = rows.union(rows).unionByName(spark.createDataFrame([("bb", "ein wort"), ("bb", "zwei worte")], "lang string, text string"))
+    known = o2.learn(more)
+    kept = [r["text"] for r in rows.withColumn("place", F.xxhash64("text")).filter("place % 4 <> 0").collect()]
+    assert set(known["aa"].decode().split()) == {w for t in kept for w in o2.words(t).decode().split()}
+    assert set(known["bb"].split()) == {b"ein", b"wort", b"zwei", b"worte"} and known["aa"].endswith(b" alpha ")
+
+
+
 def test_held_out_is_the_crc(spark):
     got = spark.range(500).select("id", o2.held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in got)
