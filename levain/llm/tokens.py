@@ -7,8 +7,12 @@ tab, newline and carriage return part runs; any other white space is left to the
 
 Whether a tokenizer does so is tried out on loading; one that does not encodes whole texts.
 
-Most runs that the cache lacks are a Latin word with or without closing punctuation.  If the tokenizer marks
-the ends of words, lowers case and parts letters from punctuation (both are tried out on loading), such runs are encoded many
+The runs of many texts are told apart by Arrow, so that each different run is looked up once, not once for
+each time it occurs.
+
+Most runs are a Latin word with or without closing punctuation.  If the tokenizer marks
+the ends of words, lowers case and parts letters from punctuation (both are tried out on loading), word and punctuation
+are looked up on their own; what the cache lacks is encoded many
 at a time, parted by blanks and without normalizing, and the ids are told apart at the marks.
 """
 
@@ -17,13 +21,17 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
-from itertools import chain, compress
+from itertools import compress, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Marks that close a word of letters.
 CLOSING = ".,;:!?"
+#: Letters of words that are parted from closing marks; not the capital I with dot.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.lower().isalpha())
 #: Runs that the normalizer must leave as they are, and texts whose ids depend on blanks unless these only part runs.
 LATIN = "a the quickly \u00e4rger \u00e9t\u00e9 ni\u00f1o \u00ff\u00fe\u00b5\u00aa\u00ba\u00df word, end. what?! etc...; xxxxxxxxxxxxxxxxxxxxxxxx"
 TRIED = ("a b", " a", "a ", "a  b", "one two, three.  Four\tfive\nsix\r\nseven 8 9", "  \n\n x\n\n  y", "the end .", "it 's", "\u00e4 b\u00df, \u65e5\u672c \u8a9e")
@@ -41,9 +49,14 @@ def encoder(path: str, cache_runs: int = 300_000) -> RunEncoder:
     return RunEncoder(path, cache_runs)
 
 
+def blanks(text: str) -> str:
+    """``text`` with a blank for each character that parts runs."""
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+
+
 def runs(text: str) -> list[str]:
     """The runs of ``text`` between blanks; consecutive blanks give empty runs."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    return blanks(text).split(" ")
 
 
 def _is_latin(text: str) -> bool:
@@ -53,8 +66,16 @@ def _is_latin(text: str) -> bool:
         return False
 
 
+def gather(ids: np.ndarray, bounds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` between ``bounds`` that are at ``places``, in order, and the bounds of these."""
+    start = bounds[places]
+    size = bounds[places + 1] - start
+    upto = np.concatenate([[0], size.cumsum()])
+    return ids[np.repeat(start - upto[:-1], size) + np.arange(upto[-1])], upto
+
+
 class Arena:
-    """The ids of runs, one after another, with each run's place; emptied when it holds more than ``size`` runs."""
+    """The ids of runs, one after another, with each run's place; what was not used again goes when it holds more than ``size`` runs."""
 
     def __init__(self, size: int):
         self.size = size
@@ -62,7 +83,15 @@ class Arena:
 
     def clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.ids, self.ends, self.used = np.empty(1 << 20, "<u4"), np.zeros(self.size + 1, "int64"), 0
+        self.ids, self.ends, self.used = np.empty(1 << 20, "<u4"), np.zeros(self.size + 1, "int64"), np.zeros(self.size + 1, bool)
+
+    def shrink(self) -> None:
+        """Keep the runs that were used again since the last time; none if these are more than half of ``size``."""
+        kept = list(compress(self.at, self.used.tolist()))
+        ids, bounds = self.gather(np.flatnonzero(self.used))
+        self.clear()
+        if len(kept) <= self.size // 2:
+            self.add(kept, ids, bounds[1:])
 
     def add(self, runs_: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
         """Add runs whose ids lie in ``ids`` up to ``ends`` each."""
@@ -71,16 +100,14 @@ class Arena:
             self.ids = np.concatenate([self.ids[:start], np.empty(2 * (start + len(ids)), "<u4")])
         if n + len(runs_) >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros(len(self.ends) + len(runs_), "int64")])
+            self.used = np.concatenate([self.used, np.zeros(len(self.ends) - len(self.used), bool)])
         self.ids[start:start + len(ids)] = ids
         self.ends[n + 1:n + 1 + len(runs_)] = start + ends
         self.at.update(zip(runs_, range(n, n + len(runs_)), strict=True))
 
     def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the runs at ``places``, in order, and where each run's end."""
-        start = self.ends[places]
-        size = self.ends[places + 1] - start
-        ends = size.cumsum()
-        return self.ids[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], ends
+        """The ids of the runs at ``places``, in order, and their bounds."""
+        return gather(self.ids, self.ends, places)
 
 
 class RunEncoder:
@@ -137,9 +164,9 @@ class RunEncoder:
     def _bulk(self, some: list[str], pieces: np.ndarray) -> list[str]:
         """Add ``some`` to the cache, many at a time; returns those that must go one by one."""
         rest = []
-        for i in range(0, len(some), 2000):
-            part = some[i:i + 2000]
-            found = self._many(part, pieces[i:i + 2000])
+        for i in range(0, len(some), 500):
+            part = some[i:i + 500]
+            found = self._many(part, pieces[i:i + 500])
             if found is None:
                 rest += part
             else:
@@ -148,16 +175,10 @@ class RunEncoder:
 
     def _add(self, missing: list[str]) -> None:
         """Put the ids of ``missing`` into the cache."""
-        rest, closed, at = missing, [], self.cache.at
+        rest = missing
         if self.ends is not None:
             words = [w for w in missing if w.isalpha()]
-            others = [w for w in missing if not w.isalpha()]
-            stems = [w.rstrip(CLOSING) for w in others]  # closing marks after a word of letters are on their own
-            fits = [stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and stem.lower().isalpha())) for stem in stems]  # not a capital I with dot
-            closed = [(w, stem, w[len(stem):]) for w, stem in compress(zip(others, stems, strict=True), fits)]
-            rest = [w for w, fit in zip(others, fits, strict=True) if not fit]
-            words += {stem for _, stem, _ in closed}.difference(at).difference(words)
-            rest += {tail for *_, tail in closed}.difference(at).difference(rest)
+            rest = [w for w in missing if not w.isalpha()]
             rest += self._bulk(words, np.ones(len(words), int))
             if self.pattern is not None:
                 counted = np.array([len(self.pattern.findall(w)) if w.isprintable() else 0 for w in rest], int)  # not where other white space may be replaced
@@ -165,9 +186,29 @@ class RunEncoder:
         for i in range(0, len(rest), 10_000):
             found = self._plain(rest[i:i + 10_000])
             self.cache.add(rest[i:i + 10_000], np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found]))
-        if closed:
-            ids, ends = self.cache.gather(np.array([at[part] for _, *both in closed for part in both]))
-            self.cache.add([w for w, *_ in closed], ids, ends[1::2])
+
+    def _places(self, wanted: pa.LargeStringArray) -> np.ndarray:
+        """Where the cache has each of ``wanted``, which differ and hold no blank; those that it lacks are added."""
+        at = self.cache.at
+        names = pc.binary_join(pa.ListArray.from_arrays([0, len(wanted)], wanted), pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
+        places = np.fromiter(map(at.get, names, repeat(-1)), "int64", len(names))
+        unknown = places < 0
+        self.cache.used[places[~unknown]] = True
+        if missing := list(compress(names, unknown.tolist())):
+            self._add(missing)
+            places[unknown] = np.fromiter(map(at.__getitem__, missing), "int64", len(missing))
+        return places
+
+    def _different(self, some: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different runs, in order, and their bounds."""
+        if self.ends is None:
+            return self.cache.gather(self._places(some))
+        stem, tail = pc.utf8_rtrim(some, CLOSING), pc.utf8_ltrim(some, LETTERS)  # closing marks after a word of letters are on their own
+        fits = pc.equal(pc.add(pc.binary_length(stem), pc.binary_length(tail)), pc.binary_length(some))
+        parts = pa.concat_arrays([pc.if_else(fits, stem, some), pc.if_else(fits, tail, pa.scalar("", pa.large_string()))]).dictionary_encode()
+        places = self._places(parts.dictionary)[parts.indices.to_numpy()]
+        ids, bounds = self.cache.gather(places.reshape(2, -1).T.ravel())
+        return ids, bounds[::2]
 
     def _lower(self, text: str) -> str:
         """``text`` in lower case where that cannot matter: Latin-1 without the name of a special token."""
@@ -181,16 +222,12 @@ class RunEncoder:
         if not self.by_run:
             found = self._plain(texts)
             return np.frombuffer(b"".join(found), "<u4"), np.cumsum([0, *(len(x) // 4 for x in found)])
-        cache = self.cache
-        if len(cache.at) > cache.size:
-            cache.clear()
-        parts = [runs(self._lower(t)) for t in texts]
-        if missing := set().union(*parts).difference(cache.at):
-            self._add(list(missing))
-        upto = np.cumsum([0, *map(len, parts)])
-        places = np.fromiter(map(cache.at.__getitem__, chain.from_iterable(parts)), "int64", int(upto[-1]))
-        ids, ends = cache.gather(places)
-        return ids, np.concatenate([[0], ends])[upto]
+        if len(self.cache.at) > self.cache.size:
+            self.cache.shrink()
+        parts = pc.split_pattern(pa.array([blanks(self._lower(t)) for t in texts], pa.large_string()), " ")
+        found = parts.flatten().dictionary_encode()
+        ids, bounds = gather(*self._different(found.dictionary), found.indices.to_numpy())
+        return ids, bounds[parts.offsets.to_numpy()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

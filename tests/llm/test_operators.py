@@ -24,7 +24,7 @@ from levain.llm import op8_token_files as o8
 from levain.llm import op9_exact_topk as o9
 from levain.llm.components import components
 from levain.llm.queries import QUERIES, URL_RULES
-from levain.llm.tokens import default_path, encoder
+from levain.llm.tokens import RunEncoder, default_path, encoder
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -315,6 +315,43 @@ def test_encoder_is_the_library(library):
         assert [enc.decode(g) for g in got] == [library.decode(w, skip_special_tokens=False) for w in want]
 
 
+class Counted(dict):
+    asked = 0
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+    def get(self, *of):
+        self.asked += 1
+        return super().get(*of)
+
+
+def test_encoder_looks_up_each_different_run_once(library):
+    enc = RunEncoder(default_path(), 300)
+    enc.cache.at = Counted()
+    texts = ["The end, the WORD.  the word? 12.5 l'eau... \u0130. \u00e4h!\tend"] * 200
+    got, want = enc.encode(texts), library.encode(texts[0], add_special_tokens=False).ids
+    assert {np.frombuffer(x, "<u4").tobytes() for x in got} == {np.array(want, "<u4").tobytes()} and len(got) == 200
+    assert enc.cache.at.asked < 50  # of 2,400 runs
+    assert "word" in enc.cache.at and "word." not in enc.cache.at and "word?" not in enc.cache.at  # one entry whatever closes it
+    assert enc.encode([]) == [] and enc.flat([])[1].tolist() == [0]
+
+
+def test_encoder_keeps_what_is_used_again(library):
+    enc = RunEncoder(default_path(), 300)  # its cache holds 600 runs
+    common = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    for k in range(12):
+        texts = [" ".join([*common, *(f"{a}{b}{c}" for a in "uvwxyz" for b in "abcdefghijkl" for c in (k * "q" + "m", k * "q" + "n"))])] * 2
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert len(enc.cache.at) < 900
+        if k == 1:  # the cache is not full yet
+            given, plain, bulk = [], enc._plain, enc._many
+            enc._plain = lambda some: (given.extend(some), plain(some))[1]
+            enc._many = lambda some, pieces: (given.extend(some), bulk(some, pieces))[1]
+    assert given and not {*given} & {*common}
+
+
 def test_encoder_counts_and_leaves_other_tokenizers_whole(library, tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
