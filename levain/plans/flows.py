@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from levain.operators.cdc import CdcSpec, apply_changes
 from levain.plans import analogs, chain, sales
-from levain.session import shared_dir
+from levain.session import SHUFFLES_REMOVED, settings, shared_dir
+from levain.sources import fs
 from levain.sources.cursor import CursorIngest, table_source
 from levain.sources.files import BATCH_COLUMNS, FileIngest, NewColumnsError
 from levain.sources.tables import Lakehouse
@@ -511,19 +512,32 @@ def cursor_resume(spark, sf) -> DataFrame:
     return target.read()
 
 
-def sales_updates(spark, sf) -> list[DataFrame]:
+def sales_updates(spark, sf, root: str | None = None) -> list[DataFrame]:
     """The transaction lines in three updates: a first one with wrong quantities, wrong days, lines held back and lines too many;
-    one that corrects quantities and deletes what was too many; one that corrects days and brings the rest."""
+    one that corrects quantities and deletes what was too many; one that corrects days and brings the rest.
+    The lines are joined and numbered once, into a folder below ``root``."""
     tx = analogs.transaction_lines(spark, sf)
     again = Window.partitionBy("cardnumber").orderBy(F.xxhash64(*tx.columns))  # the test table repeats line numbers
     tx = tx.withColumn("line", F.col("cardnumber") * 1000 + F.row_number().over(again))
-    wrong = tx.withColumns({"quantity": F.when(F.col("line") % 7 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
-                            "totalprice": F.when(F.col("line") % 7 == 0, F.col("totalprice") + F.col("unitprice")).otherwise(F.col("totalprice")).cast("decimal(18,2)"),
-                            "datetime": F.when(F.col("line") % 13 == 0, F.col("datetime") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("datetime"))})
-    extra = tx.filter("line % 17 = 0").withColumn("line", -F.col("line"))
-    parts = [wrong.filter("line % 11 <> 0").unionByName(extra).withColumn("op", F.lit("U")),
-             tx.filter("line % 7 = 0 AND line % 11 <> 0").withColumn("op", F.lit("U")).unionByName(extra.withColumn("op", F.lit("D"))),
-             tx.filter("line % 13 = 0 OR line % 11 = 0").withColumn("op", F.lit("U"))]
+    lines = f"{root or run_dir(spark, 'sales_updates')}/lines"
+    with settings(spark, SHUFFLES_REMOVED):
+        tx.write.parquet(lines)
+    tx = spark.read.schema(tx.schema).parquet(lines)
+    wrong = {"quantity": F.when(F.col("line") % 7 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
+             "totalprice": F.when(F.col("line") % 7 == 0, F.col("totalprice") + F.col("unitprice")).otherwise(F.col("totalprice")).cast("decimal(18,2)"),
+             "datetime": F.when(F.col("line") % 13 == 0, F.col("datetime") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("datetime"))}
+    extra = F.col("extra")
+
+    def part(lines: str, op: str) -> DataFrame:
+        """``lines`` and those that are too many (under negative numbers, with ``op``), from one scan."""
+        kinds = F.array_compact(F.array(F.when(F.expr(lines), False), F.when(F.expr("line % 17 = 0"), True)))
+        return tx.filter(f"{lines} OR line % 17 = 0").withColumn("extra", F.explode(kinds)).withColumn("op", F.when(extra, op).otherwise("U"))
+
+    def numbered(df: DataFrame) -> DataFrame:
+        return df.withColumn("line", F.when(extra, -F.col("line")).otherwise(F.col("line"))).drop("extra")
+
+    first = part("line % 11 <> 0", "U").withColumns({c: F.when(extra, F.col(c)).otherwise(v) for c, v in wrong.items()})
+    parts = [numbered(first), numbered(part("line % 7 = 0 AND line % 11 <> 0", "D")), tx.filter("line % 13 = 0 OR line % 11 = 0").withColumn("op", F.lit("U"))]
     return [p.withColumn("update", F.lit(n)) for n, p in enumerate(parts)]
 
 
@@ -535,9 +549,10 @@ def fact_sales_incremental(spark, sf) -> DataFrame:
     root = run_dir(spark, "fact_sales_incremental")
     bronze = CdcTarget(spark, f"{root}/transactions", SALES_CDC)
     view = sales.fact_sales_view(spark, f"{root}/fact", bronze)
-    for n, update in enumerate(sales_updates(spark, sf)):
+    for n, update in enumerate(sales_updates(spark, sf, root)):
         bronze.apply(update, n)
         view.refresh()
+    fs.remove(spark, f"{root}/lines")
     return sales.fact_sales_of(view)
 
 

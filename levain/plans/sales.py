@@ -87,7 +87,8 @@ def fact_sales_view(spark: SparkSession, path: str, bronze: CdcTarget) -> Aggreg
 
     return AggregateView(spark, path, bronze, FACT_GRAIN, rows, counts={"transaction_count": "transactionid", "__prices": "unit_price"},
                          sums={"total_quantity": "quantity", "total_revenue": "total_price", "__price": "unit_price"},
-                         mins={"first_purchase": "transaction_datetime"}, maxs={"last_purchase": "transaction_datetime"})
+                         mins={"first_purchase": "transaction_datetime"}, maxs={"last_purchase": "transaction_datetime"},
+                         columns=["transactionid", "customerid", "franchiseid", "datetime", "product", "quantity", "unitprice", "totalprice"])
 
 
 def fact_sales_of(view: AggregateView) -> DataFrame:

@@ -57,26 +57,29 @@ class CdcTarget:
         self.versions = Versions(spark, self.path)
 
     # ------------------------------------------------------------------ public
-    def read(self, version: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    def read(self, version: int | None = None, among: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
         """The target as users see it, of the current version or of an earlier one that was not vacuumed; SCD1 keys only
-        those in the ``__k`` (struct of the keys) of ``among``, if given."""
+        those in the ``__k`` (struct of the keys) of ``among``, if given; keys and those of ``columns`` that it has, if given."""
         m = self.versions.current() if version is None else self.versions.manifest(version)
         if not m["version"]:
             raise RuntimeError(f"target {self.path} has no committed batch yet")
         if self.spec.stored_as_scd_type == 1:
-            return self._scd1(m, among)
+            return self._scd1(m, among, columns)
         live = self._live(m)
         if self.spec.late == "ignore":
             state = self._state(m).filter(~F.col(HEAD))
             live = live.unionByName(state.select(*live.columns))
-        return live.drop(GEN)
+        live = live.drop(GEN)
+        return live if columns is None else live.select(*self._with_keys(columns, live))
 
     def stream_into(self, stream_df: DataFrame, checkpoint: str, trigger_available_now: bool = True):
         w = stream_df.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
         w = w.trigger(availableNow=True) if trigger_available_now else w
         return w.start()
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
+    def apply(self, batch: DataFrame, batch_id: int, one_each: bool = False) -> None:
+        """``one_each`` says that the batch has one row for each of its keys (as an aggregate by the keys has): SCD1 then stores
+        it as it is, with no search for each key's newest."""
         m = self.versions.current()
         if has_batch(m["batches"], batch_id):
             return  # replayed batch: already published
@@ -89,16 +92,18 @@ class CdcTarget:
             batch = self.expectations.apply(batch)
         folder = self.versions.new_folder()
         prepared = prepare_changes(batch, self.spec)
-        # written once: the counts are observed on that write, and every step below reads the same rows
-        _write(prepared, f"{folder}/{LOG}")
-        changes = self.spark.read.schema(prepared.schema).parquet(f"{folder}/{LOG}")
+        if self.spec.stored_as_scd_type == 1 and self.spec.apply_as_truncates is None and obs is None:
+            changes = prepared  # one step reads it, once
+        else:  # written once: the counts are observed on that write, and every step below reads the same rows
+            _write(prepared, f"{folder}/{LOG}")
+            changes = self.spark.read.schema(prepared.schema).parquet(f"{folder}/{LOG}")
         new = {"version": m["version"] + 1, "batches": with_batch(m["batches"], batch_id), "tables": {k: list(v) for k, v in m["tables"].items()},
                "schemas": dict(m["schemas"]), "columns": data_cols, "added": []}
         if obs is not None:
             new["metrics"] = {"batch": batch_id, "expectations": self.expectations.observed_metrics(obs)}
         keep_log, tasks = False, 0
         if self.spec.stored_as_scd_type == 1:
-            rows = self._scd1_rows(changes, data_cols)
+            rows = self._scd1_rows(changes, data_cols, one_each)
         elif self.spec.late == "merge":
             self._name(new, LOG, f"{folder}/{LOG}", prepared.schema)
             tasks = self._tasks(self._table(new, LOG))
@@ -130,7 +135,7 @@ class CdcTarget:
         """What changed between two versions, as signed rows (``SIGN`` is how often a row was added, or taken away if negative),
         over ``columns`` (all by default).  Only keys that batches between the two wrote are looked at; both versions must not be vacuumed."""
         now = self.versions.current() if upto is None else self.versions.manifest(upto)
-        new = self.read(now["version"])
+        new = self.read(now["version"], columns=columns)
         columns = columns or new.columns
         if not since:
             return new.select(*columns).withColumn(SIGN, F.lit(1).cast("long"))
@@ -140,8 +145,8 @@ class CdcTarget:
             return new.select(*columns).withColumn(SIGN, F.lit(1).cast("long")).limit(0)
         before = self.versions.manifest(since)["tables"].get(STATE, [])
         if self.spec.stored_as_scd_type == 1 and not cut and not now["tables"].get(TRUNCATES) and set(before) <= set(now["tables"][STATE]) and {*self.spec.keys} <= {*columns}:
-            return self._scd1_changes(now, since, columns)
-        old = self.read(since)
+            return self._scd1_changes(now, before, columns)
+        old = self.read(since, columns=columns)
         if not cut:  # else any key may have changed
             schema = new.select(*self.spec.keys).schema
             touched = self.spark.read.schema(schema).parquet(*between).select(self._key().alias("__k")).distinct()
@@ -150,15 +155,45 @@ class CdcTarget:
         both = new.select(*columns, F.lit(1).cast("long").alias(SIGN)).unionByName(old.withColumns(gained).select(*columns, F.lit(-1).cast("long").alias(SIGN)))
         return both.groupBy(*columns).agg(F.sum(SIGN).alias(SIGN)).filter(F.col(SIGN) != 0)
 
-    def _scd1_changes(self, now: dict, since: int, columns: list[str]) -> DataFrame:
-        """The signed rows in one shuffle of the stored rows: each key's newest row before and after, where they differ."""
-        rows = self._table(now, STATE).select(self._key().alias("__k"), (F.col(GEN) > since).alias("__late"), F.struct(SEQ, TIE).alias("__at"), F.struct(DEL, *columns).alias("__r"))
-        newest = rows.repartition("__k").groupBy("__k", "__late").agg(F.max_by("__r", "__at").alias("__r"), F.max("__at").alias("__at"))
-        both = newest.groupBy("__k").agg(F.max_by("__r", "__at").alias("__new"), F.max_by("__r", F.when(~F.col("__late"), F.col("__at"))).alias("__old"), F.max("__late").alias("__late"))
-        both = both.filter(F.col("__late") & ~F.col("__new").eqNullSafe(F.col("__old")))
+    def _scd1_changes(self, now: dict, before: list[str], columns: list[str]) -> DataFrame:
+        """The signed rows in one shuffle of the stored rows: each key's newest row in the folders ``before`` and now, where they differ."""
+        keys, at, row = list(self.spec.keys), F.struct(SEQ, TIE), F.struct(DEL, *(c for c in columns if c not in self.spec.keys))
+        since = [f for f in now["tables"][STATE] if f not in before]
+        if len(since) == 1:  # its keys are what changed: rows of other keys are dropped before the newest are taken
+            both = self._beside(self._table(now, STATE, since).select(*keys, at.alias("__at"), row.alias("__r")), now, before, [c for c in columns if c not in keys])
+            both = both.filter(F.col("__at").isNull() | (F.col("__new.__at") > F.col("__at"))).select("__k.*", F.col("__new.__r").alias("__new"), "__old")
+        else:
+            parts = [self._table(now, STATE, folders).select(*keys, at.alias("__at"), row.alias("__r"), F.lit(late).alias("__late")) for folders, late in ((before, False), (since, True))]
+            rows, early = parts[0].unionByName(parts[1]).repartition(*keys), F.when(~F.col("__late"), F.col("__at"))
+            both = rows.groupBy(*keys).agg(F.max_by("__r", "__at").alias("__new"), F.max_by("__r", early).alias("__old"), F.max("__late").alias("__late")).filter("__late")
+        both = both.filter(~F.col("__new").eqNullSafe(F.col("__old")))
         signed = F.array(*(F.struct(F.col(c).alias("__r"), F.lit(n).cast("long").alias(SIGN)) for c, n in (("__new", 1), ("__old", -1))))
-        signed = both.select(F.inline(signed)).filter(~F.col(f"__r.{DEL}"))
-        return signed.select(*(F.col(f"__r.{c}").alias(c) for c in columns), SIGN)
+        signed = both.select(*keys, F.inline(signed)).filter(~F.col(f"__r.{DEL}"))
+        return signed.select(*(F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in columns), SIGN)
+
+    def stored(self, version: int, columns: list[str] | None = None) -> DataFrame:
+        """Every row that an SCD1 target holds, newest of its key or not, deletes too: its keys and ``columns`` (all by default)."""
+        m = self.versions.manifest(version)
+        rows = self._table(m, STATE)
+        return rows.select(*self._with_keys(columns or m["columns"], rows))
+
+    def beside(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """``rows``, one for each key, each with the stored ``columns`` of its key in a struct ``__old``: NULL where SCD1 has no such
+        key, and a column where the target lacks it."""
+        m = self.versions.current()
+        both = self._beside(rows, m, m["tables"].get(STATE, []), columns)
+        return both.select("__k.*", "__new.*", F.when(~F.col(f"__old.{DEL}"), F.col("__old")).alias("__old"))
+
+    def _beside(self, rows: DataFrame, m: dict, folders: list[str], columns: list[str]) -> DataFrame:
+        """``rows``, one for each key (``__k``; the rest is in ``__new``), with the key's newest row of ``folders`` (``__at``, ``__old``).
+        Rows and stored rows are dealt out once; stored rows of other keys go before the newest are taken."""
+        new = rows.select(self._key().alias("__k"), F.struct(*(c for c in rows.columns if c not in self.spec.keys)).alias("__new"))
+        old = self._table(m, STATE, folders)
+        old = old.select(self._key().alias("__j"), F.struct(SEQ, TIE).alias("__at"), F.struct(DEL, *(F.col(c) if c in old.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns)).alias("__old"))
+        both = new.join(old, F.col("__k") == F.col("__j"), "left")
+        if len(folders) > 1:  # a folder has a key once
+            both = both.groupBy("__k").agg(F.first("__new").alias("__new"), F.max_by("__old", "__at").alias("__old"), F.max("__at").alias("__at"))
+        return both
 
     def folders(self) -> int:
         """The most folders that any table has."""
@@ -199,18 +234,23 @@ class CdcTarget:
         have = {f.name.lower() for f in old.fields}
         m["schemas"][table] = T.StructType([*old.fields, *(f for f in _nullable(schema) if f.name.lower() not in have)]).json()
 
-    def _table(self, m: dict, table: str) -> DataFrame | None:
-        """The rows of all of a table's folders; None where it has no schema yet."""
+    def _table(self, m: dict, table: str, folders: list[str] | None = None) -> DataFrame | None:
+        """The rows of all of a table's folders, or of ``folders`` alone; None where it has no schema yet."""
         if table not in m["schemas"]:
             return None
         schema = T.StructType.fromJson(_json(m["schemas"][table]))
-        folders = m["tables"].get(table, [])
+        folders = m["tables"].get(table, []) if folders is None else folders
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
     def _key(self) -> Column:
         """The keys as one value that equals itself where parts are NULL."""
         return F.struct(*self.spec.keys)
 
+    def _with_keys(self, columns: list[str], df: DataFrame) -> list[str]:
+        """The keys and those of ``columns`` that ``df`` has."""
+        keys, have = {k.lower() for k in self.spec.keys}, {c.lower() for c in df.columns}
+        return [*self.spec.keys, *(c for c in columns if c.lower() in have - keys)]
+
     def _conform(self, batch: DataFrame, m: dict) -> tuple[DataFrame, list[str]]:
         """The batch with every data column that the target has (NULL where the batch lacks it), and their names."""
         now = self.spec.data_columns(batch.columns)
@@ -224,26 +264,31 @@ class CdcTarget:
         return batch.withColumns({c: F.lit(None).cast(known[c]) for c in gone}) if gone else batch, [*(c for c in m.get("columns", []) if c in gone), *now] if gone else now
 
     # ------------------------------------------------------------------ SCD1
-    def _scd1_rows(self, changes: DataFrame, data_cols: list[str]) -> DataFrame:
-        payload = F.struct(*data_cols, DEL, SEQ, TIE)
-        latest = changes.filter(~F.col(TRUNC)).groupBy(*self.spec.keys).agg(F.max_by(payload, F.struct(SEQ, TIE)).alias("__r"))
-        rows = latest.select(*self.spec.keys, "__r.*").withColumn(KIND, F.lit(STATE))
+    def _scd1_rows(self, changes: DataFrame, data_cols: list[str], one_each: bool) -> DataFrame:
+        payload = [*data_cols, DEL, SEQ, TIE]
+        latest = changes.filter(~F.col(TRUNC))
+        if not one_each:
+            latest = latest.groupBy(*self.spec.keys).agg(F.max_by(F.struct(*payload), F.struct(SEQ, TIE)).alias("__r")).select(*self.spec.keys, "__r.*")
+        rows = latest.select(*self.spec.keys, *payload).withColumn(KIND, F.lit(STATE))
         if self.spec.apply_as_truncates is None:
             return rows
         cut = changes.filter(TRUNC).agg(F.max(SEQ).alias(SEQ)).filter(F.col(SEQ).isNotNull()).withColumn(KIND, F.lit(TRUNCATES))
         return rows.unionByName(cut, allowMissingColumns=True)
 
-    def _newest_rows(self, m: dict, among: DataFrame | None = None) -> DataFrame:
+    def _newest_rows(self, m: dict, among: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
         rows = self._table(m, STATE)
+        if columns is not None:
+            rows = rows.select(*self._with_keys(columns, rows), DEL, SEQ, TIE)
         if among is not None:  # before the newest are taken, so that only these keys' rows are dealt again
             rows = rows.join(among.select("__k"), self._key() == F.col("__k"), "left_semi")
         if len(m["tables"].get(STATE, [])) < 2:
             return rows
         rest = [c for c in rows.columns if c not in self.spec.keys]
-        return rows.groupBy(*self.spec.keys).agg(F.max_by(F.struct(*rest), F.struct(SEQ, TIE)).alias("__r")).select(*self.spec.keys, "__r.*")
+        # a folder has a key once: to find the newest before the shuffle would only sort the rows once more
+        return rows.repartition(*self.spec.keys).groupBy(*self.spec.keys).agg(F.max_by(F.struct(*rest), F.struct(SEQ, TIE)).alias("__r")).select(*self.spec.keys, "__r.*")
 
-    def _scd1(self, m: dict, among: DataFrame | None = None) -> DataFrame:
-        rows = self._newest_rows(m, among).filter(~F.col(DEL))
+    def _scd1(self, m: dict, among: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+        rows = self._newest_rows(m, among, columns).filter(~F.col(DEL))
         if m["tables"].get(TRUNCATES):
             last = self._table(m, TRUNCATES).agg(F.max(SEQ)).scalar()
             rows = rows.filter(F.col(SEQ) > last)

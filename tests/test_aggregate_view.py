@@ -5,10 +5,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from conftest import SF_SMALL, rows
 from levain.operators.cdc import CdcSpec
 from levain.plans import analogs, flows, sales
+from levain.session import settings
 from levain.streaming.aggregate_view import AggregateView
 from levain.streaming.cdc_target import SIGN, CdcTarget
 
@@ -118,3 +120,90 @@ def test_changes_shuffle_the_stored_rows_once_and_a_refresh_leaves_no_shuffle_fi
     assert changed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     old, new = rows(source.read(1)), rows(source.read(3))
     assert rows(changed.filter(f"{SIGN} = 1").drop(SIGN)) == [r for r in new if r not in old] and rows(changed.filter(f"{SIGN} = -1").drop(SIGN)) == [r for r in old if r not in new]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_late_rows_null_keys_and_a_subset_of_columns(spark, workdir, seed):
+    """Batches with sequences older than what is stored, a NULL key, few values; refreshed after each batch or after several."""
+    r = random.Random(seed)
+    source = CdcTarget(spark, f"{workdir}/s", SPEC)
+    view = AggregateView(spark, f"{workdir}/v", source, ["g"], lambda df: df.filter("x IS NULL OR x >= 0"), counts={"n": "k", "n_x": "x"}, sums={"sum_x": "x", "sum_p": "price"},
+                         mins={"least": "x"}, maxs={"most": "x"}, columns=["k", "g", "x", "price"])
+    whole = view_of(spark, f"{workdir}/w", source)
+    newest = {}
+    for n in range(6):
+        data = []
+        for k in r.sample([None, *range(30)], 20 if n == 0 else 8):
+            row = (k, r.choice(["a", "b", "c", None]), r.choice([None, -1, 3, 3, 4]), None, r.choice([n * 10, n * 10, r.randrange(60)]) * 100 + n, "D" if n and r.random() < .3 else None)
+            data.append(row)
+            if k not in newest or row[4] > newest[k][4]:
+                newest[k] = row
+        source.apply(spark.createDataFrame(data, SCHEMA), n)
+        if n not in (2, 4):
+            view.refresh()
+            whole.refresh()
+            assert rows(source.read(), "k", "g", "x") == sorted(((k, g, x) for k, g, x, _, _, o in newest.values() if o is None), key=lambda t: tuple((v is None, str(v)) for v in t))
+            assert rows(view.read()) == rows(whole.read()) == recomputed(source)
+
+
+def test_extremes_of_equal_values_need_no_lookup(spark, workdir, monkeypatch):
+    """Groups whose values are all one, or all gone, keep right extremes with no look at the source's rows."""
+    source = CdcTarget(spark, f"{workdir}/s", SPEC)
+    view = view_of(spark, f"{workdir}/v", source)
+    source.apply(spark.createDataFrame([(1, "a", 5, None, 0, None), (2, "a", 5, None, 0, None), (3, "b", 1, None, 0, None), (4, "b", None, None, 0, None),
+                                        (5, "c", 1, None, 0, None), (6, "c", 9, None, 0, None), (7, "d", 2, None, 0, None), (8, "d", 8, None, 0, None)], SCHEMA), 0)
+    view.refresh()
+    looked = []
+    found = AggregateView._rows_of
+    monkeypatch.setattr(AggregateView, "_rows_of", lambda self, groups, *a: looked.extend(x["__k"]["g"] for x in groups.collect()) or found(self, groups, *a))
+    # a: one of two equal values goes; b: its only value goes, a NULL stays; c: all values go, another comes
+    source.apply(spark.createDataFrame([(2, None, None, None, 1, "D"), (3, None, None, None, 1, "D"), (5, None, None, None, 1, "D"), (6, "c", 4, None, 1, None)], SCHEMA), 1)
+    view.refresh()
+    assert looked == [] and rows(view.read(), "g", "least", "most", "n") == [("a", 5, 5, 1), ("b", None, None, 1), ("c", 4, 4, 1), ("d", 2, 8, 2)]
+    source.apply(spark.createDataFrame([(8, None, None, None, 2, "D")], SCHEMA), 2)  # d: one of two different values goes
+    view.refresh()
+    assert looked == ["d"] and rows(view.read()) == recomputed(source)
+
+
+def test_a_view_stored_without_counts_of_its_values(spark, workdir):
+    """Groups written before the counts were kept: their extremes are looked up."""
+    source = CdcTarget(spark, f"{workdir}/s", SPEC)
+    view = view_of(spark, f"{workdir}/v", source)
+    source.apply(spark.createDataFrame([(1, "a", 5, None, 0, None), (2, "a", 5, None, 0, None), (3, "b", 1, None, 0, None), (4, "b", 6, None, 0, None)], SCHEMA), 0)
+    merged = AggregateView._merged
+    try:
+        AggregateView._merged = lambda self, *a: merged(self, *a).drop("__v_x")
+        view.refresh()
+    finally:
+        AggregateView._merged = merged
+    for n, change in enumerate([(2, None, None, None, 1, "D"), (4, "a", 2, None, 2, None), (1, "b", 3, None, 3, None)], 1):
+        source.apply(spark.createDataFrame([change], SCHEMA), n)
+        view.refresh()
+        assert rows(view.read()) == recomputed(source)
+
+
+def test_steps_of_the_fact_deal_rows_out_once(spark, workdir, monkeypatch):
+    """Lines are joined and numbered once for three updates; a batch and a view's groups are written with no copy before them,
+    groups with no further shuffle; the stored rows of a change are dealt out once."""
+    written = []
+
+    def write(self, path, *a, _write=DataFrameWriter.parquet, **b):
+        written.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        _write(self, path, *a, **b)
+
+    updates = flows.sales_updates(spark, SF_SMALL, workdir)
+    for u in updates:
+        assert not [x for x in ("Join", "Window", "Exchange") if x in u._jdf.queryExecution().executedPlan().toString()]
+    bronze = CdcTarget(spark, f"{workdir}/tx", flows.SALES_CDC)
+    view = sales.fact_sales_view(spark, f"{workdir}/fact", bronze)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for n, u in enumerate(updates):
+            bronze.apply(u, n)
+            monkeypatch.setattr(DataFrameWriter, "parquet", write)
+            view.refresh()
+            monkeypatch.undo()
+            assert not [p for p, _ in written if p.endswith("/log")]
+            shuffles = {p.rsplit("/", 1)[-1]: plan.count("Exchange") for p, plan in written}
+            assert shuffles == ({"rows": 1} if n == 0 else {"signed": 3, "merged": 2, "lost": 0, "rows": 0})
+            written.clear()
+    assert rows(sales.fact_sales_of(view)) == rows(sales.fact_sales(sales.silver_transactions(analogs.transaction_lines(spark, SF_SMALL))))
